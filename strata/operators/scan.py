@@ -111,7 +111,7 @@ def fill_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequenc
                   .sortWithinPartitions(F.col(key).asc(), *ocols))
     key_type = df.schema[key].dataType
     schema = T.StructType(
-        list(df.schema.fields)
+        [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
         + [T.StructField(f"_open_{c}", T.BooleanType()) for c in cols]
         + [T.StructField("_pid", T.IntegerType()), T.StructField("_tail", T.BooleanType()),
            T.StructField("_fk", key_type)])

@@ -32,8 +32,8 @@ def flatten_events(decoded: DataFrame) -> DataFrame:
         *[d["properties"][c].alias(c) for c in _PROP_COLUMNS],
         F.col("ingested_at").alias("processed_at"),
         F.to_date(ts).alias("processing_date"),
-    ).select(*schemas.SILVER_EVENT_COLUMNS, *[c for c in ("kafka_partition", "kafka_offset")
-                                               if c in decoded.columns])
+        *[c for c in ("kafka_partition", "kafka_offset") if c in decoded.columns],
+    )
 
 
 def dedup_events(events: DataFrame, key: str | Sequence[str] = "event_id",

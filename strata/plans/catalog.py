@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators import gold, silver
+from strata import schemas
+from strata.operators import asof, bronze, gold, silver
 from strata.session import configure
+from strata.sources import fixture
 from strata.sources.fixture import saas_events
 from strata.sources.tables import read_table
 
@@ -56,3 +59,106 @@ def q_mrr_metrics(spark, sf_dir):
 @query("session_quality")
 def q_session_quality(spark, sf_dir):
     return gold.session_quality(silver.sessions_by_attributes(silver_events(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ bronze / contract
+def _bronze(spark, sf_dir, corrupt=False):
+    """Replay the fixture through the message path; ingestion time = broker time."""
+    msgs = fixture.broker_messages(read_table(spark, sf_dir, "events"), corrupt=corrupt)
+    return bronze.to_bronze(msgs, ingested_at=F.col("timestamp"))
+
+
+@query("bronze_events")
+def q_bronze_events(spark, sf_dir):
+    """Bronze layout; the binary payload is shown as hex text."""
+    b = _bronze(spark, sf_dir)
+    return b.select(F.hex("value").alias("value_hex"), "ingested_at", "kafka_offset",
+                    "kafka_partition", "kafka_topic", "processing_date")
+
+
+@query("dlq_events")
+def q_dlq_events(spark, sf_dir):
+    _, rejected = bronze.split_contract(bronze.decode_payload(_bronze(spark, sf_dir, corrupt=True)))
+    return bronze.dead_letters(rejected)
+
+
+@query("contract_valid_events")
+def q_contract_valid_events(spark, sf_dir):
+    valid, _ = bronze.split_contract(bronze.decode_payload(_bronze(spark, sf_dir, corrupt=True)))
+    return silver.flatten_events(valid).select(*schemas.SILVER_EVENT_COLUMNS)
+
+
+# ------------------------------------------------------------------ silver
+@query("silver_events")
+def q_silver_events(spark, sf_dir):
+    """Full path: messages -> bronze -> decode -> contract -> flatten -> dedup."""
+    valid, _ = bronze.split_contract(bronze.decode_payload(_bronze(spark, sf_dir)))
+    flat = silver.flatten_events(valid).select(*schemas.SILVER_EVENT_COLUMNS)
+    return silver.dedup_events(flat)
+
+
+@query("silver_events_dedup")
+def q_silver_events_dedup(spark, sf_dir):
+    """At-least-once redelivery: the earliest-ingested copy of each event survives."""
+    msgs = fixture.redelivered(read_table(spark, sf_dir, "events"))
+    b = bronze.to_bronze(msgs, ingested_at=F.col("timestamp"))
+    valid, _ = bronze.split_contract(bronze.decode_payload(b))
+    flat = silver.flatten_events(valid).drop("kafka_partition")
+    return silver.dedup_events(flat, order_by=("processed_at", "kafka_offset"))
+
+
+@query("silver_time_bounds")
+def q_silver_time_bounds(spark, sf_dir):
+    ev = silver_events(spark, sf_dir)
+    return ev.agg(F.count(F.lit(1)).alias("total_records"),
+                  F.min("event_timestamp").alias("min_event_timestamp"),
+                  F.max("event_timestamp").alias("max_event_timestamp"),
+                  F.min("processing_date").alias("min_processing_date"),
+                  F.max("processing_date").alias("max_processing_date"))
+
+
+@query("sessions_by_attributes")
+def q_sessions_by_attributes(spark, sf_dir):
+    return silver.sessions_by_attributes(silver_events(spark, sf_dir))
+
+
+@query("sessions")
+def q_sessions(spark, sf_dir):
+    return silver.sessions(silver_events(spark, sf_dir))
+
+
+@query("users_plan_events")
+def q_users_plan_events(spark, sf_dir):
+    # updated_at is the load time: left out of the comparable output.
+    return silver.users_plan_events(silver_events(spark, sf_dir)).drop("updated_at")
+
+
+@query("user_signups")
+def q_user_signups(spark, sf_dir):
+    return silver.user_signups(silver_events(spark, sf_dir))
+
+
+@query("users_scd2")
+def q_users_scd2(spark, sf_dir):
+    return silver.users_scd2(silver_events(spark, sf_dir)).drop("updated_at")
+
+
+@query("users_current")
+def q_users_current(spark, sf_dir):
+    return silver.users_current(silver.users_scd2(silver_events(spark, sf_dir))).drop("updated_at")
+
+
+@query("events_with_plan_asof")
+def q_events_with_plan_asof(spark, sf_dir):
+    ev = silver_events(spark, sf_dir)
+    return asof.plan_asof(ev, silver.users_scd2(ev))
+
+
+@query("feature_plan_breakdown")
+def q_feature_plan_breakdown(spark, sf_dir):
+    return gold.feature_plan_breakdown(silver_events(spark, sf_dir))
+
+
+@query("session_country_breakdown")
+def q_session_country_breakdown(spark, sf_dir):
+    return gold.session_country_breakdown(silver.sessions_by_attributes(silver_events(spark, sf_dir)))

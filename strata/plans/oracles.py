@@ -181,3 +181,120 @@ register("feature_adoption", with_silver(FEATURE_SQL))
 register("mrr_metrics", with_silver(MRR_SQL))
 register("session_quality",
          with_silver(SESSION_QUALITY_SELECT, SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL))
+
+
+# ------------------------------------------------------------------ bronze / contract
+def _payload(eid: str = "event_id", etype: str = "event_type",
+             ts: str = "strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')") -> str:
+    """JSON text of the nested contract record (all 26 properties, nulls kept)."""
+    return f"""CAST(to_json({{'event_id': {eid}, 'event_type': {etype}, 'timestamp': {ts},
+  'session_id': session_id, 'user_id': user_id, 'anonymous_id': anonymous_id,
+  'properties': {{'page': page, 'referrer': referrer, 'utm_source': utm_source,
+    'utm_medium': utm_medium, 'utm_campaign': utm_campaign, 'device': device,
+    'browser': NULL::VARCHAR, 'os': NULL::VARCHAR, 'country': country, 'city': city,
+    'plan': plan, 'signup_method': NULL::VARCHAR, 'referral_source': NULL::VARCHAR,
+    'login_method': NULL::VARCHAR, 'session_number': NULL::INTEGER,
+    'feature_name': feature_name, 'duration_seconds': duration_seconds,
+    'actions_taken': NULL::INTEGER, 'from_plan': from_plan, 'to_plan': to_plan,
+    'mrr_usd': mrr_usd, 'payment_method': NULL::VARCHAR, 'billing_cycle': NULL::VARCHAR,
+    'reason': reason, 'days_active': NULL::INTEGER, 'mrr_lost_usd': mrr_lost_usd}}}}) AS VARCHAR)"""
+
+
+register("bronze_events", with_silver(f"""
+SELECT '0000000001' || hex({_payload()}) AS value_hex,
+  event_timestamp AS ingested_at, _eid AS kafka_offset,
+  CAST(_eid % 3 AS INTEGER) AS kafka_partition, 'saas.events.raw' AS kafka_topic,
+  CAST(event_timestamp AS DATE) AS processing_date
+FROM silver"""))
+
+_CORRUPT_PAYLOAD = _payload(
+    eid="CASE WHEN _k = 0 THEN NULL ELSE event_id END",
+    etype="CASE WHEN _k = 1 THEN NULL ELSE event_type END",
+    ts="CASE WHEN _k = 2 THEN NULL WHEN _k = 4 THEN 'not-a-timestamp' "
+       "ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') END")
+
+register("dlq_events", with_silver(f"""
+SELECT 'saas.events.raw' AS kafka_topic, CAST(_eid % 3 AS INTEGER) AS kafka_partition,
+  _eid AS kafka_offset,
+  CASE WHEN _k IN (0, 3) THEN NULL ELSE event_id END AS event_id,
+  CASE WHEN _k = 3 THEN '<<garbage ' || event_id || '>>' ELSE {_CORRUPT_PAYLOAD} END AS payload,
+  CASE _k WHEN 0 THEN 'missing required field: event_id'
+          WHEN 1 THEN 'missing required field: event_type'
+          WHEN 2 THEN 'missing required field: timestamp'
+          WHEN 3 THEN 'undecodable payload'
+          WHEN 4 THEN 'unparsable timestamp' END AS error,
+  event_timestamp AS ingested_at
+FROM silver WHERE _k BETWEEN 0 AND 4"""))
+
+register("contract_valid_events", with_silver(f"""
+SELECT {SILVER_COLS} FROM silver WHERE _k NOT BETWEEN 0 AND 4"""))
+
+# ------------------------------------------------------------------ silver
+register("silver_events", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("silver_events_dedup", with_silver(f"SELECT {SILVER_COLS}, _eid AS kafka_offset FROM silver"))
+register("silver_time_bounds", with_silver("""
+SELECT COUNT(*) AS total_records, MIN(event_timestamp) AS min_event_timestamp,
+  MAX(event_timestamp) AS max_event_timestamp, MIN(processing_date) AS min_processing_date,
+  MAX(processing_date) AS max_processing_date FROM silver"""))
+
+register("sessions_by_attributes", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
+
+SESSIONS_CTE = """
+sess AS (
+  SELECT session_id, MAX(user_id) AS user_id, MAX(anonymous_id) AS anonymous_id,
+    arg_min(device, (event_timestamp, event_id)) FILTER (WHERE device IS NOT NULL) AS device,
+    arg_min(country, (event_timestamp, event_id)) FILTER (WHERE country IS NOT NULL) AS country,
+    MIN(event_timestamp) AS session_start, MAX(event_timestamp) AS session_end,
+    COUNT(event_id) AS page_count,
+    COUNT(CASE WHEN event_type = 'page_view' THEN 1 END) AS page_view_count,
+    arg_min(page, (event_timestamp, event_id)) FILTER (WHERE page IS NOT NULL) AS entry_page,
+    arg_max(page, (event_timestamp, event_id)) FILTER (WHERE page IS NOT NULL) AS exit_page
+  FROM silver WHERE session_id IS NOT NULL GROUP BY session_id
+), sess_full AS (
+  SELECT *, CAST(floor(epoch(session_end)) AS BIGINT) - CAST(floor(epoch(session_start)) AS BIGINT) AS session_duration_secs,
+    page_count = 1 AS is_bounce, CAST(session_start AS DATE) AS session_date
+  FROM sess
+)"""
+register("sessions", with_silver("SELECT * FROM sess_full", SESSIONS_CTE))
+
+register("users_plan_events", with_silver("""
+SELECT user_id, plan, country, device, event_timestamp AS valid_from, TRUE AS is_current,
+  CAST(NULL AS TIMESTAMP) AS valid_to
+FROM silver WHERE event_type IN ('signup', 'upgrade', 'churn')"""))
+
+register("user_signups", with_silver("""
+SELECT user_id, anonymous_id, plan, country, device, event_timestamp AS signed_up_at
+FROM silver WHERE event_type = 'signup'"""))
+
+SCD2_CTE = """
+scd AS (
+  SELECT user_id, COALESCE(to_plan, plan) AS plan,
+    last_value(country IGNORE NULLS) OVER w AS country,
+    last_value(device IGNORE NULLS) OVER w AS device,
+    event_timestamp AS valid_from,
+    lead(event_timestamp) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS valid_to,
+    event_type AS change_type, event_id
+  FROM silver
+  WHERE event_type IN ('signup', 'upgrade', 'churn') AND user_id IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), scd_full AS (
+  SELECT user_id, plan, country, device, valid_from, valid_to, valid_to IS NULL AS is_current,
+    change_type, event_id FROM scd
+)"""
+register("users_scd2", with_silver("SELECT * FROM scd_full", SCD2_CTE))
+register("users_current", with_silver("SELECT * FROM scd_full WHERE is_current", SCD2_CTE))
+
+register("events_with_plan_asof", with_silver("""
+SELECT e.event_id, e.user_id, e.event_timestamp, e.event_type, u.plan AS plan_asof
+FROM silver e LEFT JOIN scd_full u
+  ON e.user_id = u.user_id AND e.event_timestamp >= u.valid_from
+ AND (u.valid_to IS NULL OR e.event_timestamp < u.valid_to)""", SCD2_CTE))
+
+register("feature_plan_breakdown", with_silver("""
+SELECT date, feature_name, plan, COUNT(*) AS cnt FROM ev
+WHERE event_type = 'feature_used' AND feature_name IS NOT NULL AND plan IS NOT NULL AND date IS NOT NULL
+GROUP BY date, feature_name, plan"""))
+
+register("session_country_breakdown", with_silver(
+    "SELECT date, top_countries FROM countries", SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL))

@@ -162,3 +162,15 @@ def broker_messages(events: DataFrame, topic: str = TOPIC, partitions: int = 3,
         F.col("event_timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+
+
+def redelivered(events: DataFrame, k_below: int = 10, offset_shift: int = 10**9,
+                delay: str = "1 hour", topic: str = TOPIC, partitions: int = 3) -> DataFrame:
+    """Broker rows with at-least-once redelivery: every event, plus a second
+    copy of events with ``k < k_below`` at a later offset and broker time."""
+    first = broker_messages(events, topic, partitions)
+    again_src = events.filter(F.regexp_extract("props", "[0-9]+", 0).cast("int") < k_below)
+    again = (broker_messages(again_src, topic, partitions)
+             .withColumn("offset", F.col("offset") + F.lit(offset_shift))
+             .withColumn("timestamp", F.col("timestamp") + F.expr(f"INTERVAL {delay}")))
+    return first.unionByName(again)
