@@ -1,38 +1,54 @@
-"""Point-in-time lookup: the plan a user was on at each event."""
+"""Point-in-time (as-of) lookups: the version of a keyed dimension in force
+at each event, e.g. the plan a user was on."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.scan import fill_within_key
 
-_NULL_PLAN = "\u0000"  # marks an interval whose plan is NULL, so it still resets the fill
+_NULL = "\u0000"  # a version whose value is NULL still replaces the previous one
 
 
-def plan_asof(events: DataFrame, users: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """event_id, user_id, event_timestamp, event_type, plan_asof.
-
-    Equivalent to the interval join ``ev.user_id = u.user_id AND ev.ts >=
-    u.valid_from AND (u.valid_to IS NULL OR ev.ts < u.valid_to)`` over
-    contiguous SCD2 intervals, computed as an as-of scan: interval starts and
-    events of a user are merged in time order and each event takes the latest
-    interval start at or before it.  No per-user group is materialised, so a
-    user with a huge event history does not become one task (the interval
-    join's sort-merge would compare all of that user's events and intervals
-    in one partition)."""
-    starts = users.select(
-        "user_id", F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
-        F.col("event_id").alias("_id"),
-        F.coalesce(F.col("plan"), F.lit(_NULL_PLAN)).alias("plan_asof"),
-        F.lit(None).cast("string").alias("event_type"))
+def asof_lookup(events: DataFrame, versions: DataFrame, cols: Sequence[str],
+                key: str = "user_id", event_time: str = "event_timestamp",
+                version_start: str = "valid_from", event_id: str = "event_id",
+                version_id: str = "event_id", num_partitions: int | None = None) -> DataFrame:
+    """All event columns plus string columns ``cols`` taken from the latest
+    version of the same ``key`` whose start is at or before the event time.
+
+    Equivalent to the interval join ``e.key = v.key AND e.t >= v.valid_from
+    AND (v.valid_to IS NULL OR e.t < v.valid_to)`` over contiguous versions,
+    computed as a merge-scan: version starts and events of a key are ordered
+    together (a start sorts before an event at the same instant) and each
+    event takes the last start seen.  No per-key group is materialised and no
+    pairs are compared, so a key with a huge history is spread over many
+    range partitions (the sort-merge interval join would compare all events
+    and versions of that key inside one task)."""
+    ecols = [c for c in events.columns if c != key]
+    etypes = {f.name: f.dataType for f in events.schema.fields}
+    starts = versions.select(
+        F.col(key), F.col(version_start).alias("_t"), F.lit(0).alias("_kind"),
+        F.col(version_id).cast("string").alias("_id"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)).alias(f"_v_{c}") for c in cols],
+        *[F.lit(None).cast(etypes[c]).alias(c) for c in ecols])
     evs = events.select(
-        "user_id", F.col("event_timestamp").alias("_t"), F.lit(1).alias("_kind"),
-        F.col("event_id").alias("_id"), F.lit(None).cast("string").alias("plan_asof"),
-        "event_type")
-    merged = fill_within_key(starts.unionByName(evs), "user_id", ["_t", "_kind", "_id"],
-                             ["plan_asof"], num_partitions=num_partitions)
-    plan = F.col("plan_asof")
-    return merged.filter(F.col("_kind") == 1).select(
-        F.col("_id").alias("event_id"), "user_id", F.col("_t").alias("event_timestamp"),
-        "event_type", F.when(plan != _NULL_PLAN, plan).alias("plan_asof"))
+        F.col(key), F.col(event_time).alias("_t"), F.lit(1).alias("_kind"),
+        F.col(event_id).cast("string").alias("_id"),
+        *[F.lit(None).cast("string").alias(f"_v_{c}") for c in cols],
+        *ecols)
+    merged = fill_within_key(starts.unionByName(evs), key, ["_t", "_kind", "_id"],
+                             [f"_v_{c}" for c in cols], num_partitions=num_partitions)
+    out = merged.filter(F.col("_kind") == 1)
+    vals = [F.when(F.col(f"_v_{c}") != _NULL, F.col(f"_v_{c}")).alias(c) for c in cols]
+    return out.select(key, *ecols, *vals).select(*events.columns, *cols)
+
+
+def plan_asof(events: DataFrame, users: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """event_id, user_id, event_timestamp, event_type, plan_asof."""
+    ev = events.select("event_id", "user_id", "event_timestamp", "event_type")
+    v = users.select("user_id", "valid_from", "event_id", F.col("plan").alias("plan_asof"))
+    return asof_lookup(ev, v, ["plan_asof"], num_partitions=num_partitions)

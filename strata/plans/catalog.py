@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators import asof, bronze, gold, silver
+from strata.operators import asof, bronze, checks, gold, kpi, merge, silver, star
 from strata.session import configure
 from strata.sources import fixture
 from strata.sources.fixture import saas_events
@@ -162,3 +162,222 @@ def q_feature_plan_breakdown(spark, sf_dir):
 @query("session_country_breakdown")
 def q_session_country_breakdown(spark, sf_dir):
     return gold.session_country_breakdown(silver.sessions_by_attributes(silver_events(spark, sf_dir)))
+
+
+def _gold(spark, sf_dir) -> dict[str, DataFrame]:
+    ev = silver_events(spark, sf_dir)
+    return gold.build_gold(ev, silver.sessions_by_attributes(ev))
+
+
+# ------------------------------------------------------------------ KPI trends
+@query("rolling_wau_mau")
+def q_rolling_wau_mau(spark, sf_dir):
+    return kpi.rolling_actives(silver_events(spark, sf_dir), (7, 30))
+
+
+@query("dau_growth")
+def q_dau_growth(spark, sf_dir):
+    return kpi.dau_growth(gold.daily_active_users(silver_events(spark, sf_dir)))
+
+
+@query("mrr_cumulative")
+def q_mrr_cumulative(spark, sf_dir):
+    return kpi.mrr_cumulative(gold.mrr_metrics(silver_events(spark, sf_dir)))
+
+
+@query("top_countries_by_date")
+def q_top_countries_by_date(spark, sf_dir):
+    return kpi.top_countries(silver.sessions_by_attributes(silver_events(spark, sf_dir)), 3)
+
+
+@query("mrr_trend_30d")
+def q_mrr_trend_30d(spark, sf_dir):
+    return kpi.mrr_trend(gold.mrr_metrics(silver_events(spark, sf_dir)), 30)
+
+
+@query("dau_mau_trend")
+def q_dau_mau_trend(spark, sf_dir):
+    return kpi.dau_mau_trend(gold.daily_active_users(silver_events(spark, sf_dir)), 30)
+
+
+@query("top_features")
+def q_top_features(spark, sf_dir):
+    return kpi.top_features(gold.feature_adoption(silver_events(spark, sf_dir)))
+
+
+@query("gold_preview")
+def q_gold_preview(spark, sf_dir):
+    """Newest 5 rows of each gold table, as (table_name, date, row JSON)."""
+    frames = []
+    for name, df in _gold(spark, sf_dir).items():
+        tie = ["feature_name"] if name == "feature_adoption" else []
+        top = kpi.preview(df, 5, tiebreak=tie)
+        frames.append(top.select(F.lit(name).alias("table_name"), "date",
+                                 F.to_json(F.struct(*[c for c in df.columns if c != "date"])).alias("row_json")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+# ------------------------------------------------------------------ health checks
+@query("check_row_counts")
+def q_check_row_counts(spark, sf_dir):
+    return checks.check_row_counts(_gold(spark, sf_dir))
+
+
+@query("check_duplicates")
+def q_check_duplicates(spark, sf_dir):
+    return checks.check_duplicates(_gold(spark, sf_dir), schemas.GOLD_KEYS)
+
+
+@query("check_latest_date")
+def q_check_latest_date(spark, sf_dir):
+    return checks.check_latest_date(_gold(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ warehouse load
+@query("conform_gold_dau")
+def q_conform_gold_dau(spark, sf_dir):
+    return merge.conform(gold.daily_active_users(silver_events(spark, sf_dir)), schemas.GOLD_DAU)
+
+
+# (table, changed column, change) for the merge fixture: target = days 1-20,
+# source = days 11-30 with day 15 changed; mrr target rows carry a plan value
+# that the partial-update MERGE must keep.
+MERGE_CHANGES = {
+    "daily_active_users": ("dau_count", lambda c: c + 1000),
+    "mrr_metrics": ("new_mrr", lambda c: c + 1000.0),
+    "funnel_metrics": ("signups", lambda c: c + 1000),
+    "feature_adoption": ("total_uses", lambda c: c + 1000),
+    "session_quality": ("bounce_rate", lambda c: c + 1.0),
+}
+
+
+def merge_fixture(table: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    schema = schemas.GOLD_SCHEMAS[name]
+    g = merge.conform(table, schema)
+    day = F.dayofmonth("date")
+    target = g.filter(day <= 20)
+    if name == "mrr_metrics":
+        target = target.withColumn("plan", F.lit("legacy")).withColumn("mrr_usd", F.lit(1.0))
+    col, fn = MERGE_CHANGES[name]
+    source = g.filter(day >= 11).withColumn(
+        col, F.when(day == 15, fn(F.col(col))).otherwise(F.col(col)).cast(schema[col].dataType))
+    return target, source
+
+
+def _merge_query(name):
+    def run(spark, sf_dir):
+        target, source = merge_fixture(_gold(spark, sf_dir)[name], name)
+        return merge.merge_upsert(target, source, schemas.GOLD_KEYS[name],
+                                  schemas.GOLD_UPDATE_COLUMNS[name])
+    return run
+
+
+for _name, _qid in [("daily_active_users", "merge_upsert_dau"), ("mrr_metrics", "merge_upsert_mrr"),
+                    ("funnel_metrics", "merge_upsert_funnel"),
+                    ("feature_adoption", "merge_upsert_feature"),
+                    ("session_quality", "merge_upsert_session")]:
+    QUERIES[_qid] = _merge_query(_name)
+
+
+@query("late_data_rerun")
+def q_late_data_rerun(spark, sf_dir):
+    """Gold built before late events arrived (k >= 90 held back), then only
+    the dates the late batch touches are recomputed and upserted."""
+    raw = read_table(spark, sf_dir, "events")
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    on_time = saas_events(raw.filter(k < 90))
+    late = saas_events(raw.filter(k >= 90))
+    everything = saas_events(raw)
+    before = merge.conform(gold.daily_active_users(on_time), schemas.GOLD_DAU)
+    return gold.rerun_touched_dates(everything, late, gold.daily_active_users, before,
+                                    ["date"], schemas.GOLD_UPDATE_COLUMNS["daily_active_users"],
+                                    schemas.GOLD_DAU)
+
+
+@query("plan_breakdown_extract")
+def q_plan_breakdown_extract(spark, sf_dir):
+    """JSON plan map -> VARIANT -> typed per-plan columns."""
+    fa = gold.feature_adoption(silver_events(spark, sf_dir))
+    v = F.parse_json("plan_breakdown")
+    return fa.select("date", "feature_name",
+                     *[F.variant_get(v, f"$.{p}", "bigint").alias(f"{p}_uses") for p in schemas.PLANS])
+
+
+# ------------------------------------------------------------------ star schema
+def _wide(spark, sf_dir):
+    configure(spark)
+    return saas_events(read_table(spark, sf_dir, "events"), with_campaign=True)
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return star.dim_date(silver_events(spark, sf_dir))
+
+
+@query("dim_users")
+def q_dim_users(spark, sf_dir):
+    return star.dim_users(silver.users_scd2(silver_events(spark, sf_dir)))
+
+
+@query("dim_features")
+def q_dim_features(spark, sf_dir):
+    return star.dim_features(silver_events(spark, sf_dir))
+
+
+@query("dim_campaigns")
+def q_dim_campaigns(spark, sf_dir):
+    return star.dim_campaigns(_wide(spark, sf_dir))
+
+
+@query("fact_events")
+def q_fact_events(spark, sf_dir):
+    ev = _wide(spark, sf_dir)
+    return star.fact_events(ev, silver.users_scd2(ev))
+
+
+@query("fact_sessions")
+def q_fact_sessions(spark, sf_dir):
+    return star.fact_sessions(silver.sessions(silver_events(spark, sf_dir)))
+
+
+@query("fact_mrr")
+def q_fact_mrr(spark, sf_dir):
+    return star.fact_mrr(silver_events(spark, sf_dir))
+
+
+@query("star_events_by_feature")
+def q_star_events_by_feature(spark, sf_dir):
+    ev = _wide(spark, sf_dir)
+    facts = star.fact_events(ev, silver.users_scd2(ev))
+    return star.events_by_feature_month(facts, star.dim_date(ev), star.dim_features(ev))
+
+
+@query("star_mrr_by_month")
+def q_star_mrr_by_month(spark, sf_dir):
+    ev = silver_events(spark, sf_dir)
+    return star.mrr_by_month(star.fact_mrr(ev), star.dim_date(ev))
+
+
+# ------------------------------------------------------------------ dashboards
+@query("dashboard_new_vs_returning")
+def q_dashboard_new_vs_returning(spark, sf_dir):
+    return kpi.new_vs_returning(gold.daily_active_users(silver_events(spark, sf_dir)))
+
+
+@query("dashboard_plan_tiers")
+def q_dashboard_plan_tiers(spark, sf_dir):
+    return kpi.plan_tiers(gold.feature_plan_breakdown(silver_events(spark, sf_dir)))
+
+
+@query("dashboard_device_split")
+def q_dashboard_device_split(spark, sf_dir):
+    ev = silver_events(spark, sf_dir)
+    return kpi.device_split(gold.session_quality(silver.sessions_by_attributes(ev)))
+
+
+@query("session_quality_per_session")
+def q_session_quality_per_session(spark, sf_dir):
+    return gold.session_quality(silver.sessions(silver_events(spark, sf_dir)))

@@ -298,3 +298,267 @@ GROUP BY date, feature_name, plan"""))
 
 register("session_country_breakdown", with_silver(
     "SELECT date, top_countries FROM countries", SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL))
+
+
+# ------------------------------------------------------------------ KPI trends
+register("rolling_wau_mau", with_silver("""
+SELECT c.date,
+  COUNT(DISTINCT CASE WHEN a.date = c.date THEN a.user_id END) AS dau_count,
+  COUNT(DISTINCT CASE WHEN a.date > c.date - 7 THEN a.user_id END) AS active_7d,
+  COUNT(DISTINCT a.user_id) AS active_30d
+FROM cal c LEFT JOIN act a ON a.date <= c.date AND a.date > c.date - 30
+GROUP BY c.date""", """
+act AS (SELECT DISTINCT user_id, date FROM ev WHERE user_id IS NOT NULL),
+cal AS (SELECT CAST(unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS date FROM act)"""))
+
+register("dau_growth", with_silver("""
+SELECT date, dau_count, prev_dau_count,
+  round(CAST(dau_count - prev_dau_count AS DOUBLE) * 100.0 / NULLIF(prev_dau_count, 0), 2) AS dau_growth_pct
+FROM (SELECT date, dau_count, lag(dau_count) OVER (ORDER BY date) AS prev_dau_count FROM dau) x""",
+    f"dau AS ({DAU_SQL})"))
+
+register("mrr_cumulative", with_silver("""
+SELECT date, net_mrr,
+  round(SUM(net_mrr) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_net_mrr
+FROM mrr""", f"mrr AS ({MRR_SQL})"))
+
+register("top_countries_by_date", with_silver("""
+SELECT date, country, sessions, rank FROM (
+  SELECT date, country, COUNT(*) AS sessions,
+    row_number() OVER (PARTITION BY date ORDER BY COUNT(*) DESC, country) AS rank
+  FROM swd WHERE country IS NOT NULL GROUP BY date, country) r
+WHERE rank <= 3""", SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL))
+
+register("mrr_trend_30d", with_silver("""
+SELECT date, total_mrr, net_mrr, new_mrr, churned_mrr FROM mrr ORDER BY date DESC LIMIT 30""",
+    f"mrr AS ({MRR_SQL})"))
+
+register("dau_mau_trend", with_silver("""
+SELECT date, dau_count, wau_count, mau_count,
+  round(CAST(dau_count AS DOUBLE) * 100.0 / NULLIF(mau_count, 0), 2) AS dau_mau_ratio
+FROM dau ORDER BY date DESC LIMIT 30""", f"dau AS ({DAU_SQL})"))
+
+register("top_features", with_silver("""
+SELECT feature_name, CAST(SUM(total_uses) AS BIGINT) AS total_uses,
+  CAST(SUM(unique_users) AS BIGINT) AS unique_users,
+  round(AVG(avg_duration_seconds), 2) AS avg_duration_secs
+FROM fa GROUP BY feature_name ORDER BY total_uses DESC""", f"fa AS ({FEATURE_SQL})"))
+
+GOLD_CTES = (f"dau AS ({DAU_SQL}),\nmrr AS ({MRR_SQL}),\nfunnel AS ({FUNNEL_SQL}),\n"
+             f"fa AS ({FEATURE_SQL}),\n" + SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL
+             + f",\nsq AS ({SESSION_QUALITY_SELECT})")
+GOLD_VIEWS = {"daily_active_users": "dau", "funnel_metrics": "funnel", "feature_adoption": "fa",
+              "mrr_metrics": "mrr", "session_quality": "sq"}
+GOLD_COLS = {
+    "daily_active_users": ["dau_count", "new_users", "returning_users", "wau_count", "mau_count"],
+    "funnel_metrics": ["total_page_views", "unique_visitors", "signups", "logins",
+                       "feature_activations", "upgrades", "churns", "visitor_to_signup_rate",
+                       "signup_to_activation_rate", "activation_to_upgrade_rate",
+                       "upgrade_to_churn_rate"],
+    "feature_adoption": ["feature_name", "unique_users", "total_uses", "avg_duration_seconds",
+                         "plan_breakdown"],
+    "mrr_metrics": ["new_mrr", "churned_mrr", "expansion_mrr", "net_mrr", "total_mrr",
+                    "pro_users", "enterprise_users"],
+    "session_quality": ["avg_session_duration_secs", "avg_pages_per_session", "bounce_rate",
+                        "mobile_pct", "desktop_pct", "tablet_pct", "top_countries"],
+}
+
+
+def _preview(name: str) -> str:
+    v = GOLD_VIEWS[name]
+    tie = ", feature_name" if name == "feature_adoption" else ""
+    fields = ", ".join(f"'{c}': {c}" for c in GOLD_COLS[name])
+    return (f"(SELECT '{name}' AS table_name, date, CAST(to_json({{{fields}}}) AS VARCHAR) AS row_json "
+            f"FROM {v} ORDER BY date DESC{tie} LIMIT 5)")
+
+
+register("gold_preview", with_silver("\nUNION ALL\n".join(_preview(n) for n in GOLD_VIEWS), GOLD_CTES))
+
+register("check_row_counts", with_silver("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {v}" for n, v in GOLD_VIEWS.items()),
+    GOLD_CTES))
+
+register("check_duplicates", with_silver("\nUNION ALL\n".join(
+    f"""SELECT '{n}' AS table_name, COUNT(*) AS total_rows, COUNT(DISTINCT {k}) AS unique_keys,
+  CASE WHEN COUNT(*) = COUNT(DISTINCT {k}) THEN '✅ No Duplicates' ELSE '❌ Duplicates Found' END AS status
+FROM {v}""" for n, v, k in [(n, v, "date || feature_name" if n == "feature_adoption" else "date")
+                           for n, v in GOLD_VIEWS.items()]), GOLD_CTES))
+
+register("check_latest_date", with_silver("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, MAX(date) AS latest_date FROM {v}" for n, v in GOLD_VIEWS.items()),
+    GOLD_CTES))
+
+# ------------------------------------------------------------------ warehouse load
+WAREHOUSE_TYPES = {  # warehouse column types of the five gold tables
+    "daily_active_users": [("date", "DATE")] + [(c, "INTEGER") for c in GOLD_COLS["daily_active_users"]],
+    "mrr_metrics": [("date", "DATE"), ("new_mrr", "DOUBLE"), ("churned_mrr", "DOUBLE"),
+                    ("expansion_mrr", "DOUBLE"), ("net_mrr", "DOUBLE"), ("total_mrr", "DOUBLE"),
+                    ("pro_users", "INTEGER"), ("enterprise_users", "INTEGER"), ("plan", "VARCHAR"),
+                    ("mrr_usd", "DOUBLE")],
+    "funnel_metrics": [("date", "DATE")] + [(c, "INTEGER") for c in GOLD_COLS["funnel_metrics"][:7]]
+                      + [(c, "DOUBLE") for c in GOLD_COLS["funnel_metrics"][7:]],
+    "feature_adoption": [("date", "DATE"), ("feature_name", "VARCHAR"), ("unique_users", "INTEGER"),
+                         ("total_uses", "INTEGER"), ("avg_duration_seconds", "DOUBLE"),
+                         ("plan_breakdown", "VARCHAR")],
+    "session_quality": [("date", "DATE")] + [(c, "DOUBLE") for c in GOLD_COLS["session_quality"][:6]]
+                       + [("top_countries", "VARCHAR")],
+}
+WAREHOUSE_KEYS = {"feature_adoption": ["date", "feature_name"]}
+MERGE_CHANGE_SQL = {
+    "daily_active_users": ("dau_count", "dau_count + 1000"),
+    "mrr_metrics": ("new_mrr", "new_mrr + 1000.0"),
+    "funnel_metrics": ("signups", "signups + 1000"),
+    "feature_adoption": ("total_uses", "total_uses + 1000"),
+    "session_quality": ("bounce_rate", "bounce_rate + 1.0"),
+}
+
+
+def _conformed(name: str) -> str:
+    v = GOLD_VIEWS[name]
+    have = set(GOLD_COLS[name]) | {"date"}
+    cols = ", ".join(f"CAST({c if c in have else 'NULL'} AS {t}) AS {c}" for c, t in WAREHOUSE_TYPES[name])
+    return f"SELECT {cols} FROM {v}"
+
+
+register("conform_gold_dau", with_silver(_conformed("daily_active_users"), GOLD_CTES))
+
+
+def _merge_sql(name: str) -> str:
+    keys = WAREHOUSE_KEYS.get(name, ["date"])
+    cols = [c for c, _ in WAREHOUSE_TYPES[name]]
+    types = dict(WAREHOUSE_TYPES[name])
+    ch_col, ch_expr = MERGE_CHANGE_SQL[name]
+    tgt_cols = ", ".join(
+        "'legacy' AS plan" if (name == "mrr_metrics" and c == "plan") else
+        "1.0::DOUBLE AS mrr_usd" if (name == "mrr_metrics" and c == "mrr_usd") else c
+        for c in cols)
+    src_cols = ", ".join(
+        f"CAST(CASE WHEN day(date) = 15 THEN {ch_expr} ELSE {c} END AS {types[c]}) AS {c}"
+        if c == ch_col else c for c in cols)
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    matched = f"s.{keys[0]} IS NOT NULL"
+    out = []
+    for c in cols:
+        if c in keys:
+            out.append(f"COALESCE(s.{c}, t.{c}) AS {c}")
+        elif name == "mrr_metrics" and c == "plan":   # insert-only column
+            out.append(f"CASE WHEN t.date IS NOT NULL THEN t.plan ELSE s.plan END AS plan")
+        else:
+            out.append(f"CASE WHEN {matched} THEN s.{c} ELSE t.{c} END AS {c}")
+    extra = (GOLD_CTES + f",\ng AS ({_conformed(name)}),\n"
+             f"tg AS (SELECT {tgt_cols} FROM g WHERE day(date) <= 20),\n"
+             f"sr AS (SELECT DISTINCT {src_cols} FROM g WHERE day(date) >= 11)")
+    return with_silver(f"SELECT {', '.join(out)} FROM tg t FULL OUTER JOIN sr s ON {on}", extra)
+
+
+for _n, _q in [("daily_active_users", "merge_upsert_dau"), ("mrr_metrics", "merge_upsert_mrr"),
+               ("funnel_metrics", "merge_upsert_funnel"), ("feature_adoption", "merge_upsert_feature"),
+               ("session_quality", "merge_upsert_session")]:
+    register(_q, _merge_sql(_n))
+
+register("late_data_rerun", with_silver(_conformed("daily_active_users"), GOLD_CTES))
+
+register("plan_breakdown_extract", with_silver("""
+SELECT date, feature_name,
+  CAST(SUM(CASE WHEN plan = 'free_trial' THEN 1 END) AS BIGINT) AS free_trial_uses,
+  CAST(SUM(CASE WHEN plan = 'pro' THEN 1 END) AS BIGINT) AS pro_uses,
+  CAST(SUM(CASE WHEN plan = 'enterprise' THEN 1 END) AS BIGINT) AS enterprise_uses
+FROM ev WHERE event_type = 'feature_used' AND feature_name IS NOT NULL AND date IS NOT NULL
+GROUP BY date, feature_name"""))
+
+# ------------------------------------------------------------------ star schema
+DIM_DATE_CTE = """
+cal_all AS (SELECT CAST(unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS d FROM ev),
+dim_date AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year,
+    quarter(d) AS quarter, month(d) AS month, weekofyear(d) AS iso_week,
+    dayofweek(d) + 1 AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend
+  FROM cal_all
+)"""
+register("dim_date", with_silver("SELECT * FROM dim_date", DIM_DATE_CTE))
+
+register("dim_users", with_silver("""
+SELECT user_id || ':' || event_id AS user_key, user_id, plan, country, device, valid_from, valid_to,
+  is_current, change_type FROM scd_full""", SCD2_CTE))
+
+DIM_FEATURES_CTE = """
+dim_features AS (
+  SELECT feature_name, MIN(event_timestamp) AS first_seen, MAX(event_timestamp) AS last_seen,
+    COUNT(*) AS total_uses
+  FROM silver WHERE event_type = 'feature_used' AND feature_name IS NOT NULL GROUP BY feature_name
+)"""
+register("dim_features", with_silver("SELECT * FROM dim_features", DIM_FEATURES_CTE))
+
+register("dim_campaigns", with_silver("""
+SELECT concat_ws('|', COALESCE(utm_source, ''), COALESCE(utm_medium, ''), COALESCE(utm_campaign, '')) AS campaign_key,
+  utm_source, utm_medium, utm_campaign, MIN(event_timestamp) AS first_seen, COUNT(*) AS events
+FROM silver WHERE COALESCE(utm_source, utm_medium, utm_campaign) IS NOT NULL
+GROUP BY utm_source, utm_medium, utm_campaign"""))
+
+FACT_EVENTS_CTE = SCD2_CTE + """,
+fact_events AS (
+  SELECT e.event_id, CAST(strftime(e.date, '%Y%m%d') AS INTEGER) AS date_key, e.event_timestamp,
+    e.event_type, e.user_id, e.anonymous_id, e.session_id, e.feature_name,
+    CASE WHEN COALESCE(e.utm_source, e.utm_medium, e.utm_campaign) IS NOT NULL THEN
+      concat_ws('|', COALESCE(e.utm_source, ''), COALESCE(e.utm_medium, ''), COALESCE(e.utm_campaign, '')) END AS campaign_key,
+    e.duration_seconds, e.mrr_usd, e.mrr_lost_usd,
+    u.user_id || ':' || u.event_id AS user_key
+  FROM ev e LEFT JOIN scd_full u
+    ON e.user_id = u.user_id AND e.event_timestamp >= u.valid_from
+   AND (u.valid_to IS NULL OR e.event_timestamp < u.valid_to)
+)"""
+register("fact_events", with_silver("SELECT * FROM fact_events", FACT_EVENTS_CTE))
+
+register("fact_sessions", with_silver("""
+SELECT session_id, CAST(strftime(session_date, '%Y%m%d') AS INTEGER) AS date_key, user_id, anonymous_id,
+  device, country, session_start, session_duration_secs, page_count, page_view_count, is_bounce
+FROM sess_full""", SESSIONS_CTE))
+
+FACT_MRR_CTE = """
+fact_mrr AS (
+  SELECT event_id, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, user_id,
+    event_type AS movement_type,
+    CASE WHEN event_type = 'upgrade' THEN to_plan ELSE plan END AS plan,
+    CASE WHEN event_type = 'upgrade' THEN mrr_usd ELSE -mrr_lost_usd END AS mrr_delta
+  FROM ev WHERE event_type IN ('upgrade', 'churn')
+)"""
+register("fact_mrr", with_silver("SELECT * FROM fact_mrr", FACT_MRR_CTE))
+
+register("star_events_by_feature", with_silver("""
+SELECT d.year, d.month, f.feature_name, COUNT(*) AS uses, COUNT(DISTINCT f.user_id) AS users,
+  MIN(df.first_seen) AS first_seen
+FROM fact_events f JOIN dim_date d ON f.date_key = d.date_key
+JOIN dim_features df ON f.feature_name = df.feature_name
+WHERE f.feature_name IS NOT NULL
+GROUP BY d.year, d.month, f.feature_name""", FACT_EVENTS_CTE + "," + DIM_DATE_CTE + "," + DIM_FEATURES_CTE))
+
+register("star_mrr_by_month", with_silver("""
+SELECT d.year, d.month,
+  COUNT(CASE WHEN movement_type = 'upgrade' THEN 1 END) AS upgrades,
+  COUNT(CASE WHEN movement_type <> 'upgrade' THEN 1 END) AS churns,
+  round(SUM(CASE WHEN movement_type = 'upgrade' THEN mrr_delta ELSE 0.0 END), 2) AS gross_new_mrr,
+  round(-SUM(CASE WHEN movement_type <> 'upgrade' THEN mrr_delta ELSE 0.0 END), 2) AS churned_mrr,
+  round(SUM(mrr_delta), 2) AS net_mrr_movement
+FROM fact_mrr m JOIN dim_date d ON m.date_key = d.date_key
+GROUP BY d.year, d.month""", FACT_MRR_CTE + "," + DIM_DATE_CTE))
+
+# ------------------------------------------------------------------ dashboards
+register("dashboard_new_vs_returning", with_silver("""
+SELECT date, dau_count, new_users, returning_users,
+  round(CAST(new_users AS DOUBLE) * 100.0 / NULLIF(dau_count, 0), 2) AS new_user_pct
+FROM dau""", f"dau AS ({DAU_SQL})"))
+
+register("dashboard_plan_tiers", with_silver("""
+SELECT date, plan, CAST(SUM(cnt) AS BIGINT) AS uses, COUNT(DISTINCT feature_name) AS features_used
+FROM (SELECT date, feature_name, plan, COUNT(*) AS cnt FROM ev
+      WHERE event_type = 'feature_used' AND feature_name IS NOT NULL AND plan IS NOT NULL AND date IS NOT NULL
+      GROUP BY date, feature_name, plan) b
+GROUP BY date, plan"""))
+
+register("dashboard_device_split", with_silver("""
+SELECT date, 'mobile' AS device, mobile_pct AS session_pct FROM q
+UNION ALL SELECT date, 'desktop', desktop_pct FROM q
+UNION ALL SELECT date, 'tablet', tablet_pct FROM q""", SESSIONS_ATTR_CTE + SESSION_QUALITY_SQL))
+
+register("session_quality_per_session", with_silver(
+    SESSION_QUALITY_SELECT, SESSIONS_CTE + SESSION_QUALITY_SQL.replace("sess_attr_full", "sess_full")))

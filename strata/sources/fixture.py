@@ -97,11 +97,15 @@ def mapped(events: DataFrame) -> DataFrame:
     )
 
 
-def saas_events(events: DataFrame) -> DataFrame:
+CAMPAIGN_COLUMNS = ("utm_source", "utm_medium", "utm_campaign")
+
+
+def saas_events(events: DataFrame, with_campaign: bool = False) -> DataFrame:
     """Silver-shaped events: the documented wide projection; ``processed_at``
-    is the event time (replay)."""
+    is the event time (replay).  ``with_campaign`` adds the UTM columns
+    (campaign dimension input)."""
     m = mapped(events).withColumn("processed_at", F.col("event_timestamp"))
-    return m.select(*schemas.SILVER_EVENT_COLUMNS)
+    return m.select(*schemas.SILVER_EVENT_COLUMNS, *(CAMPAIGN_COLUMNS if with_campaign else ()))
 
 
 def raw_event_struct(m: Column | None = None) -> Column:
