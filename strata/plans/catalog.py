@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators import asof, bronze, checks, gold, kpi, merge, silver, star
-from strata.session import configure
+from strata import sinks
+from strata.session import configure, work_dir
+from strata.sources.tables import read_event_stream, read_stage, stage_files
+from strata.streaming.jobs import (
+    SilverPaths,
+    read_events,
+    read_plan_events,
+    read_sessions,
+    run_to_completion,
+    start_silver,
+    stream_health,
+)
 from strata.sources import fixture
 from strata.sources.fixture import saas_events
 from strata.sources.tables import read_table
@@ -381,3 +392,106 @@ def q_dashboard_device_split(spark, sf_dir):
 @query("session_quality_per_session")
 def q_session_quality_per_session(spark, sf_dir):
     return gold.session_quality(silver.sessions(silver_events(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ sinks / stage round trips
+@query("gold_overwrite_roundtrip")
+def q_gold_overwrite_roundtrip(spark, sf_dir):
+    """Overwrite replaces data and schema: a stale, wider snapshot is
+    replaced by the current DAU table."""
+    path = work_dir(spark, "gold_overwrite") + "/daily_active_users"
+    dau = gold.daily_active_users(silver_events(spark, sf_dir))
+    sinks.write_snapshot(dau.withColumn("stale_col", F.lit(1)).filter(F.dayofmonth("date") < 5), path)
+    sinks.write_snapshot(dau, path)
+    return spark.read.parquet(path)
+
+
+def _export(spark, sf_dir, name):
+    base = work_dir(spark, name)
+    sinks.export_tables(_gold(spark, sf_dir), base)
+    return base
+
+
+@query("gold_export_roundtrip")
+def q_gold_export_roundtrip(spark, sf_dir):
+    base = _export(spark, sf_dir, "gold_export")
+    return spark.read.parquet(f"{base}/feature_adoption/")
+
+
+@query("stage_typed_scan")
+def q_stage_typed_scan(spark, sf_dir):
+    """Typed warehouse scan of the exported mrr table: INT counts, and the
+    warehouse-only ``plan`` / ``mrr_usd`` columns as typed NULLs."""
+    base = _export(spark, sf_dir, "gold_stage")
+    return read_stage(spark, f"{base}/mrr_metrics/", schemas.GOLD_MRR, "*.parquet")
+
+
+@query("stage_files")
+def q_stage_files(spark, sf_dir):
+    base = _export(spark, sf_dir, "gold_stage_list")
+    return stage_files(spark, {n: f"{base}/{n}/" for n in schemas.GOLD_SCHEMAS})
+
+
+@query("schema_evolution_union")
+def q_schema_evolution_union(spark, sf_dir):
+    """Additive evolution on write: early files lack ``duration_seconds``,
+    later ones carry it; a merged-schema read returns both."""
+    path = work_dir(spark, "evolution") + "/events"
+    ev = silver_events(spark, sf_dir)
+    early = ev.filter(F.dayofmonth("processing_date") <= 15).drop("duration_seconds")
+    late = ev.filter(F.dayofmonth("processing_date") > 15)
+    early.write.mode("append").parquet(path)
+    late.write.mode("append").parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path).select(*schemas.SILVER_EVENT_COLUMNS)
+
+
+# ------------------------------------------------------------------ streaming
+def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state"):
+    root = work_dir(spark, name)
+    msgs = fixture.broker_messages(read_table(spark, sf_dir, "events"))
+    paths = SilverPaths(f"{root}/silver")
+    queries = []
+    for first, last in runs:
+        fixture.write_message_files(msgs, f"{root}/messages", groups=4,
+                                    first_group=first, last_group=last)
+        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"},
+                                   path=f"{root}/messages/*")
+        b = bronze.to_bronze(stream, ingested_at=F.col("timestamp"))
+        qs = start_silver(b, paths, trigger="availableNow", dedup=dedup)
+        run_to_completion(qs)
+        queries.extend(qs)
+    return paths, queries
+
+
+@query("stream_silver_events")
+def q_stream_silver_events(spark, sf_dir):
+    paths, _ = _stream_silver(spark, sf_dir, "stream_silver")
+    return read_events(spark, paths)
+
+
+@query("stream_sessions")
+def q_stream_sessions(spark, sf_dir):
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions")
+    return read_sessions(spark, paths)
+
+
+@query("stream_users_scd2")
+def q_stream_users_scd2(spark, sf_dir):
+    paths, _ = _stream_silver(spark, sf_dir, "stream_users")
+    return silver.users_scd2(read_plan_events(spark, paths)).drop("updated_at")
+
+
+@query("stream_restart_exactly_once")
+def q_stream_restart_exactly_once(spark, sf_dir):
+    """First run sees half of the message files; after more files arrive the
+    same queries restart from their checkpoints: every event exactly once."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_restart", runs=((0, 1), (2, 3)))
+    return read_events(spark, paths)
+
+
+@query("stream_health")
+def q_stream_health(spark, sf_dir):
+    _, queries = _stream_silver(spark, sf_dir, "stream_health")
+    rows = stream_health(queries)
+    return spark.createDataFrame(rows, "query_id string, is_active boolean, message string, "
+                                      "last_batch_id long, last_input_rows long, total_input_rows long")

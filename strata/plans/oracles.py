@@ -562,3 +562,16 @@ UNION ALL SELECT date, 'tablet', tablet_pct FROM q""", SESSIONS_ATTR_CTE + SESSI
 
 register("session_quality_per_session", with_silver(
     SESSION_QUALITY_SELECT, SESSIONS_CTE + SESSION_QUALITY_SQL.replace("sess_attr_full", "sess_full")))
+
+
+# ------------------------------------------------------------------ sinks / stage / streaming
+register("gold_overwrite_roundtrip", with_silver("SELECT * FROM dau", GOLD_CTES))
+register("gold_export_roundtrip", with_silver("SELECT * FROM fa", GOLD_CTES))
+register("stage_typed_scan", with_silver(_conformed("mrr_metrics"), GOLD_CTES))
+register("schema_evolution_union", with_silver(f"""
+SELECT {SILVER_COLS.replace('duration_seconds,', 'CASE WHEN day(processing_date) <= 15 THEN NULL ELSE duration_seconds END AS duration_seconds,')}
+FROM silver"""))
+register("stream_silver_events", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("stream_restart_exactly_once", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("stream_sessions", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
+register("stream_users_scd2", with_silver("SELECT * FROM scd_full", SCD2_CTE))
