@@ -15,6 +15,10 @@ the scan in three steps:
    partition;
 3. the carry-in is broadcast-joined back to fill the open rows.
 
+The scanned partitions are checkpointed (lineage cut in the shared
+``spark.checkpoint.dir``) between 1 and 2, so steps 2 and 3 read exactly the
+partitioning step 1 produced; the operator is therefore eager.
+
 Typical uses: forward-fill the last known attribute (``inclusive=True``),
 "next row's value" (``inclusive=False, descending=True``) for SCD2
 ``valid_to``, and as-of lookups by filling over a union of two event kinds.
@@ -28,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import checkpoint_root
+
 _UNSET = object()
 
 
@@ -116,6 +122,12 @@ def fill_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequenc
         + [T.StructField("_pid", T.IntegerType()), T.StructField("_tail", T.BooleanType()),
            T.StructField("_fk", key_type)])
     scanned = ranged.mapInPandas(_local_scan(key, cols, inclusive, df.columns), schema)
+    # Materialise once (reliable checkpoint in the shared checkpoint folder):
+    # the tails and the rows must come from the *same* range partitioning.
+    # Two recomputations of a sampled range shuffle may draw different
+    # bounds, and the carry-in is addressed by partition id.
+    checkpoint_root(spark)
+    scanned = scanned.checkpoint(eager=True)
 
     tails = scanned.filter(F.col("_tail")).select(
         "_pid", "_fk", F.col(key).alias("_lk"), *[F.col(c).alias(f"_t_{c}") for c in cols])
