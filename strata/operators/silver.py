@@ -37,9 +37,11 @@ def flatten_events(decoded: DataFrame) -> DataFrame:
 
 
 def dedup_events(events: DataFrame, key: str | Sequence[str] = "event_id",
-                 order_by: Sequence[str] = ("processed_at",)) -> DataFrame:
-    """Keep one row per key: the first by ``order_by`` (ties broken by the
-    remaining columns' struct order, so the survivor is deterministic).
+                 order_by: Sequence[str] = ("processed_at",), tiebreak: bool = True) -> DataFrame:
+    """Keep one row per key: the first by ``order_by``; with ``tiebreak``
+    remaining ties are broken by the other columns' struct order, so the
+    survivor is deterministic (pass ``tiebreak=False`` when ``order_by`` is
+    already unique, e.g. ends with the message partition and offset).
 
     Expressed as ``min_by(struct(row), struct(order))`` per key, a
     declarative aggregate with map-side partial aggregation: a key with a huge
@@ -47,8 +49,8 @@ def dedup_events(events: DataFrame, key: str | Sequence[str] = "event_id",
     instead of landing whole in one reducer (as ``row_number`` would)."""
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in events.columns if c not in keys]
-    tiebreak = [c for c in others if c not in order_by]
-    order = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in tiebreak])
+    rest = [c for c in others if c not in order_by] if tiebreak else []
+    order = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
     row = F.struct(*[F.col(c) for c in others])
     return (events.groupBy(*keys).agg(F.min_by(row, order).alias("_r"))
             .select(*keys, "_r.*").select(*events.columns))

@@ -104,8 +104,10 @@ def q_contract_valid_events(spark, sf_dir):
 def q_silver_events(spark, sf_dir):
     """Full path: messages -> bronze -> decode -> contract -> flatten -> dedup."""
     valid, _ = bronze.split_contract(bronze.decode_payload(_bronze(spark, sf_dir)))
-    flat = silver.flatten_events(valid).select(*schemas.SILVER_EVENT_COLUMNS)
-    return silver.dedup_events(flat)
+    flat = silver.flatten_events(valid)
+    first = silver.dedup_events(flat, order_by=("processed_at", "kafka_partition", "kafka_offset"),
+                                tiebreak=False)
+    return first.select(*schemas.SILVER_EVENT_COLUMNS)
 
 
 @query("silver_events_dedup")
@@ -114,8 +116,10 @@ def q_silver_events_dedup(spark, sf_dir):
     msgs = fixture.redelivered(read_table(spark, sf_dir, "events"))
     b = bronze.to_bronze(msgs, ingested_at=F.col("timestamp"))
     valid, _ = bronze.split_contract(bronze.decode_payload(b))
-    flat = silver.flatten_events(valid).drop("kafka_partition")
-    return silver.dedup_events(flat, order_by=("processed_at", "kafka_offset"))
+    flat = silver.flatten_events(valid)
+    first = silver.dedup_events(flat, order_by=("processed_at", "kafka_partition", "kafka_offset"),
+                                tiebreak=False)
+    return first.drop("kafka_partition")
 
 
 @query("silver_time_bounds")
