@@ -1,4 +1,5 @@
-"""Skew-safe ordered scan within a key ("last non-null value so far").
+"""Skew-safe ordered scan within a key: forward fill ("last non-null value
+so far") and lead ("next row's value") in one pass.
 
 A per-key ``Window`` puts every row of a key into one task; if one key holds
 a third of the data, that task holds a third of the data.  This operator
@@ -6,27 +7,30 @@ instead range-partitions on (key, order) -- the range bounds are sampled on
 the full sort key, so a hot key is spread over many partitions -- and runs
 the scan in three steps:
 
-1. each partition is scanned locally in Arrow batches (``mapInPandas``);
-   rows of the partition's first key run that found no value yet are
-   flagged ``open``, and each partition emits one *tail* row (its last key,
-   first key and last non-null values);
-2. the tails (one row per partition, so bounded by the partition count, not
-   by the data) are combined with small windows into a carry-in per
+1. each partition is scanned locally in Arrow batches (``mapInPandas``,
+   constant memory: state between batches is one row).  Rows of the
+   partition's first key run that found no value yet are flagged open for
+   the forward fill, the partition's last row is flagged open for the lead,
+   and each partition emits one summary row (first key and first row's lead
+   sources, last key and last non-null fill values);
+2. the summaries (one row per partition, so bounded by the partition count,
+   not by the data) are combined with small windows into a carry-in per
    partition;
-3. the carry-in is broadcast-joined back to fill the open rows.
+3. the carry-in is broadcast-joined back to resolve the open rows.
 
 The scanned partitions are checkpointed (lineage cut in the shared
 ``spark.checkpoint.dir``) between 1 and 2, so steps 2 and 3 read exactly the
-partitioning step 1 produced; the operator is therefore eager.
+partitioning step 1 produced (two recomputations of a sampled range shuffle
+may draw different bounds, and the carry-in is addressed by partition id);
+the operator is therefore eager.
 
-Typical uses: forward-fill the last known attribute (``inclusive=True``),
-"next row's value" (``inclusive=False, descending=True``) for SCD2
-``valid_to``, and as-of lookups by filling over a union of two event kinds.
+Uses: forward-fill the last known attribute, SCD2 ``valid_to`` as the next
+version's start, and as-of lookups by filling over a union of two event kinds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,35 +41,49 @@ from strata.session import checkpoint_root
 _UNSET = object()
 
 
-def _local_scan(key: str, cols: Sequence[str], inclusive: bool, all_cols: Sequence[str]):
+def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[str, str],
+                all_cols: Sequence[str]):
+    lead_src = sorted(set(lead.values()))
+
     def run(batches):
         import pandas as pd
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         first_key = _UNSET
+        first_lead = {}
         cur_key = _UNSET
-        cur_vals = {c: None for c in cols}
+        cur_vals = {c: None for c in fill}
         in_first_run = True
+        pending = None  # previous batch, held back until its last row's lead is known
+
+        def finish(prev: pd.DataFrame, nxt_key, nxt_vals, known: bool) -> pd.DataFrame:
+            last = prev.index[-1]
+            same = known and prev.at[last, key] == nxt_key
+            for out_col, src in lead.items():
+                prev.at[last, out_col] = nxt_vals[src] if same else None
+            prev.at[last, "_open_lead"] = not known
+            return prev
+
         for pdf in batches:
             if pdf.empty:
                 continue
+            pdf = pdf.reset_index(drop=True)
             keys = pdf[key]
             first_batch = first_key is _UNSET
             if first_batch:
                 first_key = keys.iloc[0]
-            prev = keys.shift(1)
-            boundary = keys.ne(prev)
+                first_lead = {c: pdf[c].iloc[0] for c in lead_src}
+            boundary = keys.ne(keys.shift(1))
             continues = (not first_batch) and keys.iloc[0] == cur_key
             boundary.iloc[0] = not continues
             if not first_batch and not continues:
                 in_first_run = False
             run_id = boundary.cumsum()
-            first_run_mask = (run_id == run_id.iloc[0]) if in_first_run else pd.Series(False, index=pdf.index)
+            first_run = (run_id == run_id.iloc[0]) if in_first_run else pd.Series(False, index=pdf.index)
             out = pdf.copy()
-            for c in cols:
-                v = pdf[c]
-                incl = v.groupby(run_id, sort=False).ffill()
+            for c in fill:
+                incl = pdf[c].groupby(run_id, sort=False).ffill()
                 if continues and cur_vals[c] is not None:
                     lead_run = run_id == run_id.iloc[0]
                     incl = incl.where(~(lead_run & incl.isna()), cur_vals[c])
@@ -76,78 +94,120 @@ def _local_scan(key: str, cols: Sequence[str], inclusive: bool, all_cols: Sequen
                     if continues:
                         res.iloc[0] = cur_vals[c]
                 out[c] = res
-                out[f"_open_{c}"] = first_run_mask & res.isna()
+                out[f"_open_{c}"] = first_run & res.isna()
                 cur_vals[c] = None if pd.isna(incl.iloc[-1]) else incl.iloc[-1]
+            if lead:
+                same_next = keys.eq(keys.shift(-1))
+                for out_col, src in lead.items():
+                    out[out_col] = pdf[src].shift(-1).where(same_next, None)
+                out["_open_lead"] = False
+                for c in lead_src:
+                    out[f"_h_{c}"] = None
             if in_first_run and boundary.iloc[1:].any():
                 in_first_run = False
             cur_key = keys.iloc[-1]
             out["_pid"] = pid
-            out["_tail"] = False
+            out["_summary"] = False
             out["_fk"] = None
-            yield out
+            if lead:
+                if pending is not None:
+                    yield finish(pending, keys.iloc[0], {c: pdf[c].iloc[0] for c in lead_src}, True)
+                pending = out
+            else:
+                yield out
+        if pending is not None:
+            yield finish(pending, None, {}, False)
         if first_key is not _UNSET:
-            tail = {c: [None] for c in all_cols}
-            tail.update({f"_open_{c}": [False] for c in cols})
-            tail.update({c: [cur_vals[c]] for c in cols})
-            tail[key] = [cur_key]
-            tail["_fk"] = [first_key]
-            tail["_pid"] = [pid]
-            tail["_tail"] = [True]
-            yield pd.DataFrame(tail)
+            summary = {c: [None] for c in all_cols}
+            summary.update({f"_open_{c}": [False] for c in fill})
+            summary.update({c: [cur_vals[c]] for c in fill})
+            summary.update({f"_h_{c}": [first_lead[c]] for c in lead_src})
+            if lead:
+                summary["_open_lead"] = [False]
+            summary[key] = [cur_key]
+            summary["_fk"] = [first_key]
+            summary["_pid"] = [pid]
+            summary["_summary"] = [True]
+            yield pd.DataFrame(summary)
     return run
 
 
-def fill_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
+def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
+                    fill: Sequence[str] = (), lead: Mapping[str, str] | None = None,
                     inclusive: bool = True, descending: bool = False,
                     num_partitions: int | None = None) -> DataFrame:
-    """For each row, replace each of ``cols`` by the last non-null value of
-    that column among rows with the same ``key`` up to this row in ``order``
-    (``inclusive=False``: strictly before it).  ``descending=True`` scans in
-    reverse order, so ``inclusive=False`` yields the *next* row's value.
+    """Ordered scan within ``key``.
+
+    * ``fill``: replace each column by the last non-null value among rows of
+      the same key up to this row in ``order`` (``inclusive=False``:
+      strictly before it);
+    * ``lead``: ``{out: src}`` adds ``out`` = the next row's ``src`` within
+      the key (NULL for the key's last row).
 
-    ``order`` must be a total order within a key (append a unique id).  Rows
-    with a NULL key are returned unchanged."""
+    ``order`` must be a total order within a key (append a unique id);
+    ``descending`` scans in reverse order.  Rows with a NULL key are
+    returned unchanged (lead columns NULL)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(cols)
-    nulls = df.filter(F.col(key).isNull())
-    body = df.filter(F.col(key).isNotNull())
+    fill, lead = list(fill), dict(lead or {})
+    types = {f.name: f.dataType for f in df.schema.fields}
+    lead_src = sorted(set(lead.values()))
+    base = df
+    for out_col, src in lead.items():
+        base = base.withColumn(out_col, F.lit(None).cast(types[src]))
+    nulls = base.filter(F.col(key).isNull())
+    body = base.filter(F.col(key).isNotNull())
     ocols = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
     ranged = (body.repartitionByRange(n, F.col(key).asc(), *ocols)
                   .sortWithinPartitions(F.col(key).asc(), *ocols))
-    key_type = df.schema[key].dataType
     schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-        + [T.StructField(f"_open_{c}", T.BooleanType()) for c in cols]
-        + [T.StructField("_pid", T.IntegerType()), T.StructField("_tail", T.BooleanType()),
-           T.StructField("_fk", key_type)])
-    scanned = ranged.mapInPandas(_local_scan(key, cols, inclusive, df.columns), schema)
-    # Materialise once (reliable checkpoint in the shared checkpoint folder):
-    # the tails and the rows must come from the *same* range partitioning.
-    # Two recomputations of a sampled range shuffle may draw different
-    # bounds, and the carry-in is addressed by partition id.
+        [T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
+        + [T.StructField(f"_open_{c}", T.BooleanType()) for c in fill]
+        + ([T.StructField("_open_lead", T.BooleanType())] if lead else [])
+        + [T.StructField(f"_h_{c}", types[c]) for c in lead_src]
+        + [T.StructField("_pid", T.IntegerType()), T.StructField("_summary", T.BooleanType()),
+           T.StructField("_fk", types[key])])
+    scanned = ranged.mapInPandas(_local_scan(key, fill, inclusive, lead, base.columns), schema)
     checkpoint_root(spark)
     scanned = scanned.checkpoint(eager=True)
 
-    tails = scanned.filter(F.col("_tail")).select(
-        "_pid", "_fk", F.col(key).alias("_lk"), *[F.col(c).alias(f"_t_{c}") for c in cols])
+    summary = scanned.filter(F.col("_summary")).select(
+        "_pid", "_fk", F.col(key).alias("_lk"),
+        *[F.col(c).alias(f"_t_{c}") for c in fill], *[F.col(f"_h_{c}") for c in lead_src])
     # Bounded by the number of partitions: single-partition windows are fine here.
     w_key = Window.partitionBy("_lk").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     w_seq = Window.orderBy("_pid")
-    pref = tails.select("_pid", "_fk", "_lk",
-                        *[F.last(f"_t_{c}", ignorenulls=True).over(w_key).alias(f"_p_{c}") for c in cols])
+    pref = summary.select(
+        "_pid", "_fk", "_lk", *[F.col(f"_h_{c}") for c in lead_src],
+        *[F.last(f"_t_{c}", ignorenulls=True).over(w_key).alias(f"_p_{c}") for c in fill])
     carry = pref.select(
         "_pid",
         F.coalesce(F.lag("_lk").over(w_seq) == F.col("_fk"), F.lit(False)).alias("_m"),
-        *[F.lag(f"_p_{c}").over(w_seq).alias(f"_l_{c}") for c in cols])
-    carry = carry.select("_pid", *[F.when(F.col("_m"), F.col(f"_l_{c}")).alias(f"_c_{c}") for c in cols])
+        *[F.lag(f"_p_{c}").over(w_seq).alias(f"_l_{c}") for c in fill],
+        F.coalesce(F.lead("_fk").over(w_seq) == F.col("_lk"), F.lit(False)).alias("_mn"),
+        *[F.lead(f"_h_{c}").over(w_seq).alias(f"_n_{c}") for c in lead_src])
+    carry = carry.select(
+        "_pid",
+        *[F.when(F.col("_m"), F.col(f"_l_{c}")).alias(f"_c_{c}") for c in fill],
+        *[F.when(F.col("_mn"), F.col(f"_n_{c}")).alias(f"_cn_{c}") for c in lead_src])
 
-    rows = scanned.filter(~F.col("_tail"))
+    rows = scanned.filter(~F.col("_summary"))
     filled = rows.join(F.broadcast(carry), "_pid", "left")
-    out_cols = [
-        (F.coalesce(F.col(c), F.when(F.col(f"_open_{c}"), F.col(f"_c_{c}"))).alias(c)
-         if c in cols else F.col(c))
-        for c in df.columns
-    ]
-    result = filled.select(*out_cols)
-    return result.unionByName(nulls)
+    out_cols = []
+    for c in base.columns:
+        if c in fill:
+            out_cols.append(F.coalesce(F.col(c), F.when(F.col(f"_open_{c}"), F.col(f"_c_{c}"))).alias(c))
+        elif c in lead:
+            out_cols.append(F.when(F.col("_open_lead"), F.col(f"_cn_{lead[c]}"))
+                             .otherwise(F.col(c)).alias(c))
+        else:
+            out_cols.append(F.col(c))
+    return filled.select(*out_cols).unionByName(nulls)
+
+
+def fill_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
+                    inclusive: bool = True, descending: bool = False,
+                    num_partitions: int | None = None) -> DataFrame:
+    """Forward fill only (see :func:`scan_within_key`)."""
+    return scan_within_key(df, key, order, fill=cols, inclusive=inclusive,
+                           descending=descending, num_partitions=num_partitions)

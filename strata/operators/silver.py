@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions.columns import to_event_time
-from strata.operators.scan import fill_within_key
+from strata.operators.scan import scan_within_key
 
 _PROP_COLUMNS = (
     "page", "referrer", "feature_name", "device", "country", "city", "plan",
@@ -145,7 +145,8 @@ def users_scd2(events: DataFrame, updated_at: Column | None = None,
     event type, so churned intervals can be told apart.
 
     "Next row within user" is computed by the skew-safe ordered scan
-    (:func:`strata.operators.scan.fill_within_key`), not a per-user window:
+    (:func:`strata.operators.scan.scan_within_key`, one pass for
+    both the forward fill and the lead), not a per-user window:
     a user with a huge history is spread over many range partitions."""
     now = updated_at if updated_at is not None else F.current_timestamp()
     pe = plan_events(events).filter(F.col("user_id").isNotNull()).select(
@@ -156,11 +157,8 @@ def users_scd2(events: DataFrame, updated_at: Column | None = None,
         F.col("event_type").alias("change_type"),
         "event_id",
     )
-    order = ["valid_from", "event_id"]
-    fwd = fill_within_key(pe, "user_id", order, ["country", "device"],
-                          num_partitions=num_partitions)
-    nxt = fill_within_key(fwd.withColumn("valid_to", F.col("valid_from")), "user_id",
-                          order, ["valid_to"], inclusive=False, descending=True,
+    nxt = scan_within_key(pe, "user_id", ["valid_from", "event_id"],
+                          fill=["country", "device"], lead={"valid_to": "valid_from"},
                           num_partitions=num_partitions)
     return nxt.select(
         "user_id", "plan", "country", "device", "valid_from", "valid_to",

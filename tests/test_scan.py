@@ -49,3 +49,23 @@ def test_null_keys_pass_through(spark):
     nulls = out.filter(F.col("key").isNull()).select("id", "val").collect()
     base = {r.id: r.val for r in df.filter(F.col("key").isNull()).collect()}
     assert {r.id: r.val for r in nulls} == base
+
+
+def test_lead_matches_window(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        from strata.operators.scan import scan_within_key
+        df = _frame(spark)
+        got = scan_within_key(df, "key", ["ts", "id"], fill=["val"],
+                              lead={"next_ts": "ts", "next_id": "id"}, num_partitions=11)
+        got = {r.id: (r.val, r.next_ts, r.next_id) for r in got.collect()}
+        pdf = df.toPandas().sort_values(["key", "ts", "id"])
+        g = pdf.groupby("key", sort=False)
+        fill = g["val"].ffill()
+        nts, nid = g["ts"].shift(-1), g["id"].shift(-1)
+        want = {i: (None if pd.isna(v) else v, None if pd.isna(t) else t.to_pydatetime(),
+                    None if pd.isna(n) else int(n))
+                for i, v, t, n in zip(pdf["id"], fill, nts, nid)}
+        assert got == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
