@@ -18,14 +18,24 @@ from strata.operators.merge import merge_upsert
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                    compression: str = "snappy") -> str:
-    """Overwrite ``path`` with ``df`` (schema replaced)."""
-    w = df.write.mode("overwrite").option("compression", compression)
+    """Overwrite ``path`` with ``df`` (schema replaced, all partitions)."""
+    w = (df.write.mode("overwrite").option("compression", compression)
+         .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                         compression: str = "snappy") -> str:
+    """Replace only the partitions present in ``df`` (dynamic overwrite),
+    e.g. the dates recomputed after late data."""
+    (df.write.mode("overwrite").option("compression", compression)
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return path
+
+
 def export_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
     """Plain Parquet export, one fixed folder per table (overwritten each run)."""
     return {name: write_snapshot(df, f"{base.rstrip('/')}/{name}/") for name, df in tables.items()}

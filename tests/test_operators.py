@@ -95,3 +95,16 @@ def test_dedup_keeps_earliest_copy(events):
     out = silver.dedup_events(later.unionByName(e))
     assert out.count() == e.count()
     assert out.filter(F.col("event_type") == "copy").count() == 0
+
+
+def test_dynamic_partition_overwrite_keeps_other_dates(spark, events):
+    path = work_dir(spark, "dyn") + "/dau"
+    dau = gold.daily_active_users(events)
+    sinks.write_snapshot(dau, path, ["date"])
+    changed = dau.filter(F.dayofmonth("date") == 3).withColumn("dau_count", F.lit(-1).cast("long"))
+    sinks.overwrite_partitions(changed, path, ["date"])
+    back = spark.read.parquet(path)
+    assert back.count() == dau.count()
+    assert back.filter(F.col("dau_count") == -1).count() == 1
+    sinks.write_snapshot(changed, path, ["date"])          # static: full replace
+    assert spark.read.parquet(path).count() == 1
