@@ -18,6 +18,7 @@ from strata.session import configure, work_dir
 from strata.sources.tables import read_event_stream, read_stage, stage_files
 from strata.streaming.jobs import (
     SilverPaths,
+    read_dlq,
     read_events,
     read_plan_events,
     read_sessions,
@@ -450,9 +451,10 @@ def q_schema_evolution_union(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state"):
+def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=None):
     root = work_dir(spark, name)
-    msgs = fixture.broker_messages(read_table(spark, sf_dir, "events"))
+    raw = read_table(spark, sf_dir, "events")
+    msgs = messages(raw) if messages else fixture.broker_messages(raw)
     paths = SilverPaths(f"{root}/silver")
     queries = []
     for first, last in runs:
@@ -499,3 +501,20 @@ def q_stream_health(spark, sf_dir):
     rows = stream_health(queries)
     return spark.createDataFrame(rows, "query_id string, is_active boolean, message string, "
                                       "last_batch_id long, last_input_rows long, total_input_rows long")
+
+
+@query("stream_dedup_redelivery")
+def q_stream_dedup_redelivery(spark, sf_dir):
+    """At-least-once delivery: re-sent copies arrive in later files and
+    micro-batches; the streaming dedup state drops them."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_redelivery",
+                              messages=lambda raw: fixture.redelivered(raw))
+    return read_events(spark, paths)
+
+
+@query("stream_dlq_events")
+def q_stream_dlq_events(spark, sf_dir):
+    """Contract violations routed to the dead-letter sink by the stream."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_dlq",
+                              messages=lambda raw: fixture.broker_messages(raw, corrupt=True))
+    return read_dlq(spark, paths)

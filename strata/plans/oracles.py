@@ -575,3 +575,6 @@ register("stream_silver_events", with_silver(f"SELECT {SILVER_COLS} FROM silver"
 register("stream_restart_exactly_once", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
 register("stream_sessions", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
 register("stream_users_scd2", with_silver("SELECT * FROM scd_full", SCD2_CTE))
+
+register("stream_dedup_redelivery", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("stream_dlq_events", ORACLES["dlq_events"])
