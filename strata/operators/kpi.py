@@ -21,35 +21,43 @@ def calendar(events: DataFrame, date_col: str = "date") -> DataFrame:
 
 def rolling_actives(events: DataFrame, days: Sequence[int] = (7, 30)) -> DataFrame:
     """date, dau_count, active_<N>d for each N: exact distinct users active in
-    the trailing N days (date - N + 1 .. date), for every calendar date.
-
-    No day explosion and no range join: per user, the distinct active dates
-    d1 < d2 < ... each cover [d_i, min(d_i + N, d_(i+1))); those pieces are
-    disjoint, so +1 at the start and -1 at the end, summed per date and
-    accumulated over dates, count each user once.  Work is O(user-days); the
-    per-user window holds at most one row per calendar day (a fixed bound),
-    and the final running sum runs over one row per date."""
+    the trailing N days (date - N + 1 .. date), for every calendar date from
+    the first to the last active date.
+
+    No day explosion per user and no range join: per user, the distinct
+    active dates d1 < d2 < ... each cover [d_i, min(d_i + N, d_(i+1))); those
+    pieces are disjoint, so a +1 at the start and a -1 at the end, summed per
+    date and accumulated over dates, count each user once (N = 1 is the DAU).
+    Work is O(user-days) in one linear plan: the per-user window holds at most
+    one row per calendar day (a fixed bound), and the running sums run over one
+    row per date; days without any delta are filled by exploding each date's
+    span up to the next one."""
+    spans_n = sorted({1, *days})
     ev = with_event_date(events).filter(F.col("user_id").isNotNull())
     active = ev.groupBy("user_id", "date").agg(F.lit(1).alias("_a")).drop("_a")
     nxt = F.lead("date").over(Window.partitionBy("user_id").orderBy("date"))
     spans = active.withColumn("_next", nxt)
-    pieces = []
-    for n in days:
+    recs = []
+    for n in spans_n:
         end = F.least(F.date_add("date", n), F.coalesce("_next", F.date_add("date", n)))
-        pieces.append(spans.select(F.col("date").alias("d"), F.lit(n).alias("n"), F.lit(1).alias("delta")))
-        pieces.append(spans.select(end.alias("d"), F.lit(n).alias("n"), F.lit(-1).alias("delta")))
-    deltas = pieces[0]
-    for p in pieces[1:]:
-        deltas = deltas.unionByName(p)
-    per_day = deltas.groupBy("d").pivot("n", list(days)).agg(F.sum("delta"))
-    cal = calendar(ev)
-    dau = active.groupBy("date").agg(F.count(F.lit(1)).alias("dau_count"))
-    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    joined = cal.join(per_day.withColumnRenamed("d", "date"), "date", "left").join(dau, "date", "left")
-    return joined.select(
-        "date", F.coalesce("dau_count", F.lit(0)).alias("dau_count"),
-        *[F.sum(F.coalesce(F.col(str(n)), F.lit(0))).over(w).cast("long").alias(f"active_{n}d")
-          for n in days])
+        recs.append(F.struct(F.col("date").alias("d"), F.lit(n).alias("n"), F.lit(1).alias("delta")))
+        recs.append(F.struct(end.alias("d"), F.lit(n).alias("n"), F.lit(-1).alias("delta")))
+    deltas = spans.select(F.inline(F.array(*recs)))
+    per_day = deltas.groupBy("d").agg(
+        *[F.sum(F.when(F.col("n") == n, F.col("delta")).otherwise(0)).alias(f"_s{n}") for n in spans_n],
+        F.max(F.col("delta") > 0).alias("_start"))
+    w = Window.orderBy("d")   # one row per date
+    run = per_day.select(
+        "d", *[F.sum(f"_s{n}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_a{n}")
+               for n in spans_n],
+        F.lead("d").over(w).alias("_nd"),
+        F.max(F.when(F.col("_start"), F.col("d"))).over(Window.partitionBy()).alias("_last"))
+    upto = F.least(F.coalesce(F.date_sub("_nd", 1), F.col("d")), F.col("_last"))
+    out = run.filter(F.col("d") <= F.col("_last")).select(
+        F.explode(F.sequence("d", upto)).alias("date"),
+        *[F.col(f"_a{n}").cast("long").alias(f"_a{n}") for n in spans_n])
+    return out.select("date", F.col("_a1").alias("dau_count"),
+                      *[F.col(f"_a{n}").alias(f"active_{n}d") for n in days])
 
 
 def dau_growth(dau: DataFrame) -> DataFrame:
