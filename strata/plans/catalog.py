@@ -35,8 +35,15 @@ QUERIES: dict[str, QueryFn] = {}
 
 
 def query(name: str):
+    """Register ``fn`` under ``name``; the registered callable first applies
+    the engine's required session settings (the caller may bring its own
+    session)."""
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -295,7 +302,7 @@ for _name, _qid in [("daily_active_users", "merge_upsert_dau"), ("mrr_metrics",
                     ("funnel_metrics", "merge_upsert_funnel"),
                     ("feature_adoption", "merge_upsert_feature"),
                     ("session_quality", "merge_upsert_session")]:
-    QUERIES[_qid] = _merge_query(_name)
+    query(_qid)(_merge_query(_name))
 
 
 @query("late_data_rerun")

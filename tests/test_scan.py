@@ -69,3 +69,13 @@ def test_lead_matches_window(spark):
         assert got == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """Range partitioning on (key, time) splits a key holding a third of the
+    rows over several partitions (a per-key window would use one task)."""
+    df = _frame(spark)
+    n = 12
+    ranged = df.repartitionByRange(n, "key", "ts", "id").withColumn("pid", F.spark_partition_id())
+    hot_parts = ranged.filter(F.col("key") == "hot").select("pid").distinct().count()
+    assert hot_parts >= n // 4
