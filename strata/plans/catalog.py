@@ -15,7 +15,7 @@ from strata import schemas
 from strata.operators import asof, bronze, checks, gold, kpi, merge, silver, star
 from strata import sinks
 from strata.session import configure, work_dir
-from strata.sources.tables import read_event_stream, read_stage, stage_files
+from strata.sources.tables import read_event_stream, read_stage, read_table_stream, stage_files
 from strata.streaming.jobs import (
     SilverPaths,
     read_dlq,
@@ -23,6 +23,7 @@ from strata.streaming.jobs import (
     read_plan_events,
     read_sessions,
     run_to_completion,
+    start_bronze,
     start_silver,
     stream_health,
 )
@@ -458,7 +459,8 @@ def q_schema_evolution_union(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=None):
+def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=None,
+                   sessions_mode="update", via_bronze_table=False):
     root = work_dir(spark, name)
     raw = read_table(spark, sf_dir, "events")
     msgs = messages(raw) if messages else fixture.broker_messages(raw)
@@ -469,8 +471,17 @@ def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=
                                     first_group=first, last_group=last)
         stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"},
                                    path=f"{root}/messages/*")
-        b = bronze.to_bronze(stream, ingested_at=F.col("timestamp"))
-        qs = start_silver(b, paths, trigger="availableNow", dedup=dedup)
+        if via_bronze_table:
+            # message stream -> bronze table (append, date-partitioned) ->
+            # table stream -> silver
+            qb = start_bronze(stream, paths.bronze, paths.checkpoint("bronze"), "availableNow",
+                              ingested_at=F.col("timestamp"))
+            run_to_completion([qb])
+            queries.append(qb)
+            b = read_table_stream(spark, paths.bronze, schemas.BRONZE, max_files_per_trigger=8)
+        else:
+            b = bronze.to_bronze(stream, ingested_at=F.col("timestamp"))
+        qs = start_silver(b, paths, trigger="availableNow", dedup=dedup, sessions_mode=sessions_mode)
         run_to_completion(qs)
         queries.extend(qs)
     return paths, queries
@@ -525,3 +536,26 @@ def q_stream_dlq_events(spark, sf_dir):
     paths, _ = _stream_silver(spark, sf_dir, "stream_dlq",
                               messages=lambda raw: fixture.broker_messages(raw, corrupt=True))
     return read_dlq(spark, paths)
+
+
+@query("stream_bronze_to_silver")
+def q_stream_bronze_to_silver(spark, sf_dir):
+    """Bronze append stream into a date-partitioned table, then silver
+    streaming from that table (the medallion hop)."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_medallion", via_bronze_table=True)
+    return read_events(spark, paths)
+
+
+@query("stream_sessions_complete")
+def q_stream_sessions_complete(spark, sf_dir):
+    """Sessions in complete output mode: each batch rewrites the snapshot."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions_complete", sessions_mode="complete")
+    return spark.read.parquet(paths.sessions_snapshot)
+
+
+@query("stream_dedup_watermark")
+def q_stream_dedup_watermark(spark, sf_dir):
+    """Bounded-state dedup (dropDuplicatesWithinWatermark) under redelivery."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_dedup_wm", dedup="watermark",
+                              messages=lambda raw: fixture.redelivered(raw))
+    return read_events(spark, paths)

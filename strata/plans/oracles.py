@@ -578,3 +578,6 @@ register("stream_users_scd2", with_silver("SELECT * FROM scd_full", SCD2_CTE))
 
 register("stream_dedup_redelivery", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
 register("stream_dlq_events", ORACLES["dlq_events"])
+register("stream_bronze_to_silver", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("stream_sessions_complete", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
+register("stream_dedup_watermark", with_silver(f"SELECT {SILVER_COLS} FROM silver"))

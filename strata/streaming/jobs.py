@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import schemas
 from strata.operators import bronze as B
 from strata.operators import silver as S
-from strata.sinks import write_batch
+from strata.sinks import write_batch, write_snapshot
 
 SESSION_KEYS = ["session_id", "user_id", "anonymous_id", "device", "country"]
 
@@ -46,6 +46,14 @@ class SilverPaths:
     def sessions(self) -> str:
         return f"{self.root}/sessions"
 
+    @property
+    def sessions_snapshot(self) -> str:
+        return f"{self.root}/sessions_snapshot"
+
+    @property
+    def bronze(self) -> str:
+        return f"{self.root}/bronze"
+
     @property
     def dlq(self) -> str:
         return f"{self.root}/dlq"
@@ -88,17 +96,24 @@ def silver_stream(bronze_stream: DataFrame, dedup: str = "state",
     return events, dead
 
 
-def session_partials(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Stateful session aggregate (code grain) for update-mode output."""
-    ev = events.withWatermark("event_timestamp", watermark)
+def session_partials(events: DataFrame, watermark: str | None = "1 hour") -> DataFrame:
+    """Stateful session aggregate (code grain).  ``watermark=None`` when the
+    input already carries one (a stream may define its watermark once)."""
+    ev = events.withWatermark("event_timestamp", watermark) if watermark else events
     return S.sessions_by_attributes(ev)
 
 
 def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | None = "30 seconds",
-                 dedup: str = "state", watermark: str = "1 hour") -> list[StreamingQuery]:
+                 dedup: str = "state", watermark: str = "1 hour",
+                 sessions_mode: str = "update") -> list[StreamingQuery]:
     """Start the silver queries: events + plan-event log (one ``foreachBatch``
-    fan-out over a single dedup state), sessions (stateful, update mode) and
-    the dead-letter append."""
+    fan-out over a single dedup state), sessions (stateful) and the
+    dead-letter append.
+
+    ``sessions_mode="update"`` writes only the sessions a batch changed
+    (``batch_id=N`` folders, latest row per key on read);
+    ``"complete"`` rewrites a full snapshot every batch (the file sink has no
+    complete mode, so ``foreachBatch`` overwrites ``sessions_snapshot``)."""
     events, dead = silver_stream(bronze_stream, dedup, watermark)
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
@@ -113,10 +128,14 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
                         .option("checkpointLocation", paths.checkpoint("events")), trigger).start()
 
     def sessions_out(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, paths.sessions, batch_id)
+        if sessions_mode == "complete":
+            write_snapshot(batch, paths.sessions_snapshot)
+        else:
+            write_batch(batch, paths.sessions, batch_id)
 
     sess_events, _ = silver_stream(bronze_stream, dedup, watermark)
-    q_sessions = _trigger(session_partials(sess_events, watermark).writeStream.outputMode("update")
+    sess = session_partials(sess_events, None if dedup == "watermark" else watermark)
+    q_sessions = _trigger(sess.writeStream.outputMode(sessions_mode)
                           .foreachBatch(sessions_out)
                           .option("checkpointLocation", paths.checkpoint("sessions")), trigger).start()
 
