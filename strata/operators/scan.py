@@ -132,6 +132,24 @@ def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[st
     return run
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for the scan's range shuffle: the session's shuffle
+    partitions, raised so that each partition holds about ``target_bytes``
+    of the input by Catalyst's size estimate (no job is run).  A range
+    shuffle with an explicit count is not coalesced by AQE, so the count has
+    to follow the data."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the session default
+        return base
+    return max(base, min(-(-size // target_bytes), 1_000_000))
+
+
 def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
                     fill: Sequence[str] = (), lead: Mapping[str, str] | None = None,
                     inclusive: bool = True, descending: bool = False,
@@ -148,7 +166,7 @@ def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
     ``descending`` scans in reverse order.  Rows with a NULL key are
     returned unchanged (lead columns NULL)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     fill, lead = list(fill), dict(lead or {})
     types = {f.name: f.dataType for f in df.schema.fields}
     lead_src = sorted(set(lead.values()))
