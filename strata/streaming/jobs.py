@@ -8,7 +8,8 @@ Layout of the silver outputs (all Parquet):
 * ``sessions/batch_id=<N>/`` -- session rows updated by that batch (stateful
   aggregation in update mode); the current sessions table is the latest
   row per key across batches (:func:`read_sessions`);
-* ``dlq/`` -- contract violations with the error text.
+* ``dlq/batch_id=<N>/`` -- contract violations with the error text (written
+  by the same fan-out, so a message is decoded once for both outputs).
 
 Each query has its own checkpoint; restarting from it resumes after the last
 committed batch.
@@ -87,13 +88,30 @@ def silver_stream(bronze_stream: DataFrame, dedup: str = "state",
     tagged = B.decode_payload(bronze_stream).withColumn("error", B.contract_error())
     dead = B.dead_letters(tagged.filter(F.col("error").isNotNull()))
     events = S.flatten_events(tagged.filter(F.col("error").isNull())).select(*schemas.SILVER_EVENT_COLUMNS)
+    return _dedup(events, "event_id", "event_timestamp", dedup, watermark), dead
+
+
+def _dedup(df: DataFrame, key: str, time_col: str, dedup: str, watermark: str) -> DataFrame:
     if dedup == "state":
-        events = events.dropDuplicates(["event_id"])
-    elif dedup == "watermark":
-        events = events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
-    else:
-        raise ValueError(dedup)
-    return events, dead
+        return df.dropDuplicates([key])
+    if dedup == "watermark":
+        return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
+    raise ValueError(dedup)
+
+
+def tagged_stream(bronze_stream: DataFrame, dedup: str = "state", watermark: str = "1 hour") -> DataFrame:
+    """Decoded, contract-tagged and deduplicated stream carrying valid and
+    rejected rows together, so one query decodes once for both outputs.
+    Valid rows are deduplicated by event id; rejected rows are keyed by their
+    message coordinates (every rejected message is kept)."""
+    tagged = B.decode_payload(bronze_stream).withColumn("error", B.contract_error())
+    valid = F.col("error").isNull()
+    key = F.when(valid, F.col("data.event_id")).otherwise(
+        F.concat_ws(":", "kafka_topic", F.col("kafka_partition").cast("string"),
+                    F.col("kafka_offset").cast("string")))
+    t = F.when(valid, F.try_to_timestamp(F.col("data.timestamp"))).otherwise(F.col("ingested_at"))
+    tagged = tagged.withColumn("_dk", key).withColumn("_wt", t)
+    return _dedup(tagged, "_dk", "_wt", dedup, watermark)
 
 
 def session_partials(events: DataFrame, watermark: str | None = "1 hour") -> DataFrame:
@@ -106,25 +124,28 @@ def session_partials(events: DataFrame, watermark: str | None = "1 hour") -> Dat
 def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | None = "30 seconds",
                  dedup: str = "state", watermark: str = "1 hour",
                  sessions_mode: str = "update") -> list[StreamingQuery]:
-    """Start the silver queries: events + plan-event log (one ``foreachBatch``
-    fan-out over a single dedup state), sessions (stateful) and the
-    dead-letter append.
+    """Start the silver queries: (1) one ``foreachBatch`` fan-out over a
+    single decode and dedup state writing silver events, the plan-event log
+    and dead letters; (2) sessions (stateful aggregation).
 
     ``sessions_mode="update"`` writes only the sessions a batch changed
     (``batch_id=N`` folders, latest row per key on read);
     ``"complete"`` rewrites a full snapshot every batch (the file sink has no
     complete mode, so ``foreachBatch`` overwrites ``sessions_snapshot``)."""
-    events, dead = silver_stream(bronze_stream, dedup, watermark)
+    tagged = tagged_stream(bronze_stream, dedup, watermark)
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_batch(batch, paths.events, batch_id, ["processing_date"])
-            write_batch(S.plan_events(batch), paths.plan_events, batch_id)
+            ok = F.col("error").isNull()
+            events = S.flatten_events(batch.filter(ok)).select(*schemas.SILVER_EVENT_COLUMNS)
+            write_batch(events, paths.events, batch_id, ["processing_date"])
+            write_batch(S.plan_events(events), paths.plan_events, batch_id)
+            write_batch(B.dead_letters(batch.filter(~ok)), paths.dlq, batch_id)
         finally:
             batch.unpersist()
 
-    q_events = _trigger(events.writeStream.foreachBatch(fan_out)
+    q_events = _trigger(tagged.writeStream.foreachBatch(fan_out)
                         .option("checkpointLocation", paths.checkpoint("events")), trigger).start()
 
     def sessions_out(batch: DataFrame, batch_id: int) -> None:
@@ -139,9 +160,7 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
                           .foreachBatch(sessions_out)
                           .option("checkpointLocation", paths.checkpoint("sessions")), trigger).start()
 
-    q_dlq = _trigger(dead.writeStream.format("parquet").outputMode("append")
-                     .option("checkpointLocation", paths.checkpoint("dlq")), trigger).start(paths.dlq)
-    return [q_events, q_sessions, q_dlq]
+    return [q_events, q_sessions]
 
 
 def _read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -169,7 +188,7 @@ def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
 
 
 def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return spark.read.parquet(paths.dlq)
+    return _read_batches(spark, paths.dlq)
 
 
 def run_to_completion(queries: list[StreamingQuery], timeout_s: float = 600) -> None:
