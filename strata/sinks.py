@@ -16,10 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.merge import merge_upsert
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned
+    write (few files per partition value instead of one per task and value).
+    ``REBALANCE`` lets AQE split a hot value (a date holding a third of the
+    data) into several advisory-size tasks and merge small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                    compression: str = "snappy") -> str:
     """Overwrite ``path`` with ``df`` (schema replaced, all partitions)."""
-    w = (df.write.mode("overwrite").option("compression", compression)
+    w = (_rebalanced(df, partition_by).write.mode("overwrite").option("compression", compression)
          .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -31,7 +39,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                          compression: str = "snappy") -> str:
     """Replace only the partitions present in ``df`` (dynamic overwrite),
     e.g. the dates recomputed after late data."""
-    (df.write.mode("overwrite").option("compression", compression)
+    (_rebalanced(df, partition_by).write.mode("overwrite").option("compression", compression)
        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return path
 

@@ -17,6 +17,17 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(path)
 
 
+def read_silver_events(spark: SparkSession, path: str,
+                       dates: tuple[str, str] | None = None) -> DataFrame:
+    """Silver events table (partitioned by ``processing_date``); a date range
+    becomes a partition filter, so only those folders are listed and read."""
+    df = spark.read.parquet(path)
+    if dates:
+        df = df.filter(F.col("processing_date").between(F.lit(dates[0]).cast("date"),
+                                                        F.lit(dates[1]).cast("date")))
+    return df.select(*schemas.SILVER_EVENT_COLUMNS)
+
+
 def read_event_stream(spark: SparkSession, fmt: str = "kafka",
                       options: Mapping[str, str] | None = None,
                       schema: T.StructType | None = None,

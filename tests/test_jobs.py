@@ -45,3 +45,14 @@ def test_replay_matches_direct_silver(spark):
     flat = silver.flatten_events(valid).select(*schemas.SILVER_EVENT_COLUMNS)
     direct = silver_events(spark, SF_SMALL)
     assert flat.exceptAll(direct).count() == 0 and direct.exceptAll(flat).count() == 0
+
+
+def test_gold_reads_prune_date_partitions(spark):
+    from strata.sources.tables import read_silver_events
+    root = work_dir(spark, "prune")
+    sinks.write_snapshot(silver_events(spark, SF_SMALL), f"{root}/events", ["processing_date"])
+    ev = read_silver_events(spark, f"{root}/events", ("2024-01-05", "2024-01-06"))
+    plan = ev._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(processing_date" in plan
+    dau = gold.daily_active_users(ev).collect()
+    assert sorted(r.date.day for r in dau) == [5, 6]
