@@ -1,5 +1,6 @@
 from strata.streaming.jobs import (  # noqa: F401
     SilverPaths,
+    compact_sessions,
     read_dlq,
     read_events,
     read_plan_events,

@@ -47,6 +47,10 @@ class SilverPaths:
     def sessions(self) -> str:
         return f"{self.root}/sessions"
 
+    @property
+    def sessions_compacted(self) -> str:
+        return f"{self.root}/sessions_compacted"
+
     @property
     def sessions_snapshot(self) -> str:
         return f"{self.root}/sessions_snapshot"
@@ -176,17 +180,54 @@ def read_plan_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
     return _read_batches(spark, paths.plan_events)
 
 
-def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    """Current sessions: per key, the row from the latest batch that updated
-    it (a declarative ``max_by`` aggregate; partial aggregation keeps hot keys
-    cheap)."""
-    df = spark.read.parquet(paths.sessions)
+def _latest_per_key(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c not in SESSION_KEYS and c != "batch_id"]
     latest = df.groupBy(*[F.col(k) for k in SESSION_KEYS]).agg(
         F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
     return latest.select(*SESSION_KEYS, "_r.*")
 
 
+def _session_batches(spark: SparkSession, paths: SilverPaths, after: int = -1) -> DataFrame:
+    df = spark.read.parquet(paths.sessions)
+    return df.filter(F.col("batch_id") > after) if after >= 0 else df
+
+
+def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    """Current sessions: per key, the row from the latest batch that updated
+    it (a declarative ``max_by`` aggregate; partial aggregation keeps hot keys
+    cheap).  With a compacted base (:func:`compact_sessions`) only the batch
+    folders after it are merged on read (partition pruning on ``batch_id``)."""
+    from strata.sinks import list_versions
+    versions = list_versions(spark, paths.sessions_compacted)
+    if not versions:
+        return _latest_per_key(_session_batches(spark, paths))
+    upto = versions[-1]
+    base = spark.read.parquet(f"{paths.sessions_compacted}/v={upto}").withColumn("batch_id", F.lit(upto))
+    recent = _session_batches(spark, paths, after=upto)
+    merged = base.unionByName(recent.select(*base.columns))
+    return _latest_per_key(merged)
+
+
+def compact_sessions(spark: SparkSession, paths: SilverPaths) -> int | None:
+    """Fold the per-batch session updates into a compacted snapshot named
+    after the last batch it includes (``v=<batch_id>``), so reads merge only
+    newer batches.  Idempotent; safe while the stream appends (it reads
+    committed batch folders up to the chosen id only)."""
+    from strata.sinks import list_versions, write_snapshot
+    batches = spark.read.parquet(paths.sessions)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    versions = list_versions(spark, paths.sessions_compacted)
+    prev = versions[-1] if versions else -1
+    if last is None or last <= prev:
+        return prev if prev >= 0 else None
+    parts = batches.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= last))
+    if prev >= 0:
+        base = spark.read.parquet(f"{paths.sessions_compacted}/v={prev}").withColumn("batch_id", F.lit(prev))
+        parts = base.unionByName(parts.select(*base.columns))
+    write_snapshot(_latest_per_key(parts), f"{paths.sessions_compacted}/v={last}")
+    return last
+
+
 def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
     return _read_batches(spark, paths.dlq)
 

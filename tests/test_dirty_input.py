@@ -66,3 +66,32 @@ def test_late_file_beyond_watermark(spark):
     assert set(on_time) <= set(stream) <= set(full)
     for key, n in stream.items():
         assert on_time.get(key, 0) <= n <= full[key]
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def test_session_compaction_keeps_the_current_view(spark):
+    from strata.streaming import compact_sessions
+    root = work_dir(spark, "compact")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    msgs = fixture.broker_messages(raw)
+    paths = SilverPaths(f"{root}/silver")
+
+    def run(first, last):
+        fixture.write_message_files(msgs, f"{root}/messages", groups=4, first_group=first, last_group=last)
+        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*")
+        run_to_completion(start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow"))
+
+    run(0, 1)
+    before = _rows(read_sessions(spark, paths))
+    v1 = compact_sessions(spark, paths)
+    assert v1 is not None and compact_sessions(spark, paths) == v1      # idempotent
+    assert _rows(read_sessions(spark, paths)) == before
+    run(2, 3)
+    full = _rows(read_sessions(spark, paths))
+    assert compact_sessions(spark, paths) > v1
+    assert _rows(read_sessions(spark, paths)) == full
+    want = _rows(silver.sessions_by_attributes(silver_events(spark, SF_SMALL)))
+    assert full == want
