@@ -70,7 +70,9 @@ def dau_growth(dau: DataFrame) -> DataFrame:
 
 
 def mrr_cumulative(mrr: DataFrame) -> DataFrame:
-    """date, net_mrr, cumulative_net_mrr (running sum over dates)."""
+    """date, net_mrr, cumulative_net_mrr (running sum over dates).  The
+    input is a gold table (one row per date), so the unpartitioned window
+    holds the calendar span, not the data."""
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return mrr.select("date", "net_mrr", F.round(F.sum("net_mrr").over(w), 2).alias("cumulative_net_mrr"))
 
