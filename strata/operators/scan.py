@@ -7,8 +7,10 @@ instead range-partitions on (key, order) -- the range bounds are sampled on
 the full sort key, so a hot key is spread over many partitions -- and runs
 the scan in three steps:
 
-1. each partition is scanned locally in Arrow batches (``mapInPandas``,
-   constant memory: state between batches is one row).  Rows of the
+1. each partition is scanned locally in Arrow record batches
+   (``mapInArrow``; only the key / fill / lead columns are converted to
+   pandas, the rest pass through as Arrow arrays; constant memory: state
+   between batches is one batch).  Rows of the
    partition's first key run that found no value yet are flagged open for
    the forward fill, the partition's last row is flagged open for the lead,
    and each partition emits one summary row (first key and first row's lead
@@ -42,11 +44,16 @@ _UNSET = object()
 
 
 def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[str, str],
-                all_cols: Sequence[str]):
+                out_names: Sequence[str]):
+    """Per-partition scan over Arrow record batches.  Only the key, fill and
+    lead-source columns are converted to pandas; every other column is passed
+    through as the original Arrow array."""
     lead_src = sorted(set(lead.values()))
+    need = list(dict.fromkeys([key, *fill, *lead_src]))
 
     def run(batches):
         import pandas as pd
+        import pyarrow as pa
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
@@ -55,25 +62,56 @@ def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[st
         cur_key = _UNSET
         cur_vals = {c: None for c in fill}
         in_first_run = True
-        pending = None  # previous batch, held back until its last row's lead is known
-
-        def finish(prev: pd.DataFrame, nxt_key, nxt_vals, known: bool) -> pd.DataFrame:
-            last = prev.index[-1]
-            same = known and prev.at[last, key] == nxt_key
+        pending = None       # (batch, computed columns): held until its last lead is known
+        out_schema = None
+
+        def series(pdf, c):
+            s = pdf[c]
+            return s if str(s.dtype).startswith("datetime64") else s.astype(object)
+
+        def to_arrow(v, n, atype):
+            if isinstance(v, pd.Series):
+                v = v.astype(object).where(v.notna(), None) if not str(v.dtype).startswith("datetime64") else v
+                return pa.array(v, type=atype, from_pandas=True)
+            return pa.array([v] * n, type=atype, from_pandas=True)
+
+        def emit(rb, comp):
+            n = rb.num_rows
+            cols = [to_arrow(comp[f.name], n, f.type) if f.name in comp
+                    else rb.column(rb.schema.get_field_index(f.name)) for f in out_schema]
+            return pa.RecordBatch.from_arrays(cols, schema=out_schema)
+
+        def finish(item, nxt_key, nxt_vals, known):
+            rb, comp = item
+            last = comp[key].index[-1]
+            same = known and comp[key].iloc[-1] == nxt_key
             for out_col, src in lead.items():
-                prev.at[last, out_col] = nxt_vals[src] if same else None
-            prev.at[last, "_open_lead"] = not known
-            return prev
-
-        for pdf in batches:
-            if pdf.empty:
+                col = comp[out_col].astype(object)
+                col.at[last] = nxt_vals[src] if same else None
+                comp[out_col] = col
+            flag = comp["_open_lead"].copy()
+            flag.at[last] = not known
+            comp["_open_lead"] = flag
+            return emit(rb, comp)
+
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            keys = pdf[key]
+            if out_schema is None:
+                types = {f.name: f.type for f in rb.schema}
+                extra = {f"_open_{c}": pa.bool_() for c in fill}
+                if lead:
+                    extra["_open_lead"] = pa.bool_()
+                extra.update({f"_h_{c}": types[c] for c in lead_src})
+                extra.update({"_pid": pa.int32(), "_summary": pa.bool_(), "_fk": types[key]})
+                types.update(extra)
+                out_schema = pa.schema([pa.field(c, types[c]) for c in out_names])
+            pdf = pa.Table.from_batches([rb]).select(need).to_pandas()
+            keys = series(pdf, key)
             first_batch = first_key is _UNSET
             if first_batch:
                 first_key = keys.iloc[0]
-                first_lead = {c: pdf[c].iloc[0] for c in lead_src}
+                first_lead = {c: series(pdf, c).iloc[0] for c in lead_src}
             boundary = keys.ne(keys.shift(1))
             continues = (not first_batch) and keys.iloc[0] == cur_key
             boundary.iloc[0] = not continues
@@ -81,9 +119,9 @@ def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[st
                 in_first_run = False
             run_id = boundary.cumsum()
             first_run = (run_id == run_id.iloc[0]) if in_first_run else pd.Series(False, index=pdf.index)
-            out = pdf.copy()
+            comp = {key: keys}
             for c in fill:
-                incl = pdf[c].groupby(run_id, sort=False).ffill()
+                incl = series(pdf, c).groupby(run_id, sort=False).ffill()
                 if continues and cur_vals[c] is not None:
                     lead_run = run_id == run_id.iloc[0]
                     incl = incl.where(~(lead_run & incl.isna()), cur_vals[c])
@@ -92,64 +130,44 @@ def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[st
                 else:
                     res = incl.groupby(run_id, sort=False).shift(1)
                     if continues:
+                        res = res.astype(object)
                         res.iloc[0] = cur_vals[c]
-                out[c] = res
-                out[f"_open_{c}"] = first_run & res.isna()
+                comp[c] = res
+                comp[f"_open_{c}"] = first_run & res.isna()
                 cur_vals[c] = None if pd.isna(incl.iloc[-1]) else incl.iloc[-1]
             if lead:
                 same_next = keys.eq(keys.shift(-1))
                 for out_col, src in lead.items():
-                    out[out_col] = pdf[src].shift(-1).where(same_next, None)
-                out["_open_lead"] = False
+                    comp[out_col] = series(pdf, src).shift(-1).where(same_next, None)
+                comp["_open_lead"] = pd.Series(False, index=pdf.index)
                 for c in lead_src:
-                    out[f"_h_{c}"] = None
+                    comp[f"_h_{c}"] = None
             if in_first_run and boundary.iloc[1:].any():
                 in_first_run = False
             cur_key = keys.iloc[-1]
-            out["_pid"] = pid
-            out["_summary"] = False
-            out["_fk"] = None
+            comp.update({"_pid": pid, "_summary": False, "_fk": None})
             if lead:
                 if pending is not None:
-                    yield finish(pending, keys.iloc[0], {c: pdf[c].iloc[0] for c in lead_src}, True)
-                pending = out
+                    yield finish(pending, keys.iloc[0], {c: series(pdf, c).iloc[0] for c in lead_src}, True)
+                pending = (rb, comp)
             else:
-                yield out
+                yield emit(rb, comp)
         if pending is not None:
             yield finish(pending, None, {}, False)
         if first_key is not _UNSET:
-            summary = {c: [None] for c in all_cols}
-            summary.update({f"_open_{c}": [False] for c in fill})
-            summary.update({c: [cur_vals[c]] for c in fill})
-            summary.update({f"_h_{c}": [first_lead[c]] for c in lead_src})
+            summary = {f.name: None for f in out_schema}
+            summary.update({f"_open_{c}": False for c in fill})
+            summary.update({c: cur_vals[c] for c in fill})
+            summary.update({f"_h_{c}": first_lead[c] for c in lead_src})
             if lead:
-                summary["_open_lead"] = [False]
-            summary[key] = [cur_key]
-            summary["_fk"] = [first_key]
-            summary["_pid"] = [pid]
-            summary["_summary"] = [True]
-            yield pd.DataFrame(summary)
+                summary["_open_lead"] = False
+            summary.update({key: cur_key, "_fk": first_key, "_pid": pid, "_summary": True})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([summary[f.name]], type=f.type, from_pandas=True) for f in out_schema],
+                schema=out_schema)
     return run
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Partition count for the scan's range shuffle: the session's shuffle
-    partitions, raised so that each partition holds about ``target_bytes``
-    of the input by Catalyst's size estimate (no job is run).  A range
-    shuffle with an explicit count is not coalesced by AQE, so the count has
-    to follow the data."""
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the session default
-        return base
-    return max(base, min(-(-size // target_bytes), 1_000_000))
-
-
 def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
                     fill: Sequence[str] = (), lead: Mapping[str, str] | None = None,
                     inclusive: bool = True, descending: bool = False,
@@ -166,7 +184,6 @@ def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
     ``descending`` scans in reverse order.  Rows with a NULL key are
     returned unchanged (lead columns NULL)."""
     spark = df.sparkSession
-    n = num_partitions or range_partitions(df)
     fill, lead = list(fill), dict(lead or {})
     types = {f.name: f.dataType for f in df.schema.fields}
     lead_src = sorted(set(lead.values()))
@@ -176,8 +193,12 @@ def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
     nulls = base.filter(F.col(key).isNull())
     body = base.filter(F.col(key).isNotNull())
     ocols = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
-    ranged = (body.repartitionByRange(n, F.col(key).asc(), *ocols)
-                  .sortWithinPartitions(F.col(key).asc(), *ocols))
+    # Without an explicit count the range shuffle uses the session's shuffle
+    # partitions and AQE may coalesce it to the advisory size; merged
+    # partitions are adjacent ranges, so partition order stays key order.
+    rkeys = [F.col(key).asc(), *ocols]
+    ranged = (body.repartitionByRange(num_partitions, *rkeys) if num_partitions
+              else body.repartitionByRange(*rkeys)).sortWithinPartitions(*rkeys)
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
         + [T.StructField(f"_open_{c}", T.BooleanType()) for c in fill]
@@ -185,7 +206,7 @@ def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
         + [T.StructField(f"_h_{c}", types[c]) for c in lead_src]
         + [T.StructField("_pid", T.IntegerType()), T.StructField("_summary", T.BooleanType()),
            T.StructField("_fk", types[key])])
-    scanned = ranged.mapInPandas(_local_scan(key, fill, inclusive, lead, base.columns), schema)
+    scanned = ranged.mapInArrow(_local_scan(key, fill, inclusive, lead, schema.fieldNames()), schema)
     checkpoint_root(spark)
     scanned = scanned.checkpoint(eager=True)
 
