@@ -52,12 +52,22 @@ def run_gold(spark: SparkSession, events: DataFrame, sessions_attr: DataFrame, g
     return written
 
 
-def load_warehouse(spark: SparkSession, stages: Mapping[str, str], warehouse_root: str) -> dict[str, DataFrame]:
+def load_warehouse(spark: SparkSession, stages: Mapping[str, str], warehouse_root: str,
+                   stamp_updated_at: bool = False) -> dict[str, DataFrame]:
     """Typed stage scan of each exported table and keyed MERGE into the
-    versioned warehouse table (partial update columns per table)."""
+    versioned warehouse table (partial update columns per table).
+
+    ``stamp_updated_at`` adds the warehouse's ``updated_at`` column: the load
+    time on every row the MERGE inserts or updates; untouched rows keep
+    theirs."""
     out = {}
     for name, stage in stages.items():
-        src = read_stage(spark, stage, schemas.GOLD_SCHEMAS[name])
-        out[name] = sinks.merge_into(spark, f"{warehouse_root}/{name}", merge.conform(src, schemas.GOLD_SCHEMAS[name]),
-                                     schemas.GOLD_KEYS[name], schemas.GOLD_UPDATE_COLUMNS[name])
+        schema = schemas.GOLD_SCHEMAS[name]
+        src = merge.conform(read_stage(spark, stage, schema), schema)
+        update = list(schemas.GOLD_UPDATE_COLUMNS[name])
+        if stamp_updated_at:
+            src = src.withColumn("updated_at", F.current_timestamp())
+            update.append("updated_at")
+        out[name] = sinks.merge_into(spark, f"{warehouse_root}/{name}", src,
+                                     schemas.GOLD_KEYS[name], update)
     return out

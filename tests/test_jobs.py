@@ -56,3 +56,22 @@ def test_gold_reads_prune_date_partitions(spark):
     assert "PartitionFilters: [isnotnull(processing_date" in plan
     dau = gold.daily_active_users(ev).collect()
     assert sorted(r.date.day for r in dau) == [5, 6]
+
+
+def test_warehouse_updated_at_stamped_on_touched_rows_only(spark):
+    import time
+    root = work_dir(spark, "stamp")
+    g = merge.conform(gold.daily_active_users(silver_events(spark, SF_SMALL)), schemas.GOLD_DAU)
+    sinks.write_snapshot(g, f"{root}/stage_all/")
+    sinks.write_snapshot(g.filter(F.dayofmonth("date") > 25), f"{root}/stage_tail/")
+    first = jobs.load_warehouse(spark, {"daily_active_users": f"{root}/stage_all/"}, f"{root}/wh", True)
+    t1 = {r.date: r.updated_at for r in first["daily_active_users"].collect()}
+    time.sleep(1.1)
+    second = jobs.load_warehouse(spark, {"daily_active_users": f"{root}/stage_tail/"}, f"{root}/wh", True)
+    t2 = {r.date: r.updated_at for r in second["daily_active_users"].collect()}
+    assert set(t1) == set(t2)
+    for d in t1:
+        if d.day > 25:
+            assert t2[d] > t1[d]
+        else:
+            assert t2[d] == t1[d]
