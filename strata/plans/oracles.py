@@ -581,3 +581,4 @@ register("stream_dlq_events", ORACLES["dlq_events"])
 register("stream_bronze_to_silver", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
 register("stream_sessions_complete", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
 register("stream_dedup_watermark", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
+register("stream_gold_self_healing", with_silver(_conformed("daily_active_users"), GOLD_CTES))
