@@ -23,6 +23,7 @@ from strata.streaming.jobs import (
     read_gold,
     read_plan_events,
     read_sessions,
+    read_users,
     run_to_completion,
     start_bronze,
     start_silver,
@@ -461,7 +462,8 @@ def q_schema_evolution_union(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming
 def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=None,
-                   sessions_mode="update", via_bronze_table=False, gold_tables=()):
+                   sessions_mode="update", via_bronze_table=False, gold_tables=(),
+                   upsert_users=False):
     root = work_dir(spark, name)
     raw = read_table(spark, sf_dir, "events")
     msgs = messages(raw) if messages else fixture.broker_messages(raw)
@@ -483,7 +485,7 @@ def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=
         else:
             b = bronze.to_bronze(stream, ingested_at=F.col("timestamp"))
         qs = start_silver(b, paths, trigger="availableNow", dedup=dedup, sessions_mode=sessions_mode,
-                          gold_tables=gold_tables)
+                          gold_tables=gold_tables, upsert_users=upsert_users)
         run_to_completion(qs)
         queries.extend(qs)
     return paths, queries
@@ -578,3 +580,12 @@ def q_stream_gold_self_healing(spark, sf_dir):
     paths, _ = _stream_silver(spark, sf_dir, "stream_gold_heal", messages=late_last,
                               gold_tables=("daily_active_users",))
     return read_gold(spark, paths, "daily_active_users")
+
+
+@query("stream_users_scd2_upsert")
+def q_stream_users_scd2_upsert(spark, sf_dir):
+    """SCD2 maintained per micro-batch: touched users' histories recomputed
+    and merged, across a restart with more data."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_users_upsert", runs=((0, 1), (2, 3)),
+                              upsert_users=True)
+    return read_users(spark, paths)

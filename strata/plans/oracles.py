@@ -582,3 +582,4 @@ register("stream_bronze_to_silver", with_silver(f"SELECT {SILVER_COLS} FROM silv
 register("stream_sessions_complete", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
 register("stream_dedup_watermark", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
 register("stream_gold_self_healing", with_silver(_conformed("daily_active_users"), GOLD_CTES))
+register("stream_users_scd2_upsert", with_silver("SELECT * FROM scd_full", SCD2_CTE))

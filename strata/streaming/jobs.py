@@ -59,6 +59,10 @@ class SilverPaths:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def users(self) -> str:
+        return f"{self.root}/users"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -132,7 +136,8 @@ def session_partials(events: DataFrame, watermark: str | None = "1 hour") -> Dat
 def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | None = "30 seconds",
                  dedup: str = "state", watermark: str = "1 hour",
                  sessions_mode: str = "update",
-                 gold_tables: tuple[str, ...] = ()) -> list[StreamingQuery]:
+                 gold_tables: tuple[str, ...] = (),
+                 upsert_users: bool = False) -> list[StreamingQuery]:
     """Start the silver queries: (1) one ``foreachBatch`` fan-out over a
     single decode and dedup state writing silver events, the plan-event log
     and dead letters; (2) sessions (stateful aggregation).
@@ -144,7 +149,8 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
 
     ``gold_tables`` (event-based gold tables) are refreshed after each batch
     for the dates it touched (:func:`refresh_gold`): late events heal the
-    KPIs of their dates."""
+    KPIs of their dates.  ``upsert_users`` maintains the SCD2 users table
+    per batch (:func:`upsert_users_scd2`)."""
     tagged = tagged_stream(bronze_stream, dedup, watermark)
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
@@ -155,6 +161,8 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
             write_batch(events, paths.events, batch_id, ["processing_date"])
             write_batch(S.plan_events(events), paths.plan_events, batch_id)
             write_batch(B.dead_letters(batch.filter(~ok)), paths.dlq, batch_id)
+            if upsert_users:
+                upsert_users_scd2(batch.sparkSession, paths, S.plan_events(events))
             if gold_tables:
                 refresh_gold(batch.sparkSession, paths, events.select("processing_date").distinct(),
                              gold_tables)
@@ -294,3 +302,22 @@ def refresh_gold(spark: SparkSession, paths: SilverPaths, touched_dates: DataFra
 def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:
     from strata.sinks import read_current
     return read_current(spark, f"{paths.gold}/{name}")
+
+
+def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame) -> None:
+    """SCD2 upsert for the users a micro-batch touched: their full plan-event
+    history is read from the log (semi-join on the batch's users, no driver
+    list), recomputed, and merged into the versioned users table keyed by
+    (user_id, event_id).  A late plan event re-closes the interval it splits;
+    history rows are never removed, so replacing a touched user's rows by key
+    is exact, and replaying a batch merges the same rows (idempotent)."""
+    from strata.sinks import merge_into
+    touched = batch_plan_events.filter(F.col("user_id").isNotNull()).select("user_id").distinct()
+    history = read_plan_events(spark, paths).join(touched, "user_id", "left_semi")
+    fresh = S.users_scd2(history).drop("updated_at")
+    merge_into(spark, paths.users, fresh, ["user_id", "event_id"])
+
+
+def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    from strata.sinks import read_current
+    return read_current(spark, paths.users)
