@@ -4,7 +4,9 @@ Layout of the silver outputs (all Parquet):
 
 * ``events/batch_id=<N>/processing_date=<d>/`` -- deduplicated silver events;
   a micro-batch owns its folder and a replay overwrites it (idempotent);
-* ``plan_events/batch_id=<N>/`` -- signup / upgrade / churn rows (SCD2 input);
+* ``plan_events/batch_id=<N>/user_bucket=<b>/`` -- signup / upgrade / churn
+  rows (SCD2 input), bucketed by user hash;
+* ``users/user_bucket=<b>/`` -- SCD2 users maintained per batch (optional);
 * ``sessions/batch_id=<N>/`` -- session rows updated by that batch (stateful
   aggregation in update mode); the current sessions table is the latest
   row per key across batches (:func:`read_sessions`);
@@ -159,7 +161,8 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
             ok = F.col("error").isNull()
             events = S.flatten_events(batch.filter(ok)).select(*schemas.SILVER_EVENT_COLUMNS)
             write_batch(events, paths.events, batch_id, ["processing_date"])
-            write_batch(S.plan_events(events), paths.plan_events, batch_id)
+            write_batch(S.plan_events(events).withColumn("user_bucket", user_bucket()),
+                        paths.plan_events, batch_id, ["user_bucket"])
             write_batch(B.dead_letters(batch.filter(~ok)), paths.dlq, batch_id)
             if upsert_users:
                 upsert_users_scd2(batch.sparkSession, paths, S.plan_events(events))
@@ -197,7 +200,7 @@ def read_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
 
 
 def read_plan_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return _read_batches(spark, paths.plan_events)
+    return _read_batches(spark, paths.plan_events).drop("user_bucket")
 
 
 def _latest_per_key(df: DataFrame) -> DataFrame:
@@ -304,20 +307,33 @@ def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:
     return read_current(spark, f"{paths.gold}/{name}")
 
 
+USER_BUCKETS = 64
+
+
+def user_bucket(col: str = "user_id", n: int = USER_BUCKETS):
+    """Hash bucket of a user (partition column of the plan log and users)."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
+
+
 def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame) -> None:
-    """SCD2 upsert for the users a micro-batch touched: their full plan-event
-    history is read from the log (semi-join on the batch's users, no driver
-    list), recomputed, and merged into the versioned users table keyed by
-    (user_id, event_id).  A late plan event re-closes the interval it splits;
-    history rows are never removed, so replacing a touched user's rows by key
-    is exact, and replaying a batch merges the same rows (idempotent)."""
-    from strata.sinks import merge_into
-    touched = batch_plan_events.filter(F.col("user_id").isNotNull()).select("user_id").distinct()
-    history = read_plan_events(spark, paths).join(touched, "user_id", "left_semi")
-    fresh = S.users_scd2(history).drop("updated_at")
-    merge_into(spark, paths.users, fresh, ["user_id", "event_id"])
+    """SCD2 maintenance for the users a micro-batch touched.
+
+    The plan-event log and the users table are both partitioned by a user
+    hash bucket.  Per batch, the buckets holding touched users (at most
+    ``USER_BUCKETS`` values) are recomputed from their full plan history --
+    a partition-pruned read of the log -- and only those bucket partitions of
+    the users table are overwritten.  A late plan event re-closes the
+    interval it splits; the users table is never read, so a replayed batch
+    simply rewrites the same buckets (idempotent)."""
+    from strata.sinks import overwrite_partitions
+    buckets = [r[0] for r in batch_plan_events.filter(F.col("user_id").isNotNull())
+               .select(user_bucket().alias("b")).distinct().collect()]   # bounded by USER_BUCKETS
+    if not buckets:
+        return
+    log = spark.read.parquet(paths.plan_events).filter(F.col("user_bucket").isin(buckets))
+    fresh = S.users_scd2(log.drop("batch_id", "user_bucket")).drop("updated_at")
+    overwrite_partitions(fresh.withColumn("user_bucket", user_bucket()), paths.users, ["user_bucket"])
 
 
 def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    from strata.sinks import read_current
-    return read_current(spark, paths.users)
+    return spark.read.parquet(paths.users).drop("user_bucket")
