@@ -338,10 +338,14 @@ SELECT date, dau_count, wau_count, mau_count,
   round(CAST(dau_count AS DOUBLE) * 100.0 / NULLIF(mau_count, 0), 2) AS dau_mau_ratio
 FROM dau ORDER BY date DESC LIMIT 30""", f"dau AS ({DAU_SQL})"))
 
+# Average of the 2-dp daily averages taken over DECIMAL: the exact value can
+# be a .xx5 tie (1715.975 at sf0.01), and a parallel double AVG lands on
+# either side of it depending on summation order (observed both ways).
 register("top_features", with_silver("""
 SELECT feature_name, CAST(SUM(total_uses) AS BIGINT) AS total_uses,
   CAST(SUM(unique_users) AS BIGINT) AS unique_users,
-  round(AVG(avg_duration_seconds), 2) AS avg_duration_secs
+  CAST(round(SUM(CAST(avg_duration_seconds AS DECIMAL(20, 2))) / COUNT(avg_duration_seconds), 2) AS DOUBLE)
+    AS avg_duration_secs
 FROM fa GROUP BY feature_name ORDER BY total_uses DESC""", f"fa AS ({FEATURE_SQL})"))
 
 GOLD_CTES = (f"dau AS ({DAU_SQL}),\nmrr AS ({MRR_SQL}),\nfunnel AS ({FUNNEL_SQL}),\n"
