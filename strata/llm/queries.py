@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe_codec, secret_scan, token_planes
+from strata.llm import bpe_codec, quality, secret_scan, token_planes, toxicity
 from strata.session import work_dir
 
 END_ID = 2
@@ -25,6 +25,16 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-files")
     token_planes.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -32,5 +42,6 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_secret_scan, op10_token_planes)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_secret_scan, op7_quality_rules, op9_toxicity,
+                                    op10_token_planes)}
 ORACLES: dict[str, str] = {}
