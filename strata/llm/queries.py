@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe_codec, quality, secret_scan, token_planes, toxicity
+from strata.llm import bpe_codec, html_text, quality, secret_scan, token_planes, toxicity
 from strata.session import work_dir
 
 END_ID = 2
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -42,6 +46,6 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_secret_scan, op7_quality_rules, op9_toxicity,
-                                    op10_token_planes)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op3_byte_bpe, op4_secret_scan, op7_quality_rules,
+                                    op9_toxicity, op10_token_planes)}
 ORACLES: dict[str, str] = {}
