@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe_codec, html_text, quality, secret_scan, token_planes, toxicity
+from strata.llm import bpe_codec, html_text, jaccard_join, quality, secret_scan, token_planes, toxicity
 from strata.session import work_dir
 
 END_ID = 2
@@ -19,6 +19,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=4, percent=85))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -46,6 +50,6 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op3_byte_bpe, op4_secret_scan, op7_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_jaccard_join, op3_byte_bpe, op4_secret_scan, op7_quality_rules,
                                     op9_toxicity, op10_token_planes)}
 ORACLES: dict[str, str] = {}
