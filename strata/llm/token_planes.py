@@ -21,7 +21,9 @@ of their text; an empty table gives no chunk.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +38,7 @@ from strata.llm.common import arrow_map, pick
 
 BLOCK_IDS = 4096
 CHUNK_IDS = 1 << 18
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 
 CHUNK_SCHEMA = ("shard int, chunk int, local_start long, n_ids long, bits boolean, planes array<binary>, "
                 "doc_ids array<long>, lengths array<long>")
@@ -63,26 +65,52 @@ def from_planes(planes: list[bytes], n_ids: int, bits: bool = False) -> np.ndarr
     return np.ascontiguousarray(by_byte).view("<u4").reshape(-1)[:n_ids]
 
 
+# A Latin word and the signs after it: two matches of the splitting pattern,
+# both stable under NFC.  (The apostrophe starts contractions and is left out.)
+LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordIds(dict):
     """Word -> its ids as little-endian bytes.  The tokenizer's splitting
     pattern never joins characters across a blank or a line end and drops
-    both, so a text's ids are the ids of its words one after another."""
+    both, so a text's ids are the ids of its words one after another.  The
+    letters of a Latin word, lower-cased, go straight to the merges of the
+    tokenizer's model; all else takes the tokenizer's whole path.  When full,
+    the table becomes ``old`` and words still in use come back from there."""
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self[""] = b""
+        self.merge = self.tokenizer.model.tokenize
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {k: as_bytes(chr(k))[0][0] for k in range(0xC0, 0x100)}
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
+            self.old = self.copy()
             self.clear()
-            self[""] = b""
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.compute(word)
         self[word] = ids
         return ids
 
+    def compute(self, word: str) -> bytes:
+        if not word:
+            return b""
+        latin = LATIN_WORD.fullmatch(word)
+        if latin is None:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        letters, signs = latin.groups()
+        low = letters.lower()
+        if signs or low != letters:
+            return self[low] + (self[signs] if signs else b"")
+        spelled = low if low.isascii() else low.translate(self.spelling)
+        return array("I", [t.id for t in self.merge(spelled)]).tobytes()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
