@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import bpe_codec, html_text, jaccard_join, quality, secret_scan, token_planes, toxicity
+from strata.llm import (bpe_codec, edit_counts, html_text, jaccard_join, nearest, packing, quality, secret_scan,
+                        token_planes, toxicity)
+from strata.llm.common import materialise
 from strata.session import work_dir
 
 END_ID = 2
@@ -15,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> tuple[str, str]:
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
@@ -24,15 +31,46 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"),
-                                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                                        public_tokenizers.PATTERN)
+    return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"), *byte_bpe())
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.self_search(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, by its byte-level BPE length."""
+    lengths = bpe_codec.count_documents(table(spark, sf_dir, "documents"), *byte_bpe())
+    return packing.pack(materialise(lengths, "lengths"))
+
+
+REPLACEMENTS = ["", " revised wording,", "é1", "\n", " 2024", "'s"]
+
+
+def sample_edits(docs: DataFrame) -> DataFrame:
+    """Three edits for every document, at places that hashes of its id choose."""
+    def edit(k: int):
+        h = F.xxhash64("doc_id", F.lit(k))
+        start = F.pmod(h, F.coalesce(F.length("text"), F.lit(0)) + 1)
+        return F.struct(start.alias("start"), (start + F.pmod(F.shiftright(h, 20), F.lit(60))).alias("end"),
+                        F.element_at(F.array(*map(F.lit, REPLACEMENTS)),
+                                     (F.pmod(F.shiftright(h, 40), F.lit(len(REPLACEMENTS))) + 1).cast("int")).alias("text"))
+
+    return docs.withColumn("edits", F.array(*(edit(k) for k in range(3))))
+
+
+def op8_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of every document, then three edits of each."""
+    trees = edit_counts.build_trees(table(spark, sf_dir, "documents"), *byte_bpe())
+    edited = edit_counts.apply_edits(sample_edits(trees), *byte_bpe())
+    return edited.select("doc_id", "n_before", "n_tokens", "n_edits", "chars_encoded",
+                         F.length("text").cast("long").alias("n_chars"), F.size("leaf_tokens").alias("n_leaves"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -50,6 +88,9 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_jaccard_join, op3_byte_bpe, op4_secret_scan, op7_quality_rules,
-                                    op9_toxicity, op10_token_planes)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_jaccard_join, op3_byte_bpe, op4_secret_scan, op5_one_bit_codes,
+                                    op6_best_fit_packing, op7_quality_rules, op8_edit_aware_counts, op9_toxicity,
+                                    op10_token_planes)}
+# None can be stated whole in SQL: tests compare each with a brute-force
+# version, an exact round trip or held-out labels.
 ORACLES: dict[str, str] = {}
