@@ -53,7 +53,8 @@ from strata.llm.common import arrow_map, materialise, pick
 from strata.llm.components import connected_components
 from strata.llm.learning import TokenTable
 
-FALSE_COST = 60.0  # of a false candidate against an index row, in ``plan``
+# In ``plan``, against one index row: a false candidate, a set with empty segments in the index.
+FALSE_COST, EMPTY_COST = 6.0, 50.0
 BITS_PER_DIFFERENCE = 8
 BLOCK = 512
 COMBINED_DOCS = 2000
@@ -95,21 +96,19 @@ def plan(rule: Rule, number: int) -> Family | None:
     if h == 0:
         return None
     best = None
-    for d in range(h // 2 + 1):
-        slack = 0
-        for _ in range(4):
+    for d in range((h + 1) // 2 + 1):
+        least = np.inf
+        for slack in (*range(4), *(int(np.ceil(h / x)) for x in (96, 64, 48, 32, 24, 16))):
             m = h + 1 + slack - d
             k = low / m
-            empty = np.exp(-k) * (m - d + 2 * d * (1 + k))
-            slack = 0 if empty < 0.02 else int(np.ceil(2 * empty)) + 1
-        m = h + 1 + slack - d
-        if m <= d:
-            break
-        k = low / m
-        cost = m - d + d * (1 + k) + FALSE_COST * m * 2.0 ** -k
-        if best is None or cost < best[0]:
-            best = (cost, Family(number, low, high, m, d, slack))
-        elif cost > 1.2 * best[0]:
+            empty = np.exp(-k) * (m - d + 2 * d * (1 + k))  # expected count of segments that may be empty
+            kept = empty if slack == 0 else min(empty, np.exp(slack - empty - slack * np.log(slack / empty))
+                                                if slack > empty else 1.0)  # Chernoff: odds that they exceed the slack
+            cost = m - d + d * (1 + k) + FALSE_COST * m * 2.0 ** -k + EMPTY_COST * kept
+            least = min(least, cost)
+            if m >= d and (best is None or cost < best[0]):
+                best = (cost, Family(number, low, high, m, d, slack))
+        if least > 1.2 * best[0]:
             break
     return best[1]
 
