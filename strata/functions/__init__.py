@@ -1,6 +1,5 @@
 from strata.functions.columns import (  # noqa: F401
-    json_counts,
-    pct_share,
+    json_map,
     pick,
     safe_rate,
     strip_frame,

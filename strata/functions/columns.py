@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -15,11 +15,6 @@ def safe_rate(num: Column | str, den: Column | str, scale: int = 4) -> Column:
     return F.when(den > 0, F.round(num / den, scale)).otherwise(F.lit(0.0))
 
 
-def pct_share(flag: Column, total: Column, scale: int = 2) -> Column:
-    """Aggregate: share of rows with ``flag`` true, in percent of ``total``."""
-    return F.round(F.sum(F.when(flag, 1).otherwise(0)) / total * 100, scale)
-
-
 def strip_frame(value: Column | str, header_bytes: int = 5) -> Column:
     """Drop a fixed-size wire-format header (magic byte + schema id) from a
     binary payload; the remainder is the encoded record."""
@@ -42,15 +37,7 @@ def pick(index: Column, values: Sequence[str]) -> Column:
     return F.element_at(arr, ((index % F.lit(len(values))) + F.lit(1)).cast("int"))
 
 
-def json_counts(df: DataFrame, keys: Sequence[str], label: str, out: str,
-                count_col: str = "cnt") -> DataFrame:
-    """Two-level aggregate: rows per ``keys + [label]``, then one JSON object
-    ``{"label": count, ...}`` per ``keys`` with labels in ascending order.
-
-    The inner group is bounded by the label's value domain, so the collected
-    list per key is small; the map keys are unique by construction."""
-    counted = (df.filter(F.col(label).isNotNull())
-                 .groupBy(*keys, label).agg(F.count(F.lit(1)).alias(count_col)))
-    return (counted.groupBy(*keys)
-            .agg(F.to_json(F.map_from_entries(F.array_sort(
-                F.collect_list(F.struct(F.col(label), F.col(count_col)))))).alias(out)))
+def json_map(entries: Column | str) -> Column:
+    """JSON object of an array of (label, value) structs, labels ascending;
+    ``"{}"`` if it is empty.  Labels must be unique."""
+    return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(F.array_sort(entries)))).otherwise(F.lit("{}"))

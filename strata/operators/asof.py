@@ -5,50 +5,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.scan import fill_within_key
-
-_NULL = "\u0000"  # a version whose value is NULL still replaces the previous one
+from strata.operators.scan import hour_bucket
 
 
 def asof_lookup(events: DataFrame, versions: DataFrame, cols: Sequence[str],
                 key: str = "user_id", event_time: str = "event_timestamp",
-                version_start: str = "valid_from", event_id: str = "event_id",
-                version_id: str = "event_id", num_partitions: int | None = None) -> DataFrame:
-    """All event columns plus string columns ``cols`` taken from the latest
-    version of the same ``key`` whose start is at or before the event time.
+                version_start: str = "valid_from", version_id: str = "event_id") -> DataFrame:
+    """All event columns plus ``cols`` taken from the latest version of the
+    same ``key`` whose start is at or before the event time (of versions with
+    one start, that with the largest id).
 
     Equivalent to the interval join ``e.key = v.key AND e.t >= v.valid_from
     AND (v.valid_to IS NULL OR e.t < v.valid_to)`` over contiguous versions,
-    computed as a merge-scan: version starts and events of a key are ordered
-    together (a start sorts before an event at the same instant) and each
-    event takes the last start seen.  No per-key group is materialised and no
-    pairs are compared, so a key with a huge history is spread over many
-    range partitions (the sort-merge interval join would compare all events
-    and versions of that key inside one task)."""
-    ecols = [c for c in events.columns if c != key]
-    etypes = {f.name: f.dataType for f in events.schema.fields}
-    starts = versions.select(
-        F.col(key), F.col(version_start).alias("_t"), F.lit(0).alias("_kind"),
-        F.col(version_id).cast("string").alias("_id"),
-        *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)).alias(f"_v_{c}") for c in cols],
-        *[F.lit(None).cast(etypes[c]).alias(c) for c in ecols])
-    evs = events.select(
-        F.col(key), F.col(event_time).alias("_t"), F.lit(1).alias("_kind"),
-        F.col(event_id).cast("string").alias("_id"),
-        *[F.lit(None).cast("string").alias(f"_v_{c}") for c in cols],
-        *ecols)
-    merged = fill_within_key(starts.unionByName(evs), key, ["_t", "_kind", "_id"],
-                             [f"_v_{c}" for c in cols], num_partitions=num_partitions)
-    out = merged.filter(F.col("_kind") == 1)
-    vals = [F.when(F.col(f"_v_{c}") != _NULL, F.col(f"_v_{c}")).alias(c) for c in cols]
-    return out.select(key, *ecols, *vals).select(*events.columns, *cols)
-
-
-def plan_asof(events: DataFrame, users: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    without comparing events and versions pairwise.  Key and hour of the
+    events, combined on the map side, and the versions of each hour give one
+    row per (key, hour): the last version of earlier hours (a window over a
+    key's hours) and the sorted versions inside the hour.  The events are
+    joined to that by equality, so their columns are shuffled once, in the JVM,
+    and a key with a third of all events spreads over its hours; adaptive
+    execution splits what is left.  The events are read twice."""
+    version = F.struct(F.col(version_start).alias("_s"), F.col(version_id).cast("string").alias("_id"),
+                       *[F.col(c).alias(c) for c in cols])
+    starts = (versions.filter(F.col(key).isNotNull() & F.col(version_start).isNotNull())
+              .select(F.col(key), hour_bucket(version_start).alias("_b"), version.alias("_v"))
+              .groupBy(key, "_b").agg(F.array_sort(F.collect_set("_v")).alias("_own")))
+    hours = (events.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
+             .select(key, hour_bucket(event_time).alias("_b")).distinct())
+    none = F.lit(None).cast(starts.schema["_own"].dataType)
+    rows = (starts.unionByName(hours.withColumn("_own", none))
+            .groupBy(key, "_b").agg(F.first("_own", ignorenulls=True).alias("_own")))
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.select(key, "_b", "_own", F.last(F.element_at("_own", -1), ignorenulls=True).over(before).alias("_past"))
+    started = F.filter("_own", lambda v: v["_s"] <= F.col(event_time))
+    found = F.coalesce(F.try_element_at(started, F.lit(-1)), F.col("_past"))
+    joined = events.withColumn("_b", hour_bucket(event_time)).join(carry, [key, "_b"], "left")
+    return joined.select(*events.columns, *[found[c].alias(c) for c in cols])
+
+
+def plan_asof(events: DataFrame, users: DataFrame) -> DataFrame:
     """event_id, user_id, event_timestamp, event_type, plan_asof."""
     ev = events.select("event_id", "user_id", "event_timestamp", "event_type")
     v = users.select("user_id", "valid_from", "event_id", F.col("plan").alias("plan_asof"))
-    return asof_lookup(ev, v, ["plan_asof"], num_partitions=num_partitions)
+    return asof_lookup(ev, v, ["plan_asof"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.gold import _dated_sessions, with_event_date
+from strata.operators.gold import sessions_by_date_country, with_event_date
 
 
 def calendar(events: DataFrame, date_col: str = "date") -> DataFrame:
@@ -81,8 +81,8 @@ def top_countries(sessions: DataFrame, n: int = 3) -> DataFrame:
     """date, country, sessions, rank: the n countries with most sessions per
     date (ties by country code).  Ranking runs on per-(date, country) counts,
     bounded by the country domain per date."""
-    s = _dated_sessions(sessions).filter(F.col("country").isNotNull())
-    counts = s.groupBy("date", "country").agg(F.count(F.lit(1)).alias("sessions"))
+    counts = (sessions_by_date_country(sessions).filter(F.col("country").isNotNull())
+              .select("date", "country", F.col("n").alias("sessions")))
     w = Window.partitionBy("date").orderBy(F.desc("sessions"), F.asc("country"))
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 

@@ -1,177 +1,42 @@
-"""Skew-safe ordered scan within a key: forward fill ("last non-null value
-so far") and lead ("next row's value") in one pass.
+"""Skew-safe ordered scan within a key: forward fill ("last non-null value so
+far") and lead ("next row's value"), in the JVM.
 
 A per-key ``Window`` puts every row of a key into one task; if one key holds
-a third of the data, that task holds a third of the data.  This operator
-instead range-partitions on (key, order) -- the range bounds are sampled on
-the full sort key, so a hot key is spread over many partitions -- and runs
-the scan in three steps:
-
-1. each partition is scanned locally in Arrow record batches
-   (``mapInArrow``; only the key / fill / lead columns are converted to
-   pandas, the rest pass through as Arrow arrays; constant memory: state
-   between batches is one batch).  Rows of the
-   partition's first key run that found no value yet are flagged open for
-   the forward fill, the partition's last row is flagged open for the lead,
-   and each partition emits one summary row (first key and first row's lead
-   sources, last key and last non-null fill values);
-2. the summaries (one row per partition, so bounded by the partition count,
-   not by the data) are combined with small windows into a carry-in per
-   partition;
-3. the carry-in is broadcast-joined back to resolve the open rows.
-
-The scanned partitions are checkpointed (lineage cut in the shared
-``spark.checkpoint.dir``) between 1 and 2, so steps 2 and 3 read exactly the
-partitioning step 1 produced (two recomputations of a sampled range shuffle
-may draw different bounds, and the carry-in is addressed by partition id);
-the operator is therefore eager.
-
-Uses: forward-fill the last known attribute, SCD2 ``valid_to`` as the next
-version's start, and as-of lookups by filling over a union of two event kinds.
+a third of the data, that task holds a third of the data.  Here the rows of a
+key are split by a *bucket* that grows with the scan order (by default the
+hour of the first order column):
+
+1. windows over (key, bucket) resolve everything inside a bucket;
+2. each (key, bucket) is also combined, on the map side first, to one summary
+   row (its first and last values), and a window over a key's summaries --
+   bounded by the number of buckets, not by the rows -- carries values across
+   buckets;
+3. the carried values are joined back on (key, bucket), one summary row for
+   many rows, so adaptive execution can split a hot side.
+
+The input is checkpointed first (in the shared ``spark.checkpoint.dir``), as
+rows and summaries both need it; callers pass narrow frames.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.session import checkpoint_root
 
-_UNSET = object()
-
-
-def _local_scan(key: str, fill: Sequence[str], inclusive: bool, lead: Mapping[str, str],
-                out_names: Sequence[str]):
-    """Per-partition scan over Arrow record batches.  Only the key, fill and
-    lead-source columns are converted to pandas; every other column is passed
-    through as the original Arrow array."""
-    lead_src = sorted(set(lead.values()))
-    need = list(dict.fromkeys([key, *fill, *lead_src]))
-
-    def run(batches):
-        import pandas as pd
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        first_key = _UNSET
-        first_lead = {}
-        cur_key = _UNSET
-        cur_vals = {c: None for c in fill}
-        in_first_run = True
-        pending = None       # (batch, computed columns): held until its last lead is known
-        out_schema = None
-
-        def series(pdf, c):
-            s = pdf[c]
-            return s if str(s.dtype).startswith("datetime64") else s.astype(object)
-
-        def to_arrow(v, n, atype):
-            if isinstance(v, pd.Series):
-                v = v.astype(object).where(v.notna(), None) if not str(v.dtype).startswith("datetime64") else v
-                return pa.array(v, type=atype, from_pandas=True)
-            return pa.array([v] * n, type=atype, from_pandas=True)
-
-        def emit(rb, comp):
-            n = rb.num_rows
-            cols = [to_arrow(comp[f.name], n, f.type) if f.name in comp
-                    else rb.column(rb.schema.get_field_index(f.name)) for f in out_schema]
-            return pa.RecordBatch.from_arrays(cols, schema=out_schema)
-
-        def finish(item, nxt_key, nxt_vals, known):
-            rb, comp = item
-            last = comp[key].index[-1]
-            same = known and comp[key].iloc[-1] == nxt_key
-            for out_col, src in lead.items():
-                col = comp[out_col].astype(object)
-                col.at[last] = nxt_vals[src] if same else None
-                comp[out_col] = col
-            flag = comp["_open_lead"].copy()
-            flag.at[last] = not known
-            comp["_open_lead"] = flag
-            return emit(rb, comp)
-
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            if out_schema is None:
-                types = {f.name: f.type for f in rb.schema}
-                extra = {f"_open_{c}": pa.bool_() for c in fill}
-                if lead:
-                    extra["_open_lead"] = pa.bool_()
-                extra.update({f"_h_{c}": types[c] for c in lead_src})
-                extra.update({"_pid": pa.int32(), "_summary": pa.bool_(), "_fk": types[key]})
-                types.update(extra)
-                out_schema = pa.schema([pa.field(c, types[c]) for c in out_names])
-            pdf = pa.Table.from_batches([rb]).select(need).to_pandas()
-            keys = series(pdf, key)
-            first_batch = first_key is _UNSET
-            if first_batch:
-                first_key = keys.iloc[0]
-                first_lead = {c: series(pdf, c).iloc[0] for c in lead_src}
-            boundary = keys.ne(keys.shift(1))
-            continues = (not first_batch) and keys.iloc[0] == cur_key
-            boundary.iloc[0] = not continues
-            if not first_batch and not continues:
-                in_first_run = False
-            run_id = boundary.cumsum()
-            first_run = (run_id == run_id.iloc[0]) if in_first_run else pd.Series(False, index=pdf.index)
-            comp = {key: keys}
-            for c in fill:
-                incl = series(pdf, c).groupby(run_id, sort=False).ffill()
-                if continues and cur_vals[c] is not None:
-                    lead_run = run_id == run_id.iloc[0]
-                    incl = incl.where(~(lead_run & incl.isna()), cur_vals[c])
-                if inclusive:
-                    res = incl
-                else:
-                    res = incl.groupby(run_id, sort=False).shift(1)
-                    if continues:
-                        res = res.astype(object)
-                        res.iloc[0] = cur_vals[c]
-                comp[c] = res
-                comp[f"_open_{c}"] = first_run & res.isna()
-                cur_vals[c] = None if pd.isna(incl.iloc[-1]) else incl.iloc[-1]
-            if lead:
-                same_next = keys.eq(keys.shift(-1))
-                for out_col, src in lead.items():
-                    comp[out_col] = series(pdf, src).shift(-1).where(same_next, None)
-                comp["_open_lead"] = pd.Series(False, index=pdf.index)
-                for c in lead_src:
-                    comp[f"_h_{c}"] = None
-            if in_first_run and boundary.iloc[1:].any():
-                in_first_run = False
-            cur_key = keys.iloc[-1]
-            comp.update({"_pid": pid, "_summary": False, "_fk": None})
-            if lead:
-                if pending is not None:
-                    yield finish(pending, keys.iloc[0], {c: series(pdf, c).iloc[0] for c in lead_src}, True)
-                pending = (rb, comp)
-            else:
-                yield emit(rb, comp)
-        if pending is not None:
-            yield finish(pending, None, {}, False)
-        if first_key is not _UNSET:
-            summary = {f.name: None for f in out_schema}
-            summary.update({f"_open_{c}": False for c in fill})
-            summary.update({c: cur_vals[c] for c in fill})
-            summary.update({f"_h_{c}": first_lead[c] for c in lead_src})
-            if lead:
-                summary["_open_lead"] = False
-            summary.update({key: cur_key, "_fk": first_key, "_pid": pid, "_summary": True})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([summary[f.name]], type=f.type, from_pandas=True) for f in out_schema],
-                schema=out_schema)
-    return run
+
+def hour_bucket(order: str) -> Column:
+    """Hour of a timestamp column; rows without one come first."""
+    return F.coalesce(F.date_trunc("hour", order), F.lit("0001-01-01").cast("timestamp"))
 
 
 def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
                     fill: Sequence[str] = (), lead: Mapping[str, str] | None = None,
                     inclusive: bool = True, descending: bool = False,
-                    num_partitions: int | None = None) -> DataFrame:
+                    bucket: Column | None = None) -> DataFrame:
     """Ordered scan within ``key``.
 
     * ``fill``: replace each column by the last non-null value among rows of
@@ -181,72 +46,46 @@ def scan_within_key(df: DataFrame, key: str, order: Sequence[str],
       the key (NULL for the key's last row).
 
     ``order`` must be a total order within a key (append a unique id);
-    ``descending`` scans in reverse order.  Rows with a NULL key are
-    returned unchanged (lead columns NULL)."""
-    spark = df.sparkSession
+    ``descending`` scans in reverse order.  ``bucket`` must not decrease along
+    ``order`` (whatever its direction).  Rows with a NULL key are returned
+    unchanged (lead columns NULL)."""
     fill, lead = list(fill), dict(lead or {})
+    checkpoint_root(df.sparkSession)
+    base = df.withColumn("_b", bucket if bucket is not None else hour_bucket(order[0])).checkpoint(eager=True)
     types = {f.name: f.dataType for f in df.schema.fields}
-    lead_src = sorted(set(lead.values()))
-    base = df
-    for out_col, src in lead.items():
-        base = base.withColumn(out_col, F.lit(None).cast(types[src]))
-    nulls = base.filter(F.col(key).isNull())
+    nulls = base.filter(F.col(key).isNull()).select(
+        *df.columns, *[F.lit(None).cast(types[src]).alias(out) for out, src in lead.items()])
     body = base.filter(F.col(key).isNotNull())
-    ocols = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
-    # Without an explicit count the range shuffle uses the session's shuffle
-    # partitions and AQE may coalesce it to the advisory size; merged
-    # partitions are adjacent ranges, so partition order stays key order.
-    rkeys = [F.col(key).asc(), *ocols]
-    ranged = (body.repartitionByRange(num_partitions, *rkeys) if num_partitions
-              else body.repartitionByRange(*rkeys)).sortWithinPartitions(*rkeys)
-    schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
-        + [T.StructField(f"_open_{c}", T.BooleanType()) for c in fill]
-        + ([T.StructField("_open_lead", T.BooleanType())] if lead else [])
-        + [T.StructField(f"_h_{c}", types[c]) for c in lead_src]
-        + [T.StructField("_pid", T.IntegerType()), T.StructField("_summary", T.BooleanType()),
-           T.StructField("_fk", types[key])])
-    scanned = ranged.mapInArrow(_local_scan(key, fill, inclusive, lead, schema.fieldNames()), schema)
-    checkpoint_root(spark)
-    scanned = scanned.checkpoint(eager=True)
-
-    summary = scanned.filter(F.col("_summary")).select(
-        "_pid", "_fk", F.col(key).alias("_lk"),
-        *[F.col(c).alias(f"_t_{c}") for c in fill], *[F.col(f"_h_{c}") for c in lead_src])
-    # Bounded by the number of partitions: single-partition windows are fine here.
-    w_key = Window.partitionBy("_lk").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    w_seq = Window.orderBy("_pid")
-    pref = summary.select(
-        "_pid", "_fk", "_lk", *[F.col(f"_h_{c}") for c in lead_src],
-        *[F.last(f"_t_{c}", ignorenulls=True).over(w_key).alias(f"_p_{c}") for c in fill])
-    carry = pref.select(
-        "_pid",
-        F.coalesce(F.lag("_lk").over(w_seq) == F.col("_fk"), F.lit(False)).alias("_m"),
-        *[F.lag(f"_p_{c}").over(w_seq).alias(f"_l_{c}") for c in fill],
-        F.coalesce(F.lead("_fk").over(w_seq) == F.col("_lk"), F.lit(False)).alias("_mn"),
-        *[F.lead(f"_h_{c}").over(w_seq).alias(f"_n_{c}") for c in lead_src])
-    carry = carry.select(
-        "_pid",
-        *[F.when(F.col("_m"), F.col(f"_l_{c}")).alias(f"_c_{c}") for c in fill],
-        *[F.when(F.col("_mn"), F.col(f"_n_{c}")).alias(f"_cn_{c}") for c in lead_src])
-
-    rows = scanned.filter(~F.col("_summary"))
-    filled = rows.join(F.broadcast(carry), "_pid", "left")
-    out_cols = []
-    for c in base.columns:
-        if c in fill:
-            out_cols.append(F.coalesce(F.col(c), F.when(F.col(f"_open_{c}"), F.col(f"_c_{c}"))).alias(c))
-        elif c in lead:
-            out_cols.append(F.when(F.col("_open_lead"), F.col(f"_cn_{lead[c]}"))
-                             .otherwise(F.col(c)).alias(c))
-        else:
-            out_cols.append(F.col(c))
-    return filled.select(*out_cols).unionByName(nulls)
+
+    def sort(c: str) -> Column:
+        return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
+
+    # order of rows as one struct; min_by / max_by take the first / last row
+    place = F.struct(*order)
+    first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
+    sums = body.groupBy(key, "_b").agg(
+        *[last(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"_t_{c}") for c in fill],
+        *[first(F.struct(src), place).alias(f"_h_{out}") for out, src in lead.items()])
+    along = Window.partitionBy(key).orderBy(sort("_b"))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(
+        key, "_b",
+        *[F.last(f"_t_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fill],
+        *[F.lead(f"_h_{out}").over(along).alias(f"_n_{out}") for out in lead])
+
+    own = Window.partitionBy(key, "_b").orderBy(*map(sort, order))
+    upto = own.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local = body.select(
+        "*", *[F.last(c, ignorenulls=True).over(upto).alias(f"_f_{c}") for c in fill],
+        *[F.lead(F.struct(src)).over(own).alias(f"_l_{out}") for out, src in lead.items()])
+    joined = local.join(carry, [key, "_b"])
+    done = joined.select(
+        *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in fill else F.col(c) for c in df.columns],
+        *[F.coalesce(f"_l_{out}", f"_n_{out}")[src].alias(out) for out, src in lead.items()])
+    return done.unionByName(nulls)
 
 
 def fill_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-                    inclusive: bool = True, descending: bool = False,
-                    num_partitions: int | None = None) -> DataFrame:
+                    inclusive: bool = True, descending: bool = False, bucket: Column | None = None) -> DataFrame:
     """Forward fill only (see :func:`scan_within_key`)."""
-    return scan_within_key(df, key, order, fill=cols, inclusive=inclusive,
-                           descending=descending, num_partitions=num_partitions)
+    return scan_within_key(df, key, order, fill=cols, inclusive=inclusive, descending=descending, bucket=bucket)

@@ -61,7 +61,7 @@ def _first_by_time(value: str) -> Column:
     return F.when(F.col(value).isNotNull(), F.struct("event_timestamp", "event_id"))
 
 
-def _session_metrics(start: Column, end: Column) -> list[Column]:
+def _session_metrics() -> list[Column]:
     return [
         (F.col("session_end").cast("long") - F.col("session_start").cast("long")).alias("session_duration_secs"),
         (F.col("page_count") == 1).alias("is_bounce"),
@@ -69,21 +69,42 @@ def _session_metrics(start: Column, end: Column) -> list[Column]:
     ]
 
 
+SESSION_KEYS = ("session_id", "user_id", "anonymous_id", "device", "country")
+
+
+def session_partials(events: DataFrame) -> DataFrame:
+    """Mergeable session rows at the code's grain (``SESSION_KEYS``): bounds,
+    number of events, and the earliest / latest (time, id, page) with a page.
+    Partials of disjoint sets of events add up by :func:`merge_partials`."""
+    paged = F.when(F.col("page").isNotNull(), F.struct("event_timestamp", "event_id", "page"))
+    return events.groupBy(*SESSION_KEYS).agg(
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+        F.count("event_id").alias("page_count"),
+        F.min(paged).alias("entry"),
+        F.max(paged).alias("exit"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*SESSION_KEYS).agg(
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        F.sum("page_count").alias("page_count"),
+        F.min("entry").alias("entry"),
+        F.max("exit").alias("exit"))
+
+
+def sessions_of_partials(merged: DataFrame) -> DataFrame:
+    return merged.select(*SESSION_KEYS, "session_start", "session_end", "page_count",
+                         F.col("entry.page").alias("entry_page"), F.col("exit.page").alias("exit_page"),
+                         *_session_metrics())
+
+
 def sessions_by_attributes(events: DataFrame) -> DataFrame:
     """Sessions at the code's grain: one row per (session_id, user_id,
     anonymous_id, device, country).  ``page_count`` counts all events; entry
     and exit pages are the earliest / latest non-null page by (time, id)."""
-    keys = ["session_id", "user_id", "anonymous_id", "device", "country"]
-    agg = events.groupBy(*keys).agg(
-        F.min("event_timestamp").alias("session_start"),
-        F.max("event_timestamp").alias("session_end"),
-        F.count("event_id").alias("page_count"),
-        F.min_by("page", _first_by_time("page")).alias("entry_page"),
-        F.max_by("page", _first_by_time("page")).alias("exit_page"),
-    )
-    return agg.select(*keys, "session_start", "session_end", "page_count",
-                      "entry_page", "exit_page",
-                      *_session_metrics(F.col("session_start"), F.col("session_end")))
+    return sessions_of_partials(session_partials(events))
 
 
 def sessions(events: DataFrame) -> DataFrame:
@@ -107,7 +128,7 @@ def sessions(events: DataFrame) -> DataFrame:
     return agg.select("session_id", "user_id", "anonymous_id", "device", "country",
                       "session_start", "session_end", "page_count", "page_view_count",
                       "entry_page", "exit_page",
-                      *_session_metrics(F.col("session_start"), F.col("session_end")))
+                      *_session_metrics())
 
 
 def plan_events(events: DataFrame) -> DataFrame:
@@ -134,8 +155,15 @@ def user_signups(events: DataFrame) -> DataFrame:
         F.col("event_timestamp").alias("signed_up_at"))
 
 
-def users_scd2(events: DataFrame, updated_at: Column | None = None,
-               num_partitions: int | None = None) -> DataFrame:
+def user_versions(events: DataFrame) -> DataFrame:
+    """user_id, valid_from, event_id, plan: where each version of a user starts
+    (what as-of lookups need of the history)."""
+    return plan_events(events).filter(F.col("user_id").isNotNull()).select(
+        "user_id", F.col("event_timestamp").alias("valid_from"), "event_id",
+        F.coalesce("to_plan", "plan").alias("plan"))
+
+
+def users_scd2(events: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Documented SCD Type 2 user history: one row per plan event.
 
     plan = ``coalesce(to_plan, plan)``; rows of a user are ordered by
@@ -145,9 +173,9 @@ def users_scd2(events: DataFrame, updated_at: Column | None = None,
     event type, so churned intervals can be told apart.
 
     "Next row within user" is computed by the skew-safe ordered scan
-    (:func:`strata.operators.scan.scan_within_key`, one pass for
-    both the forward fill and the lead), not a per-user window:
-    a user with a huge history is spread over many range partitions."""
+    (:func:`strata.operators.scan.scan_within_key`, one pass for both the
+    forward fill and the lead) over the plan events alone, not by a per-user
+    window: a user with a huge history is spread over its hours."""
     now = updated_at if updated_at is not None else F.current_timestamp()
     pe = plan_events(events).filter(F.col("user_id").isNotNull()).select(
         "user_id",
@@ -158,8 +186,7 @@ def users_scd2(events: DataFrame, updated_at: Column | None = None,
         "event_id",
     )
     nxt = scan_within_key(pe, "user_id", ["valid_from", "event_id"],
-                          fill=["country", "device"], lead={"valid_to": "valid_from"},
-                          num_partitions=num_partitions)
+                          fill=["country", "device"], lead={"valid_to": "valid_from"})
     return nxt.select(
         "user_id", "plan", "country", "device", "valid_from", "valid_to",
         F.col("valid_to").isNull().alias("is_current"),

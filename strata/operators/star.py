@@ -67,20 +67,25 @@ def dim_campaigns(events: DataFrame) -> DataFrame:
         "first_seen", "events")
 
 
-def fact_events(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Event grain with dimension keys: date_key, user_key of the SCD2
-    version in force at the event (as-of), feature and campaign keys."""
+def event_facts(events: DataFrame) -> DataFrame:
+    """Event grain with the keys that need no lookup: date_key, feature and
+    campaign keys."""
     ev = with_event_date(events)
     has_utm = F.coalesce("utm_source", "utm_medium", "utm_campaign").isNotNull()
-    base = ev.select(
+    return ev.select(
         "event_id", date_key().alias("date_key"), "event_timestamp", "event_type",
         "user_id", "anonymous_id", "session_id", "feature_name",
         F.when(has_utm, campaign_key()).alias("campaign_key"),
         "duration_seconds", "mrr_usd", "mrr_lost_usd")
-    # The as-of scan carries the event columns through, so no join back.
+
+
+def fact_events(events: DataFrame, users: DataFrame) -> DataFrame:
+    """:func:`event_facts` with user_key, the SCD2 version in force at the
+    event (as-of).  Of ``users`` only user_id, valid_from and event_id are
+    needed (:func:`strata.operators.silver.user_versions`)."""
     versions = users.select("user_id", "valid_from", "event_id",
                             F.concat_ws(":", "user_id", "event_id").alias("user_key"))
-    return asof_lookup(base, versions, ["user_key"])
+    return asof_lookup(event_facts(events), versions, ["user_key"])
 
 
 def fact_sessions(sessions: DataFrame) -> DataFrame:

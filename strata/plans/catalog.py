@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import asof, bronze, checks, gold, kpi, merge, silver, star
 from strata import sinks
+from strata.plans import jobs
 from strata.session import configure, work_dir
 from strata.sources.tables import read_event_stream, read_stage, read_table_stream, stage_files
 from strata.streaming.jobs import (
@@ -21,6 +22,7 @@ from strata.streaming.jobs import (
     read_dlq,
     read_events,
     read_gold,
+    read_late,
     read_plan_events,
     read_sessions,
     read_users,
@@ -177,7 +179,7 @@ def q_users_current(spark, sf_dir):
 @query("events_with_plan_asof")
 def q_events_with_plan_asof(spark, sf_dir):
     ev = silver_events(spark, sf_dir)
-    return asof.plan_asof(ev, silver.users_scd2(ev))
+    return asof.plan_asof(ev, silver.user_versions(ev))
 
 
 @query("feature_plan_breakdown")
@@ -361,7 +363,7 @@ def q_dim_campaigns(spark, sf_dir):
 @query("fact_events")
 def q_fact_events(spark, sf_dir):
     ev = _wide(spark, sf_dir)
-    return star.fact_events(ev, silver.users_scd2(ev))
+    return star.fact_events(ev, silver.user_versions(ev))
 
 
 @query("fact_sessions")
@@ -377,8 +379,7 @@ def q_fact_mrr(spark, sf_dir):
 @query("star_events_by_feature")
 def q_star_events_by_feature(spark, sf_dir):
     ev = _wide(spark, sf_dir)
-    facts = star.fact_events(ev, silver.users_scd2(ev))
-    return star.events_by_feature_month(facts, star.dim_date(ev), star.dim_features(ev))
+    return star.events_by_feature_month(star.event_facts(ev), star.dim_date(ev), star.dim_features(ev))
 
 
 @query("star_mrr_by_month")
@@ -443,8 +444,10 @@ def q_stage_typed_scan(spark, sf_dir):
 
 @query("stage_files")
 def q_stage_files(spark, sf_dir):
+    """Staged files, summed up by stage (their names are Spark's)."""
     base = _export(spark, sf_dir, "gold_stage_list")
-    return stage_files(spark, {n: f"{base}/{n}/" for n in schemas.GOLD_SCHEMAS})
+    files = stage_files(spark, {n: f"{base}/{n}/" for n in schemas.GOLD_SCHEMAS})
+    return files.groupBy("stage").agg(F.sum("row_count").alias("row_count"), F.min(F.col("file_size") > 0).alias("sized"))
 
 
 @query("schema_evolution_union")
@@ -461,9 +464,7 @@ def q_schema_evolution_union(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=None,
-                   sessions_mode="update", via_bronze_table=False, gold_tables=(),
-                   upsert_users=False):
+def _stream_silver(spark, sf_dir, name, runs=((0, 3),), messages=None, via_bronze_table=False, **options):
     root = work_dir(spark, name)
     raw = read_table(spark, sf_dir, "events")
     msgs = messages(raw) if messages else fixture.broker_messages(raw)
@@ -477,17 +478,14 @@ def _stream_silver(spark, sf_dir, name, runs=((0, 3),), dedup="state", messages=
         if via_bronze_table:
             # message stream -> bronze table (append, date-partitioned) ->
             # table stream -> silver
-            qb = start_bronze(stream, paths.bronze, paths.checkpoint("bronze"), "availableNow",
-                              ingested_at=F.col("timestamp"))
-            run_to_completion([qb])
-            queries.append(qb)
+            run_to_completion([start_bronze(stream, paths.bronze, paths.checkpoint("bronze"), "availableNow",
+                                            ingested_at=F.col("timestamp"))])
             b = read_table_stream(spark, paths.bronze, schemas.BRONZE, max_files_per_trigger=8)
         else:
             b = bronze.to_bronze(stream, ingested_at=F.col("timestamp"))
-        qs = start_silver(b, paths, trigger="availableNow", dedup=dedup, sessions_mode=sessions_mode,
-                          gold_tables=gold_tables, upsert_users=upsert_users)
-        run_to_completion(qs)
-        queries.extend(qs)
+        q = start_silver(b, paths, trigger="availableNow", **options)
+        run_to_completion([q])
+        queries.append(q)
     return paths, queries
 
 
@@ -499,37 +497,36 @@ def q_stream_silver_events(spark, sf_dir):
 
 @query("stream_sessions")
 def q_stream_sessions(spark, sf_dir):
-    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions")
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions", outputs=("sessions",))
     return read_sessions(spark, paths)
 
 
 @query("stream_users_scd2")
 def q_stream_users_scd2(spark, sf_dir):
-    paths, _ = _stream_silver(spark, sf_dir, "stream_users")
+    paths, _ = _stream_silver(spark, sf_dir, "stream_users", outputs=("plan_events",))
     return silver.users_scd2(read_plan_events(spark, paths)).drop("updated_at")
 
 
 @query("stream_restart_exactly_once")
 def q_stream_restart_exactly_once(spark, sf_dir):
     """First run sees half of the message files; after more files arrive the
-    same queries restart from their checkpoints: every event exactly once."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_restart", runs=((0, 1), (2, 3)))
+    same query restarts from its checkpoint: every event exactly once."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_restart", runs=((0, 1), (2, 3)), outputs=("events",))
     return read_events(spark, paths)
 
 
 @query("stream_health")
 def q_stream_health(spark, sf_dir):
-    _, queries = _stream_silver(spark, sf_dir, "stream_health")
-    rows = stream_health(queries)
-    return spark.createDataFrame(rows, "query_id string, is_active boolean, message string, "
-                                      "last_batch_id long, last_input_rows long, total_input_rows long")
+    """Status of the query and its input rows over two runs."""
+    paths, queries = _stream_silver(spark, sf_dir, "stream_health", runs=((0, 1), (2, 3)), outputs=("events",))
+    return stream_health(spark, queries[-1:], paths)
 
 
 @query("stream_dedup_redelivery")
 def q_stream_dedup_redelivery(spark, sf_dir):
     """At-least-once delivery: re-sent copies arrive in later files and
-    micro-batches; the streaming dedup state drops them."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_redelivery",
+    micro-batches and are recognised by the events table."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_redelivery", outputs=("events",),
                               messages=lambda raw: fixture.redelivered(raw))
     return read_events(spark, paths)
 
@@ -537,7 +534,7 @@ def q_stream_dedup_redelivery(spark, sf_dir):
 @query("stream_dlq_events")
 def q_stream_dlq_events(spark, sf_dir):
     """Contract violations routed to the dead-letter sink by the stream."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_dlq",
+    paths, _ = _stream_silver(spark, sf_dir, "stream_dlq", outputs=("dlq",),
                               messages=lambda raw: fixture.broker_messages(raw, corrupt=True))
     return read_dlq(spark, paths)
 
@@ -546,46 +543,97 @@ def q_stream_dlq_events(spark, sf_dir):
 def q_stream_bronze_to_silver(spark, sf_dir):
     """Bronze append stream into a date-partitioned table, then silver
     streaming from that table (the medallion hop)."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_medallion", via_bronze_table=True)
+    paths, _ = _stream_silver(spark, sf_dir, "stream_medallion", via_bronze_table=True, outputs=("events",))
     return read_events(spark, paths)
 
 
 @query("stream_sessions_complete")
 def q_stream_sessions_complete(spark, sf_dir):
     """Sessions in complete output mode: each batch rewrites the snapshot."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions_complete", sessions_mode="complete")
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions_complete", sessions_mode="complete", outputs=("sessions",))
     return spark.read.parquet(paths.sessions_snapshot)
 
 
+def _backfill_last(raw):
+    """Messages with bad ones among them, the early days' events with k >= 90
+    held back to the end, and some sent again."""
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    held = (F.dayofmonth(F.col("ts").cast("timestamp")) <= 3) & (k >= 90)
+    first = fixture.broker_messages(raw.filter(~held), corrupt=True)
+    first = first.unionByName(fixture.after_last(first, fixture.broker_messages(raw.filter(held))))
+    again = fixture.broker_messages(raw.filter(F.col("event_id") % 11 == 0).filter(k > 6))
+    return first.unionByName(fixture.after_last(first, again))
+
+
 @query("stream_dedup_watermark")
 def q_stream_dedup_watermark(spark, sf_dir):
-    """Bounded-state dedup (dropDuplicatesWithinWatermark) under redelivery."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_dedup_wm", dedup="watermark",
-                              messages=lambda raw: fixture.redelivered(raw))
-    return read_events(spark, paths)
+    """One-hour watermark under bad messages, backfill and redelivery: silver
+    and the late output together hold every valid event."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_dedup_wm", watermark="1 hour", outputs=("events",),
+                              messages=_backfill_last)
+    late = read_late(spark, paths).drop("processed_at")
+    # an event behind the watermark may be sent again: the late output keeps both
+    return read_events(spark, paths).drop("processed_at").unionByName(late).distinct()
 
 
 @query("stream_gold_self_healing")
 def q_stream_gold_self_healing(spark, sf_dir):
     """Late data heals gold: events of the first days with k >= 90 arrive in
-    a last, late file; each micro-batch refreshes DAU for the dates it
-    touched, so the final DAU equals the DAU over all events."""
+    a last, late file; each micro-batch refreshes all five tables for the dates
+    it touched, so their row counts and sums equal those over all events."""
     def late_last(raw):
         k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
         late = (F.dayofmonth(F.col("ts").cast("timestamp")) <= 3) & (k >= 90)
         on_time = fixture.broker_messages(raw.filter(~late))
-        held = (fixture.broker_messages(raw.filter(late))
-                .withColumn("offset", F.col("offset") + F.lit(10**9)))
-        return on_time.unionByName(held)
-    paths, _ = _stream_silver(spark, sf_dir, "stream_gold_heal", messages=late_last,
-                              gold_tables=("daily_active_users",))
-    return read_gold(spark, paths, "daily_active_users")
+        return on_time.unionByName(fixture.after_last(on_time, fixture.broker_messages(raw.filter(late))))
+    paths, _ = _stream_silver(spark, sf_dir, "stream_gold_heal", messages=late_last, outputs=("sessions",),
+                              gold_tables=tuple(schemas.GOLD_SCHEMAS))
+    measure = {"daily_active_users": "dau_count", "mrr_metrics": "net_mrr", "funnel_metrics": "unique_visitors",
+               "feature_adoption": "unique_users", "session_quality": "avg_session_duration_secs"}
+    frames = [read_gold(spark, paths, name).select(
+        F.lit(name).alias("table_name"), "date", F.col("feature_name" if name == "feature_adoption" else "date")
+        .cast("string").alias("key"), F.col(col).cast("double").alias("value")) for name, col in measure.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 @query("stream_users_scd2_upsert")
 def q_stream_users_scd2_upsert(spark, sf_dir):
-    """SCD2 maintained per micro-batch: touched users' histories recomputed
-    and merged, across a restart with more data."""
+    """SCD2 maintained per micro-batch: touched users' histories rebuilt and
+    appended, across a restart with more data."""
     paths, _ = _stream_silver(spark, sf_dir, "stream_users_upsert", runs=((0, 1), (2, 3)),
-                              upsert_users=True)
-    return read_users(spark, paths)
+                              outputs=("events",), upsert_users=True)
+    return read_users(spark, paths).drop("updated_at")
+
+
+# ------------------------------------------------------------------ incremental batch
+@query("batch_silver_reprocess")
+def q_batch_silver_reprocess(spark, sf_dir):
+    """Full batch run, then one ingestion day again: nothing else changes.
+    Returns (part, key, n, total) over events, sessions and users read back."""
+    root = work_dir(spark, "batch_reprocess")
+    sinks.write_snapshot(_bronze(spark, sf_dir), f"{root}/bronze", ["processing_date"])
+    jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver")
+    day = spark.read.parquet(f"{root}/bronze").agg(F.min("processing_date")).first()[0]
+    paths = jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver", (str(day), str(day)))
+    events, sess, users = (spark.read.parquet(paths[n]) for n in ("events", "sessions", "users"))
+    return (events.select(F.lit("event").alias("part"), F.col("event_id").alias("key"), F.lit(1).cast("long").alias("n"),
+                          F.unix_timestamp("event_timestamp").alias("total"))
+            .unionByName(sess.groupBy(F.lit("session").alias("part"), F.col("session_id").alias("key")).agg(
+                F.count(F.lit(1)).alias("n"), F.sum("page_count").alias("total")))
+            .unionByName(users.groupBy(F.lit("user").alias("part"), F.col("user_id").alias("key")).agg(
+                F.count(F.lit(1)).alias("n"), F.sum(F.unix_timestamp(F.coalesce("valid_to", "valid_from"))).alias("total"))))
+
+
+@query("merge_upsert_evolve")
+def q_merge_upsert_evolve(spark, sf_dir):
+    """Additive evolution through the keyed load: the source brings a column
+    the target lacks; first and second load take one path."""
+    base = work_dir(spark, "evolve") + "/dau"
+    g = merge.conform(gold.daily_active_users(silver_events(spark, sf_dir)), schemas.GOLD_DAU)
+    day = F.dayofmonth("date")
+    sinks.merge_into(spark, base, g.filter(day <= 20), ["date"])
+    return sinks.merge_into(spark, base, g.filter(day >= 11).withColumn("region", F.concat(F.lit("r"), day.cast("string"))), ["date"],
+                            schemas.GOLD_UPDATE_COLUMNS["daily_active_users"])

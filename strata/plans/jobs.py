@@ -14,30 +14,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas, sinks
+from strata.operators import bronze as B
 from strata.operators import gold, merge, silver
+from strata.session import work_dir
 from strata.sources.tables import read_stage
 
 
 def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
                      processing_dates: tuple[str, str] | None = None) -> dict[str, str]:
     """Bronze table -> silver events (deduplicated), dead letters, sessions
-    and SCD2 users.  ``processing_dates`` (inclusive range) prunes bronze
-    partitions."""
-    from strata.operators import bronze as B
+    and SCD2 users.  Bronze is decoded once, into a staged copy that all
+    outputs read.
+
+    ``processing_dates`` (inclusive range of ingestion dates) reprocesses
+    those bronze partitions and keeps the rest: of events, only the dates the
+    range's events fall on are rewritten, from the new rows and the stored ones
+    of other ingestion dates; of dead letters, the range's partitions; of
+    sessions and users, the rows of the session and user ids in the range,
+    from all silver events of theirs."""
+    stage = work_dir(spark, "silver-stage")
+    paths = {name: f"{out}/{name}" for name in ("events", "dlq", "sessions", "users")}
     b = spark.read.parquet(bronze_path)
     if processing_dates:
-        b = b.filter(F.col("processing_date").between(*processing_dates))
-    valid, rejected = B.split_contract(B.decode_payload(b))
-    events = silver.dedup_events(silver.flatten_events(valid),
-                                 order_by=("processed_at", "kafka_partition", "kafka_offset"),
-                                 tiebreak=False).select(*schemas.SILVER_EVENT_COLUMNS)
-    paths = {"events": f"{out}/events", "dlq": f"{out}/dlq", "sessions": f"{out}/sessions",
-             "users": f"{out}/users"}
-    sinks.write_snapshot(events, paths["events"], ["processing_date"])
-    sinks.write_snapshot(B.dead_letters(rejected), paths["dlq"])
-    ev = spark.read.parquet(paths["events"])
-    sinks.write_snapshot(silver.sessions_by_attributes(ev), paths["sessions"])
-    sinks.write_snapshot(silver.users_scd2(ev), paths["users"])
+        b = b.filter(F.col("processing_date").between(*(F.lit(d).cast("date") for d in processing_dates)))
+    tagged = B.tag_contract(B.decode_payload(b)).drop("value")
+    sinks.write_snapshot(tagged, f"{stage}/decoded")
+    decoded = spark.read.parquet(f"{stage}/decoded")
+    dead = decoded.filter(F.col("error").isNotNull())
+    sinks.overwrite_partitions(B.dead_letters(dead).withColumn("processing_date", F.to_date("ingested_at")), paths["dlq"],
+                               ["processing_date"], static=not processing_dates)
+    flat = silver.flatten_events(decoded.filter(F.col("error").isNull()))
+    fresh = silver.dedup_events(flat, order_by=("processed_at", "kafka_partition", "kafka_offset"),
+                                tiebreak=False).select(*schemas.SILVER_EVENT_COLUMNS)
+    if not processing_dates:
+        sinks.write_snapshot(fresh, paths["events"], ["processing_date"])
+        ev = spark.read.parquet(paths["events"])
+        sinks.write_snapshot(silver.sessions_by_attributes(ev), paths["sessions"])
+        sinks.write_snapshot(silver.users_scd2(ev), paths["users"])
+        return paths
+
+    sinks.write_snapshot(fresh, f"{stage}/fresh")
+    fresh = spark.read.parquet(f"{stage}/fresh")
+    dates = fresh.select("processing_date").distinct()  # bounded by the calendar
+    stored = (spark.read.parquet(paths["events"]).join(F.broadcast(dates), "processing_date", "left_semi")
+              .filter(~F.to_date("processed_at").between(*(F.lit(d).cast("date") for d in processing_dates))))
+    rebuilt = silver.dedup_events(stored.select(*fresh.columns).unionByName(fresh), order_by=("processed_at",))
+    sinks.write_snapshot(rebuilt, f"{stage}/events", ["processing_date"])
+    sinks.overwrite_partitions(spark.read.parquet(f"{stage}/events"), paths["events"], ["processing_date"])
+    ev = spark.read.parquet(paths["events"]).select(*schemas.SILVER_EVENT_COLUMNS)
+    for name, key, build in (("sessions", "session_id", silver.sessions_by_attributes), ("users", "user_id", silver.users_scd2)):
+        ids = fresh.select(key).filter(F.col(key).isNotNull()).distinct()
+        old = spark.read.parquet(paths[name])
+        kept = old.join(ids, key, "left_anti").select(*old.columns)
+        again = build(ev.join(ids, key, "left_semi").select(*ev.columns)).select(*old.columns)
+        sinks.write_snapshot(kept.unionByName(again), f"{stage}/{name}")
+        sinks.write_snapshot(spark.read.parquet(f"{stage}/{name}"), paths[name])
     return paths
 
 

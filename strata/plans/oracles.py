@@ -217,17 +217,20 @@ register("dlq_events", with_silver(f"""
 SELECT 'saas.events.raw' AS kafka_topic, CAST(_eid % 3 AS INTEGER) AS kafka_partition,
   _eid AS kafka_offset,
   CASE WHEN _k IN (0, 3) THEN NULL ELSE event_id END AS event_id,
-  CASE WHEN _k = 3 THEN '<<garbage ' || event_id || '>>' ELSE {_CORRUPT_PAYLOAD} END AS payload,
+  CASE WHEN _k = 3 THEN '<<garbage ' || event_id || '>>'
+       WHEN _k = 5 THEN '{{"event_id":"' || event_id || '","event_type":"upgrade","timestamp":"2024-01-01T00:00:00Z","properties":{{"mrr_usd":"oops"}}}}'
+       ELSE {_CORRUPT_PAYLOAD} END AS payload,
   CASE _k WHEN 0 THEN 'missing required field: event_id'
           WHEN 1 THEN 'missing required field: event_type'
           WHEN 2 THEN 'missing required field: timestamp'
           WHEN 3 THEN 'undecodable payload'
-          WHEN 4 THEN 'unparsable timestamp' END AS error,
+          WHEN 4 THEN 'unparsable timestamp'
+          WHEN 5 THEN 'value of the wrong type' END AS error,
   event_timestamp AS ingested_at
-FROM silver WHERE _k BETWEEN 0 AND 4"""))
+FROM silver WHERE _k BETWEEN 0 AND 5"""))
 
 register("contract_valid_events", with_silver(f"""
-SELECT {SILVER_COLS} FROM silver WHERE _k NOT BETWEEN 0 AND 4"""))
+SELECT {SILVER_COLS} FROM silver WHERE _k NOT BETWEEN 0 AND 5"""))
 
 # ------------------------------------------------------------------ silver
 register("silver_events", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
@@ -584,6 +587,26 @@ register("stream_dedup_redelivery", with_silver(f"SELECT {SILVER_COLS} FROM silv
 register("stream_dlq_events", ORACLES["dlq_events"])
 register("stream_bronze_to_silver", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
 register("stream_sessions_complete", with_silver("SELECT * FROM sess_attr_full", SESSIONS_ATTR_CTE))
-register("stream_dedup_watermark", with_silver(f"SELECT {SILVER_COLS} FROM silver"))
-register("stream_gold_self_healing", with_silver(_conformed("daily_active_users"), GOLD_CTES))
+register("stream_dedup_watermark", with_silver(f"""
+SELECT {SILVER_COLS.replace(' processed_at,', '')} FROM silver
+WHERE _k > 5"""))
+register("stream_gold_self_healing", with_silver("""
+SELECT 'daily_active_users' AS table_name, date, CAST(date AS VARCHAR) AS key, CAST(dau_count AS DOUBLE) AS value FROM dau
+UNION ALL SELECT 'mrr_metrics', date, CAST(date AS VARCHAR), CAST(net_mrr AS DOUBLE) FROM mrr
+UNION ALL SELECT 'funnel_metrics', date, CAST(date AS VARCHAR), CAST(unique_visitors AS DOUBLE) FROM funnel
+UNION ALL SELECT 'feature_adoption', date, feature_name, CAST(unique_users AS DOUBLE) FROM fa
+UNION ALL SELECT 'session_quality', date, CAST(date AS VARCHAR), CAST(avg_session_duration_secs AS DOUBLE) FROM sq""", GOLD_CTES))
+register("stream_health", "SELECT 'silver' AS query_name, FALSE AS is_active, COUNT(*) AS total_input_rows FROM events")
+register("stage_files", with_silver(" UNION ALL ".join(
+    f"SELECT '{n}' AS stage, COUNT(*) AS row_count, TRUE AS sized FROM {c}" for n, c in (
+        ("daily_active_users", "dau"), ("mrr_metrics", "mrr"), ("funnel_metrics", "funnel"), ("feature_adoption", "fa"),
+        ("session_quality", "sq"))), GOLD_CTES))
+register("batch_silver_reprocess", with_silver("""
+SELECT 'event' AS part, event_id AS key, CAST(1 AS BIGINT) AS n, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS total FROM silver
+UNION ALL SELECT 'session', session_id, COUNT(*), CAST(SUM(page_count) AS BIGINT) FROM sess_attr_full GROUP BY session_id
+UNION ALL SELECT 'user', user_id, COUNT(*), CAST(SUM(floor(epoch(COALESCE(valid_to, valid_from)))) AS BIGINT) FROM scd_full GROUP BY user_id""",
+    SESSIONS_ATTR_CTE + ", " + SCD2_CTE))
+register("merge_upsert_evolve", with_silver("""
+SELECT *, CASE WHEN day(date) >= 11 THEN 'r' || CAST(day(date) AS VARCHAR) END AS region FROM (""" + _conformed("daily_active_users") + ") t",
+    GOLD_CTES))
 register("stream_users_scd2_upsert", with_silver("SELECT * FROM scd_full", SCD2_CTE))

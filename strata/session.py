@@ -7,7 +7,7 @@ stream checkpoints, lineage cuts) take their folder from
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -72,6 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -79,8 +82,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    path = f"{checkpoint_root(spark)}/strata-work/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique folder under the shared checkpoint root (created by
+    the first write to it)."""
+    return f"{checkpoint_root(spark)}/strata-work/{name}-{uuid.uuid4().hex[:12]}"

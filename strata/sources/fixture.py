@@ -144,7 +144,9 @@ def broker_messages(events: DataFrame, topic: str = TOPIC, partitions: int = 3,
 
     ``corrupt=True`` injects contract violations by the row's ``k``:
     0 → event_id NULL, 1 → event_type NULL, 2 → timestamp NULL,
-    3 → payload is not JSON, 4 → unparsable timestamp text."""
+    3 → payload is not JSON, 4 → unparsable timestamp text, 5 → ``mrr_usd``
+    holds a word; and 6 → a blank before
+    the payload, which violates nothing."""
     m = mapped(events)
     ev = raw_event_struct()
     k = F.col("_k")
@@ -155,7 +157,10 @@ def broker_messages(events: DataFrame, topic: str = TOPIC, partitions: int = 3,
                            .when(k == 4, F.lit("not-a-timestamp")).otherwise(ev["timestamp"])))
     text = payload_json(ev)
     if corrupt:
-        text = F.when(k == 3, F.concat(F.lit("<<garbage "), F.col("event_id"), F.lit(">>"))).otherwise(text)
+        text = (F.when(k == 3, F.concat(F.lit("<<garbage "), F.col("event_id"), F.lit(">>")))
+                 .when(k == 5, F.concat(F.lit('{"event_id":"'), F.col("event_id"), F.lit('","event_type":"upgrade",'
+                       '"timestamp":"2024-01-01T00:00:00Z","properties":{"mrr_usd":"oops"}}')))
+                 .when(k == 6, F.concat(F.lit(" "), text)).otherwise(text))
     value = F.concat(F.lit(FRAME_HEADER), text.cast("binary"))
     return m.select(
         F.col("event_id").cast("binary").alias("key"),
@@ -168,34 +173,40 @@ def broker_messages(events: DataFrame, topic: str = TOPIC, partitions: int = 3,
     )
 
 
-def redelivered(events: DataFrame, k_below: int = 10, offset_shift: int = 10**9,
+def after_last(messages: DataFrame, again: DataFrame) -> DataFrame:
+    """``again`` at offsets after the last one of ``messages``."""
+    last = messages.agg(F.max("offset")).first()[0] or 0
+    return again.withColumn("offset", F.col("offset") + F.lit(last + 1))
+
+
+def redelivered(events: DataFrame, k_below: int = 10,
                 delay: str = "1 hour", topic: str = TOPIC, partitions: int = 3) -> DataFrame:
     """Broker rows with at-least-once redelivery: every event, plus a second
     copy of events with ``k < k_below`` at a later offset and broker time."""
     first = broker_messages(events, topic, partitions)
     again_src = events.filter(F.regexp_extract("props", "[0-9]+", 0).cast("int") < k_below)
     again = (broker_messages(again_src, topic, partitions)
-             .withColumn("offset", F.col("offset") + F.lit(offset_shift))
              .withColumn("timestamp", F.col("timestamp") + F.expr(f"INTERVAL {delay}")))
-    return first.unionByName(again)
+    return first.unionByName(after_last(first, again))
 
 
 def write_message_files(messages: DataFrame, path: str, groups: int = 4,
-                        files_per_group: int = 2, first_group: int = 0,
+                        rows_per_file: int = 500_000, first_group: int = 0,
                         last_group: int | None = None) -> list[str]:
     """Archive broker rows as Parquet files in arrival order: the offset range
     is cut into ``groups`` consecutive slices, each written by its own job
-    (so file modification times follow offsets) as ``files_per_group``
-    range-partitioned files.  ``first_group``/``last_group`` write a subset,
-    e.g. to add data between two runs of a stream."""
-    bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    (so file modification times follow offsets) as range-partitioned files of
+    about ``rows_per_file`` rows.  ``first_group``/``last_group`` write a
+    subset, e.g. to add data between two runs of a stream."""
+    bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // groups + 1
+    files = max(2, -(-bounds["n"] // (groups * rows_per_file)))
     last = groups - 1 if last_group is None else last_group
     out = []
     for g in range(first_group, last + 1):
         part = messages.filter((F.col("offset") >= lo + g * step) & (F.col("offset") < lo + (g + 1) * step))
         target = f"{path.rstrip('/')}/group={g:04d}"
-        part.repartitionByRange(files_per_group, "offset").write.mode("overwrite").parquet(target)
+        part.repartitionByRange(files, "offset").write.mode("overwrite").parquet(target)
         out.append(target)
     return out

@@ -1,10 +1,13 @@
 from strata.streaming.jobs import (  # noqa: F401
     SilverPaths,
-    compact_sessions,
+    compact,
     read_dlq,
     read_events,
+    read_gold,
+    read_late,
     read_plan_events,
     read_sessions,
+    read_users,
     run_to_completion,
     start_bronze,
     start_silver,

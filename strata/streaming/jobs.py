@@ -1,81 +1,85 @@
 """Structured Streaming jobs: bronze ingest and the silver fan-out.
 
-Layout of the silver outputs (all Parquet):
-
-* ``events/batch_id=<N>/processing_date=<d>/`` -- deduplicated silver events;
-  a micro-batch owns its folder and a replay overwrites it (idempotent);
-* ``plan_events/batch_id=<N>/user_bucket=<b>/`` -- signup / upgrade / churn
-  rows (SCD2 input), bucketed by user hash;
-* ``users/user_bucket=<b>/`` -- SCD2 users maintained per batch (optional);
-* ``sessions/batch_id=<N>/`` -- session rows updated by that batch (stateful
-  aggregation in update mode); the current sessions table is the latest
-  row per key across batches (:func:`read_sessions`);
-* ``dlq/batch_id=<N>/`` -- contract violations with the error text (written
-  by the same fan-out, so a message is decoded once for both outputs).
-
-Each query has its own checkpoint; restarting from it resumes after the last
-committed batch.
+One query decodes each message once; its ``foreachBatch`` writes all silver
+outputs of the batch.  They are :class:`strata.sinks.BatchLog` tables (a batch
+owns its folder, so a replay overwrites and never adds twice; compaction keeps
+the number of files a read opens from growing with the number of batches):
+
+* ``events`` -- silver events, partitioned by date, each event id once;
+* ``late`` -- with a watermark, the events behind it;
+* ``sessions`` -- mergeable partial sessions of the batch; the current
+  sessions are their sums (:func:`read_sessions`), so late events need no state;
+* ``plan_events`` -- signup / upgrade / churn rows (SCD2 input);
+* ``users`` -- SCD2 histories of the users a batch touched (optional); the
+  current history of a user is that of its latest batch;
+* ``dlq`` -- contract violations with the error text;
+* ``progress`` -- per batch: input rows and the latest event time;
+* ``gold`` -- versioned gold tables refreshed for touched dates (optional).
+
+Redelivered events are recognised by the events table itself: a message
+repeats its event's time, so only the partitions of the dates in the batch are
+looked at, and nothing grows in a state store.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schemas
 from strata.operators import bronze as B
 from strata.operators import silver as S
-from strata.sinks import write_batch, write_snapshot
-
-SESSION_KEYS = ["session_id", "user_id", "anonymous_id", "device", "country"]
+from strata.sinks import BatchLog, merge_into, read_current, write_snapshot
+
+OUTPUTS = ("events", "sessions", "plan_events", "dlq")
+COMPACT_EVERY = 16
+
+_DLQ = T.StructType([T.StructField(n, t) for n, t in (
+    ("kafka_topic", T.StringType()), ("kafka_partition", T.IntegerType()), ("kafka_offset", T.LongType()),
+    ("event_id", T.StringType()), ("payload", T.StringType()), ("error", T.StringType()),
+    ("ingested_at", T.TimestampType()))])
+_PAGE = T.StructType([T.StructField("event_timestamp", T.TimestampType()), T.StructField("event_id", T.StringType()),
+                      T.StructField("page", T.StringType())])
+_SESSIONS = T.StructType([*(T.StructField(k, T.StringType()) for k in S.SESSION_KEYS),
+                          T.StructField("session_start", T.TimestampType()), T.StructField("session_end", T.TimestampType()),
+                          T.StructField("page_count", T.LongType()), T.StructField("entry", _PAGE),
+                          T.StructField("exit", _PAGE)])
+_USERS = T.StructType([*schemas.USERS.fields[:-1], T.StructField("change_type", T.StringType()),
+                       T.StructField("event_id", T.StringType()), T.StructField("updated_at", T.TimestampType())])
+_PROGRESS = T.StructType([T.StructField("input_rows", T.LongType()), T.StructField("max_event_time", T.TimestampType())])
 
 
 @dataclass(frozen=True)
 class SilverPaths:
     root: str
 
-    @property
-    def events(self) -> str:
-        return f"{self.root}/events"
-
-    @property
-    def plan_events(self) -> str:
-        return f"{self.root}/plan_events"
-
-    @property
-    def sessions(self) -> str:
-        return f"{self.root}/sessions"
-
-    @property
-    def sessions_compacted(self) -> str:
-        return f"{self.root}/sessions_compacted"
-
-    @property
-    def sessions_snapshot(self) -> str:
-        return f"{self.root}/sessions_snapshot"
-
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
-    @property
-    def users(self) -> str:
-        return f"{self.root}/users"
-
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
 
     @property
-    def dlq(self) -> str:
-        return f"{self.root}/dlq"
+    def sessions_snapshot(self) -> str:
+        return f"{self.root}/sessions_snapshot"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def log(self, spark: SparkSession, name: str) -> BatchLog:
+        schema, part_by = {
+            "events": (schemas.SILVER_EVENTS, "processing_date"), "late": (schemas.SILVER_EVENTS, "processing_date"),
+            "plan_events": (schemas.SILVER_EVENTS, None), "sessions": (_SESSIONS, None), "users": (_USERS, None),
+            "dlq": (_DLQ, None), "progress": (_PROGRESS, None)}[name]
+        return BatchLog(spark, f"{self.root}/{name}", schema, part_by)
+
 
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
@@ -86,254 +90,210 @@ def _trigger(writer, trigger: str | None):
 def start_bronze(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
                  ingested_at=None) -> StreamingQuery:
     """Append broker rows to the date-partitioned bronze table."""
-    w = (B.to_bronze(messages, ingested_at).writeStream.format("parquet")
+    w = (B.to_bronze(messages, ingested_at).writeStream.format("parquet").queryName("bronze")
          .partitionBy("processing_date").option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(w, trigger).start(path)
 
 
 def silver_stream(bronze_stream: DataFrame, dedup: str = "state",
                   watermark: str = "1 hour") -> tuple[DataFrame, DataFrame]:
-    """(valid deduplicated silver events, dead letters) of a bronze stream.
+    """(valid deduplicated silver events, dead letters) as streams, for sinks
+    of one's own.  The dead letters are split off before the deduplication, so
+    a malformed message moves no watermark.
 
     ``dedup="state"``: exact ``dropDuplicates(event_id)`` (state grows with
     distinct ids; use the RocksDB state store).  ``dedup="watermark"``:
-    ``dropDuplicatesWithinWatermark`` -- bounded state, duplicates arriving
-    later than the watermark are not recognised."""
-    tagged = B.decode_payload(bronze_stream).withColumn("error", B.contract_error())
+    ``dropDuplicatesWithinWatermark`` on the event time -- bounded state;
+    events behind the watermark are dropped by Spark (:func:`start_silver`
+    keeps them in ``late``)."""
+    tagged = B.tag_contract(B.decode_payload(bronze_stream))
     dead = B.dead_letters(tagged.filter(F.col("error").isNotNull()))
     events = S.flatten_events(tagged.filter(F.col("error").isNull())).select(*schemas.SILVER_EVENT_COLUMNS)
-    return _dedup(events, "event_id", "event_timestamp", dedup, watermark), dead
-
-
-def _dedup(df: DataFrame, key: str, time_col: str, dedup: str, watermark: str) -> DataFrame:
     if dedup == "state":
-        return df.dropDuplicates([key])
+        return events.dropDuplicates(["event_id"]), dead
     if dedup == "watermark":
-        return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
+        return events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"]), dead
     raise ValueError(dedup)
 
 
-def tagged_stream(bronze_stream: DataFrame, dedup: str = "state", watermark: str = "1 hour") -> DataFrame:
-    """Decoded, contract-tagged and deduplicated stream carrying valid and
-    rejected rows together, so one query decodes once for both outputs.
-    Valid rows are deduplicated by event id; rejected rows are keyed by their
-    message coordinates (every rejected message is kept)."""
-    tagged = B.decode_payload(bronze_stream).withColumn("error", B.contract_error())
-    valid = F.col("error").isNull()
-    key = F.when(valid, F.col("data.event_id")).otherwise(
-        F.concat_ws(":", "kafka_topic", F.col("kafka_partition").cast("string"),
-                    F.col("kafka_offset").cast("string")))
-    t = F.when(valid, F.try_to_timestamp(F.col("data.timestamp"))).otherwise(F.col("ingested_at"))
-    tagged = tagged.withColumn("_dk", key).withColumn("_wt", t)
-    return _dedup(tagged, "_dk", "_wt", dedup, watermark)
-
-
-def session_partials(events: DataFrame, watermark: str | None = "1 hour") -> DataFrame:
-    """Stateful session aggregate (code grain).  ``watermark=None`` when the
-    input already carries one (a stream may define its watermark once)."""
-    ev = events.withWatermark("event_timestamp", watermark) if watermark else events
-    return S.sessions_by_attributes(ev)
+def _fresh_events(valid: DataFrame, log: BatchLog, batch_id: int) -> DataFrame:
+    """Events of the batch that no earlier batch has, each once: the first by
+    ingestion.  The dates of the batch (one row a date) are broadcast against
+    the partition column of the events table."""
+    flat = S.flatten_events(valid)
+    once = S.dedup_events(flat, order_by=("processed_at", "kafka_partition", "kafka_offset"),
+                          tiebreak=False).select(*schemas.SILVER_EVENT_COLUMNS)
+    dates = once.select("processing_date").distinct()
+    seen = log.read(before=batch_id).join(F.broadcast(dates), "processing_date", "left_semi")
+    return once.join(seen.select("processing_date", "event_id"), ["processing_date", "event_id"], "left_anti") \
+               .select(*schemas.SILVER_EVENT_COLUMNS)
 
 
 def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | None = "30 seconds",
-                 dedup: str = "state", watermark: str = "1 hour",
-                 sessions_mode: str = "update",
-                 gold_tables: tuple[str, ...] = (),
-                 upsert_users: bool = False) -> list[StreamingQuery]:
-    """Start the silver queries: (1) one ``foreachBatch`` fan-out over a
-    single decode and dedup state writing silver events, the plan-event log
-    and dead letters; (2) sessions (stateful aggregation).
-
-    ``sessions_mode="update"`` writes only the sessions a batch changed
-    (``batch_id=N`` folders, latest row per key on read);
-    ``"complete"`` rewrites a full snapshot every batch (the file sink has no
-    complete mode, so ``foreachBatch`` overwrites ``sessions_snapshot``).
-
-    ``gold_tables`` (event-based gold tables) are refreshed after each batch
-    for the dates it touched (:func:`refresh_gold`): late events heal the
-    KPIs of their dates.  ``upsert_users`` maintains the SCD2 users table
-    per batch (:func:`upsert_users_scd2`)."""
-    tagged = tagged_stream(bronze_stream, dedup, watermark)
+                 outputs: Sequence[str] = OUTPUTS, watermark: str | None = None,
+                 sessions_mode: str = "update", gold_tables: Sequence[str] = (),
+                 upsert_users: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Start the silver query: one decode and one deduplication for all
+    ``outputs`` (only those asked for are written; events always are).
+
+    ``watermark`` (e.g. "1 hour"): events older than the latest event time of
+    earlier batches less this delay go to ``late`` instead of the outputs;
+    without it every event is taken, however late.  ``sessions_mode="complete"``
+    also rewrites a snapshot of all sessions each batch (the file sink has no
+    complete mode).  ``gold_tables`` are refreshed after each batch for the
+    dates it touched: late events heal the KPIs of their dates.
+    ``upsert_users`` maintains the SCD2 users table."""
+    decoded = B.tag_contract(B.decode_payload(bronze_stream))
+    outputs = set(outputs) | {"events"}
+    if "session_quality" in gold_tables or sessions_mode == "complete":
+        outputs.add("sessions")
+    if upsert_users:
+        outputs.add("plan_events")
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        logs = {n: paths.log(spark, n) for n in (*outputs, "late", "progress", "users")}
+        batch = batch.persist()
         try:
-            ok = F.col("error").isNull()
-            events = S.flatten_events(batch.filter(ok)).select(*schemas.SILVER_EVENT_COLUMNS)
-            write_batch(events, paths.events, batch_id, ["processing_date"])
-            write_batch(S.plan_events(events).withColumn("user_bucket", user_bucket()),
-                        paths.plan_events, batch_id, ["user_bucket"])
-            write_batch(B.dead_letters(batch.filter(~ok)), paths.dlq, batch_id)
+            valid = batch.filter(F.col("error").isNull())
+            if "dlq" in outputs:
+                logs["dlq"].append(B.dead_letters(batch.filter(F.col("error").isNotNull())), batch_id)
+            fresh = _fresh_events(valid, logs["events"], batch_id)
+            if watermark:
+                newest = logs["progress"].read(before=batch_id).agg(F.max("max_event_time").alias("t")).first().t
+                is_late = (F.lit(False) if newest is None else
+                           F.col("event_timestamp") < F.lit(newest) - F.expr(f"INTERVAL {watermark}"))
+                logs["late"].append(fresh.filter(is_late), batch_id)
+                fresh = fresh.filter(~is_late)
+            logs["events"].append(fresh, batch_id)
+            # the rest reads what was written: no second deduplication
+            events = logs["events"].batches([batch_id]).drop("batch_id")
+            if "sessions" in outputs:
+                logs["sessions"].append(S.session_partials(events), batch_id)
+            if "plan_events" in outputs:
+                logs["plan_events"].append(S.plan_events(events), batch_id)
             if upsert_users:
-                upsert_users_scd2(batch.sparkSession, paths, S.plan_events(events))
+                upsert_users_scd2(logs["plan_events"], logs["users"], S.plan_events(events), batch_id)
+            if sessions_mode == "complete":
+                write_snapshot(read_sessions(spark, paths), paths.sessions_snapshot)
             if gold_tables:
-                refresh_gold(batch.sparkSession, paths, events.select("processing_date").distinct(),
-                             gold_tables)
+                refresh_gold(spark, paths, events, gold_tables)
+            logs["progress"].append(batch.agg(
+                F.count(F.lit(1)).alias("input_rows"),
+                F.max(F.when(F.col("error").isNull(), F.try_to_timestamp("data.timestamp"))).alias("max_event_time")), batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                compact(spark, paths)
         finally:
             batch.unpersist()
 
-    q_events = _trigger(tagged.writeStream.foreachBatch(fan_out)
-                        .option("checkpointLocation", paths.checkpoint("events")), trigger).start()
+    return _trigger(decoded.writeStream.foreachBatch(fan_out).queryName("silver")
+                    .option("checkpointLocation", paths.checkpoint("silver")), trigger).start()
 
-    def sessions_out(batch: DataFrame, batch_id: int) -> None:
-        if sessions_mode == "complete":
-            write_snapshot(batch, paths.sessions_snapshot)
-        else:
-            write_batch(batch, paths.sessions, batch_id)
-
-    sess_events, _ = silver_stream(bronze_stream, dedup, watermark)
-    sess = session_partials(sess_events, None if dedup == "watermark" else watermark)
-    q_sessions = _trigger(sess.writeStream.outputMode(sessions_mode)
-                          .foreachBatch(sessions_out)
-                          .option("checkpointLocation", paths.checkpoint("sessions")), trigger).start()
 
-    return [q_events, q_sessions]
+def _latest_users(log: BatchLog | DataFrame) -> DataFrame:
+    rows = log.read() if isinstance(log, BatchLog) else log
+    last = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["user_id", "batch_id"])
 
 
-def _read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.drop("batch_id")
+def compact(spark: SparkSession, paths: SilverPaths) -> dict[str, int | None]:
+    """Fold the committed batches of every table into its base; safe while
+    the stream appends, and idempotent."""
+    folds = {"sessions": lambda df: S.merge_partials(df).withColumn("batch_id", F.lit(-1).cast("long")),
+             "users": _latest_users,
+             "progress": lambda df: df.agg(F.sum("input_rows").alias("input_rows"), F.max("max_event_time").alias("max_event_time"))
+                                      .withColumn("batch_id", F.lit(-1).cast("long"))}
+    return {n: paths.log(spark, n).compact(folds.get(n, lambda df: df))
+            for n in ("events", "late", "sessions", "plan_events", "users", "dlq", "progress")}
 
 
 def read_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return _read_batches(spark, paths.events).select(*schemas.SILVER_EVENT_COLUMNS)
+    return paths.log(spark, "events").read().select(*schemas.SILVER_EVENT_COLUMNS)
+
+
+def read_late(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    return paths.log(spark, "late").read().select(*schemas.SILVER_EVENT_COLUMNS)
 
 
 def read_plan_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return _read_batches(spark, paths.plan_events).drop("user_bucket")
+    return paths.log(spark, "plan_events").read().drop("batch_id")
 
 
-def _latest_per_key(df: DataFrame) -> DataFrame:
-    cols = [c for c in df.columns if c not in SESSION_KEYS and c != "batch_id"]
-    latest = df.groupBy(*[F.col(k) for k in SESSION_KEYS]).agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
-    return latest.select(*SESSION_KEYS, "_r.*")
+def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    """Current sessions: the sums of all partial rows (map-side combine keeps
+    hot sessions cheap); exact for late events too."""
+    return S.sessions_of_partials(S.merge_partials(paths.log(spark, "sessions").read()))
 
 
-def _session_batches(spark: SparkSession, paths: SilverPaths, after: int = -1) -> DataFrame:
-    df = spark.read.parquet(paths.sessions)
-    return df.filter(F.col("batch_id") > after) if after >= 0 else df
+def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    return paths.log(spark, "dlq").read().drop("batch_id")
 
 
-def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    """Current sessions: per key, the row from the latest batch that updated
-    it (a declarative ``max_by`` aggregate; partial aggregation keeps hot keys
-    cheap).  With a compacted base (:func:`compact_sessions`) only the batch
-    folders after it are merged on read (partition pruning on ``batch_id``)."""
-    from strata.sinks import list_versions
-    versions = list_versions(spark, paths.sessions_compacted)
-    if not versions:
-        return _latest_per_key(_session_batches(spark, paths))
-    upto = versions[-1]
-    base = spark.read.parquet(f"{paths.sessions_compacted}/v={upto}").withColumn("batch_id", F.lit(upto))
-    recent = _session_batches(spark, paths, after=upto)
-    merged = base.unionByName(recent.select(*base.columns))
-    return _latest_per_key(merged)
-
-
-def compact_sessions(spark: SparkSession, paths: SilverPaths) -> int | None:
-    """Fold the per-batch session updates into a compacted snapshot named
-    after the last batch it includes (``v=<batch_id>``), so reads merge only
-    newer batches.  Idempotent; safe while the stream appends (it reads
-    committed batch folders up to the chosen id only)."""
-    from strata.sinks import list_versions, write_snapshot
-    batches = spark.read.parquet(paths.sessions)
-    last = batches.agg(F.max("batch_id")).first()[0]
-    versions = list_versions(spark, paths.sessions_compacted)
-    prev = versions[-1] if versions else -1
-    if last is None or last <= prev:
-        return prev if prev >= 0 else None
-    parts = batches.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= last))
-    if prev >= 0:
-        base = spark.read.parquet(f"{paths.sessions_compacted}/v={prev}").withColumn("batch_id", F.lit(prev))
-        parts = base.unionByName(parts.select(*base.columns))
-    write_snapshot(_latest_per_key(parts), f"{paths.sessions_compacted}/v={last}")
-    return last
+def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
+    return _latest_users(paths.log(spark, "users")).drop("batch_id")
 
 
-def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return _read_batches(spark, paths.dlq)
+def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:
+    return read_current(spark, f"{paths.gold}/{name}")
 
 
-def run_to_completion(queries: list[StreamingQuery], timeout_s: float = 600) -> None:
-    """Wait for ``availableNow`` queries (raises on a query failure)."""
+def run_to_completion(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait for ``availableNow`` queries.  Raises a query's failure; past
+    ``timeout_s`` (default: none) it stops all queries and raises
+    TimeoutError, so that no caller reads part of the output as the whole."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        done = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
         if q.exception() is not None:
             raise q.exception()
-
-
-def stream_health(queries: list[StreamingQuery]) -> list[dict]:
-    """Status of streaming queries as plain rows (name, id, active, message,
-    batches seen, input rows of the last batch)."""
-    rows = []
-    for q in queries:
-        st = q.status or {}
-        last = q.lastProgress or {}
-        rows.append({
-            "query_id": str(q.id), "is_active": bool(q.isActive),
-            "message": st.get("message"), "last_batch_id": last.get("batchId"),
-            "last_input_rows": last.get("numInputRows"),
-            "total_input_rows": sum(p.get("numInputRows", 0) for p in (q.recentProgress or [])),
-        })
-    return rows
-
-
-def refresh_gold(spark: SparkSession, paths: SilverPaths, touched_dates: DataFrame,
-                 tables: tuple[str, ...] = ("daily_active_users", "funnel_metrics",
-                                            "feature_adoption", "mrr_metrics")) -> None:
-    """Recompute the given gold tables for the touched dates only, from all
-    silver events of those dates, and MERGE them into the versioned gold
-    tables under ``paths.gold``.  The date filter on the partition column
-    prunes the silver read to those dates; re-running a batch merges the
-    same values again (idempotent)."""
+        if not done:
+            for other in queries:
+                other.stop()
+            raise TimeoutError(f"streaming query {q.name or q.id} has not finished in {timeout_s} s")
+
+
+def stream_health(spark: SparkSession, queries: Sequence[StreamingQuery], paths: SilverPaths) -> DataFrame:
+    """query_name, is_active, total_input_rows of each query.  Input rows come
+    from the ``progress`` table, so all batches count, those before a restart
+    included (a query's own recent progress is a short ring buffer)."""
+    total = paths.log(spark, "progress").read().agg(F.sum("input_rows").alias("n")).first().n or 0
+    return spark.createDataFrame([(q.name, bool(q.isActive), total) for q in queries],
+                                 "query_name string, is_active boolean, total_input_rows long")
+
+
+def refresh_gold(spark: SparkSession, paths: SilverPaths, batch_events: DataFrame,
+                 tables: Sequence[str] = tuple(schemas.GOLD_SCHEMAS)) -> None:
+    """Recompute gold tables for the dates a batch touched and MERGE them into
+    the versioned tables under ``paths.gold``; a re-run merges the same values.
+
+    Event tables read the partitions of those dates alone.  session_quality is
+    built from the sessions table: a late event can move its session to an
+    earlier day, so the dates of all partial rows of the touched sessions count
+    as touched."""
     from strata.operators import gold as G
     from strata.operators.merge import conform
-    from strata.sinks import merge_into
     builders = {"daily_active_users": G.daily_active_users, "funnel_metrics": G.funnel_metrics,
                 "feature_adoption": G.feature_adoption, "mrr_metrics": G.mrr_metrics}
-    dates = [r[0] for r in touched_dates.collect()]   # a batch touches few dates
-    if not dates:
+    dates = batch_events.select("processing_date").distinct()  # bounded by the calendar
+    if dates.isEmpty():
         return
-    ev = read_events(spark, paths).filter(F.col("processing_date").isin(dates))
+    ev = read_events(spark, paths).join(F.broadcast(dates), "processing_date", "left_semi")
     for name in tables:
-        fresh = conform(builders[name](ev), schemas.GOLD_SCHEMAS[name])
-        merge_into(spark, f"{paths.gold}/{name}", fresh, schemas.GOLD_KEYS[name],
+        if name == "session_quality":
+            ids = batch_events.select("session_id").filter("session_id IS NOT NULL").distinct()
+            moved = (paths.log(spark, "sessions").read().join(ids, "session_id", "left_semi")
+                     .select(F.to_date("session_start").alias("date")).distinct())
+            fresh = G.session_quality(read_sessions(spark, paths)).join(F.broadcast(moved), "date", "left_semi")
+        else:
+            fresh = builders[name](ev)
+        merge_into(spark, f"{paths.gold}/{name}", conform(fresh, schemas.GOLD_SCHEMAS[name]), schemas.GOLD_KEYS[name],
                    schemas.GOLD_UPDATE_COLUMNS[name])
 
 
-def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:
-    from strata.sinks import read_current
-    return read_current(spark, f"{paths.gold}/{name}")
-
-
-USER_BUCKETS = 64
-
-
-def user_bucket(col: str = "user_id", n: int = USER_BUCKETS):
-    """Hash bucket of a user (partition column of the plan log and users)."""
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
-
-
-def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame) -> None:
-    """SCD2 maintenance for the users a micro-batch touched.
-
-    The plan-event log and the users table are both partitioned by a user
-    hash bucket.  Per batch, the buckets holding touched users (at most
-    ``USER_BUCKETS`` values) are recomputed from their full plan history --
-    a partition-pruned read of the log -- and only those bucket partitions of
-    the users table are overwritten.  A late plan event re-closes the
-    interval it splits; the users table is never read, so a replayed batch
-    simply rewrites the same buckets (idempotent)."""
-    from strata.sinks import overwrite_partitions
-    buckets = [r[0] for r in batch_plan_events.filter(F.col("user_id").isNotNull())
-               .select(user_bucket().alias("b")).distinct().collect()]   # bounded by USER_BUCKETS
-    if not buckets:
-        return
-    log = spark.read.parquet(paths.plan_events).filter(F.col("user_bucket").isin(buckets))
-    fresh = S.users_scd2(log.drop("batch_id", "user_bucket")).drop("updated_at")
-    overwrite_partitions(fresh.withColumn("user_bucket", user_bucket()), paths.users, ["user_bucket"])
-
-
-def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return spark.read.parquet(paths.users).drop("user_bucket")
+def upsert_users_scd2(plan_log: BatchLog, users: BatchLog, batch_plan_events: DataFrame, batch_id: int) -> None:
+    """SCD2 maintenance for the users a micro-batch touched: their histories
+    are rebuilt from the plan-event log and appended; other users' rows are
+    neither read nor written.  A late plan event re-closes the interval it
+    splits; a replayed batch overwrites its own rows."""
+    touched = batch_plan_events.select("user_id").filter("user_id IS NOT NULL").distinct()
+    history = plan_log.read(before=batch_id + 1).join(touched, "user_id", "left_semi")
+    users.append(S.users_scd2(history), batch_id)

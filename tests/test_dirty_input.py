@@ -1,5 +1,6 @@
 """Dirty input: empty denominators, late events in a stream."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import bronze as B
@@ -8,7 +9,9 @@ from strata.plans.catalog import silver_events
 from strata.session import work_dir
 from strata.sources import fixture
 from strata.sources.tables import read_event_stream
-from strata.streaming import SilverPaths, read_events, read_sessions, run_to_completion, start_silver
+from strata import sinks
+from strata.streaming import (SilverPaths, compact, read_events, read_late, read_sessions, read_users, run_to_completion,
+                              start_silver)
 
 from .conftest import SF_SMALL
 
@@ -28,70 +31,130 @@ def test_empty_denominator_day_guards(spark):
     assert d.new_users == 0 and d.returning_users == d.dau_count
 
 
-def test_late_file_beyond_watermark(spark):
-    """A file of old events arriving after newer ones: silver keeps them
-    (dedup state is exact), the stateful session aggregate drops rows older
-    than its 1-hour watermark, as the reference's watermark implies."""
-    root = work_dir(spark, "late")
+def _late_split(spark):
     raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    early_days = F.dayofmonth(F.col("ts").cast("timestamp")) <= 3
-    on_time = fixture.broker_messages(raw.filter(~(early_days & (k >= 90))))
-    late = fixture.broker_messages(raw.filter(early_days & (k >= 90)))
-    fixture.write_message_files(on_time, f"{root}/messages/a", groups=2)
-    paths = SilverPaths(f"{root}/silver")
+    late = (F.dayofmonth(F.col("ts").cast("timestamp")) <= 3) & (k >= 90)
+    on_time = fixture.broker_messages(raw.filter(~late))
+    return raw, on_time, fixture.after_last(on_time, fixture.broker_messages(raw.filter(late))), raw.filter(late).count()
 
-    def run():
-        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*/*")
-        qs = start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow")
-        run_to_completion(qs)
 
-    run()
-    fixture.write_message_files(late, f"{root}/messages/b", groups=1)
-    run()
-    events = read_events(spark, paths)
-    assert events.count() == raw.count()
-    assert events.select("event_id").distinct().count() == raw.count()
-    # Watermark semantics are one-sided: rows later than the watermark may or
-    # may not be aggregated.  So each streamed session count lies between the
-    # on-time-only count and the all-events count, and no session is lost.
-    stream = {(r.session_id, r.user_id, r.device, r.country): r.page_count
-              for r in read_sessions(spark, paths).collect()}
-    ev = silver_events(spark, SF_SMALL)
-    late_ids = [r.event_id for r in fixture.saas_events(raw.filter(early_days & (k >= 90))).collect()]
-    full = {(r.session_id, r.user_id, r.device, r.country): r.page_count
-            for r in silver.sessions_by_attributes(ev).collect()}
-    on_time = {(r.session_id, r.user_id, r.device, r.country): r.page_count
-               for r in silver.sessions_by_attributes(ev.filter(~F.col("event_id").isin(late_ids))).collect()}
-    assert set(on_time) <= set(stream) <= set(full)
-    for key, n in stream.items():
-        assert on_time.get(key, 0) <= n <= full[key]
+def _run(spark, root, paths, **options):
+    stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*/*")
+    run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow", **options)])
 
 
 def _rows(df):
     return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
 
 
-def test_session_compaction_keeps_the_current_view(spark):
-    from strata.streaming import compact_sessions
+def test_late_file_is_exact_without_a_watermark(spark):
+    """A file of old events after newer ones: events, sessions and users equal
+    those of a batch run over all events."""
+    root = work_dir(spark, "late")
+    raw, on_time, late, _ = _late_split(spark)
+    paths = SilverPaths(f"{root}/silver")
+    fixture.write_message_files(on_time, f"{root}/messages/a", groups=2)
+    _run(spark, root, paths, upsert_users=True)
+    fixture.write_message_files(late, f"{root}/messages/b", groups=1)
+    _run(spark, root, paths, upsert_users=True)
+    ev = silver_events(spark, SF_SMALL)
+    assert _rows(read_events(spark, paths)) == _rows(ev)
+    assert _rows(read_sessions(spark, paths)) == _rows(silver.sessions_by_attributes(ev))
+    assert _rows(read_users(spark, paths).drop("updated_at")) == _rows(silver.users_scd2(ev).drop("updated_at"))
+    assert read_users(spark, paths).filter("updated_at IS NULL").count() == 0
+
+
+def test_late_file_goes_to_the_late_output_with_a_watermark(spark):
+    """Bad messages move no watermark; the late file's events, all of them
+    more than an hour behind, are exactly the late output."""
+    root = work_dir(spark, "late_wm")
+    raw, on_time, late, n_late = _late_split(spark)
+    paths = SilverPaths(f"{root}/silver")
+    fixture.write_message_files(on_time, f"{root}/messages/a", groups=1)
+    _run(spark, root, paths, watermark="1 hour")
+    kept = read_events(spark, paths).count()
+    fixture.write_message_files(late, f"{root}/messages/b", groups=1)
+    _run(spark, root, paths, watermark="1 hour")
+    assert read_late(spark, paths).count() == n_late
+    assert read_events(spark, paths).count() == kept == raw.count() - n_late
+
+
+def test_one_bad_message_does_not_hide_backfilled_events(spark):
+    root = work_dir(spark, "badmsg")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet").orderBy("event_id").limit(4)
+    good = fixture.broker_messages(raw).withColumn("timestamp", F.lit("2030-01-01").cast("timestamp"))
+    bad = good.limit(1).withColumn("value", F.lit(b"\0\0\0\0\1nonsense"))
+    paths = SilverPaths(f"{root}/silver")
+    fixture.write_message_files(bad, f"{root}/messages/a", groups=1)
+    _run(spark, root, paths, watermark="1 hour")
+    fixture.write_message_files(good, f"{root}/messages/b", groups=1)
+    _run(spark, root, paths, watermark="1 hour")
+    assert read_events(spark, paths).count() == 4 and read_late(spark, paths).count() == 0
+
+
+def _files(df):
+    return len(df.inputFiles())
+
+
+def test_compaction_keeps_views_and_bounds_files(spark):
+    """Many batches: the rows stay those of a batch run, and the files that a
+    read opens do not grow with the number of batches."""
     root = work_dir(spark, "compact")
     raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     msgs = fixture.broker_messages(raw)
     paths = SilverPaths(f"{root}/silver")
+    sizes = []
+    for g in range(8):
+        fixture.write_message_files(msgs, f"{root}/messages/m", groups=8, first_group=g, last_group=g)
+        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=f"{root}/messages/*/*")
+        run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow",
+                                        upsert_users=True, compact_every=4)])
+        sizes.append((_files(paths.log(spark, "plan_events").read()), _files(paths.log(spark, "sessions").read())))
+    ev = silver_events(spark, SF_SMALL)
+    assert _rows(read_events(spark, paths)) == _rows(ev)
+    assert _rows(read_sessions(spark, paths)) == _rows(silver.sessions_by_attributes(ev))
+    assert _rows(read_users(spark, paths).drop("updated_at")) == _rows(silver.users_scd2(ev).drop("updated_at"))
+    assert max(s[0] for s in sizes[4:]) <= 1.6 * max(s[0] for s in sizes[:4])
+    assert len(paths.log(spark, "events").batch_ids()) < 9  # folded batches are dropped
+    views = [_rows(read_events(spark, paths)), _rows(read_sessions(spark, paths))]
+    last = compact(spark, paths)
+    assert compact(spark, paths) == last and [_rows(read_events(spark, paths)), _rows(read_sessions(spark, paths))] == views
 
-    def run(first, last):
-        fixture.write_message_files(msgs, f"{root}/messages", groups=4, first_group=first, last_group=last)
-        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*")
-        run_to_completion(start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow"))
-
-    run(0, 1)
-    before = _rows(read_sessions(spark, paths))
-    v1 = compact_sessions(spark, paths)
-    assert v1 is not None and compact_sessions(spark, paths) == v1      # idempotent
-    assert _rows(read_sessions(spark, paths)) == before
-    run(2, 3)
-    full = _rows(read_sessions(spark, paths))
-    assert compact_sessions(spark, paths) > v1
-    assert _rows(read_sessions(spark, paths)) == full
-    want = _rows(silver.sessions_by_attributes(silver_events(spark, SF_SMALL)))
-    assert full == want
+
+def test_a_half_written_batch_is_not_read(spark):
+    root = work_dir(spark, "half")
+    log = SilverPaths(root).log(spark, "dlq")
+    row = spark.createDataFrame([("t", 1, 2, "e", "p", "x", None)],
+                                "kafka_topic string, kafka_partition int, kafka_offset long, event_id string, payload string, error string, ingested_at timestamp")
+    log.append(row, 0)
+    log.append(row, 1)
+    sinks.delete_folder(spark, f"{log.path}/batches/batch_id=1/_SUCCESS")
+    assert log.read().count() == 1
+
+
+def test_unfinished_stream_raises(spark):
+    root = work_dir(spark, "timeout")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    fixture.write_message_files(fixture.broker_messages(raw), f"{root}/messages/a", groups=4)
+    stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=f"{root}/messages/*/*")
+    q = start_silver(B.to_bronze(stream, F.col("timestamp")), SilverPaths(f"{root}/silver"), trigger="availableNow")
+    with pytest.raises(TimeoutError):
+        run_to_completion([q], timeout_s=1)
+    assert not q.isActive
+
+
+def test_stream_dedup_modes(spark):
+    """The streaming form for sinks of one's own keeps each event once."""
+    from strata.streaming.jobs import silver_stream
+    root = work_dir(spark, "modes")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    fixture.write_message_files(fixture.redelivered(raw), f"{root}/messages/a", groups=1)
+    for mode in ("state", "watermark"):
+        stream = read_event_stream(spark, "parquet", path=f"{root}/messages/*/*")
+        events, _ = silver_stream(B.to_bronze(stream, F.col("timestamp")), mode)
+        q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/ck-{mode}")
+             .trigger(availableNow=True).start(f"{root}/out-{mode}"))
+        run_to_completion([q])
+        out = spark.read.parquet(f"{root}/out-{mode}")
+        assert out.count() == raw.count() == out.select("event_id").distinct().count()

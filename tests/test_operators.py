@@ -77,6 +77,36 @@ def test_merge_rejects_ambiguous_source(events):
         merge.merge_upsert(g, bad, ["date"]).collect()
 
 
+def test_first_load_rejects_ambiguous_source(spark, events):
+    g = merge.conform(gold.daily_active_users(events), schemas.GOLD_DAU)
+    bad = g.unionByName(g.withColumn("dau_count", F.col("dau_count") + 1))
+    with pytest.raises(Exception, match="duplicate keys"):
+        sinks.merge_into(spark, work_dir(spark, "first") + "/t", bad, ["date"])
+    assert sinks.read_current(spark, work_dir(spark, "first2") + "/t") is None
+
+
+def test_merge_adds_source_columns(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    s = spark.createDataFrame([(2, "B", 7), (3, "C", 8)], "k int, v string, n int")
+    out = merge.merge_upsert(t, s, ["k"], ["n"])
+    assert out.columns == ["k", "v", "n"]
+    assert sorted(map(tuple, out.collect())) == [(1, "a", None), (2, "b", 7), (3, "C", 8)]
+
+
+def test_old_versions_are_dropped(spark, events):
+    base = work_dir(spark, "retain") + "/t"
+    dau = gold.daily_active_users(events)
+    for _ in range(5):
+        sinks.write_version(dau, base, keep=2)
+    assert sinks.list_versions(spark, base) == [4, 5]
+
+
+def test_two_writers_get_different_versions(spark, tmp_path):
+    base = str(tmp_path / "t")
+    spark.range(1).write.parquet(f"{base}/v=1")
+    assert [sinks._claim_version(spark, base) for _ in range(3)] == [2, 3, 4]
+
+
 def test_versioned_merge_into(spark, events):
     base = work_dir(spark, "versioned")
     g = merge.conform(gold.daily_active_users(events), schemas.GOLD_DAU)

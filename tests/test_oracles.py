@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracles import canon
+from strata.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -11,8 +12,8 @@ ORACLES = E.oracle_sql()
 QUERIES = E.queries()
 
 
-def test_every_query_has_an_oracle_or_is_known_rows_only():
-    assert set(QUERIES) - set(ORACLES) == {"stage_files", "stream_health"}
+def test_every_query_of_the_reference_has_an_oracle():
+    assert set(catalog.QUERIES) <= set(ORACLES)
 
 
 def test_entry_runs(spark):
@@ -31,7 +32,3 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(rows) == len(orows)
     assert canon(rows, df.columns) == canon(orows, ocols)
 
-
-@pytest.mark.parametrize("name", ["stage_files", "stream_health"])
-def test_rows_only_queries(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() > 0

@@ -1,11 +1,11 @@
 """The skew-safe ordered scan equals a per-key window (brute force), also
-with a hot key spread over many partitions and tiny Arrow batches."""
+with a hot key spread over many partitions."""
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.scan import fill_within_key
+from strata.operators.scan import fill_within_key, hour_bucket, scan_within_key
 
 from .conftest import SF_SMALL
 
@@ -30,21 +30,17 @@ def _brute(pdf, inclusive, descending):
 
 @pytest.mark.parametrize("inclusive,descending", [(True, False), (False, False), (False, True), (True, True)])
 def test_fill_matches_window(spark, inclusive, descending):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        df = _frame(spark)
-        got = fill_within_key(df, "key", ["ts", "id"], ["val"], inclusive=inclusive,
-                              descending=descending, num_partitions=13)
-        got = {r.id: r.val for r in got.collect()}
-        want = _brute(df.toPandas(), inclusive, descending)
-        assert got == want
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = _frame(spark)
+    got = fill_within_key(df, "key", ["ts", "id"], ["val"], inclusive=inclusive,
+                          descending=descending)
+    got = {r.id: r.val for r in got.collect()}
+    want = _brute(df.toPandas(), inclusive, descending)
+    assert got == want
 
 
 def test_null_keys_pass_through(spark):
     df = _frame(spark).withColumn("key", F.when(F.col("id") % 5 == 0, None).otherwise(F.col("key")))
-    out = fill_within_key(df, "key", ["ts", "id"], ["val"], num_partitions=5)
+    out = fill_within_key(df, "key", ["ts", "id"], ["val"])
     assert out.count() == df.count()
     nulls = out.filter(F.col("key").isNull()).select("id", "val").collect()
     base = {r.id: r.val for r in df.filter(F.col("key").isNull()).collect()}
@@ -52,53 +48,64 @@ def test_null_keys_pass_through(spark):
 
 
 def test_lead_matches_window(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        from strata.operators.scan import scan_within_key
-        df = _frame(spark)
-        got = scan_within_key(df, "key", ["ts", "id"], fill=["val"],
-                              lead={"next_ts": "ts", "next_id": "id"}, num_partitions=11)
-        got = {r.id: (r.val, r.next_ts, r.next_id) for r in got.collect()}
-        pdf = df.toPandas().sort_values(["key", "ts", "id"])
-        g = pdf.groupby("key", sort=False)
-        fill = g["val"].ffill()
-        nts, nid = g["ts"].shift(-1), g["id"].shift(-1)
-        want = {i: (None if pd.isna(v) else v, None if pd.isna(t) else t.to_pydatetime(),
-                    None if pd.isna(n) else int(n))
-                for i, v, t, n in zip(pdf["id"], fill, nts, nid)}
-        assert got == want
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-def test_hot_key_is_spread_over_partitions(spark):
-    """Range partitioning on (key, time) splits a key holding a third of the
-    rows over several partitions (a per-key window would use one task)."""
     df = _frame(spark)
-    n = 12
-    ranged = df.repartitionByRange(n, "key", "ts", "id").withColumn("pid", F.spark_partition_id())
-    hot_parts = ranged.filter(F.col("key") == "hot").select("pid").distinct().count()
-    assert hot_parts >= n // 4
-
-
-def test_scan_correct_under_aqe_coalescing(spark):
-    """Without an explicit count the range shuffle is coalesced by AQE
-    (200 partitions for ~1k rows); merged partitions are adjacent ranges, so
-    fill and lead stay exact."""
-    from strata.operators.scan import scan_within_key
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
-    try:
-        df = _frame(spark)
-        got = scan_within_key(df, "key", ["ts", "id"], fill=["val"], lead={"next_id": "id"})
-        got = {r.id: (r.val, r.next_id) for r in got.collect()}
-        pdf = df.toPandas().sort_values(["key", "ts", "id"])
-        g = pdf.groupby("key", sort=False)
-        fill, nid = g["val"].ffill(), g["id"].shift(-1)
-        want = {i: (None if pd.isna(v) else v, None if pd.isna(n) else int(n))
-                for i, v, n in zip(pdf["id"], fill, nid)}
-        assert got == want
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = scan_within_key(df, "key", ["ts", "id"], fill=["val"],
+                          lead={"next_ts": "ts", "next_id": "id"})
+    got = {r.id: (r.val, r.next_ts, r.next_id) for r in got.collect()}
+    pdf = df.toPandas().sort_values(["key", "ts", "id"])
+    g = pdf.groupby("key", sort=False)
+    fill = g["val"].ffill()
+    nts, nid = g["ts"].shift(-1), g["id"].shift(-1)
+    want = {i: (None if pd.isna(v) else v, None if pd.isna(t) else t.to_pydatetime(),
+                None if pd.isna(n) else int(n))
+            for i, v, t, n in zip(pdf["id"], fill, nts, nid)}
+    assert got == want
+
+
+def test_hot_key_is_spread_over_its_hours(spark):
+    """The windows are over (key, hour): the rows of a key that holds a third
+    of the table meet by hour only, and its hours go to many partitions."""
+    df = _frame(spark).withColumn("b", hour_bucket("ts"))
+    hot = df.filter(F.col("key") == "hot")
+    largest = hot.groupBy("b").count().agg(F.max("count")).first()[0]
+    assert largest < hot.count() / 20
+    parts = df.repartition(12, "key", "b").withColumn("pid", F.spark_partition_id())
+    assert parts.filter(F.col("key") == "hot").select("pid").distinct().count() == 12
+    plan = scan_within_key(_frame(spark), "key", ["ts", "id"], ["val"])._jdf.queryExecution().executedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and all("_b" in x for x in windows) and "InArrow" not in plan
+
+
+def test_coarse_and_fine_buckets_agree(spark):
+    df = _frame(spark)
+    frames = [sorted(map(tuple, scan_within_key(df, "key", ["ts", "id"], ["val"], {"nid": "id"}, bucket=b).collect()), key=repr)
+              for b in (F.lit(0), F.date_trunc("minute", "ts"), F.date_trunc("month", "ts"))]
+    assert frames[0] == frames[1] == frames[2]
+
+
+def _reads(spark, df):
+    """How often the plan that ran scans the events table."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan parquet")
+
+
+def test_lookup_reads_events_twice_and_versions_once(spark):
+    from strata.operators import silver, star
+    from strata.plans.catalog import _wide
+    ev = _wide(spark, SF_SMALL)
+    assert _reads(spark, star.fact_events(ev, silver.user_versions(ev))) <= 3
+    assert _reads(spark, silver.users_scd2(ev)) == 0  # from the narrow checkpoint, which read the events once
+
+
+def test_asof_with_ties_and_null_keys(spark):
+    from strata.operators.asof import asof_lookup
+    t = "2024-01-01 {}".format
+    ev = spark.createDataFrame([("a", t("10:00:00"), 1), ("a", t("10:30:00"), 2), ("a", t("12:00:00"), 3), ("b", t("09:00:00"), 4),
+                                (None, t("09:00:00"), 5), ("a", None, 6)], "user_id string, x string, event_id int") \
+        .select("user_id", F.col("x").cast("timestamp").alias("event_timestamp"), "event_id")
+    vs = spark.createDataFrame([("a", t("10:00:00"), "1", "p"), ("a", t("10:00:00"), "2", "q"), ("a", t("10:45:00"), "3", None),
+                                (None, t("01:00:00"), "4", "z")], "user_id string, x string, event_id string, plan string") \
+        .select("user_id", F.col("x").cast("timestamp").alias("valid_from"), "event_id", "plan")
+    got = {r.event_id: r.plan for r in asof_lookup(ev, vs, ["plan"]).collect()}
+    assert got == {1: "q", 2: "q", 3: None, 4: None, 5: None, 6: None}
