@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from strata.session import work_dir
 
 
+SLICE = 1000
+
+
 def pick(df: DataFrame, **types: str) -> DataFrame:
     """Only the named columns, cast; whatever else ``df`` has, clashing names
     included, is pruned before any work."""
@@ -19,7 +22,8 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
 
 def arrow_map(df: DataFrame, row_fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``row_fn`` turns a record batch into a dict of columns (name -> list or
-    Arrow array); batches stream, so a task holds one batch at a time."""
+    Arrow array); batches stream, so a task holds one batch at a time, and what
+    it returns is made for ``SLICE`` rows at a time."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -27,8 +31,8 @@ def arrow_map(df: DataFrame, row_fn: Callable[[pa.RecordBatch], dict], schema: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                cols = row_fn(batch)
+            for at in range(0, batch.num_rows, SLICE):
+                cols = row_fn(batch.slice(at, SLICE))
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, f.type)
                      for f, c in ((f, cols[f.name]) for f in want)], schema=want)

@@ -18,16 +18,18 @@ index rows against the false candidates that small segments cause.  The slack e
 leaves out segments without tokens (any set may have them, so they match
 everywhere): a set whose empty segments count e or less does not index them.
 
-Pairs of one index key are never listed.  Each key's least set is its hub, and
-(hub, set) are the first candidates; hubs are found after combining each
-batch's rows, so a key with very many sets spreads over the tasks.  Candidates
-are verified exactly, after a bitmap test: bit i holds the parity of the tokens
-hashed to it, and the bits in which two bitmaps differ never outnumber the
-differing tokens, so that no pair to be found is lost.  After components are
-formed from those links, sets that share a hub and lie in different components
-are compared, in blocks of bounded size, by size and bitmap; what passes is
-verified exactly.  Pairs within one component need no test: the result is the
-components.  Nothing is capped.
+Pairs of one index key are never listed.  Each key's least set is its hub;
+hubs are found after combining each batch's rows, so a key with very many sets
+spreads over the tasks.  All pairs to be found have a common hub.  They are
+tested by size and bitmap (bit i holds the parity of the tokens hashed to it,
+and the bits in which two bitmaps differ never outnumber the differing tokens,
+so that no pair to be found is lost), and what passes is verified exactly on
+the whole token sets.  First every set is compared with its hubs; the sets that
+cannot be linked to a hub are compared with its other sets, in cells of bounded
+size.  After components are formed, only hubs with sets still apart are looked
+at again: sets in different components are compared, each with its nearest
+first, in the end with all.  Pairs within one component need no test: the
+result is the components.  Nothing is capped.
 
 Equal sets form one class with a 64-bit key, and copies are not expanded.
 
@@ -43,7 +45,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -57,6 +58,7 @@ from strata.llm.learning import TokenTable
 FALSE_COST, EMPTY_COST = 6.0, 50.0
 BITS_PER_DIFFERENCE = 8
 BLOCK = 512
+NEAREST = 4
 COMBINED_DOCS = 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -171,21 +173,30 @@ def bitmap_bits(rule: Rule, size: int) -> int:
 
 
 def folded(bits: np.ndarray, to: int) -> np.ndarray:
-    """Rows of bitmap words brought down to ``to`` words; parities add up."""
+    """Bitmap rows brought down to ``to`` words; parities add up."""
     while bits.shape[-1] > to:
         half = bits.shape[-1] // 2
         bits = bits[..., :half] ^ bits[..., half:]
     return bits
 
 
-def may_link(rule: Rule, na, a: np.ndarray, nb, b: np.ndarray) -> np.ndarray:
-    """Of bitmap rows a and b (broadcast against each other) with sizes na, nb."""
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which bitmap rows a and b (broadcast against each other) differ:
+    at most the number of differing tokens."""
     to = min(a.shape[-1], b.shape[-1])
-    apart = np.bitwise_count(folded(a, to) ^ folded(b, to)).sum(-1, dtype=np.int64)
-    return ((100 + rule.percent) * apart <= (100 - rule.percent) * (na + nb)) & (
+    return np.bitwise_count(folded(a, to) ^ folded(b, to)).sum(-1, dtype=np.int64)
+
+
+def within(rule: Rule, na, nb, difference) -> np.ndarray:
+    """Can sets of sizes na, nb that differ in so many tokens, or more, be linked?"""
+    return ((100 + rule.percent) * difference <= (100 - rule.percent) * (na + nb)) & (
         100 * np.minimum(na, nb) >= rule.percent * np.maximum(na, nb))
 
 
+def may_link(rule: Rule, na, a: np.ndarray, nb, b: np.ndarray) -> np.ndarray:
+    return within(rule, na, nb, apart(a, b))
+
+
 class Shingler:
     """Texts to sorted token arrays; words are hashed once a task."""
 
@@ -211,25 +222,56 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 # Row kinds of the index table.
-DOC, FIRST, MORE = 0, 1, 2
-INDEX_SCHEMA = "kind int, doc_id long, n long, k long, bitmap binary, key long, more boolean"
+DOC, CELL, MORE = 0, 1, 2
+INDEX_SCHEMA = "kind int, doc_id long, n long, k long, bitmap binary, key long, cell int, packed binary"
+KEY_BYTES = 6  # of an index key, beside its cell
+
+
+def cell_bits(spark) -> int:
+    """Cells of the key space, a power of two by the session's partitions."""
+    return min(15, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length()))
+
+
+def pack(keys: np.ndarray, sets: np.ndarray, more: np.ndarray) -> bytes:
+    """Keys (their low KEY_BYTES), for each the least set that has it, and
+    whether others do: about 8 bytes a key and 8 a set."""
+    own, at = np.unique(sets, return_inverse=True)
+    low = keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    return b"".join((np.array([len(keys), len(own)], np.uint32).tobytes(), own.tobytes(), at.astype(np.uint16).tobytes(),
+                     np.packbits(more).tobytes(), low.tobytes()))
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, n_sets = np.frombuffer(data, np.uint32, 2)
+    at = 8 + 8 * int(n_sets)
+    own = np.frombuffer(data, np.int64, n_sets, 8)
+    sets = own[np.frombuffer(data, np.uint16, n, at)]
+    at += 2 * int(n)
+    flags = -(-int(n) // 8)
+    more = np.unpackbits(np.frombuffer(data, np.uint8, flags, at), count=int(n)).astype(bool)
+    keys = np.zeros((n, 8), np.uint8)
+    keys[:, :KEY_BYTES] = np.frombuffer(data, np.uint8, KEY_BYTES * int(n), at + flags).reshape(-1, KEY_BYTES)
+    return keys.view(np.uint64).reshape(-1), sets, more
 
 
 def build_index(docs: DataFrame, rule: Rule) -> DataFrame:
     """One pass over the texts.  DOC: doc_id, key (hash of the text), n, k (the
-    set's key), bitmap.  FIRST: the least set with an index key among some documents of a batch,
-    and whether there are more; MORE: those others."""
+    set's key), bitmap.  CELL: of COMBINED_DOCS documents, the index keys of
+    one cell, each with its least set and whether there are more, packed.
+    MORE: those others (key, k)."""
+    bits = cell_bits(docs.sparkSession)
+
     def run(batches):
         shingler = Shingler(rule)
         for batch in batches:
             for at in range(0, batch.num_rows, COMBINED_DOCS):
-                yield index_rows(batch.slice(at, COMBINED_DOCS), shingler, rule)
+                yield index_rows(batch.slice(at, COMBINED_DOCS), shingler, rule, bits)
 
     rows = pick(docs, doc_id="long", text="string").withColumn("row", F.xxhash64("text"))
     return rows.mapInArrow(run, INDEX_SCHEMA)
 
 
-def index_rows(batch: pa.RecordBatch, shingler: Shingler, rule: Rule) -> pa.RecordBatch:
+def index_rows(batch: pa.RecordBatch, shingler: Shingler, rule: Rule, bits: int) -> pa.RecordBatch:
     sizes, set_keys, bitmaps, keys, owners = [], [], [], [], []
     done: set[int] = set()
     for text in batch.column(1):
@@ -245,7 +287,8 @@ def index_rows(batch: pa.RecordBatch, shingler: Shingler, rule: Rule) -> pa.Reco
             own = index_keys(tokens, f)
             keys.append(own)
             owners.append(np.full(len(own), k, np.int64))
-    key = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+    shift = np.uint64(64 - 8 * KEY_BYTES - bits)
+    key = np.concatenate(keys) >> shift if keys else np.empty(0, np.uint64)
     owner = np.concatenate(owners) if owners else np.empty(0, np.int64)
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
@@ -255,31 +298,44 @@ def index_rows(batch: pa.RecordBatch, shingler: Shingler, rule: Rule) -> pa.Reco
     other[1:] = ~first[1:] & (owner[1:] != owner[:-1])
     heads = np.flatnonzero(first)
     more = np.add.reduceat(other, heads) > 0 if len(heads) else np.empty(0, bool)
-    n_docs, n_first, n_other = len(sizes), len(heads), int(other.sum())
-    rest = n_first + n_other
+    cell, starts = np.unique(key[heads] >> np.uint64(8 * KEY_BYTES), return_index=True)
+    stops = np.append(starts[1:], len(heads))
+    packed = [pack(key[heads[i:j]], owner[heads[i:j]], more[i:j]) for i, j in zip(starts, stops)]
+    n_docs, n_cells, n_more = len(sizes), len(packed), int(other.sum())
 
-    def column(values, dtype, before=0, after=0):
-        return pa.concat_arrays([pa.nulls(before, dtype), pa.array(values, dtype), pa.nulls(after, dtype)])
+    def column(dtype, docs=None, cells=None, others=None):
+        parts = ((docs, n_docs), (cells, n_cells), (others, n_more))
+        return pa.concat_arrays([pa.nulls(n, dtype) if v is None else v if isinstance(v, pa.Array) else pa.array(v, dtype)
+                                 for v, n in parts])
 
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat([DOC, FIRST, MORE], [n_docs, n_first, n_other]), pa.int32()),
-         pa.concat_arrays([batch.column(0), pa.nulls(rest, pa.int64())]),
-         column(sizes, pa.int64(), 0, rest),
-         pa.array(np.concatenate((np.array(set_keys, np.int64), owner[heads], owner[other])), pa.int64()),
-         column(bitmaps, pa.binary(), 0, rest),
-         pa.concat_arrays([batch.column(2), pa.array(np.concatenate((key[heads], key[other])), pa.int64())]),
-         column(more, pa.bool_(), n_docs, n_other)],
-        names=["kind", "doc_id", "n", "k", "bitmap", "key", "more"])
+        [pa.array(np.repeat([DOC, CELL, MORE], [n_docs, n_cells, n_more]), pa.int32()), column(pa.int64(), batch.column(0)),
+         column(pa.int64(), sizes), column(pa.int64(), set_keys, None, owner[other]), column(pa.binary(), bitmaps),
+         column(pa.int64(), batch.column(2), None, key[other].view(np.int64)), column(pa.int32(), None, cell.astype(np.int32)),
+         column(pa.binary(), None, packed)],
+        names=["kind", "doc_id", "n", "k", "bitmap", "key", "cell", "packed"])
 
 
 def star_candidates(index: DataFrame) -> DataFrame:
-    """hub, k: for each index key its least set, with every other set."""
-    own = Window.partitionBy("key")
-    shared = materialise(
-        index.filter(F.col("kind") == FIRST).select("key", "k", "more")
-        .select("key", "k", F.min("k").over(own).alias("hub"), F.max("more").over(own).alias("any_more"))
-        .filter("k <> hub OR any_more").drop("any_more"), "shared-keys")
-    hubs = shared.filter("k = hub").select("key", "hub")
+    """hub, k: for each index key its least set, with every other set.  A task
+    takes the packed keys of one cell: a fixed share of the key space, in which
+    a key has one entry for each COMBINED_DOCS documents at most."""
+
+    def shared_keys(frame: pa.Table) -> pa.Table:
+        cell = frame["cell"][0].as_py()
+        keys, sets, more = (np.concatenate(x) for x in zip(*(unpack(p.as_py()) for p in frame["packed"])))
+        order = np.lexsort((sets, keys))
+        keys, sets, more = keys[order], sets[order], more[order]
+        heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        sizes = np.diff(np.append(heads, len(keys)))
+        hub = np.repeat(sets[heads], sizes)
+        any_more = np.repeat(np.logical_or.reduceat(more, heads), sizes)
+        found = (sets != hub) | any_more
+        return pa.table({"key": (keys[found] | np.uint64(cell << (8 * KEY_BYTES))).view(np.int64), "k": sets[found], "hub": hub[found]})
+
+    shared = materialise(index.filter(F.col("kind") == CELL).select("cell", "packed")
+                         .groupBy("cell").applyInArrow(shared_keys, "key long, k long, hub long"), "shared-keys")
+    hubs = shared.filter("k = hub").select("key", "hub").distinct()
     others = index.filter(F.col("kind") == MORE).select("key", "k").join(hubs, "key").select("hub", "k")
     return materialise(shared.select("hub", "k").unionByName(others).filter("hub <> k").distinct(), "star")
 
@@ -322,64 +378,121 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) ->
     sets = arrow_map(texts, token_rows, "k long, tokens array<long>")
     sets = materialise(sets.groupBy("k").agg(F.first("tokens").alias("tokens")), "token-sets")
 
-    def linked(batch: pa.RecordBatch) -> dict:
-        ok = []
-        for a, b in zip(batch.column("tokens_a"), batch.column("tokens_b")):
-            x, y = (np.asarray(v.values).view(np.uint64) for v in (a, b))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * common >= rule.percent * (len(x) + len(y) - common))
-        return {x: batch.column(x).filter(pa.array(ok)) for x in "ab"}
-
     def side(x):
         return sets.select(F.col("k").alias(x), F.col("tokens").alias(f"tokens_{x}"))
 
-    return materialise(arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), linked, "a long, b long"), "links")
+    common, size = F.size(F.array_intersect("tokens_a", "tokens_b")), F.size("tokens_a") + F.size("tokens_b")
+    return materialise(pairs.join(side("a"), "a").join(side("b"), "b")
+                       .filter(100 * common >= rule.percent * (size - common)).select("a", "b"), "links")
+
+
+# Roles of a row in a cell: compared with (RIGHT), compared (LEFT), both, or the hub itself.
+RIGHT, LEFT, BOTH, HUB = range(4)
+PAIRS_SCHEMA = "hub long, a long, b long, whole boolean"
+
+
+def cell_pairs(rule: Rule, hub: int, k: np.ndarray, root: np.ndarray, n: np.ndarray, bitmaps: list[bytes],
+               role: np.ndarray, most: int | None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, whole) of pairs in a cell that may be linked.  With the hub
+    there, sets that may be linked with it give that pair alone, and the others
+    are compared with all; without it, sets of different components are.  A set
+    with over ``most`` pairs gives the nearest ones, marked as not whole."""
+    rows = [np.frombuffer(b, np.uint64) for b in bitmaps]
+    width = min(map(len, rows))
+    bits = np.stack([folded(r, width) for r in rows])
+    left, right = np.flatnonzero((role == LEFT) | (role == BOTH)), np.flatnonzero((role == RIGHT) | (role == BOTH))
+    out = []
+    for h in np.flatnonzero(role == HUB)[:1]:
+        ok = within(rule, n[h], n[left], apart(bits[h], bits[left]))
+        out.append((np.full(int(ok.sum()), hub), k[left[ok]], np.ones(int(ok.sum()), bool)))
+        left = left[~ok]
+    for at in range(0, len(left), 128):
+        some = left[at:at + 128]
+        distance = apart(bits[some][:, None], bits[right])
+        ok = within(rule, n[some][:, None], n[right], distance) & (root[some][:, None] != root[right])
+        full = ok.sum(axis=1) > (most or len(right))
+        i, j = np.nonzero(ok & ~full[:, None])
+        out.append((k[some[i]], k[right[j]], np.ones(len(i), bool)))
+        for i in np.flatnonzero(full):
+            j = np.flatnonzero(ok[i])
+            share = distance[i, j] / (n[some[i]] + n[right[j]])
+            j = j[np.argsort(share, kind="stable")[:most]]
+            out.append((np.full(len(j), k[some[i]]), k[right[j]], np.zeros(len(j), bool)))
+    return out
+
+
+def compare_cells(cells: DataFrame, rule: Rule, most: int | None) -> DataFrame:
+    """``cells`` (hub, block, k, root, n, bitmap, role) -> PAIRS_SCHEMA; rows of
+    one (hub, block) are a cell, and a task takes the cells of a bin."""
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8
+
+    def compare(table: pa.Table) -> pa.Table:
+        cols = {c: table[c].to_numpy() for c in ("hub", "block", "k", "root", "n", "role")}
+        bitmaps = table["bitmap"].to_pylist()
+        order = np.lexsort((cols["block"], cols["hub"]))
+        cols = {c: v[order] for c, v in cols.items()}
+        new = (np.diff(cols["hub"]) != 0) | (np.diff(cols["block"]) != 0)
+        edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(order)]))
+        found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, bool),)]
+        for i, j in zip(edges[:-1], edges[1:]):
+            own = {c: v[i:j] for c, v in cols.items()}
+            hub = int(own.pop("hub")[0])
+            own.pop("block")
+            for a, b, whole in cell_pairs(rule, hub, bitmaps=[bitmaps[x] for x in order[i:j]], most=most, **own):
+                found.append((np.full(len(a), hub), a, b, whole))
+        hub, a, b, whole = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"hub": hub, "a": np.minimum(a, b), "b": np.maximum(a, b), "whole": whole})
+
+    return (cells.withColumn("bin", F.pmod(F.xxhash64("hub", "block"), F.lit(parts))).groupBy("bin")
+            .applyInArrow(lambda table: compare(table), PAIRS_SCHEMA))
+
 
+CELL_COLUMNS = ("hub", "block", "k", "root", "n", "bitmap", "role")
 
-def second_candidates(star: DataFrame, roots: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one hub, of different components, that may be linked.  Sets
-    not yet in their hub's component (left) meet all sets of the hub (right)
-    in cells of BLOCK by BLOCK sets."""
+
+def small_groups(star: DataFrame, sizes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Hubs with at most BLOCK sets, each in one cell with the hub itself."""
+    small = sizes.filter(F.col("n_all") <= BLOCK).select("hub")
+    rows = star.join(small, "hub", "left_semi").select("hub", "k", F.lit(BOTH).alias("role")).unionByName(
+        small.select("hub", F.col("hub").alias("k"), F.lit(HUB).alias("role")))
+    cells = rows.join(sets.select("k", "n", "bitmap"), "k").withColumn("root", F.col("k")).withColumn("block", F.lit(0).cast("long"))
+    return compare_cells(cells.select(*CELL_COLUMNS), rule, NEAREST)
+
+
+def loose_groups(star: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, rule: Rule, most: int | None) -> DataFrame:
+    """Of the given ``hubs``: sets not yet in their hub's component (left)
+    meet all sets of the hub (right) in cells of BLOCK by BLOCK sets."""
     def root_of(name, to):
         return roots.select(F.col("vertex").alias(name), F.col("root").alias(to))
 
-    rows = (star.join(root_of("hub", "hub_root"), "hub", "left").join(root_of("k", "root"), "k", "left")
-            .select("hub", "k", F.coalesce("root", "k").alias("root"), F.coalesce("hub_root", "hub").alias("hub_root"))
-            .withColumn("loose", F.col("root") != F.col("hub_root")))
+    rows = (star.join(hubs, "hub", "left_semi").join(root_of("hub", "hub_root"), "hub", "left").join(root_of("k", "root"), "k", "left")
+            .select("hub", "k", F.coalesce("root", "k").alias("root"),
+                    (F.coalesce("root", "k") != F.coalesce("hub_root", "hub")).alias("loose")))
     rows = materialise(rows, "hub-rows")
     sizes = (rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("loose").cast("long")).alias("n_loose"))
              .filter("n_all > 1 AND n_loose > 0")
              .select("hub", F.ceil(F.col("n_all") / BLOCK).alias("right_blocks"), F.ceil(F.col("n_loose") / BLOCK).alias("left_blocks")))
     sized = rows.join(sizes, "hub").join(sets.select("k", "n", "bitmap"), "k").withColumn("h", F.xxhash64("k"))
+    one = (F.col("left_blocks") == 1) & (F.col("right_blocks") == 1)
+    single = sized.filter(one).select(
+        "*", F.lit(0).cast("long").alias("block"), F.when(F.col("loose"), F.lit(BOTH)).otherwise(F.lit(RIGHT)).alias("role"))
+    split = sized.filter(~one)
+    left = split.filter("loose").select("*", F.expr("explode(sequence(0L, right_blocks - 1))").alias("other")).select(
+        "*", (F.expr("pmod(h, left_blocks)") * F.col("right_blocks") + F.col("other")).alias("block"), F.lit(LEFT).alias("role"))
+    right = split.select("*", F.expr("explode(sequence(0L, left_blocks - 1))").alias("other")).select(
+        "*", (F.col("other") * F.col("right_blocks") + F.expr("pmod(h, right_blocks)")).alias("block"), F.lit(RIGHT).alias("role"))
+    cells = single.select(*CELL_COLUMNS).unionByName(left.select(*CELL_COLUMNS)).unionByName(right.select(*CELL_COLUMNS))
+    return compare_cells(cells, rule, most)
 
-    def cells(left: bool):
-        own, across = ("left", "right") if left else ("right", "left")
-        return (sized.filter("loose") if left else sized).select(
-            "hub", "k", "root", "n", "bitmap", F.lit(left).alias("is_left"),
-            F.expr(f"pmod(h, {own}_blocks)").alias(f"{own}_cell"),
-            F.expr(f"explode(sequence(0L, {across}_blocks - 1))").alias(f"{across}_cell"))
-
-    parts = int(star.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8
-    both = (cells(True).unionByName(cells(False))
-            .withColumn("bin", F.pmod(F.xxhash64("hub", "left_cell", "right_cell"), F.lit(parts))))
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        out_a, out_b = [], []
-        for _, cell in frame.groupby(["hub", "left_cell", "right_cell"], sort=False):
-            left, right = cell[cell.is_left], cell[~cell.is_left]
-            words = right.bitmap.map(len)
-            for width in words.unique():
-                some = right[words == width]
-                bits = np.frombuffer(b"".join(some.bitmap), np.uint64).reshape(len(some), -1)
-                n, k, root = some.n.to_numpy(), some.k.to_numpy(), some.root.to_numpy()
-                for x in left.itertuples(index=False):
-                    ok = may_link(rule, x.n, np.frombuffer(x.bitmap, np.uint64), n, bits) & (root != x.root)
-                    out_a += [x.k] * int(ok.sum())
-                    out_b += k[ok].tolist()
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-    found = both.groupBy("bin").applyInPandas(compare, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+def apart_still(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Hubs whose sets need another look: a pair with the hub itself turned
+    out not to be linked, or not all pairs were given."""
+    def root_of(x):
+        return roots.select(F.col("vertex").alias(x), F.col("root").alias(f"root_{x}"))
+
+    own = pairs.filter("NOT whole OR hub = a OR hub = b").join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    return own.filter(~F.col("whole") | (F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))).select("hub").distinct()
 
 
 def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -392,12 +505,25 @@ def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
                           "classes")
     sets = classes.select("k", "n", "bitmap")
     star = star_candidates(index)
-    first = materialise(pass_bitmaps(star.select(F.col("hub").alias("a"), F.col("k").alias("b")), sets, rule), "first-pairs")
-    links = verify(first, docs, classes, rule)
-    roots = connected_components(links)
-    second = materialise(second_candidates(star, roots, sets, rule), "second-pairs")
-    if not second.isEmpty():
-        roots = connected_components(links.unionByName(verify(second, docs, classes, rule)))
+    sizes = materialise(star.groupBy("hub").agg(F.count(F.lit(1)).alias("n_all")), "hub-sizes")
+    large = sizes.filter(F.col("n_all") > BLOCK).select("hub")
+    with_hub = pass_bitmaps(star.join(large, "hub", "left_semi").select(F.col("hub").alias("a"), F.col("k").alias("b")), sets, rule)
+    pairs = small_groups(star, sizes, sets, rule).unionByName(
+        with_hub.select(F.col("a").alias("hub"), "a", "b", F.lit(True).alias("whole")))
+    links, roots, left = None, None, None
+    for most in (NEAREST, NEAREST, None):  # then, with the components that gives, what is left; in the end all
+        if links is not None:
+            pairs = loose_groups(star, left, roots, sets, rule, most)
+        pairs = materialise(pairs, "pairs")
+        found = verify(materialise(pairs.select("a", "b").distinct(), "distinct-pairs"), docs, classes, rule)
+        links = found if links is None else links.unionByName(found)
+        roots = connected_components(links)
+        left = apart_still(pairs, roots)
+        if links is found:
+            left = left.unionByName(large).distinct()
+        left = materialise(left, "hubs-left")
+        if left.isEmpty():
+            break
     rooted = classes.select("k", "n", "rep").join(roots.withColumnRenamed("vertex", "k"), "k", "left").withColumn(
         "root", F.coalesce("root", "k"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("first"))
