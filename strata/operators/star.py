@@ -1,11 +1,9 @@
 """Star schema: dimensions and facts derived from silver.
 
-Dimension joins: ``dim_date`` is bounded by the calendar span, so it is
-broadcast explicitly; dimensions whose size depends on the data
-(features, campaigns, users) are joined without a hint and left to AQE,
-which switches to a broadcast only after measuring the built side at run
-time (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise
-keeps the shuffle join.
+Dimensions are joined without hints: their sizes depend on the data (one
+event with a far date stretches the calendar too), and AQE switches to a
+broadcast only after measuring the built side at run time
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), else keeps the shuffle join.
 """
 
 from __future__ import annotations
@@ -110,7 +108,7 @@ def fact_mrr(events: DataFrame) -> DataFrame:
 def events_by_feature_month(facts: DataFrame, dates: DataFrame, features: DataFrame) -> DataFrame:
     """year, month, feature_name, uses, users, first_seen (from the dim)."""
     f = facts.filter(F.col("feature_name").isNotNull())
-    j = (f.join(F.broadcast(dates.select("date_key", "year", "month")), "date_key")
+    j = (f.join(dates.select("date_key", "year", "month"), "date_key")
           .join(features.select("feature_name", "first_seen"), "feature_name"))
     return j.groupBy("year", "month", "feature_name").agg(
         F.count(F.lit(1)).alias("uses"),
@@ -120,7 +118,7 @@ def events_by_feature_month(facts: DataFrame, dates: DataFrame, features: DataFr
 
 def mrr_by_month(mrr_facts: DataFrame, dates: DataFrame) -> DataFrame:
     """year, month, upgrades, churns, gross_new_mrr, churned_mrr, net_mrr_movement."""
-    j = mrr_facts.join(F.broadcast(dates.select("date_key", "year", "month")), "date_key")
+    j = mrr_facts.join(dates.select("date_key", "year", "month"), "date_key")
     up = F.col("movement_type") == "upgrade"
     return j.groupBy("year", "month").agg(
         F.count(F.when(up, 1)).alias("upgrades"),
