@@ -18,6 +18,7 @@ alone decide; a null id is kept as it is.
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -93,15 +94,19 @@ def fit(sample: list, steps: int = 200, rate: float = 0.05, l2: float = 1e-6) ->
     fold = np.array([xxhash.xxh32_intdigest(str(r.doc_id)) % 3 for r in sample])
     if any(len(set(y[part])) < 2 for part in (fold == 0, fold != 0)):
         return Model(None, 0.0, 1.0, 0.0)
-    words: dict[bytes, list[int]] = {}
-    table = TokenTable(lambda w: words.setdefault(w, features(w)) and (), "", limit=1 << 40)
+    grams = array("i")
+
+    def make(word: bytes) -> tuple[int]:
+        own = features(word)
+        grams.extend(own)
+        return (len(own),)
+
+    table = TokenTable(make, "i", limit=1 << 40)
     rows = [table.positions(r.text.encode().split()) for r in sample]
-    grams = list(words.values())
     size = np.array([max(1, len(r)) for r in rows])
-    doc, word = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
+    doc, word = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), np.concatenate(rows)
     share = 1.0 / size[doc]
-    flat = np.array([k for g in grams for k in g], np.int64)
-    of = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    flat, of = np.array(grams), np.repeat(np.arange(len(table), dtype=np.int32), table.column(0))
     per = np.bincount(of)
     weight, bias = np.zeros(1 << BITS), np.zeros(1)
     adam, seen = Adam([weight, bias], rate), fold != 0
@@ -157,7 +162,7 @@ class Judge:
         return out
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Model:
     return fit(labelled_sample(docs, labels, "quality", per_class))
 
 

@@ -107,10 +107,11 @@ def fit(sample: list, steps: int = 200, rate: float = 0.1, l1: float = 1e-4, min
         n_sentences += len(starts)
     if not words:
         return Model(None, -20.0)
-    words, sentence, doc = np.concatenate(words), np.concatenate(sentence), np.array(doc)
+    words, sentence, doc = np.concatenate(words), np.concatenate(sentence), np.array(doc, np.int32)
     feats = np.stack([table.column(k).astype(np.int64) for k in range(1, WIDTH + 1)], axis=1)
     once = np.unique(sentence * np.int64(len(feats)) + words)  # each word once a sentence
-    sentence, words = once // len(feats), once % len(feats)
+    sentence, words = (x.astype(np.int32) for x in np.divmod(once, len(feats)))
+    del once
     pairs = np.unique(doc[sentence] * np.int64(len(feats)) + words)  # each word once a text
     by_text = np.unique((pairs // len(feats) << BITS)[:, None] + feats[pairs % len(feats)])
     common = np.bincount(by_text & (1 << BITS) - 1, minlength=1 << BITS) >= min_docs
@@ -179,7 +180,7 @@ class Scorer:
                 for a, b, p in zip(starts, stops, prob) if p >= threshold]
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, folds: int = 5) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, folds: int = 5) -> Model:
     """From labels of rows outside fold 0 of ``crc_fold`` alone."""
     return fit(labelled_sample(docs, labels, "toxic", per_class, crc_fold(F.col("doc_id"), folds) != 0))
 
