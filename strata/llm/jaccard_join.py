@@ -57,7 +57,8 @@ from strata.llm.learning import TokenTable
 # In ``plan``, against one index row: a false candidate, a set with empty segments in the index.
 FALSE_COST, EMPTY_COST = 6.0, 50.0
 BITS_PER_DIFFERENCE = 8
-BLOCK = 512
+BLOCK = 4096
+WORDS_AT_ONCE = 1 << 21  # of bitmaps, in a comparison
 NEAREST = 4
 COMBINED_DOCS = 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -180,6 +181,11 @@ def folded(bits: np.ndarray, to: int) -> np.ndarray:
     return bits
 
 
+def fold_once(bitmap: bytes) -> bytes:
+    words = np.frombuffer(bitmap, np.uint64)
+    return folded(words, max(1, len(words) // 2)).tobytes()
+
+
 def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bits in which bitmap rows a and b (broadcast against each other) differ:
     at most the number of differing tokens."""
@@ -224,12 +230,12 @@ def set_key(tokens: np.ndarray) -> int:
 # Row kinds of the index table.
 DOC, CELL, MORE = 0, 1, 2
 INDEX_SCHEMA = "kind int, doc_id long, n long, k long, bitmap binary, key long, cell int, packed binary"
-KEY_BYTES = 6  # of an index key, beside its cell
+KEY_BYTES = 5  # of an index key, beside its cell
 
 
 def cell_bits(spark) -> int:
     """Cells of the key space, a power of two by the session's partitions."""
-    return min(15, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length()))
+    return min(24, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length()))
 
 
 def pack(keys: np.ndarray, sets: np.ndarray, more: np.ndarray) -> bytes:
@@ -256,7 +262,7 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def build_index(docs: DataFrame, rule: Rule) -> DataFrame:
     """One pass over the texts.  DOC: doc_id, key (hash of the text), n, k (the
-    set's key), bitmap.  CELL: of COMBINED_DOCS documents, the index keys of
+    set's key), bitmap, packed (the bitmap folded once).  CELL: of COMBINED_DOCS documents, the index keys of
     one cell, each with its least set and whether there are more, packed.
     MORE: those others (key, k)."""
     bits = cell_bits(docs.sparkSession)
@@ -312,7 +318,7 @@ def index_rows(batch: pa.RecordBatch, shingler: Shingler, rule: Rule, bits: int)
         [pa.array(np.repeat([DOC, CELL, MORE], [n_docs, n_cells, n_more]), pa.int32()), column(pa.int64(), batch.column(0)),
          column(pa.int64(), sizes), column(pa.int64(), set_keys, None, owner[other]), column(pa.binary(), bitmaps),
          column(pa.int64(), batch.column(2), None, key[other].view(np.int64)), column(pa.int32(), None, cell.astype(np.int32)),
-         column(pa.binary(), None, packed)],
+         column(pa.binary(), [b and fold_once(b) for b in bitmaps], packed)],
         names=["kind", "doc_id", "n", "k", "bitmap", "key", "cell", "packed"])
 
 
@@ -388,41 +394,52 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) ->
 
 # Roles of a row in a cell: compared with (RIGHT), compared (LEFT), both, or the hub itself.
 RIGHT, LEFT, BOTH, HUB = range(4)
-PAIRS_SCHEMA = "hub long, a long, b long, whole boolean"
+PAIRS_SCHEMA = "hub long, a long, b long, state int"
+# State of a pair: all of the set's pairs are given; not all; the pair with the hub was taken for all.
+GIVEN, NEARER, TAKEN = range(3)
+SURE = 10 / 7  # a set so much nearer to its hub than needed is taken for linked until verified
 
 
 def cell_pairs(rule: Rule, hub: int, k: np.ndarray, root: np.ndarray, n: np.ndarray, bitmaps: list[bytes],
                role: np.ndarray, most: int | None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, whole) of pairs in a cell that may be linked.  With the hub
-    there, sets that may be linked with it give that pair alone, and the others
-    are compared with all; without it, sets of different components are.  A set
-    with over ``most`` pairs gives the nearest ones, marked as not whole."""
+    """(a, b, state) of pairs in a cell that may be linked.  With the hub
+    there, sets that are surely linked with it give that pair alone, and all
+    others are compared with all; without it, sets of different components are.
+    A set with over ``most`` pairs gives the nearest ones."""
     rows = [np.frombuffer(b, np.uint64) for b in bitmaps]
     width = min(map(len, rows))
     bits = np.stack([folded(r, width) for r in rows])
     left, right = np.flatnonzero((role == LEFT) | (role == BOTH)), np.flatnonzero((role == RIGHT) | (role == BOTH))
     out = []
+
+    def give(a, b, state):
+        out.append((a, b, np.full(len(a), state, np.int32)))
+
     for h in np.flatnonzero(role == HUB)[:1]:
-        ok = within(rule, n[h], n[left], apart(bits[h], bits[left]))
-        out.append((np.full(int(ok.sum()), hub), k[left[ok]], np.ones(int(ok.sum()), bool)))
-        left = left[~ok]
-    for at in range(0, len(left), 128):
-        some = left[at:at + 128]
+        distance = apart(bits[h], bits[left])
+        ok = within(rule, n[h], n[left], distance)
+        sure = within(rule, n[h], n[left], distance * SURE)
+        give(np.full(int(sure.sum()), hub), k[left[sure]], TAKEN)
+        give(np.full(int((ok & ~sure).sum()), hub), k[left[ok & ~sure]], GIVEN)
+        left = left[~sure]
+    step = max(1, WORDS_AT_ONCE // (max(1, len(right)) * width))
+    for at in range(0, len(left), step):
+        some = left[at:at + step]
         distance = apart(bits[some][:, None], bits[right])
         ok = within(rule, n[some][:, None], n[right], distance) & (root[some][:, None] != root[right])
         full = ok.sum(axis=1) > (most or len(right))
         i, j = np.nonzero(ok & ~full[:, None])
-        out.append((k[some[i]], k[right[j]], np.ones(len(i), bool)))
+        give(k[some[i]], k[right[j]], GIVEN)
         for i in np.flatnonzero(full):
             j = np.flatnonzero(ok[i])
             share = distance[i, j] / (n[some[i]] + n[right[j]])
             j = j[np.argsort(share, kind="stable")[:most]]
-            out.append((np.full(len(j), k[some[i]]), k[right[j]], np.zeros(len(j), bool)))
+            give(np.full(len(j), k[some[i]]), k[right[j]], NEARER)
     return out
 
 
 def compare_cells(cells: DataFrame, rule: Rule, most: int | None) -> DataFrame:
-    """``cells`` (hub, block, k, root, n, bitmap, role) -> PAIRS_SCHEMA; rows of
+    """``cells`` (CELL_COLUMNS; bitmaps folded once, to move less) -> PAIRS_SCHEMA; rows of
     one (hub, block) are a cell, and a task takes the cells of a bin."""
     parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8
 
@@ -433,15 +450,15 @@ def compare_cells(cells: DataFrame, rule: Rule, most: int | None) -> DataFrame:
         cols = {c: v[order] for c, v in cols.items()}
         new = (np.diff(cols["hub"]) != 0) | (np.diff(cols["block"]) != 0)
         edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(order)]))
-        found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, bool),)]
+        found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, np.int32),)]
         for i, j in zip(edges[:-1], edges[1:]):
             own = {c: v[i:j] for c, v in cols.items()}
             hub = int(own.pop("hub")[0])
             own.pop("block")
-            for a, b, whole in cell_pairs(rule, hub, bitmaps=[bitmaps[x] for x in order[i:j]], most=most, **own):
-                found.append((np.full(len(a), hub), a, b, whole))
-        hub, a, b, whole = (np.concatenate(x) for x in zip(*found))
-        return pa.table({"hub": hub, "a": np.minimum(a, b), "b": np.maximum(a, b), "whole": whole})
+            for a, b, state in cell_pairs(rule, hub, bitmaps=[bitmaps[x] for x in order[i:j]], most=most, **own):
+                found.append((np.full(len(a), hub), a, b, state))
+        hub, a, b, state = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"hub": hub, "a": np.minimum(a, b), "b": np.maximum(a, b), "state": state})
 
     return (cells.withColumn("bin", F.pmod(F.xxhash64("hub", "block"), F.lit(parts))).groupBy("bin")
             .applyInArrow(lambda table: compare(table), PAIRS_SCHEMA))
@@ -486,36 +503,37 @@ def loose_groups(star: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataF
 
 
 def apart_still(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Hubs whose sets need another look: a pair with the hub itself turned
-    out not to be linked, or not all pairs were given."""
+    """Hubs whose sets need another look: a pair that was taken for linked
+    turned out not to be, or not all pairs were given."""
     def root_of(x):
         return roots.select(F.col("vertex").alias(x), F.col("root").alias(f"root_{x}"))
 
-    own = pairs.filter("NOT whole OR hub = a OR hub = b").join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-    return own.filter(~F.col("whole") | (F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))).select("hub").distinct()
+    own = pairs.filter(F.col("state") != GIVEN).join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    return own.filter((F.col("state") == NEARER) | (F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))).select("hub").distinct()
 
 
 def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, row (hash of the text), n and first (doc_id, row: the least of
     the component; null without words) of every row of ``docs``."""
     index = materialise(build_index(docs, rule), "jaccard-index")
-    rows = index.filter(F.col("kind") == DOC).select("doc_id", F.col("key").alias("row"), "n", "k", "bitmap")
+    rows = index.filter(F.col("kind") == DOC).select("doc_id", F.col("key").alias("row"), "n", "k", "bitmap", "packed")
     named_row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
-    classes = materialise(rows.filter("n > 0").groupBy("k", "n").agg(F.min(named_row).alias("rep"), F.min("bitmap").alias("bitmap")),
-                          "classes")
-    sets = classes.select("k", "n", "bitmap")
+    classes = materialise(rows.filter("n > 0").groupBy("k", "n").agg(F.min(named_row).alias("rep"), F.min("bitmap").alias("bitmap"),
+                                                                F.min("packed").alias("folded")), "classes")
+    sets, small = classes.select("k", "n", "bitmap"), classes.select("k", "n", F.col("folded").alias("bitmap"))
     star = star_candidates(index)
     sizes = materialise(star.groupBy("hub").agg(F.count(F.lit(1)).alias("n_all")), "hub-sizes")
     large = sizes.filter(F.col("n_all") > BLOCK).select("hub")
     with_hub = pass_bitmaps(star.join(large, "hub", "left_semi").select(F.col("hub").alias("a"), F.col("k").alias("b")), sets, rule)
-    pairs = small_groups(star, sizes, sets, rule).unionByName(
-        with_hub.select(F.col("a").alias("hub"), "a", "b", F.lit(True).alias("whole")))
+    pairs = small_groups(star, sizes, small, rule).unionByName(
+        with_hub.select(F.col("a").alias("hub"), "a", "b", F.lit(TAKEN).alias("state")))
     links, roots, left = None, None, None
     for most in (NEAREST, NEAREST, None):  # then, with the components that gives, what is left; in the end all
         if links is not None:
-            pairs = loose_groups(star, left, roots, sets, rule, most)
+            pairs = loose_groups(star, left, roots, small, rule, most)
         pairs = materialise(pairs, "pairs")
-        found = verify(materialise(pairs.select("a", "b").distinct(), "distinct-pairs"), docs, classes, rule)
+        near = pass_bitmaps(pairs.select("a", "b").distinct(), sets, rule)  # whole bitmaps
+        found = verify(materialise(near, "near-pairs"), docs, classes, rule)
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links)
         left = apart_still(pairs, roots)
@@ -548,8 +566,10 @@ def keep_one_each(docs: DataFrame, rule: Rule) -> DataFrame:
         F.first("first").alias("first"), F.count(F.lit(1)).alias("times")).withColumn(
         "gone", (F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.row") != F.col("row")))
         .filter("gone OR times > 1").select("doc_id", "row", "gone"), "repeated-rows")
-    rows = cols.withColumn("row", F.xxhash64("text"))
+    ids = materialise(listed.select("doc_id").distinct(), "repeated-ids")
+    untouched = cols.join(ids, "doc_id", "left_anti").select(*cols.columns)
+    rows = materialise(cols.join(ids, "doc_id", "left_semi").withColumn("row", F.xxhash64("text")), "rows-of-ids")
     once = rows.join(listed, ["doc_id", "row"], "left_anti")
     same = (rows.join(listed.filter("NOT gone"), ["doc_id", "row"], "left_semi")
             .dropDuplicates(["doc_id", "row"]))  # equal rows of one document
-    return once.unionByName(same).drop("row")
+    return untouched.unionByName(once.unionByName(same).select(*cols.columns))
