@@ -439,7 +439,7 @@ def cell_pairs(rule: Rule, hub: int, k: np.ndarray, root: np.ndarray, n: np.ndar
 
 
 def compare_cells(cells: DataFrame, rule: Rule, most: int | None) -> DataFrame:
-    """``cells`` (CELL_COLUMNS; bitmaps folded once, to move less) -> PAIRS_SCHEMA; rows of
+    """``cells`` (CELL_COLUMNS) -> PAIRS_SCHEMA; rows of
     one (hub, block) are a cell, and a task takes the cells of a bin."""
     parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8
 
@@ -468,7 +468,8 @@ CELL_COLUMNS = ("hub", "block", "k", "root", "n", "bitmap", "role")
 
 
 def small_groups(star: DataFrame, sizes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Hubs with at most BLOCK sets, each in one cell with the hub itself."""
+    """Hubs with at most BLOCK sets, each in one cell with the hub itself; on
+    folded bitmaps, as every set moves once for each of its hubs."""
     small = sizes.filter(F.col("n_all") <= BLOCK).select("hub")
     rows = star.join(small, "hub", "left_semi").select("hub", "k", F.lit(BOTH).alias("role")).unionByName(
         small.select("hub", F.col("hub").alias("k"), F.lit(HUB).alias("role")))
@@ -530,7 +531,7 @@ def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     links, roots, left = None, None, None
     for most in (NEAREST, NEAREST, None):  # then, with the components that gives, what is left; in the end all
         if links is not None:
-            pairs = loose_groups(star, left, roots, small, rule, most)
+            pairs = loose_groups(star, left, roots, sets, rule, most)  # whole bitmaps: fewer pairs
         pairs = materialise(pairs, "pairs")
         near = pass_bitmaps(pairs.select("a", "b").distinct(), sets, rule)  # whole bitmaps
         found = verify(materialise(near, "near-pairs"), docs, classes, rule)
