@@ -1,13 +1,16 @@
 """Main text of web pages: structure rules and site template removal.
 
 Template removal: every element's subtree (tag, class, id, text and the hashes
-of its children) is hashed; Spark counts on how many pages of a host each
-hash occurs; subtrees that recur on many pages of their host are deleted.
-Counting is one aggregate on (host, hash), combined on the map side, so a host
-with a third of all pages is no hot key.  A host's list of template hashes is
-bounded (each is on at least ``share`` of its pages) and joined to the pages
-by host: Spark broadcasts the written list where its size allows, else it
-joins by shuffle and splits hot hosts.
+of its children) is hashed; Spark counts in how many different surroundings
+each hash occurs on a host; subtrees that recur in many are deleted.  The
+surroundings are the texts of the rest of the page, or inside an article or
+main element of the rest of these, furniture left out, so copies of a page
+count once and what only they share is content.  Counting is an aggregate on
+(host, hash, surroundings), then one on (host, hash), both combined on the map
+side, so a host with a third of all pages is no hot key.  A host's list of
+template hashes is bounded (each is in at least ``share`` of its different
+contents) and joined to the pages by host: Spark broadcasts the written list
+where its size allows, else it joins by shuffle and splits hot hosts.
 
 Inside an article, paragraphs and headings are never deleted as templates (two
 copies of an article share them all), and other containers only at the
@@ -15,8 +18,9 @@ stricter ``inner_share``.
 
 Defined results: null or empty html gives an empty text; a null url is a host
 of its own; broken markup is closed as a browser would, to the degree needed;
-repeated rows count as pages and give one row each; an empty table gives no
-row.
+repeated rows give one row each and count as one content; a host with fewer
+than ``min_contents`` different contents has no templates; an empty table gives
+no row.
 """
 
 from __future__ import annotations
@@ -61,15 +65,20 @@ MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>
                     r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
                     r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+CONTENT = (1 << 63) - 1  # sums of content are kept modulo this + 1
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 @dataclass(frozen=True)
 class Thresholds:
+    """A template is on ``min_pages`` pages, copies included, and in as many
+    different surroundings (in all of them on a host with fewer, but in
+    ``min_contents``) that are ``share`` of the host's different contents."""
     min_pages: int = 5
     share: float = 0.1
     inner_min_pages: int = 20
     inner_share: float = 0.5
+    min_contents: int = 3
 
 
 def host_of(url: Column) -> Column:
@@ -94,22 +103,25 @@ def is_furniture(tag: str, attrs: dict[str, str]) -> bool:
 
 
 class Frame:
-    __slots__ = ("tag", "cut", "parts", "items", "label")
+    __slots__ = ("tag", "cut", "parts", "items", "label", "content")
 
     def __init__(self, tag: str, cut: bool, label: str):
         self.tag, self.cut, self.label = tag, cut, label
         self.parts: list = []  # what the hash is made of
         self.items: list = []  # text, None at block ends, and lists of kept children
+        self.content = 0  # sum of the hashes of the texts in it, furniture left out
 
 
 class Page:
     """One pass over the markup with a stack of open elements.  ``templates``
     holds the hashes to delete; ``seen`` collects those of this page as
-    (hash, inside an article)."""
+    (hash, inside an article), with the part of the page that surrounds them
+    ("article", "main" or "" for the page) and the content they hold of it."""
 
     def __init__(self, html: str, templates: frozenset[int] = frozenset(), inner: frozenset[int] = frozenset()):
         self.templates, self.inner = templates, inner
-        self.seen: set[tuple[int, bool]] = set()
+        self.seen: dict[tuple[int, bool], list] = {}
+        self.contents = {"article": 0, "main": 0, "": 0}
         self.roots: dict[str, list] = {"article": [], "main": []}
         self.stack = [Frame("", False, "")]
         self.open: dict[str, int] = {}
@@ -136,6 +148,7 @@ class Page:
                 at = stop.start() if stop else len(html)
         while len(self.stack) > 1:
             self.pop()
+        self.contents[""] = self.content_of(self.stack[0])
 
     def text(self, raw: str, decode: bool = True) -> None:
         if raw:
@@ -178,6 +191,22 @@ class Page:
             if self.stack[k].tag in until:
                 return
 
+    @staticmethod
+    def content_of(frame: Frame) -> int:
+        own = " ".join(" ".join(p for p in frame.parts if isinstance(p, str)).split())
+        return frame.content + (xxhash.xxh64_intdigest(own) if own else 0)
+
+    def surroundings(self) -> list[tuple[int, bool, int]]:
+        """(hash, inside an article, content around it) of the subtrees that
+        the text can hold."""
+        return [(digest, inside, self.contents[part] - held & CONTENT)
+                for (digest, inside), (part, held) in self.seen.items()]
+
+    def whole(self, inside: bool) -> int:
+        """Content of the page, or of its articles or main element if it has one."""
+        part = next((p for p in ROOTS if inside and self.roots[p]), "")
+        return self.contents[part] & CONTENT
+
     def pop(self) -> None:
         frame = self.stack.pop()
         tag, parent = frame.tag, self.stack[-1]
@@ -188,10 +217,17 @@ class Page:
         inside = bool(self.open.get("article") or self.open.get("main"))
         digest = xxhash.xxh64_intdigest("\0".join([frame.label, *map(str, frame.parts)])) >> 1
         parent.parts.append(digest)
+        kept = not (frame.cut or self.cuts)
+        content = self.content_of(frame) if kept else 0
+        parent.content += content
+        if tag in ROOTS and not self.open.get(tag) and kept:
+            self.contents[tag] += content
         if tag in BLOCKS:
             parent.items.append(None)
             if tag not in ("html", "body", *ROOTS) and not (inside and tag in TEXT_BLOCKS):
-                self.seen.add((digest, inside))
+                if kept:
+                    part = next((p for p in ROOTS if self.open.get(p)), "")
+                    self.seen.setdefault((digest, inside), [part, 0])[1] += content
                 if digest in (self.inner if inside else self.templates):
                     return
         if frame.cut:
@@ -242,25 +278,32 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 
 def site_templates(pages: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
-    """host, outer and inner (arrays of hashes): the subtrees that recur on
-    many pages of the host, outside and inside articles."""
+    """host, outer and inner (arrays of hashes): the subtrees that recur in
+    many surroundings on the host, outside and inside articles."""
 
     def rows(batch: pa.RecordBatch) -> dict:
-        out: dict = {"host": [], "hash": [], "inside": []}
+        out: dict = {"host": [], "hash": [], "inside": [], "around": []}
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
-            found = [(None, False), *Page(html.as_py() or "").seen]  # the null hash counts the pages
+            page = Page(html.as_py() or "")
+            found = [(None, i, page.whole(i)) for i in (False, True)] + page.surroundings()  # the null hash counts contents
             out["host"] += [host] * len(found)
-            out["hash"] += [h for h, _ in found]
-            out["inside"] += [inside for _, inside in found]
+            for name, values in zip(("hash", "inside", "around"), zip(*found)):
+                out[name] += values
         return out
 
-    counts = (arrow_map(page_rows(pages).select("host", "html"), rows, "host string, hash long, inside boolean")
-              .groupBy("host", "hash", "inside").agg(F.count(F.lit(1)).alias("n")))
-    counts = materialise(counts.filter(F.col("hash").isNull() | (F.col("n") >= limits.min_pages)), "subtree-counts")
-    totals = counts.filter("hash IS NULL").select("host", F.col("n").alias("n_pages"))
-    many = F.when(F.col("inside"), (F.col("n") >= limits.inner_min_pages) & (F.col("n") >= limits.inner_share * F.col("n_pages"))
-                  ).otherwise(F.col("n") >= limits.share * F.col("n_pages"))
-    return (counts.filter("hash IS NOT NULL").join(totals, "host").filter(many).groupBy("host")
+    counts = (arrow_map(page_rows(pages).select("host", "html"), rows, "host string, hash long, inside boolean, around long")
+              .groupBy("host", "hash", "inside", "around").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("host", "hash", "inside").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_around")))
+    counts = materialise(counts.filter(F.col("hash").isNull() | (F.col("n") >= limits.min_pages)
+                                       & (F.col("n_around") >= limits.min_contents)), "subtree-counts")
+    totals = counts.filter("hash IS NULL").select("host", "inside", F.col("n_around").alias("n_contents"))
+
+    def many(min_pages: int, share: float) -> Column:
+        return ((F.col("n") >= min_pages) & (F.col("n_around") >= F.least(F.lit(min_pages), F.col("n_contents")))
+                & (F.col("n_around") >= share * F.col("n_contents")))
+
+    recur = F.when(F.col("inside"), many(limits.inner_min_pages, limits.inner_share)).otherwise(many(limits.min_pages, limits.share))
+    return (counts.filter("hash IS NOT NULL").join(totals, ["host", "inside"]).filter(recur).groupBy("host")
             .agg(F.collect_list(F.when(~F.col("inside"), F.col("hash"))).alias("outer"),
                  F.collect_list(F.when(F.col("inside"), F.col("hash"))).alias("inner")))
 

@@ -64,6 +64,29 @@ def test_copies_of_an_article_are_content(spark):
     assert {r.text for r in extract_text(pages(spark, rows)).collect()} == {"Same\nCopied paragraph."}
 
 
+@pytest.mark.parametrize("body", ["<div><p>First copied.</p><p>Second copied.</p></div>",
+                                  "<p>First copied.</p><p>Second copied.</p>",
+                                  "<section><div><p>First copied.</p></div><ul><li>Second copied.</li></ul></section>"])
+def test_copies_of_a_plain_page_are_content(spark, body):
+    """A third of the host; the site's own blocks are still deleted."""
+    rows = site(60, "e.example", lambda i: body if i % 3 == 0 else f"<div><p>Story {i}.</p></div>")
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert got == {i: "First copied.\nSecond copied." if i % 3 == 0 else f"Story {i}." for i in range(60)}
+
+
+@pytest.mark.parametrize("wrap", ["<div><p>First copied.</p><p>Second copied.</p></div>",
+                                  "<section><div><h2>First copied.</h2></div><div>Second copied.</div></section>",
+                                  "<ul><li>First copied.</li><li>Second copied.</li></ul>",
+                                  "<table><tr><td>First copied.</td></tr><tr><td>Second copied.</td></tr></table>"])
+def test_copies_in_an_article_wrapper_are_content(spark, wrap):
+    """Most of the host, dates differ outside the article; the box in every
+    article is still deleted."""
+    box = "<div>Read our other stories</div>"
+    rows = site(60, "f.example", lambda i: f"<div>Day {i}</div><article>" + (wrap if i % 3 else f"<p>Text {i}</p>") + box + "</article>")
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert got == {i: "First copied.\nSecond copied." if i % 3 else f"Text {i}" for i in range(60)}
+
+
 def test_inner_boxes(spark):
     rows = site(40, "d.example", lambda i: f"<article><p>Text {i}</p><div>Read our other stories</div></article>")
     assert {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()} == {i: f"Text {i}" for i in range(40)}
