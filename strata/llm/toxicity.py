@@ -2,17 +2,21 @@
 
 A document is a bag of sentences.  A sentence's logit is a bias plus the
 weights of its distinct words' hashed features (the word and its prefixes), and the
-document's score is the noisy-or 1 - prod(1 - sigmoid(logit)) of its
-sentences, so document labels alone train the weights, and the sentences with
-a high probability are the offending ones.  Sentences end at . ! ? and line
-ends, and after ``SENTENCE_WORDS`` words.
+document's score is a noisy-or: 1 - (1 - b) * prod((1 - sigmoid(logit)) / (1 - b))
+over its sentences, with the background rate b = sigmoid(bias).  A sentence
+without a weighted word has the factor 1, so b counts once a document, however
+long; with one weighted sentence the score is that sentence's.  Document labels
+alone train the weights, and the sentences with a high probability are the
+offending ones.  Sentences end at . ! ? and line ends, and after
+``SENTENCE_WORDS`` words; a blank line is none.
 
 The model is trained on the driver from a bounded sample of labelled texts
 (``per_class`` texts of each label); its weights (2**18 floats at most, 1 MB)
 go to the tasks with the function, and every whole text is scored in Arrow
 batches.  A word's weight is computed once a task and kept.
 
-Defined results: null and empty texts have no sentence, and score 0; with no
+Defined results: null and empty texts and those of white space alone have no
+sentence, and score 0; with no
 label of one of the classes, all texts get the share of label 1, smoothed;
 repeated rows are scored alike; a null id is kept.
 """
@@ -79,15 +83,21 @@ def sentence_starts(end: np.ndarray) -> np.ndarray:
     return np.flatnonzero((at - begun) % SENTENCE_WORDS == 0)
 
 
-def noisy_or(logits: np.ndarray) -> float:
-    return float(-np.expm1(-np.logaddexp(0, logits).sum())) if len(logits) else 0.0
+def is_blank(tokens: list[str], starts: np.ndarray) -> np.ndarray:
+    """Of sentences, whether they are a line end alone."""
+    return np.array([tokens[a] == LINE_END for a in starts], bool)
+
+
+def noisy_or(logits: np.ndarray, base: float = 0.0) -> float:
+    """``base``: -log(1 - background rate), which counts once."""
+    return float(-np.expm1(-base - (np.logaddexp(0, logits) - base).sum()))
 
 
 def fit(sample: list, steps: int = 200, rate: float = 0.1, l1: float = 1e-4, min_docs: int = 4) -> Model:
     """``sample``: rows with text and y.  Weights are at least 0 and shrunk
-    towards it: ordinary words end at exactly 0, so that neither length nor
-    repetition alone raises a score, and only features found in ``min_docs``
-    texts can get a weight."""
+    towards it: ordinary words end at exactly 0 and the bias counts once a
+    text, so that neither length nor repetition alone raises a score, and only
+    features found in ``min_docs`` texts can get a weight."""
     y = np.array([r.y for r in sample], float)
     if len(set(y)) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
@@ -95,14 +105,18 @@ def fit(sample: list, steps: int = 200, rate: float = 0.1, l1: float = 1e-4, min
     table = TokenTable(lambda t: (ends(t), *features(t)), "b" + "i" * WIDTH, limit=1 << 40)
     words, sentence, doc, n_sentences = [], [], [], 0
     for i, r in enumerate(sample):
-        at = table.positions(tokens_of(r.text))
+        tokens = tokens_of(r.text)
+        at = table.positions(tokens)
         if not len(at):
             continue
         starts = sentence_starts(table.take(0, at) != 0)
+        starts = starts[~is_blank(tokens, starts)]
+        if not len(starts):
+            continue
         mark = np.zeros(len(at), np.int64)
         mark[starts] = 1
-        words.append(at)
-        sentence.append(n_sentences + mark.cumsum() - 1)
+        words.append(at[starts[0]:])
+        sentence.append(n_sentences + mark[starts[0]:].cumsum() - 1)
         doc += [i] * len(starts)
         n_sentences += len(starts)
     if not words:
@@ -123,14 +137,17 @@ def fit(sample: list, steps: int = 200, rate: float = 0.1, l1: float = 1e-4, min
     flat, n_words = feats.ravel(), len(feats)
     weight, bias = np.zeros(len(used) + 1), np.array([-4.0])
     adam = Adam([weight, bias], rate)
+    some = np.bincount(doc, minlength=len(y)) > 0  # texts with a sentence
     for _ in range(steps):
         z = bias[0] + np.bincount(sentence, weight[feats].sum(1)[words], n_sentences)
-        mass = np.bincount(doc, np.logaddexp(0, z), len(y))  # -log(1 - score)
-        pull = np.where(y == 1, -np.exp(-mass) / np.maximum(-np.expm1(-mass), 1e-9), 1.0)
-        dz = pull[doc] / (1 + np.exp(-z)) / len(y)
+        base, rate_0 = np.logaddexp(0, bias[0]), 1 / (1 + np.exp(-bias[0]))
+        mass = np.where(some, base + np.bincount(doc, np.logaddexp(0, z) - base, len(y)), 0)  # -log(1 - score)
+        pull = np.where(y == 1, -np.exp(-mass) / np.maximum(-np.expm1(-mass), 1e-9), 1.0) / len(y)
+        p = 1 / (1 + np.exp(-z))
+        dz = pull[doc] * p
         by_word = np.bincount(words, dz[sentence], n_words)
         grad = np.bincount(flat, np.repeat(by_word, WIDTH), len(weight)) + l1
-        adam.step([grad, np.array([dz.sum()])])
+        adam.step([grad, np.array([rate_0 * pull[some].sum() + (pull[doc] * (p - rate_0)).sum()])])
         np.maximum(weight, 0, out=weight)
         weight[0] = 0
     full = np.zeros(1 << BITS, np.float32)
@@ -144,39 +161,43 @@ class Scorer:
         weight = (model.weights if model.weights is not None else np.zeros(1 << BITS)).tolist().__getitem__
         self.table = TokenTable(lambda t: (sum(map(weight, features(t))), ends(t)), "db")
 
-    def logits(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Of each sentence; and the positions of the tokens they start with."""
+    def logits(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+        """Of each sentence with a weighted word; the positions of the tokens
+        they start with, and of those after their last; whether the text has
+        any sentence."""
         tokens = tokens_of(text)
         if not tokens:
-            return np.empty(0), np.empty(0, int)
+            return np.empty(0), np.empty(0, int), np.empty(0, int), False
         words = self.table.positions(tokens)
         weights = self.table.take(0, words)
-        starts = sentence_starts(self.table.take(1, words) != 0)
-        z = np.full(len(starts), self.model.bias)
         some = np.flatnonzero(weights)
-        if len(some):  # each word once a sentence
-            sentence = np.searchsorted(starts, some, "right") - 1
-            _, first = np.unique(sentence * np.int64(len(self.table)) + words[some], return_index=True)
-            np.add.at(z, sentence[first], weights[some[first]])
-        return z, starts
+        if not len(some):
+            return np.empty(0), np.empty(0, int), np.empty(0, int), any(t != LINE_END for t in tokens)
+        starts = sentence_starts(self.table.take(1, words) != 0)
+        sentence = np.searchsorted(starts, some, "right") - 1
+        _, first = np.unique(sentence * np.int64(len(self.table)) + words[some], return_index=True)  # each word once a sentence
+        z = np.zeros(len(starts))
+        np.add.at(z, sentence[first], weights[some[first]])
+        weighted = np.unique(sentence)
+        return self.model.bias + z[weighted], starts[weighted], np.append(starts, len(tokens))[weighted + 1], True
 
     def score(self, text: str | None) -> float:
         if self.model.weights is None:
             return float(1 / (1 + np.exp(-self.model.bias)))
-        return noisy_or(self.logits(text)[0])
+        z, _, _, some = self.logits(text)
+        return noisy_or(z, np.logaddexp(0, self.model.bias)) if some else 0.0
 
     def offending(self, text: str | None, threshold: float) -> list[dict]:
         """Spans of the sentences at or over ``threshold``: code points, end
         exclusive, with their probability."""
         if self.model.weights is None:
             return []
-        z, starts = self.logits(text)
+        z, starts, stops, _ = self.logits(text)
         if not len(z) or z.max() < np.log(threshold / (1 - threshold)):
             return []
         spans = [m.span() for m in re.finditer(r"\S+|\n", text)]
-        stops = np.append(starts[1:], len(spans)) - 1
         prob = 1 / (1 + np.exp(-z))
-        return [{"start": spans[a][0], "end": spans[b][1], "probability": float(p)}
+        return [{"start": spans[a][0], "end": spans[b - 1][1], "probability": float(p)}
                 for a, b, p in zip(starts, stops, prob) if p >= threshold]
 
 

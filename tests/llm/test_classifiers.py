@@ -101,6 +101,27 @@ def test_toxicity_learns_and_locates(spark, make_docs):
     assert {r.doc_id for r in toxicity.drop_toxic(docs, model).collect()} == {i for i, _, y in fresh if not y}
 
 
+@pytest.fixture(scope="module")
+def noisy_model():
+    """A tenth of the texts of label 1 have no word to learn from."""
+    rows = toxic_docs(300) + [(300 + k, chr(97 + k) * 8, 1) for k in range(11)]
+    return toxicity.fit([SimpleNamespace(doc_id=i, text=t, y=y) for i, t, y in rows])
+
+
+@pytest.mark.parametrize("text", ["Plain7 plain9 words. " * 100_000, "plain3 word\n" * 100_000, "plain1.\n\n\n" * 100_000])
+def test_length_alone_raises_no_score(noisy_model, text):
+    scorer = noisy_model.scorer()
+    assert scorer.score(text) == pytest.approx(scorer.score("plain7")) and scorer.score(text) < 0.5
+    assert scorer.offending(text, 0.5) == []
+    bad = "You vilebo thing. "
+    assert scorer.score(text + bad) == pytest.approx(scorer.score(bad)) and scorer.score(bad) >= 0.5
+    assert [text[-1:] + bad.strip()] == [(text + bad)[s["start"] - 1:s["end"]] for s in scorer.offending(text + bad, 0.5)]
+
+
+def test_line_ends_alone_are_no_sentence(noisy_model):
+    assert {noisy_model.scorer().score(t) for t in ("\n", "\n" * 100_000, " \n\t\n ", "", None)} == {0.0}
+
+
 def test_held_out_labels_are_not_read(spark, make_docs):
     rows = toxic_docs(120)
     docs = make_docs([r[:2] for r in rows])
