@@ -9,6 +9,8 @@ the export equals what was written.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,9 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
     those bronze partitions and keeps the rest: of events, only the dates the
     range's events fall on are rewritten, from the new rows and the stored ones
     of other ingestion dates; of dead letters, the range's partitions; of
-    sessions and users, the rows of the session and user ids in the range,
-    from all silver events of theirs."""
+    sessions and users, the rows of the session groups (those without a
+    session id too) and user ids of the range's events and of the stored
+    events they replace, from all silver events of theirs."""
     stage = work_dir(spark, "silver-stage")
     paths = {name: f"{out}/{name}" for name in ("events", "dlq", "sessions", "users")}
     b = spark.read.parquet(bronze_path)
@@ -56,17 +59,23 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
     sinks.write_snapshot(fresh, f"{stage}/fresh")
     fresh = spark.read.parquet(f"{stage}/fresh")
     dates = fresh.select("processing_date").distinct()  # bounded by the calendar
-    stored = (spark.read.parquet(paths["events"]).join(F.broadcast(dates), "processing_date", "left_semi")
-              .filter(~F.to_date("processed_at").between(*(F.lit(d).cast("date") for d in processing_dates))))
-    rebuilt = silver.dedup_events(stored.select(*fresh.columns).unionByName(fresh), order_by=("processed_at",))
+    before = spark.read.parquet(paths["events"]).join(F.broadcast(dates), "processing_date", "left_semi").select(*fresh.columns)
+    in_range = F.to_date("processed_at").between(*(F.lit(d).cast("date") for d in processing_dates))
+    stored = before.filter(~in_range)
+    replaced = before.filter(in_range).unionByName(stored.join(fresh.select("event_id"), "event_id", "left_semi"))
+    sinks.write_snapshot(fresh.unionByName(replaced).select(*silver.SESSION_KEYS).distinct(), f"{stage}/touched")
+    touched = spark.read.parquet(f"{stage}/touched")
+    rebuilt = silver.dedup_events(stored.unionByName(fresh), order_by=("processed_at",))
     sinks.write_snapshot(rebuilt, f"{stage}/events", ["processing_date"])
     sinks.overwrite_partitions(spark.read.parquet(f"{stage}/events"), paths["events"], ["processing_date"])
     ev = spark.read.parquet(paths["events"]).select(*schemas.SILVER_EVENT_COLUMNS)
-    for name, key, build in (("sessions", "session_id", silver.sessions_by_attributes), ("users", "user_id", silver.users_scd2)):
-        ids = fresh.select(key).filter(F.col(key).isNotNull()).distinct()
+    for name, keys, build in (("sessions", silver.SESSION_KEYS, silver.sessions_by_attributes),
+                              ("users", ("user_id",), silver.users_scd2)):
+        ids = touched.select(*(F.col(k).alias(f"touched_{k}") for k in keys)).distinct()
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"touched_{k}")) for k in keys))
         old = spark.read.parquet(paths[name])
-        kept = old.join(ids, key, "left_anti").select(*old.columns)
-        again = build(ev.join(ids, key, "left_semi").select(*ev.columns)).select(*old.columns)
+        kept = old.join(ids, same, "left_anti")
+        again = build(ev.join(ids, same, "left_semi")).select(*old.columns)
         sinks.write_snapshot(kept.unionByName(again), f"{stage}/{name}")
         sinks.write_snapshot(spark.read.parquet(f"{stage}/{name}"), paths[name])
     return paths

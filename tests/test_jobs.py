@@ -107,6 +107,37 @@ def test_reprocessing_takes_in_what_bronze_gained(spark):
     assert got == want
 
 
+def test_reprocessing_rebuilds_sessions_without_an_id(spark):
+    """Events without a session id, and other keys, arrive later or lose them
+    by a correction: an incremental run equals a full one."""
+    root = work_dir(spark, "null-sessions")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet").filter("event_id % 5 < 3")
+    day = F.dayofmonth(F.col("ts").cast("timestamp"))
+
+    def bronze(rows, blank):
+        b = B.to_bronze(fixture.broker_messages(rows, corrupt=True), F.col("timestamp"))
+        text = F.expr("decode(substring(value, 6), 'UTF-8')")
+        for i, field in enumerate(("session_id", "user_id", "anonymous_id", "country")):
+            found = F.regexp_replace(text, f'"{field}":"[^"]*"', f'"{field}":null')
+            text = F.when(F.col("kafka_offset") % blank <= 1 - i % 2, found).otherwise(text)
+        return b.withColumn("value", F.concat(F.expr("substring(value, 1, 5)"), text.cast("binary")))
+
+    first, late = bronze(raw.filter(day < 20), 4), bronze(raw.filter(day >= 20), 4)
+    corrected = bronze(raw.filter(day == 7), 3)
+    date = corrected.select("processing_date").first()[0]
+    sinks.write_snapshot(first, f"{root}/bronze", ["processing_date"])
+    paths = jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver")
+    assert spark.read.parquet(paths["sessions"]).filter("session_id IS NULL").count() > 1
+    late.write.mode("append").partitionBy("processing_date").parquet(f"{root}/bronze")
+    for rows, dates in ((None, ("2024-01-20", "2024-12-31")), (corrected, (str(date), str(date)))):
+        if rows is not None:
+            sinks.overwrite_partitions(rows, f"{root}/bronze", ["processing_date"])
+        got = _tables(spark, jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver", dates))
+        want = _tables(spark, jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/full"))
+        assert {n: (len(set(got[n]) - set(want[n])), len(set(want[n]) - set(got[n]))) for n in want} == dict.fromkeys(want, (0, 0))
+        assert got == want
+
+
 def test_warehouse_loaded_without_stamp_gains_it_later(spark):
     root = work_dir(spark, "late_stamp")
     g = merge.conform(gold.daily_active_users(silver_events(spark, SF_SMALL)), schemas.GOLD_DAU)
