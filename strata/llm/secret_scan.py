@@ -5,14 +5,19 @@ encoded keys are decoded, and reported only if their bytes parse:
 
 * ``der``: base64 or hex of an ASN.1 private key; the outer sequence and all
   nested lengths must fill their parents exactly, with the version and the
-  members of PKCS#1, PKCS#8 or SEC1;
+  members of PKCS#1, PKCS#8, SEC1 or DSA;
 * ``pem``: a BEGIN ... PRIVATE KEY block whose body is such a key (an
-  encrypted PKCS#8 included) or an OpenSSH key;
-* ``ssh``: base64 of an OpenSSH private key container, its length-prefixed
-  strings followed to the end;
+  encrypted PKCS#8 included), an OpenSSH key, or by its headers a legacy
+  encrypted key of whole cipher blocks; or base64 or hex of such a block;
+* ``ssh``: base64 or hex of an OpenSSH private key container, its
+  length-prefixed strings followed to the end;
 * ``jwt``: a signed token; header and payload are JSON objects, the header has
   a known ``alg``, and the signature decodes to the length ``alg`` calls for.
 
+Base64 and hex may be wrapped: lines that hold nothing else are joined, and a
+key ends, as its own lengths say, at the end of a line.  Keys wrapped inside a
+PEM block are the block's.
+
 Spans count code points, end exclusive.  Defined results: null text counts as
 empty and has no spans; repeated rows are scanned each; equal starts are
 ordered as in ``KINDS``.
@@ -24,6 +29,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,13 +50,20 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (ACCESS_MIN - 4))
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % HEX_MIN)
 
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s\\:,.-]{0,20000}?)-----END \1-----")
-# DER keys begin with a SEQUENCE (0x30: "M" in base64), OpenSSH keys with their magic.
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3BlbnNzaC)[A-Za-z0-9+/_-]{38,}={0,2}")
-HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{58,}")
+# Payload and signature of a token; the header is the run before.
+JWT = re.compile(r"\.(?=([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]{43,}+))")
+URL64 = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+PEM_IN_BYTES = b"PRIVATE KEY-----"
+# Runs that may be wrapped, by real or escaped line ends; LINE is one of their lines.
+WRAP = r"(?:[ \t]*+\r?\n[ \t]*+|(?:\\r)?\\n)"
+BASE64_RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{WRAP}[A-Za-z0-9+/_-]++)*+={{0,2}}")
+BASE64_LINE = re.compile(rf"([A-Za-z0-9+/_-]++)(?:{WRAP})?")
+HEX_RUN = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]{{16,}}+(?:{WRAP}[0-9A-Fa-f]++)*+")
+HEX_LINE = re.compile(rf"([0-9A-Fa-f]++)(?:{WRAP})?")
+LEAST_KEY = 29  # bytes
 # Signature bytes by signing method (RSA: by key size, a multiple of 64).
-JWT_BYTES = {"HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES384": {96}, "ES512": {132},
+JWT_BYTES = {"HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES256K": {64}, "ES384": {96}, "ES512": {132},
              "EdDSA": {64, 114}, "RS256": None, "RS384": None, "RS512": None, "PS256": None, "PS384": None,
              "PS512": None}
 
@@ -89,6 +102,24 @@ def der_members(data: bytes) -> list[tuple[int, bytes]] | None:
 INTEGER, OCTETS, SEQUENCE = 0x02, 0x04, 0x30
 
 
+def is_dsa(p: int, q: int, g: int, y: int, x: int) -> bool:
+    """The public member is the generator's power.  (Modulus sizes beyond what
+    libraries take, 10,000 bits, are judged by their divisibility alone.)"""
+    if not (1 < q < p and 1 < g < p and 0 < y < p and 0 < x < q) or (p - 1) % q:
+        return False
+    return p.bit_length() > 10_000 or pow(g, x, p) == y
+
+
+def der_size(data: bytes) -> int | None:
+    """Bytes of the value that ``data`` begins with, its header included."""
+    if len(data) < 2 or data[0] != SEQUENCE:
+        return None
+    if data[1] < 0x80:
+        return 2 + data[1]
+    n = data[1] & 0x7F
+    return 2 + n + int.from_bytes(data[2:2 + n], "big") if 1 <= n <= 4 and len(data) >= 2 + n else None
+
+
 def is_der_key(data: bytes | None, encrypted: bool = False) -> bool:
     outer = der_members(data) if data else None
     if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
@@ -102,6 +133,8 @@ def is_der_key(data: bytes | None, encrypted: bool = False) -> bool:
     if tags[0] != INTEGER or len(parts[0][1]) != 1:
         return False
     version = parts[0][1][0]
+    if tags == [INTEGER] * 6 and version == 0:
+        return is_dsa(*(int.from_bytes(v, "big", signed=True) for _, v in parts[1:]))
     if tags[:9] == [INTEGER] * 9 and version in (0, 1):  # PKCS#1: modulus the product of the primes
         n, _, _, p, q = (int.from_bytes(v, "big") for _, v in parts[1:6])
         return version == 1 or n == p * q
@@ -116,9 +149,10 @@ def is_der_key(data: bytes | None, encrypted: bool = False) -> bool:
 SSH_MAGIC = b"openssh-key-v1\0"
 
 
-def is_openssh_key(data: bytes | None) -> bool:
+def openssh_size(data: bytes | None) -> int | None:
+    """Bytes of the container that ``data`` begins with."""
     if not data or not data.startswith(SSH_MAGIC):
-        return False
+        return None
     at = len(SSH_MAGIC)
 
     def string() -> bytes | None:
@@ -131,11 +165,110 @@ def is_openssh_key(data: bytes | None) -> bool:
 
     cipher, kdf, options = string(), string(), string()
     if not cipher or not kdf or options is None:
-        return False
+        return None
     keys, at = int.from_bytes(data[at:at + 4], "big"), at + 4
     if not 1 <= keys <= 64 or any(string() is None for _ in range(keys)):
+        return None
+    return at if string() is not None else None
+
+
+def is_openssh_key(data: bytes | None) -> bool:
+    return bool(data) and openssh_size(data) == len(data)
+
+
+def is_pem_key(body: str) -> bool:
+    """``body``: what stands between the BEGIN and END lines."""
+    lines = body.replace("\\r", "").replace("\\n", "\n").strip().splitlines()
+    headers: list[str] = []
+    while lines and (":" in lines[0] or headers and lines[0][:1] in (" ", "\t") and lines[0].strip()):
+        headers.append(lines.pop(0))
+    data = from_base64("".join(lines))
+    fields = {k.strip().lower(): v.strip() for k, _, v in (h.partition(":") for h in headers)}
+    if "ENCRYPTED" not in fields.get("proc-type", ""):
+        return is_openssh_key(data) or is_der_key(data, encrypted=True)
+    cipher, _, start = (x.strip() for x in fields.get("dek-info", "").partition(","))
+    if not data or not re.fullmatch(r"(?:[0-9A-Fa-f]{16}){1,2}", start):
         return False
-    return string() is not None and at == len(data)
+    block = len(start) // 2
+    return len(data) >= 32 and (len(data) % block == 0 or not cipher.endswith(("CBC", "ECB")))
+
+
+def pem_keys(text: str) -> list[tuple[int, int]]:
+    """Spans of the blocks from BEGIN to the next marker, an END of that label."""
+    found, begin = [], None
+    for m in PEM.finditer(text):
+        if m[1] == "END" and begin and begin[2] == m[2] and is_pem_key(text[begin.end():m.start()]):
+            found.append((begin.start(), m.end()))
+        begin = m if m[1] == "BEGIN" else None
+    return found
+
+
+def decode64(run: str) -> bytes:
+    """The whole bytes of a run of base64 characters without padding."""
+    run = run[:-1] if len(run) % 4 == 1 else run
+    return binascii.a2b_base64(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
+
+
+def decode16(run: str) -> bytes:
+    return bytes.fromhex(run[:len(run) // 2 * 2])
+
+
+def encoded_keys(text: str, runs: re.Pattern, line: re.Pattern, bits: int, starts: dict[str, str]) -> list[tuple[int, int, str, bool]]:
+    """(start, end, kind, wrapped) of the keys in runs of characters of
+    ``bits`` bits.  ``starts``: what the code of each kind begins with."""
+    decode, group, held = (decode64, 4, 3) if bits == 6 else (decode16, 2, 1)
+    found = []
+    for run in runs.finditer(text):
+        pieces, at = [], run.start()
+        while at < run.end() and (m := line.match(text, at, run.end())):
+            pieces.append(m.span(1))
+            at = m.end()
+        joined = "".join(text[a:b] for a, b in pieces)
+        if len(joined) * bits < 8 * LEAST_KEY:
+            continue
+        begins, total = [], 0
+        for a, b in pieces:
+            begins.append(total)
+            total += b - a
+        stops = {n: k for k, n in enumerate((*begins[1:], total))}  # characters -> the line that ends there
+        past = 0
+        decoded: dict[int, bytes] = {}  # of the run, by the place in a group where it begins
+        for k, begin in enumerate(begins):
+            if begin < past:
+                continue
+            low = joined[begin:begin + 32] if bits == 6 else joined[begin:begin + 32].lower()
+            kind = next((kind for kind, code in starts.items() if low.startswith(code)), "pem" if k == 0 else None)
+            if kind is None:
+                continue
+            size = None
+            if kind == "der":
+                size = der_size(decode(joined[begin:begin + 16]))
+            else:
+                skip, phase = divmod(begin, group)
+                if phase not in decoded:
+                    decoded[phase] = decode(joined[phase:])
+                data, skip = decoded[phase], skip * held
+                if kind == "ssh":
+                    size = openssh_size(data[skip:])
+                elif data.find(PEM_IN_BYTES, skip) >= 0 and (keys := pem_keys(data[skip:].decode("latin-1"))):
+                    chars = begin + -(-keys[-1][1] * 8 // bits)
+                    last = bisect_left(begins, chars) - 1
+                    past = begins[last] + pieces[last][1] - pieces[last][0]
+                    found.append((pieces[k][0], run.end() if last == len(pieces) - 1 else pieces[last][1], "pem", last > k))
+            if size is None:
+                continue
+            stop = begin + -(-size * 8 // bits)
+            if stop not in stops:
+                continue
+            body = from_base64(joined[begin:stop]) if bits == 6 else bytes.fromhex(joined[begin:stop])
+            if is_openssh_key(body) if kind == "ssh" else is_der_key(body):
+                last, past = stops[stop], stop
+                found.append((pieces[k][0], run.end() if last == len(pieces) - 1 else pieces[last][1], kind, last > k))
+    return found
+
+
+BASE64_STARTS = {"der": "M", "ssh": "b3BlbnNzaC", "pem": "LS0tLS1CRUdJTi"}
+HEX_STARTS = {"der": "30", "ssh": SSH_MAGIC[:-1].hex(), "pem": b"-----BEGIN ".hex()}
 
 
 def is_signed_token(token: str) -> bool:
@@ -164,22 +297,18 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         found += [(*m.span(), "access") for m in ACCESS.finditer(text)]
     found += [(*m.span(), "hex") for m in HEX.finditer(text)]
-    if "eyJ" in text:
-        found += [(*m.span(), "jwt") for m in JWT.finditer(text) if is_signed_token(m[0])]
-    if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            body = from_base64(m[2].replace("\\n", "\n"))
-            if is_openssh_key(body) or is_der_key(body, encrypted=True):
-                found.append((*m.span(), "pem"))
-    for m in BASE64_RUN.finditer(text):
-        body = from_base64(m[0])
-        if is_openssh_key(body):
-            found.append((*m.span(), "ssh"))
-        elif is_der_key(body):
-            found.append((*m.span(), "der"))
-    for m in HEX_KEY.finditer(text):
-        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
-            found.append((*m.span(), "der"))
+    for m in JWT.finditer(text):
+        start = m.start()
+        while start and text[start - 1] in URL64:
+            start -= 1
+        if is_signed_token(text[start:m.end(2)]):
+            found.append((start, m.end(2), "jwt"))
+    blocks = pem_keys(text) if "PRIVATE KEY-----" in text else []
+    found += [(*b, "pem") for b in blocks]
+    for args in ((BASE64_RUN, BASE64_LINE, 6, BASE64_STARTS), (HEX_RUN, HEX_LINE, 4, HEX_STARTS)):
+        for start, end, kind, wrapped in encoded_keys(text, *args):
+            if not (wrapped and any(a < start < b for a, b in blocks)):
+                found.append((start, end, kind))
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -149,6 +149,56 @@ def test_structures_confirmed(body, kind):
     assert (9, 9 + len(body), kind) in secret_scan.scan(text)
 
 
+DSA_P = 7879  # FIPS 186's small example: q = 101 divides p - 1, g = 170
+DSA = tlv(0x30, b"".join(map(integer, (0, DSA_P, 101, 170, pow(170, 87, DSA_P), 87))))
+
+
+def pem(label, data, headers=""):
+    return f"-----BEGIN {label}-----\n{headers}{base64.encodebytes(data).decode()}-----END {label}-----"
+
+
+def wrapped(code, width, sep="\n"):
+    return sep.join(code[i:i + width] for i in range(0, len(code), width))
+
+
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+LONG_SSH = secret_scan.SSH_MAGIC + ssh(b"none") * 2 + ssh(b"") + (1).to_bytes(4, "big") + ssh(b"pub" * 9) + ssh(b"priv" * 9000)
+LEGACY = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+
+
+def spaced_token():
+    return ".".join((url64(b'{ "alg": "HS256"}'), url64(b' {"sub": "1"}'), url64(b"\xfe" * 32)))
+
+
+@pytest.mark.parametrize("body,kind", [
+    *((wrapped(b64(key), width, sep), kind) for key, kind in ((RSA, "der"), (PKCS8, "der"), (SSH, "ssh"))
+      for width in (64, 76) for sep in ("\n", "\r\n", "\n    ", "\\n")),
+    *((wrapped(code, width), "pem") for code in (b64(pem("RSA PRIVATE KEY", RSA).encode()), b64(("\n" + pem("OPENSSH PRIVATE KEY", SSH) + "\n").encode()))
+      for width in (64, 76, 10**6)),
+    (SSH.hex(), "ssh"), (wrapped(SSH.hex().upper(), 60), "ssh"), (wrapped(RSA.hex(), 60), "der"), (pem("RSA PRIVATE KEY", RSA).encode().hex(), "pem"),
+    (pem("DSA PRIVATE KEY", DSA), "pem"), (pem("RSA PRIVATE KEY", b"\x9c" * 608, LEGACY), "pem"),
+    (pem("OPENSSH PRIVATE KEY", LONG_SSH), "pem"), (b64(LONG_SSH), "ssh"), (token("ES256K", 64), "jwt"), (spaced_token(), "jwt")])
+def test_other_forms_confirmed(body, kind):
+    for before, after in (("é before ", " after"), ("é k\n", "\nafter this"), ('é "', '"')):
+        text = before + body + after
+        spans = [s for s in secret_scan.scan(text) if s[2] not in secret_scan.BASE_KINDS]
+        assert spans == [(len(before), len(before) + len(body), kind)]
+        assert not set(body[5:-5].split()) & set(secret_scan.redact(text, "").split())
+
+
+@pytest.mark.parametrize("body", [
+    wrapped(b64(RSA[:-3]), 64), wrapped(b64(RSA + b"\0"), 64), wrapped(b64(SSH + b"x"), 64), (SSH + b"x").hex(), SSH.hex()[:-2],
+    pem("DSA PRIVATE KEY", DSA[:-1] + b"\x56"), pem("RSA PRIVATE KEY", b"\x9c" * 607, LEGACY), pem("RSA PRIVATE KEY", b"\x9c" * 608),
+    b64(pem("RSA PRIVATE KEY", RSA[:-3]).encode()), token("ES256K", 63), pem("RSA PRIVATE KEY", RSA).replace("END RSA", "END EC"),
+    "-----BEGIN PRIVATE KEY-----" * 2000])
+def test_other_forms_refused(body):
+    assert not [s for s in secret_scan.scan(f"x {body} y") if s[2] not in (*secret_scan.BASE_KINDS, "der")]
+    assert "END EC" in body or not [s for s in secret_scan.scan(f"x {body} y") if s[2] == "der"]
+
+
 @pytest.mark.parametrize("body", [
     base64.b64encode(RSA[:-3]).decode(), base64.b64encode(b"\x30\x82\x01\x00" + b"x" * 200).decode(), token("none", 0),
     token("HS256", 31), "eyJhbGciOiJ.eyJhbGci.x", base64.b64encode(SSH + b"x").decode(), base64.b64encode(RSA + b"\0").decode(),
