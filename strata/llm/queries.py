@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (bpe_codec, edit_counts, html_text, jaccard_join, nearest, packing, quality, secret_scan,
+from strata.llm import (bpe_codec, edit_counts, html_text, jaccard_join, lm_score, nearest, packing, quality, secret_scan,
                         token_planes, toxicity)
 from strata.llm.common import materialise
 from strata.session import work_dir
@@ -88,9 +88,13 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
+def op13_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_jaccard_join, op3_byte_bpe, op4_secret_scan, op5_one_bit_codes,
                                     op6_best_fit_packing, op7_quality_rules, op8_edit_aware_counts, op9_toxicity,
-                                    op10_token_planes)}
+                                    op10_token_planes, op13_ppm_score)}
 # None can be stated whole in SQL: tests compare each with a brute-force
 # version, an exact round trip or held-out labels.
 ORACLES: dict[str, str] = {}
