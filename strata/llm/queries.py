@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (bpe_codec, edit_counts, html_text, jaccard_join, lm_score, nearest, packing, quality, secret_scan,
+from strata.llm import (bpe_codec, conversation_repair, edit_counts, html_text, jaccard_join, lm_score, nearest, packing, quality, secret_scan,
                         term_search, token_planes, toxicity)
 from strata.llm.common import materialise
 from strata.session import work_dir
@@ -88,6 +88,10 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=50)
 
@@ -98,7 +102,8 @@ def op13_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_jaccard_join, op3_byte_bpe, op4_secret_scan, op5_one_bit_codes,
                                     op6_best_fit_packing, op7_quality_rules, op8_edit_aware_counts, op9_toxicity,
-                                    op10_token_planes, op12_term_search, op13_ppm_score)}
+                                    op10_token_planes, op11_conversation_repair,
+                                    op12_term_search, op13_ppm_score)}
 # The others can't be stated whole in SQL: tests compare each with a
 # brute-force version, an exact round trip or held-out labels.
 TERM_SEARCH_SQL = r"""
