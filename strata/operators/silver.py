@@ -72,12 +72,12 @@ def _session_metrics() -> list[Column]:
 SESSION_KEYS = ("session_id", "user_id", "anonymous_id", "device", "country")
 
 
-def session_partials(events: DataFrame) -> DataFrame:
-    """Mergeable session rows at the code's grain (``SESSION_KEYS``): bounds,
-    number of events, and the earliest / latest (time, id, page) with a page.
-    Partials of disjoint sets of events add up by :func:`merge_partials`."""
+def session_partials(events: DataFrame, *within: Column) -> DataFrame:
+    """Mergeable session rows at the code's grain (``SESSION_KEYS``, and
+    ``within``, e.g. a time window): bounds, number of events, and the earliest
+    / latest (time, id, page) with a page.  Partials of disjoint sets of events add up by :func:`merge_partials`."""
     paged = F.when(F.col("page").isNotNull(), F.struct("event_timestamp", "event_id", "page"))
-    return events.groupBy(*SESSION_KEYS).agg(
+    return events.groupBy(*SESSION_KEYS, *within).agg(
         F.min("event_timestamp").alias("session_start"),
         F.max("event_timestamp").alias("session_end"),
         F.count("event_id").alias("page_count"),

@@ -28,8 +28,9 @@ from strata.streaming.jobs import (
     read_users,
     run_to_completion,
     start_bronze,
+    start_sessions,
     start_silver,
-    stream_health,
+    StreamStatus,
 )
 from strata.sources import fixture
 from strata.sources.fixture import saas_events
@@ -464,7 +465,9 @@ def q_schema_evolution_union(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-def _stream_silver(spark, sf_dir, name, runs=((0, 3),), messages=None, via_bronze_table=False, **options):
+def _stream_silver(spark, sf_dir, name, runs=((0, 3),), messages=None, via_bronze_table=False, sessions=None, **options):
+    """Message files -> silver, in one or more runs; ``sessions`` are options
+    of the sessions query, which follows each run."""
     root = work_dir(spark, name)
     raw = read_table(spark, sf_dir, "events")
     msgs = messages(raw) if messages else fixture.broker_messages(raw)
@@ -486,6 +489,8 @@ def _stream_silver(spark, sf_dir, name, runs=((0, 3),), messages=None, via_bronz
         q = start_silver(b, paths, trigger="availableNow", **options)
         run_to_completion([q])
         queries.append(q)
+        if sessions is not None:
+            run_to_completion([start_sessions(spark, paths, "availableNow", **sessions)])
     return paths, queries
 
 
@@ -497,7 +502,10 @@ def q_stream_silver_events(spark, sf_dir):
 
 @query("stream_sessions")
 def q_stream_sessions(spark, sf_dir):
-    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions", outputs=("sessions",))
+    """A streaming aggregate in update mode over two runs; a day's sessions
+    leave the state store when the watermark has passed the day."""
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions", runs=((0, 1), (2, 3)), outputs=("events",),
+                              watermark="1 hour", sessions={"watermark": "1 hour"})
     return read_sessions(spark, paths)
 
 
@@ -517,15 +525,22 @@ def q_stream_restart_exactly_once(spark, sf_dir):
 
 @query("stream_health")
 def q_stream_health(spark, sf_dir):
-    """Status of the query and its input rows over two runs."""
-    paths, queries = _stream_silver(spark, sf_dir, "stream_health", runs=((0, 1), (2, 3)), outputs=("events",))
-    return stream_health(spark, queries[-1:], paths)
+    """Status of the query and its input rows over two runs, as the engine
+    reports them to a listener."""
+    status = StreamStatus()
+    spark.streams.addListener(status)
+    try:
+        _, queries = _stream_silver(spark, sf_dir, "stream_health", runs=((0, 1), (2, 3)), outputs=("events",))
+        status.wait_ended(queries)
+    finally:
+        spark.streams.removeListener(status)
+    return status.status(spark)
 
 
 @query("stream_dedup_redelivery")
 def q_stream_dedup_redelivery(spark, sf_dir):
     """At-least-once delivery: re-sent copies arrive in later files and
-    micro-batches and are recognised by the events table."""
+    micro-batches and are recognised by Spark's deduplication state."""
     paths, _ = _stream_silver(spark, sf_dir, "stream_redelivery", outputs=("events",),
                               messages=lambda raw: fixture.redelivered(raw))
     return read_events(spark, paths)
@@ -550,8 +565,9 @@ def q_stream_bronze_to_silver(spark, sf_dir):
 @query("stream_sessions_complete")
 def q_stream_sessions_complete(spark, sf_dir):
     """Sessions in complete output mode: each batch rewrites the snapshot."""
-    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions_complete", sessions_mode="complete", outputs=("sessions",))
-    return spark.read.parquet(paths.sessions_snapshot)
+    paths, _ = _stream_silver(spark, sf_dir, "stream_sessions_complete", runs=((0, 1), (2, 3)), outputs=("events",),
+                              sessions={"mode": "complete"})
+    return read_sessions(spark, paths)
 
 
 def _backfill_last(raw):
@@ -567,13 +583,13 @@ def _backfill_last(raw):
 
 @query("stream_dedup_watermark")
 def q_stream_dedup_watermark(spark, sf_dir):
-    """One-hour watermark under bad messages, backfill and redelivery: silver
-    and the late output together hold every valid event."""
+    """Spark's deduplication within a one-hour watermark, under bad messages,
+    backfill and redelivery: silver and the late output together hold every
+    valid event once."""
     paths, _ = _stream_silver(spark, sf_dir, "stream_dedup_wm", watermark="1 hour", outputs=("events",),
                               messages=_backfill_last)
     late = read_late(spark, paths).drop("processed_at")
-    # an event behind the watermark may be sent again: the late output keeps both
-    return read_events(spark, paths).drop("processed_at").unionByName(late).distinct()
+    return read_events(spark, paths).drop("processed_at").unionByName(late)
 
 
 @query("stream_gold_self_healing")
@@ -586,7 +602,7 @@ def q_stream_gold_self_healing(spark, sf_dir):
         late = (F.dayofmonth(F.col("ts").cast("timestamp")) <= 3) & (k >= 90)
         on_time = fixture.broker_messages(raw.filter(~late))
         return on_time.unionByName(fixture.after_last(on_time, fixture.broker_messages(raw.filter(late))))
-    paths, _ = _stream_silver(spark, sf_dir, "stream_gold_heal", messages=late_last, outputs=("sessions",),
+    paths, _ = _stream_silver(spark, sf_dir, "stream_gold_heal", messages=late_last, outputs=("events",),
                               gold_tables=tuple(schemas.GOLD_SCHEMAS))
     measure = {"daily_active_users": "dau_count", "mrr_metrics": "net_mrr", "funnel_metrics": "unique_visitors",
                "feature_adoption": "unique_users", "session_quality": "avg_session_duration_secs"}
@@ -602,7 +618,7 @@ def q_stream_gold_self_healing(spark, sf_dir):
 @query("stream_users_scd2_upsert")
 def q_stream_users_scd2_upsert(spark, sf_dir):
     """SCD2 maintained per micro-batch: touched users' histories rebuilt and
-    appended, across a restart with more data."""
+    replaced by bucket, across a restart with more data."""
     paths, _ = _stream_silver(spark, sf_dir, "stream_users_upsert", runs=((0, 1), (2, 3)),
                               outputs=("events",), upsert_users=True)
     return read_users(spark, paths).drop("updated_at")

@@ -1,21 +1,20 @@
-"""Writers: snapshots, exports, idempotent batch appends, versioned tables.
+"""Writers: snapshots, exports, partitions owned by a micro-batch, keyed MERGE.
 
-Parquet has no transaction log, so a keyed MERGE writes a complete new
-version folder ``v=<N>`` and readers take the newest version whose job
-committed (``_SUCCESS`` present).  Spark never overwrites the folder it is
-reading, and a failed write leaves the previous version current.
+All tables are plain Parquet folders.  What has to be replaced is replaced by
+dynamic partition overwrite, so a write touches the partitions it has rows for
+and no others; a micro-batch owns its partitions, so that its replay writes the
+same files' rows again and adds none.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.merge import merge_upsert
+from strata.operators.merge import evolved_schema, merge_upsert
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -51,153 +50,70 @@ def export_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
     return {name: write_snapshot(df, f"{base.rstrip('/')}/{name}/") for name, df in tables.items()}
 
 
-def write_batch(df: DataFrame, base: str, batch_id: int, partition_by: Sequence[str] = ()) -> str:
-    """Idempotent append: a micro-batch owns ``batch_id=<N>``; a replayed
-    batch overwrites its own folder instead of adding rows twice."""
-    return write_snapshot(df, f"{base.rstrip('/')}/batch_id={batch_id}", partition_by)
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> str:
+    """Idempotent append: micro-batch ``batch_id`` owns the partitions
+    ``.../batch=<batch_id>``; its replay overwrites them instead of adding rows."""
+    return overwrite_partitions(df.withColumn("batch", F.lit(batch_id)), path, [*partition_by, "batch"])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def committed(spark: SparkSession, base: str, prefix: str) -> list[int]:
-    """Numbers N of the folders ``<prefix>=<N>`` under ``base`` whose job
-    committed (ascending); half-written folders are left out."""
-    fs, p, jvm = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = re.fullmatch(rf"{prefix}=(\d+)", st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    fs.delete(p, True)
-
-
-def list_versions(spark: SparkSession, base: str) -> list[int]:
-    """Committed versions under ``base`` (ascending)."""
-    return committed(spark, base, "v")
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    vs = list_versions(spark, base)
-    return spark.read.parquet(f"{base.rstrip('/')}/v={vs[-1]}") if vs else None
-
-
-def _claim_version(spark: SparkSession, base: str) -> int:
-    """The next free version number, claimed by creating a marker file: of
-    two loaders that see the same versions only one can create it."""
-    fs, p, jvm = _fs(spark, base)
-    n = (list_versions(spark, base) or [0])[-1] + 1
-    while not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(p, f"_claim-{n}")):
-        n += 1
-    return n
-
-
-def write_version(df: DataFrame, base: str, keep: int = 3) -> str:
-    """Write the next version and drop all but the newest ``keep`` committed
-    ones (a reader of a dropped version had ``keep`` - 1 loads to finish)."""
-    spark, base = df.sparkSession, base.rstrip("/")
-    path = write_snapshot(df, f"{base}/v={_claim_version(spark, base)}")
-    for old in list_versions(spark, base)[:-keep]:
-        delete_folder(spark, f"{base}/v={old}")
-        delete_folder(spark, f"{base}/_claim-{old}")
+def make_folder(spark: SparkSession, path: str) -> str:
+    """An empty folder, so that readers find a table before its first write."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path
 
 
-def merge_into(spark: SparkSession, base: str, source: DataFrame, keys: Sequence[str],
-               update_cols: Sequence[str] | None = None) -> DataFrame:
-    """Keyed upsert of ``source`` into the versioned table at ``base``;
-    returns the new current version (re-read from storage).  The first load
+def read_folder(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """Rows of a table written by :func:`write_batch` or
+    :func:`overwrite_partitions`; none while nothing is written.  ``before``:
+    only rows of earlier batches (what a replayed batch may look at)."""
+    fields = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())]) if before is not None else schema
+    df = spark.read.schema(fields).parquet(make_folder(spark, path))
+    return (df if before is None else df.filter(F.col("batch") < before)).select(*schema.fieldNames())
+
+
+def one_of(column: str, values: Sequence) -> Column:
+    """Whether the column is one of ``values``, NULL among them; on a partition
+    column it is a partition filter."""
+    known = [v for v in values if v is not None]
+    test = F.col(column).isin(known)
+    return (test | F.col(column).isNull()) if len(known) < len(values) else test
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that :func:`merge_into` keeps; columns that were added later
+    are NULL in older partitions."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def merge_plan(current: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None,
+               partition: str = "date") -> DataFrame:
+    """The rows of the touched partitions after the MERGE.  ``partition`` is one
+    of ``keys``, so a source row can only match in its own partition: the target
+    is read and joined there alone.  The list of touched partition values (at
+    most one a calendar day) becomes a partition filter."""
+    values = [r[0] for r in source.select(partition).distinct().collect()]
+    schema = evolved_schema(current.schema, source.schema)
+    return merge_upsert(current.filter(one_of(partition, values)), source, keys, update_cols).select(*schema.fieldNames())
+
+
+def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+               update_cols: Sequence[str] | None = None, partition: str = "date") -> DataFrame:
+    """Keyed upsert of ``source`` into the table at ``path``, which is
+    partitioned by ``partition``: touched partitions are replaced, all others
+    keep their files.  Returns the table, columns in its order.  The first load
     merges into an empty table, so it checks the source's keys alike."""
-    current = read_current(spark, base)
+    if partition not in keys:
+        raise ValueError(f"the partition column {partition} must be one of the keys {list(keys)}")
+    current = read_current(spark, path)
     if current is None:
         current = spark.createDataFrame([], source.schema)
-    write_version(merge_upsert(current, source, keys, update_cols), base)
-    return read_current(spark, base)
-
-
-class BatchLog:
-    """An append-only table fed by micro-batches, with compaction.
-
-    ``batches/batch_id=<N>`` is owned by micro-batch N (a replay overwrites
-    it); ``base/gen=<G>`` holds compacted rows, and each version of
-    ``manifest`` names, for each part (a value of ``part_by``, or one part for
-    all), the generation that holds it, and the last batch included.  A read takes the parts the manifest names and the
-    committed batches after it; the schema is known, so nothing is inferred.
-
-    Compaction rewrites only the parts that new batches touched; a partition
-    filter on ``part_by`` prunes both base and batches.  Folders that the
-    manifest before the newest did not need either are deleted."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, part_by: str | None = None):
-        self.spark, self.path, self.part_by, self.part = spark, path.rstrip("/"), part_by, part_by or "part"
-        self.schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-
-    def append(self, df: DataFrame, batch_id: int) -> None:
-        write_batch(df.select(*[f.name for f in self.schema if f.name != "batch_id"]), f"{self.path}/batches", batch_id,
-                    [self.part_by] if self.part_by else [])
-
-    def batch_ids(self) -> list[int]:
-        return committed(self.spark, f"{self.path}/batches", "batch_id")
-
-    def _manifest(self) -> tuple[DataFrame | None, int]:
-        m = read_current(self.spark, f"{self.path}/manifest")
-        return (None, -1) if m is None else (m, m.agg(F.max("upto")).first()[0])
-
-    def batches(self, ids: Sequence[int]) -> DataFrame:
-        """Rows of the given batches."""
-        root = f"{self.path}/batches"
-        if not ids:
-            return self.spark.createDataFrame([], self.schema)
-        return (self.spark.read.schema(self.schema).option("basePath", root)
-                .parquet(*[f"{root}/batch_id={n}" for n in ids]).select(*self.schema.fieldNames()))
-
-    def _base(self, manifest: DataFrame) -> DataFrame:
-        extra = [T.StructField("gen", T.LongType())] + ([] if self.part_by else [T.StructField("part", T.StringType())])
-        rows = self.spark.read.schema(T.StructType([*self.schema.fields, *extra])).parquet(f"{self.path}/base")
-        named = manifest.select("gen", self.part)  # one row a part: bounded by the partition values
-        return rows.join(F.broadcast(named), ["gen", self.part], "left_semi").select(*self.schema.fieldNames())
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """All committed rows with their ``batch_id``; ``before``: only of
-        earlier batches (what a replayed batch may look at)."""
-        manifest, upto = self._manifest()
-        new = self.batches([n for n in self.batch_ids() if n > upto and (before is None or n < before)])
-        rows = new if manifest is None else self._base(manifest).unionByName(new)
-        return rows if before is None else rows.filter(F.col("batch_id") < before)
-
-    def compact(self, fold=lambda df: df) -> int | None:
-        """Fold committed batches into the base; returns the last batch
-        included.  ``fold`` may combine rows (with ``batch_id``) of a part."""
-        manifest, upto = self._manifest()
-        ids = [n for n in self.batch_ids() if n > upto]
-        if not ids:
-            return upto if upto >= 0 else None
-        new = self.batches(ids)
-        touched = (new.select(self.part) if self.part_by else new.select(F.lit("all").alias("part"))).distinct()
-        rows, gen = new, ids[-1]
-        if manifest is not None:
-            old = self._base(manifest.join(F.broadcast(touched), self.part, "left_semi"))
-            rows = old.unionByName(new)
-        folded = fold(rows).select(*self.schema.fieldNames())
-        write_snapshot(folded if self.part_by else folded.withColumn("part", F.lit("all")), f"{self.path}/base/gen={gen}", [self.part])
-        fresh = touched.withColumn("gen", F.lit(gen).cast("long"))
-        if manifest is not None:
-            fresh = fresh.unionByName(manifest.filter("gen IS NOT NULL").select(self.part, "gen").join(F.broadcast(touched), self.part, "left_anti"))
-        mark = self.spark.range(1).select(F.lit(None).cast(fresh.schema[self.part].dataType).alias(self.part),
-                                          F.lit(None).cast("long").alias("gen"))  # keeps ``upto`` when there are no rows
-        write_version(fresh.unionByName(mark).withColumn("upto", F.lit(ids[-1]).cast("long")).coalesce(1),
-                      f"{self.path}/manifest", keep=2)
-        for n in self.batch_ids():
-            if n <= upto:
-                delete_folder(self.spark, f"{self.path}/batches/batch_id={n}")
-        return ids[-1]
+    types = {f.name: f.dataType for f in source.schema}
+    current = current.withColumn(partition, F.col(partition).cast(types[partition]))
+    merged = merge_plan(current, source, keys, update_cols, partition)
+    overwrite_partitions(merged, path, [partition])
+    columns = [*source.columns, *(c for c in merged.columns if c not in source.columns)]
+    return read_current(spark, path).withColumn(partition, F.col(partition).cast(types[partition])).select(*columns)

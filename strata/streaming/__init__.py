@@ -1,6 +1,5 @@
 from strata.streaming.jobs import (  # noqa: F401
     SilverPaths,
-    compact,
     read_dlq,
     read_events,
     read_gold,
@@ -11,5 +10,6 @@ from strata.streaming.jobs import (  # noqa: F401
     run_to_completion,
     start_bronze,
     start_silver,
-    stream_health,
+    start_sessions,
+    StreamStatus,
 )

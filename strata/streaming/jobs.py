@@ -1,43 +1,47 @@
-"""Structured Streaming jobs: bronze ingest and the silver fan-out.
-
-One query decodes each message once; its ``foreachBatch`` writes all silver
-outputs of the batch.  They are :class:`strata.sinks.BatchLog` tables (a batch
-owns its folder, so a replay overwrites and never adds twice; compaction keeps
-the number of files a read opens from growing with the number of batches):
-
-* ``events`` -- silver events, partitioned by date, each event id once;
-* ``late`` -- with a watermark, the events behind it;
-* ``sessions`` -- mergeable partial sessions of the batch; the current
-  sessions are their sums (:func:`read_sessions`), so late events need no state;
-* ``plan_events`` -- signup / upgrade / churn rows (SCD2 input);
-* ``users`` -- SCD2 histories of the users a batch touched (optional); the
-  current history of a user is that of its latest batch;
-* ``dlq`` -- contract violations with the error text;
-* ``progress`` -- per batch: input rows and the latest event time;
-* ``gold`` -- versioned gold tables refreshed for touched dates (optional).
-
-Redelivered events are recognised by the events table itself: a message
-repeats its event's time, so only the partitions of the dates in the batch are
-looked at, and nothing grows in a state store.
+"""Structured Streaming jobs: bronze ingest, the silver fan-out, sessions.
+
+The silver query decodes the messages and removes duplicates by Spark's own
+operators; its ``foreachBatch`` writes every output of the batch (one fan-out,
+one checkpoint).  With a watermark the state is bounded
+(``dropDuplicatesWithinWatermark``), and Spark drops what lies behind the
+watermark: the same stream therefore also carries the arrivals, and what
+arrived but is in silver neither now nor before goes to ``late``.  Without one,
+``dropDuplicates`` keeps every event id and takes every event, however late.
+
+Tables under ``root`` (plain Parquet; a batch owns its partitions, or replaces
+partitions that it recomputes from such tables, so a replay after any failure
+gives the same tables):
+
+* ``events`` -- silver events, by date and batch; ``late`` likewise;
+* ``plan_events`` -- signup / upgrade / churn rows, by user bucket and batch;
+* ``users`` -- SCD2 histories, by user bucket; touched buckets are replaced;
+* ``dlq`` -- contract violations with the error text, by batch;
+* ``gold/<table>`` -- by date; touched dates are replaced;
+* ``sessions`` -- from the query of :func:`start_sessions`, a streaming
+  aggregate over ``events`` in update or complete mode.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from strata import schemas
 from strata.operators import bronze as B
 from strata.operators import silver as S
-from strata.sinks import BatchLog, merge_into, read_current, write_snapshot
+from strata.operators.merge import conform
+from strata.sinks import make_folder, merge_into, one_of, overwrite_partitions, read_current, read_folder, write_batch, write_snapshot
+from strata.sources.tables import read_table_stream
 
-OUTPUTS = ("events", "sessions", "plan_events", "dlq")
-COMPACT_EVERY = 16
+OUTPUTS = ("events", "dlq")
+USER_BUCKETS = 32
 
 _DLQ = T.StructType([T.StructField(n, t) for n, t in (
     ("kafka_topic", T.StringType()), ("kafka_partition", T.IntegerType()), ("kafka_offset", T.LongType()),
@@ -45,13 +49,17 @@ _DLQ = T.StructType([T.StructField(n, t) for n, t in (
     ("ingested_at", T.TimestampType()))])
 _PAGE = T.StructType([T.StructField("event_timestamp", T.TimestampType()), T.StructField("event_id", T.StringType()),
                       T.StructField("page", T.StringType())])
-_SESSIONS = T.StructType([*(T.StructField(k, T.StringType()) for k in S.SESSION_KEYS),
+_PARTIALS = T.StructType([*(T.StructField(k, T.StringType()) for k in S.SESSION_KEYS),
                           T.StructField("session_start", T.TimestampType()), T.StructField("session_end", T.TimestampType()),
                           T.StructField("page_count", T.LongType()), T.StructField("entry", _PAGE),
                           T.StructField("exit", _PAGE)])
+_SESSIONS = T.StructType([*_PARTIALS.fields, T.StructField("day", T.DateType())])
 _USERS = T.StructType([*schemas.USERS.fields[:-1], T.StructField("change_type", T.StringType()),
                        T.StructField("event_id", T.StringType()), T.StructField("updated_at", T.TimestampType())])
-_PROGRESS = T.StructType([T.StructField("input_rows", T.LongType()), T.StructField("max_event_time", T.TimestampType())])
+_BUCKET = T.StructField("bucket", T.IntegerType())
+TABLES = {"events": schemas.SILVER_EVENTS, "late": schemas.SILVER_EVENTS, "dlq": _DLQ,
+          "plan_events": T.StructType([*schemas.SILVER_EVENTS.fields, _BUCKET]),
+          "users": T.StructType([*_USERS.fields, _BUCKET]), "sessions": _SESSIONS, "partials": _PARTIALS}
 
 
 @dataclass(frozen=True)
@@ -62,23 +70,14 @@ class SilverPaths:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
-    @property
-    def gold(self) -> str:
-        return f"{self.root}/gold"
-
-    @property
-    def sessions_snapshot(self) -> str:
-        return f"{self.root}/sessions_snapshot"
+    def table(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
-    def log(self, spark: SparkSession, name: str) -> BatchLog:
-        schema, part_by = {
-            "events": (schemas.SILVER_EVENTS, "processing_date"), "late": (schemas.SILVER_EVENTS, "processing_date"),
-            "plan_events": (schemas.SILVER_EVENTS, None), "sessions": (_SESSIONS, None), "users": (_USERS, None),
-            "dlq": (_DLQ, None), "progress": (_PROGRESS, None)}[name]
-        return BatchLog(spark, f"{self.root}/{name}", schema, part_by)
+    def read(self, spark: SparkSession, name: str, before: int | None = None) -> DataFrame:
+        return read_folder(spark, self.table(name), TABLES[name], before)
 
 
 def _trigger(writer, trigger: str | None):
@@ -95,148 +94,225 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str, trigger: str |
     return _trigger(w, trigger).start(path)
 
 
-def silver_stream(bronze_stream: DataFrame, dedup: str = "state",
-                  watermark: str = "1 hour") -> tuple[DataFrame, DataFrame]:
-    """(valid deduplicated silver events, dead letters) as streams, for sinks
-    of one's own.  The dead letters are split off before the deduplication, so
-    a malformed message moves no watermark.
+# ------------------------------------------------------------------ silver
+
+def silver_stream(bronze_stream: DataFrame, watermark: str | None = "1 hour") -> tuple[DataFrame, DataFrame]:
+    """(valid silver events, each id once; dead letters) as streams.  The dead
+    letters are split off before the watermark, so a malformed message moves it
+    nowhere.
+
+    With ``watermark``: ``dropDuplicatesWithinWatermark`` on the event time,
+    state bounded by the delay, events behind it dropped by Spark (the query of
+    :func:`start_silver` keeps them in ``late``).  With None:
+    ``dropDuplicates(event_id)``; state grows with the distinct ids."""
+    tagged = B.tag_contract(B.decode_payload(bronze_stream))
+    return _once(_valid(tagged), watermark), B.dead_letters(tagged.filter(F.col("error").isNotNull()))
+
+
+def _valid(tagged: DataFrame) -> DataFrame:
+    return S.flatten_events(tagged.filter(F.col("error").isNull())).select(*schemas.SILVER_EVENT_COLUMNS)
+
+
+def _once(events: DataFrame, watermark: str | None) -> DataFrame:
+    if watermark is None:
+        return events.dropDuplicates(["event_id"])
+    return events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
+
 
-    ``dedup="state"``: exact ``dropDuplicates(event_id)`` (state grows with
-    distinct ids; use the RocksDB state store).  ``dedup="watermark"``:
-    ``dropDuplicatesWithinWatermark`` on the event time -- bounded state;
-    events behind the watermark are dropped by Spark (:func:`start_silver`
-    keeps them in ``late``)."""
+def _fan_in(bronze_stream: DataFrame, watermark: str | None) -> DataFrame:
+    """One stream of rows ``event`` or ``dead``; ``kept`` marks the events that
+    Spark's deduplication let through, the others are arrivals (all of them
+    with a watermark, else none).  Counts of arrivals are observed."""
     tagged = B.tag_contract(B.decode_payload(bronze_stream))
-    dead = B.dead_letters(tagged.filter(F.col("error").isNotNull()))
-    events = S.flatten_events(tagged.filter(F.col("error").isNull())).select(*schemas.SILVER_EVENT_COLUMNS)
-    if dedup == "state":
-        return events.dropDuplicates(["event_id"]), dead
-    if dedup == "watermark":
-        return events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"]), dead
-    raise ValueError(dedup)
-
-
-def _fresh_events(valid: DataFrame, log: BatchLog, batch_id: int) -> DataFrame:
-    """Events of the batch that no earlier batch has, each once: the first by
-    ingestion.  The dates of the batch (one row a date) are broadcast against
-    the partition column of the events table."""
-    flat = S.flatten_events(valid)
-    once = S.dedup_events(flat, order_by=("processed_at", "kafka_partition", "kafka_offset"),
-                          tiebreak=False).select(*schemas.SILVER_EVENT_COLUMNS)
-    dates = once.select("processing_date").distinct()
-    seen = log.read(before=batch_id).join(F.broadcast(dates), "processing_date", "left_semi")
-    return once.join(seen.select("processing_date", "event_id"), ["processing_date", "event_id"], "left_anti") \
-               .select(*schemas.SILVER_EVENT_COLUMNS)
+    event, dead = F.struct(*schemas.SILVER_EVENT_COLUMNS), F.struct(*_DLQ.fieldNames())
+    no_event, no_dead = F.lit(None).cast(schemas.SILVER_EVENTS), F.lit(None).cast(_DLQ)
+    counted = tagged.observe("arrivals", F.count(F.lit(1)).alias("rows"), F.count("error").alias("dead"))
+    rows = B.dead_letters(counted.filter(F.col("error").isNotNull())).select(
+        no_event.alias("event"), dead.cast(_DLQ).alias("dead"), F.lit(False).alias("kept"))
+    if watermark is not None:
+        rows = rows.unionByName(_valid(tagged).select(
+            event.cast(schemas.SILVER_EVENTS).alias("event"), no_dead.alias("dead"), F.lit(False).alias("kept")))
+    kept = _once(_valid(tagged), watermark).select(
+        event.cast(schemas.SILVER_EVENTS).alias("event"), no_dead.alias("dead"), F.lit(True).alias("kept"))
+    return rows.unionByName(kept)
+
+
+def _late(arrived: DataFrame, kept: DataFrame, spark: SparkSession, paths: SilverPaths, batch_id: int) -> DataFrame:
+    """Valid events that arrived and were not let through now nor before, each
+    once.  Only what this batch did not keep (copies and late events) is looked
+    up, in the stored ids of its dates."""
+    rest = arrived.join(kept.select("event_id"), "event_id", "left_anti").dropDuplicates(["event_id"])
+    dates = [r[0] for r in rest.select("processing_date").distinct().collect()]  # bounded by the calendar
+    if not dates:
+        return rest
+    for name in ("events", "late"):
+        stored = paths.read(spark, name, before=batch_id).filter(one_of("processing_date", dates))
+        rest = rest.join(stored.select("event_id"), "event_id", "left_anti")
+    return rest.select(*schemas.SILVER_EVENT_COLUMNS)
+
+
+def user_bucket() -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("int").alias("bucket")
 
 
 def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | None = "30 seconds",
                  outputs: Sequence[str] = OUTPUTS, watermark: str | None = None,
-                 sessions_mode: str = "update", gold_tables: Sequence[str] = (),
-                 upsert_users: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
-    """Start the silver query: one decode and one deduplication for all
-    ``outputs`` (only those asked for are written; events always are).
-
-    ``watermark`` (e.g. "1 hour"): events older than the latest event time of
-    earlier batches less this delay go to ``late`` instead of the outputs;
-    without it every event is taken, however late.  ``sessions_mode="complete"``
-    also rewrites a snapshot of all sessions each batch (the file sink has no
-    complete mode).  ``gold_tables`` are refreshed after each batch for the
-    dates it touched: late events heal the KPIs of their dates.
-    ``upsert_users`` maintains the SCD2 users table."""
-    decoded = B.tag_contract(B.decode_payload(bronze_stream))
-    outputs = set(outputs) | {"events"}
-    if "session_quality" in gold_tables or sessions_mode == "complete":
-        outputs.add("sessions")
-    if upsert_users:
-        outputs.add("plan_events")
+                 gold_tables: Sequence[str] = (), upsert_users: bool = False, after=None) -> StreamingQuery:
+    """Start the silver query: one decode-and-deduplicate stream for all
+    ``outputs`` (events are always written; "plan_events", "dlq" if asked for).
+
+    ``watermark`` (e.g. "1 hour"): see the module; events behind it go to
+    ``late``.  ``gold_tables`` are refreshed after each batch for the dates it
+    touched: late events heal the KPIs of their dates.  ``upsert_users`` keeps
+    the SCD2 users table.  ``after(name, batch_id)`` is called behind each
+    output (for tests: a failure between two outputs)."""
+    outputs = set(outputs) | {"events"} | ({"plan_events"} if upsert_users else set())
+    if "session_quality" in gold_tables:
+        outputs.add("partials")
+    after = after or (lambda name, batch_id: None)
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        logs = {n: paths.log(spark, n) for n in (*outputs, "late", "progress", "users")}
         batch = batch.persist()
         try:
-            valid = batch.filter(F.col("error").isNull())
+            kept = batch.filter("kept").select("event.*")
+            write_batch(kept, paths.table("events"), batch_id, ["processing_date"])
+            after("events", batch_id)
+            if watermark is not None:
+                arrived = batch.filter("NOT kept AND event IS NOT NULL").select("event.*")
+                write_batch(_late(arrived, kept, spark, paths, batch_id), paths.table("late"), batch_id, ["processing_date"])
+                after("late", batch_id)
             if "dlq" in outputs:
-                logs["dlq"].append(B.dead_letters(batch.filter(F.col("error").isNotNull())), batch_id)
-            fresh = _fresh_events(valid, logs["events"], batch_id)
-            if watermark:
-                newest = logs["progress"].read(before=batch_id).agg(F.max("max_event_time").alias("t")).first().t
-                is_late = (F.lit(False) if newest is None else
-                           F.col("event_timestamp") < F.lit(newest) - F.expr(f"INTERVAL {watermark}"))
-                logs["late"].append(fresh.filter(is_late), batch_id)
-                fresh = fresh.filter(~is_late)
-            logs["events"].append(fresh, batch_id)
-            # the rest reads what was written: no second deduplication
-            events = logs["events"].batches([batch_id]).drop("batch_id")
-            if "sessions" in outputs:
-                logs["sessions"].append(S.session_partials(events), batch_id)
+                write_batch(batch.filter("dead IS NOT NULL").select("dead.*"), paths.table("dlq"), batch_id)
+                after("dlq", batch_id)
+            if "partials" in outputs:
+                write_batch(S.session_partials(kept), paths.table("partials"), batch_id)
+                after("partials", batch_id)
             if "plan_events" in outputs:
-                logs["plan_events"].append(S.plan_events(events), batch_id)
+                write_batch(S.plan_events(kept).withColumn("bucket", user_bucket()), paths.table("plan_events"), batch_id, ["bucket"])
+                after("plan_events", batch_id)
             if upsert_users:
-                upsert_users_scd2(logs["plan_events"], logs["users"], S.plan_events(events), batch_id)
-            if sessions_mode == "complete":
-                write_snapshot(read_sessions(spark, paths), paths.sessions_snapshot)
+                upsert_users_scd2(spark, paths, S.plan_events(kept))
+                after("users", batch_id)
             if gold_tables:
-                refresh_gold(spark, paths, events, gold_tables)
-            logs["progress"].append(batch.agg(
-                F.count(F.lit(1)).alias("input_rows"),
-                F.max(F.when(F.col("error").isNull(), F.try_to_timestamp("data.timestamp"))).alias("max_event_time")), batch_id)
-            if compact_every and (batch_id + 1) % compact_every == 0:
-                compact(spark, paths)
+                refresh_gold(spark, paths, kept, gold_tables)
+                after("gold", batch_id)
         finally:
             batch.unpersist()
 
-    return _trigger(decoded.writeStream.foreachBatch(fan_out).queryName("silver")
+    return _trigger(_fan_in(bronze_stream, watermark).writeStream.foreachBatch(fan_out).queryName("silver")
                     .option("checkpointLocation", paths.checkpoint("silver")), trigger).start()
 
 
-def _latest_users(log: BatchLog | DataFrame) -> DataFrame:
-    rows = log.read() if isinstance(log, BatchLog) else log
-    last = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["user_id", "batch_id"])
+def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame) -> None:
+    """SCD2 maintenance: the histories of the user buckets that a batch touched
+    are rebuilt from their plan events and replace those buckets; the others
+    are neither read nor written.  A late plan event re-closes the interval it
+    splits."""
+    touched = [r[0] for r in batch_plan_events.filter("user_id IS NOT NULL").select(user_bucket()).distinct().collect()]
+    if touched:  # at most USER_BUCKETS values
+        history = paths.read(spark, "plan_events").filter(F.col("bucket").isin(touched))
+        users = S.users_scd2(history).withColumn("bucket", user_bucket())
+        overwrite_partitions(users.select(*TABLES["users"].fieldNames()), paths.table("users"), ["bucket"])
+
+
+def refresh_gold(spark: SparkSession, paths: SilverPaths, batch_events: DataFrame,
+                 tables: Sequence[str] = tuple(schemas.GOLD_SCHEMAS)) -> None:
+    """Recompute gold tables for the dates a batch touched, whole, and replace
+    those dates' partitions of ``gold/<table>``.
+
+    Event tables read the partitions of those dates alone.  session_quality is
+    built from the partial sessions: a late event can move its session to an
+    earlier day, so the dates of all partial rows of the touched sessions count
+    as touched."""
+    from strata.operators import gold as G
+    builders = {"daily_active_users": G.daily_active_users, "funnel_metrics": G.funnel_metrics,
+                "feature_adoption": G.feature_adoption, "mrr_metrics": G.mrr_metrics}
+    dates = [r[0] for r in batch_events.select("processing_date").distinct().collect()]  # bounded by the calendar
+    if not dates:
+        return
+    ev = read_events(spark, paths).filter(one_of("processing_date", dates))
+    for name in tables:
+        if name == "session_quality":
+            partials = paths.read(spark, "partials")
+            ids = batch_events.select("session_id").filter("session_id IS NOT NULL").distinct()
+            moved = (partials.join(ids, "session_id", "left_semi").select(F.to_date("session_start").alias("date")).distinct())
+            whole = S.sessions_of_partials(S.merge_partials(partials))
+            fresh = G.session_quality(whole).join(F.broadcast(moved), "date", "left_semi")  # one row a date
+        else:
+            fresh = builders[name](ev)
+        overwrite_partitions(conform(fresh, schemas.GOLD_SCHEMAS[name]), f"{paths.table('gold')}/{name}", ["date"])
+
+
+# ------------------------------------------------------------------ sessions
+
+def session_stream(events: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Sessions as a streaming aggregate over silver events.  With
+    ``watermark``, one row for each session and day, whose state Spark evicts
+    when the watermark has passed the day; without, one row a session (``day``
+    NULL), kept in the state store for good."""
+    if watermark is None:
+        return S.session_partials(events).withColumn("day", F.lit(None).cast("date"))
+    daily = events.withWatermark("event_timestamp", watermark)
+    day = F.window("event_timestamp", "1 day").alias("window")
+    return S.session_partials(daily, day).withColumn("day", F.to_date("window.start")).drop("window")
+
+
+def start_sessions(spark: SparkSession, paths: SilverPaths, trigger: str | None = "30 seconds", mode: str = "update",
+                   watermark: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Start the sessions query on the stream of the ``events`` table.
+
+    ``mode="update"``: a batch brings the sessions it changed, whole, and they
+    are upserted into ``sessions``, in the partitions of their days alone.
+    ``mode="complete"``: a batch brings all sessions and rewrites the snapshot
+    (Spark evicts no state in this mode)."""
+    events = read_table_stream(spark, make_folder(spark, paths.table("events")), schemas.SILVER_EVENTS, max_files_per_trigger=max_files)
+    keys = [*S.SESSION_KEYS, "day"]
 
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        merge_into(batch.sparkSession, paths.table("sessions"), batch.select(*_SESSIONS.fieldNames()), keys, partition="day")
 
-def compact(spark: SparkSession, paths: SilverPaths) -> dict[str, int | None]:
-    """Fold the committed batches of every table into its base; safe while
-    the stream appends, and idempotent."""
-    folds = {"sessions": lambda df: S.merge_partials(df).withColumn("batch_id", F.lit(-1).cast("long")),
-             "users": _latest_users,
-             "progress": lambda df: df.agg(F.sum("input_rows").alias("input_rows"), F.max("max_event_time").alias("max_event_time"))
-                                      .withColumn("batch_id", F.lit(-1).cast("long"))}
-    return {n: paths.log(spark, n).compact(folds.get(n, lambda df: df))
-            for n in ("events", "late", "sessions", "plan_events", "users", "dlq", "progress")}
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        write_snapshot(batch.select(*_SESSIONS.fieldNames()), paths.table("sessions"))
 
+    writer = (session_stream(events, watermark).writeStream.outputMode(mode).queryName("sessions")
+              .foreachBatch(upsert if mode == "update" else replace).option("checkpointLocation", paths.checkpoint("sessions")))
+    return _trigger(writer, trigger).start()
+
+
+# ------------------------------------------------------------------ readers
 
 def read_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return paths.log(spark, "events").read().select(*schemas.SILVER_EVENT_COLUMNS)
+    return paths.read(spark, "events")
 
 
 def read_late(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return paths.log(spark, "late").read().select(*schemas.SILVER_EVENT_COLUMNS)
+    return paths.read(spark, "late")
 
 
 def read_plan_events(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return paths.log(spark, "plan_events").read().drop("batch_id")
+    return paths.read(spark, "plan_events").drop("bucket")
 
 
 def read_sessions(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    """Current sessions: the sums of all partial rows (map-side combine keeps
-    hot sessions cheap); exact for late events too."""
-    return S.sessions_of_partials(S.merge_partials(paths.log(spark, "sessions").read()))
+    """Current sessions: the rows of a session's days added up."""
+    return S.sessions_of_partials(S.merge_partials(paths.read(spark, "sessions")))
 
 
 def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return paths.log(spark, "dlq").read().drop("batch_id")
+    return paths.read(spark, "dlq")
 
 
 def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return _latest_users(paths.log(spark, "users")).drop("batch_id")
+    return paths.read(spark, "users").drop("bucket")
 
 
 def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:
-    return read_current(spark, f"{paths.gold}/{name}")
+    return conform(read_current(spark, f"{paths.table('gold')}/{name}"), schemas.GOLD_SCHEMAS[name])
 
 
+# ------------------------------------------------------------------ running and status
+
 def run_to_completion(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for ``availableNow`` queries.  Raises a query's failure; past
     ``timeout_s`` (default: none) it stops all queries and raises
@@ -251,49 +327,55 @@ def run_to_completion(queries: Sequence[StreamingQuery], timeout_s: float | None
             raise TimeoutError(f"streaming query {q.name or q.id} has not finished in {timeout_s} s")
 
 
-def stream_health(spark: SparkSession, queries: Sequence[StreamingQuery], paths: SilverPaths) -> DataFrame:
-    """query_name, is_active, total_input_rows of each query.  Input rows come
-    from the ``progress`` table, so all batches count, those before a restart
-    included (a query's own recent progress is a short ring buffer)."""
-    total = paths.log(spark, "progress").read().agg(F.sum("input_rows").alias("n")).first().n or 0
-    return spark.createDataFrame([(q.name, bool(q.isActive), total) for q in queries],
-                                 "query_name string, is_active boolean, total_input_rows long")
-
-
-def refresh_gold(spark: SparkSession, paths: SilverPaths, batch_events: DataFrame,
-                 tables: Sequence[str] = tuple(schemas.GOLD_SCHEMAS)) -> None:
-    """Recompute gold tables for the dates a batch touched and MERGE them into
-    the versioned tables under ``paths.gold``; a re-run merges the same values.
-
-    Event tables read the partitions of those dates alone.  session_quality is
-    built from the sessions table: a late event can move its session to an
-    earlier day, so the dates of all partial rows of the touched sessions count
-    as touched."""
-    from strata.operators import gold as G
-    from strata.operators.merge import conform
-    builders = {"daily_active_users": G.daily_active_users, "funnel_metrics": G.funnel_metrics,
-                "feature_adoption": G.feature_adoption, "mrr_metrics": G.mrr_metrics}
-    dates = batch_events.select("processing_date").distinct()  # bounded by the calendar
-    if dates.isEmpty():
-        return
-    ev = read_events(spark, paths).join(F.broadcast(dates), "processing_date", "left_semi")
-    for name in tables:
-        if name == "session_quality":
-            ids = batch_events.select("session_id").filter("session_id IS NOT NULL").distinct()
-            moved = (paths.log(spark, "sessions").read().join(ids, "session_id", "left_semi")
-                     .select(F.to_date("session_start").alias("date")).distinct())
-            fresh = G.session_quality(read_sessions(spark, paths)).join(F.broadcast(moved), "date", "left_semi")
-        else:
-            fresh = builders[name](ev)
-        merge_into(spark, f"{paths.gold}/{name}", conform(fresh, schemas.GOLD_SCHEMAS[name]), schemas.GOLD_KEYS[name],
-                   schemas.GOLD_UPDATE_COLUMNS[name])
-
-
-def upsert_users_scd2(plan_log: BatchLog, users: BatchLog, batch_plan_events: DataFrame, batch_id: int) -> None:
-    """SCD2 maintenance for the users a micro-batch touched: their histories
-    are rebuilt from the plan-event log and appended; other users' rows are
-    neither read nor written.  A late plan event re-closes the interval it
-    splits; a replayed batch overwrites its own rows."""
-    touched = batch_plan_events.select("user_id").filter("user_id IS NOT NULL").distinct()
-    history = plan_log.read(before=batch_id + 1).join(touched, "user_id", "left_semi")
-    users.append(S.users_scd2(history), batch_id)
+class StreamStatus(StreamingQueryListener):
+    """What the engine reports of the session's streaming queries: rows observed
+    on arrival, rows dropped behind the watermark and rows in state, for each
+    query and batch.  A query that restarts from its checkpoint keeps its id,
+    and a batch counts once however often it is run."""
+
+    def __init__(self) -> None:
+        self.names: dict[str, str] = {}
+        self.batches: dict[tuple[str, int], dict] = {}
+        self.active: dict[str, str] = {}  # run id -> query id
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        with self._changed:
+            self.names[str(event.id)] = event.name
+            self.active[str(event.runId)] = str(event.id)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        arrivals = p.observedMetrics.get("arrivals")
+        with self._changed:
+            if p.numInputRows or arrivals:
+                self.batches[str(p.id), p.batchId] = {
+                    "rows": arrivals["rows"] if arrivals else p.numInputRows,
+                    "dropped": sum(s.numRowsDroppedByWatermark for s in p.stateOperators)}
+            self.batches.setdefault((str(p.id), -1), {})["state"] = sum(s.numRowsTotal for s in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self.active.pop(str(event.runId), None)
+            self._changed.notify_all()
+
+    def wait_ended(self, queries: Sequence[StreamingQuery], timeout_s: float = 60) -> None:
+        """Reports arrive behind the query: wait until its end is reported."""
+        runs = {str(q.runId) for q in queries}
+        with self._changed:
+            if not self._changed.wait_for(lambda: not runs & set(self.active), timeout_s):
+                raise TimeoutError("the end of a streaming query was not reported")
+
+    def total(self, query_id: str, what: str) -> int:
+        with self._changed:
+            return sum(b.get(what, 0) for (q, _), b in self.batches.items() if q == query_id)
+
+    def status(self, spark: SparkSession) -> DataFrame:
+        """query_name, is_active, total_input_rows of every query seen."""
+        with self._changed:
+            seen, active = dict(self.names), set(self.active.values())
+        return spark.createDataFrame([(name, q in active, self.total(q, "rows")) for q, name in seen.items()],
+                                     "query_name string, is_active boolean, total_input_rows long")

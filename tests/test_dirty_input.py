@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import bronze as B
-from strata.operators import gold, silver
+from strata.operators import gold, merge, silver
 from strata.plans.catalog import silver_events
 from strata.session import work_dir
 from strata.sources import fixture
 from strata.sources.tables import read_event_stream
-from strata import sinks
-from strata.streaming import (SilverPaths, compact, read_events, read_late, read_sessions, read_users, run_to_completion,
-                              start_silver)
+from strata import schemas
+from strata.streaming import (SilverPaths, StreamStatus, read_dlq, read_events, read_gold, read_late, read_plan_events, read_sessions,
+                              read_users, run_to_completion, start_sessions, start_silver)
 
 from .conftest import SF_SMALL
 
@@ -39,9 +39,13 @@ def _late_split(spark):
     return raw, on_time, fixture.after_last(on_time, fixture.broker_messages(raw.filter(late))), raw.filter(late).count()
 
 
-def _run(spark, root, paths, **options):
+def _run(spark, root, paths, sessions=None, **options):
     stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*/*")
-    run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow", **options)])
+    q = start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow", **options)
+    run_to_completion([q])
+    if sessions is not None:
+        run_to_completion([start_sessions(spark, paths, "availableNow", **sessions)])
+    return q
 
 
 def _rows(df):
@@ -55,9 +59,9 @@ def test_late_file_is_exact_without_a_watermark(spark):
     raw, on_time, late, _ = _late_split(spark)
     paths = SilverPaths(f"{root}/silver")
     fixture.write_message_files(on_time, f"{root}/messages/a", groups=2)
-    _run(spark, root, paths, upsert_users=True)
+    _run(spark, root, paths, sessions={}, upsert_users=True)
     fixture.write_message_files(late, f"{root}/messages/b", groups=1)
-    _run(spark, root, paths, upsert_users=True)
+    _run(spark, root, paths, sessions={}, upsert_users=True)
     ev = silver_events(spark, SF_SMALL)
     assert _rows(read_events(spark, paths)) == _rows(ev)
     assert _rows(read_sessions(spark, paths)) == _rows(silver.sessions_by_attributes(ev))
@@ -93,44 +97,83 @@ def test_one_bad_message_does_not_hide_backfilled_events(spark):
     assert read_events(spark, paths).count() == 4 and read_late(spark, paths).count() == 0
 
 
-def _files(df):
-    return len(df.inputFiles())
-
-
-def test_compaction_keeps_views_and_bounds_files(spark):
-    """Many batches: the rows stay those of a batch run, and the files that a
-    read opens do not grow with the number of batches."""
-    root = work_dir(spark, "compact")
-    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    msgs = fixture.broker_messages(raw)
+def test_the_engine_reports_what_lies_behind_the_watermark(spark):
+    """Late events, some sent twice, and copies of accepted events: each late
+    event is in ``late`` once, and the rows that Spark says it dropped are the
+    late arrivals and nothing else."""
+    root = work_dir(spark, "reported")
+    raw, on_time, late, n_late = _late_split(spark)
+    again = fixture.after_last(late, late.unionByName(on_time.limit(20)))
+    paths = SilverPaths(f"{root}/silver")
+    status = StreamStatus()
+    spark.streams.addListener(status)
+    try:
+        for name, part in (("a", on_time), ("b", late), ("c", again)):
+            fixture.write_message_files(part, f"{root}/messages/{name}", groups=1)
+            q = _run(spark, root, paths, watermark="1 hour")
+        status.wait_ended([q])
+    finally:
+        spark.streams.removeListener(status)
+    assert read_late(spark, paths).count() == n_late and read_events(spark, paths).count() == raw.count() - n_late
+    assert status.total(str(q.id), "rows") == on_time.count() + late.count() + again.count()
+    assert status.total(str(q.id), "dropped") == 2 * n_late + 20
+    assert [r.is_active for r in status.status(spark).collect()] == [False]
+
+
+def test_session_state_is_bounded_by_the_watermark(spark):
+    """Thirty days in ten batches: the days behind the watermark leave the
+    state store, and the upserted sessions equal those of a batch run."""
+    root = work_dir(spark, "evict")
+    msgs = fixture.broker_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     paths = SilverPaths(f"{root}/silver")
-    sizes = []
-    for g in range(8):
-        fixture.write_message_files(msgs, f"{root}/messages/m", groups=8, first_group=g, last_group=g)
-        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=f"{root}/messages/*/*")
-        run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow",
-                                        upsert_users=True, compact_every=4)])
-        sizes.append((_files(paths.log(spark, "plan_events").read()), _files(paths.log(spark, "sessions").read())))
+    states = []
+    for g in range(5):
+        fixture.write_message_files(msgs, f"{root}/messages/m", groups=5, first_group=g, last_group=g)
+        stream = read_event_stream(spark, "parquet", path=f"{root}/messages/*/*")
+        run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow", watermark="1 hour")])
+        q = start_sessions(spark, paths, "availableNow", watermark="1 hour")
+        run_to_completion([q])
+        ops = q.lastProgress["stateOperators"]
+        assert "rocksdbCommitCheckpointLatency" in str(ops[0]["customMetrics"]) or any("rocksdb" in k for k in ops[0]["customMetrics"])
+        states.append(ops[0]["numRowsTotal"])
     ev = silver_events(spark, SF_SMALL)
-    assert _rows(read_events(spark, paths)) == _rows(ev)
-    assert _rows(read_sessions(spark, paths)) == _rows(silver.sessions_by_attributes(ev))
-    assert _rows(read_users(spark, paths).drop("updated_at")) == _rows(silver.users_scd2(ev).drop("updated_at"))
-    assert max(s[0] for s in sizes[4:]) <= 1.6 * max(s[0] for s in sizes[:4])
-    assert len(paths.log(spark, "events").batch_ids()) < 9  # folded batches are dropped
-    views = [_rows(read_events(spark, paths)), _rows(read_sessions(spark, paths))]
-    last = compact(spark, paths)
-    assert compact(spark, paths) == last and [_rows(read_events(spark, paths)), _rows(read_sessions(spark, paths))] == views
+    whole = silver.sessions_by_attributes(ev)
+    assert _rows(read_sessions(spark, paths)) == _rows(whole)
+    # after each run's last batch only days that the watermark has not passed are left
+    assert max(states) < whole.count() / 6
 
 
-def test_a_half_written_batch_is_not_read(spark):
-    root = work_dir(spark, "half")
-    log = SilverPaths(root).log(spark, "dlq")
-    row = spark.createDataFrame([("t", 1, 2, "e", "p", "x", None)],
-                                "kafka_topic string, kafka_partition int, kafka_offset long, event_id string, payload string, error string, ingested_at timestamp")
-    log.append(row, 0)
-    log.append(row, 1)
-    sinks.delete_folder(spark, f"{log.path}/batches/batch_id=1/_SUCCESS")
-    assert log.read().count() == 1
+def test_replay_after_a_failure_between_two_outputs(spark):
+    """The second batch fails behind each of its outputs in turn; after the
+    restart all outputs equal those of an undisturbed run."""
+    root = work_dir(spark, "replay")
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    fixture.write_message_files(fixture.broker_messages(raw, corrupt=True), f"{root}/messages/m", groups=2)
+    options = dict(outputs=("events", "dlq"), upsert_users=True, gold_tables=("daily_active_users", "session_quality"))
+
+    def run(paths, after=None):
+        stream = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, path=f"{root}/messages/*/*")
+        run_to_completion([start_silver(B.to_bronze(stream, F.col("timestamp")), paths, trigger="availableNow", after=after, **options)])
+
+    def outputs(paths):
+        gold_rows = [_rows(read_gold(spark, paths, n)) for n in options["gold_tables"]]
+        return [_rows(f(spark, paths)) for f in (read_events, read_dlq, read_plan_events)] + \
+            [_rows(read_users(spark, paths).drop("updated_at"))] + gold_rows
+
+    plain, broken = SilverPaths(f"{root}/plain"), SilverPaths(f"{root}/broken")
+    run(plain)
+    for failing in ("events", "dlq", "partials", "plan_events", "users", "gold"):
+        def fail(name, batch_id, failing=failing):
+            if name == failing and batch_id == 1:
+                raise RuntimeError(f"injected behind {name}")
+        with pytest.raises(Exception, match="injected"):
+            run(broken, fail)
+    run(broken)
+    want = outputs(plain)
+    assert outputs(broken) == want and all(want)
+    ev = read_events(spark, plain)
+    assert _rows(read_gold(spark, plain, "session_quality")) == _rows(
+        merge.conform(gold.session_quality(silver.sessions_by_attributes(ev)), schemas.GOLD_SCHEMAS["session_quality"]))
 
 
 def test_unfinished_stream_raises(spark):
@@ -150,11 +193,11 @@ def test_stream_dedup_modes(spark):
     root = work_dir(spark, "modes")
     raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     fixture.write_message_files(fixture.redelivered(raw), f"{root}/messages/a", groups=1)
-    for mode in ("state", "watermark"):
+    for name, watermark in (("state", None), ("watermark", "1 hour")):
         stream = read_event_stream(spark, "parquet", path=f"{root}/messages/*/*")
-        events, _ = silver_stream(B.to_bronze(stream, F.col("timestamp")), mode)
-        q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/ck-{mode}")
-             .trigger(availableNow=True).start(f"{root}/out-{mode}"))
+        events, _ = silver_stream(B.to_bronze(stream, F.col("timestamp")), watermark)
+        q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/ck-{name}")
+             .trigger(availableNow=True).start(f"{root}/out-{name}"))
         run_to_completion([q])
-        out = spark.read.parquet(f"{root}/out-{mode}")
+        out = spark.read.parquet(f"{root}/out-{name}")
         assert out.count() == raw.count() == out.select("event_id").distinct().count()

@@ -93,29 +93,49 @@ def test_merge_adds_source_columns(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "a", None), (2, "b", 7), (3, "C", 8)]
 
 
-def test_old_versions_are_dropped(spark, events):
-    base = work_dir(spark, "retain") + "/t"
-    dau = gold.daily_active_users(events)
-    for _ in range(5):
-        sinks.write_version(dau, base, keep=2)
-    assert sinks.list_versions(spark, base) == [4, 5]
-
-
-def test_two_writers_get_different_versions(spark, tmp_path):
-    base = str(tmp_path / "t")
-    spark.range(1).write.parquet(f"{base}/v=1")
-    assert [sinks._claim_version(spark, base) for _ in range(3)] == [2, 3, 4]
+def _part_files(path):
+    import os
+    return {d: sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+            for d in os.listdir(path) if d.startswith("date=")}
 
 
-def test_versioned_merge_into(spark, events):
-    base = work_dir(spark, "versioned")
+def test_merge_into_replaces_touched_partitions_alone(spark, events):
+    base = work_dir(spark, "merge") + "/t"
     g = merge.conform(gold.daily_active_users(events), schemas.GOLD_DAU)
     target, source = merge_fixture(gold.daily_active_users(events), "daily_active_users")
-    sinks.merge_into(spark, base, target, ["date"])
-    first = sinks.read_current(spark, base).count()
+    assert sinks.merge_into(spark, base, target, ["date"]).count() == target.count()
+    before = _part_files(base)
     out = sinks.merge_into(spark, base, source, ["date"], schemas.GOLD_UPDATE_COLUMNS["daily_active_users"])
-    assert sinks.list_versions(spark, base) == [1, 2]
-    assert first == target.count() and out.count() == g.count()
+    want = merge.merge_upsert(target, source, ["date"], schemas.GOLD_UPDATE_COLUMNS["daily_active_users"])
+    assert out.columns == g.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    after = _part_files(base)
+    for day, files in before.items():
+        assert (after[day] == files) == (int(day[-2:]) <= 10)
+
+
+def test_merge_reads_only_touched_partitions_of_the_target(spark, events):
+    base = work_dir(spark, "merge-plan") + "/t"
+    g = merge.conform(gold.daily_active_users(events), schemas.GOLD_DAU)
+    sinks.merge_into(spark, base, g, ["date"])
+    source = g.filter(F.dayofmonth("date") == 5)
+    current = sinks.read_current(spark, base)
+    merged = sinks.merge_plan(current, source, ["date"])
+    scans = [x[x.index("PartitionFilters"):].split("PushedFilters")[0]
+             for x in merged._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters: [" in x]
+    assert any("2024-01-05" in x or "date" in x for x in scans) and merged.count() == 1
+    kept = merged.filter(F.col("date") != F.lit("2024-01-05").cast("date"))
+    assert kept.count() == 0
+
+
+def test_merge_takes_null_partitions_and_new_columns(spark):
+    base = work_dir(spark, "merge-null") + "/t"
+    rows = spark.createDataFrame([(None, "a", 1), ("2024-01-01", "b", 2)], "d string, k string, n int").withColumn("date", F.to_date("d")).drop("d")
+    sinks.merge_into(spark, base, rows, ["date", "k"])
+    more = rows.filter("date IS NULL").withColumn("n", F.lit(9)).withColumn("extra", F.lit("x"))
+    out = sinks.merge_into(spark, base, more, ["date", "k"])
+    assert sorted((r.k, r.n, r.extra, r.date is None) for r in out.collect()) == [("a", 9, "x", True), ("b", 2, None, False)]
+    with pytest.raises(ValueError):
+        sinks.merge_into(spark, base, more, ["k"])
 
 
 def test_dedup_keeps_earliest_copy(events):
