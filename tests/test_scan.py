@@ -109,3 +109,62 @@ def test_asof_with_ties_and_null_keys(spark):
         .select("user_id", F.col("x").cast("timestamp").alias("valid_from"), "event_id", "plan")
     got = {r.event_id: r.plan for r in asof_lookup(ev, vs, ["plan"]).collect()}
     assert got == {1: "q", 2: "q", 3: None, 4: None, 5: None, 6: None}
+
+
+def _burst(spark, n, every):
+    """``n`` rows of one key within one hour, every ``every``-th a version;
+    times repeat."""
+    at = F.expr(f"timestamp '2024-01-05 10:00:00' + make_dt_interval(0, 0, 0, CAST((id * 7919 % {n // 2}) * 3500.0 / {n // 2} AS DECIMAL(18, 6)))")
+    rows = spark.range(n).select(F.lit("u").alias("user_id"), at.alias("t"), F.col("id"))
+    return rows, rows.filter(F.col("id") % every == 0).select("user_id", F.col("t").alias("valid_from"),
+                                                            F.col("id").alias("event_id"), F.concat(F.lit("p"), "id").alias("plan"))
+
+
+def _spread(df, value):
+    """Rows by task of the last stage, which computes ``value``."""
+    counts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max(value)).collect()
+    return sorted((r["n"] for r in counts), reverse=True)
+
+
+def test_burst_of_one_key_in_one_hour_is_spread(spark):
+    """A million events and 100,000 versions of one key in one hour."""
+    from strata.operators.asof import asof_lookup
+    rows, versions = _burst(spark, 1_000_000, 10)
+    events = rows.select("user_id", F.col("t").alias("event_timestamp"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = asof_lookup(events, versions, ["plan"])
+        sizes = _spread(out, "plan")
+        assert sum(sizes) == 1_000_000 and len(sizes) == 8 and sizes[0] < 250_000
+        got = out.toPandas()
+        scd = scan_within_key(versions.withColumn("val", F.col("plan")), "user_id", ["valid_from", "event_id"], fill=["val"],
+                              lead={"valid_to": "valid_from"}, hot_rows=10_000)
+        sizes = _spread(scd, "valid_to")
+        assert sum(sizes) == 100_000 and len(sizes) == 8 and sizes[0] < 25_000
+        ends = scd.toPandas().sort_values(["valid_from", "event_id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    v = versions.toPandas().sort_values(["valid_from", "event_id"])
+    at = v["valid_from"].to_numpy().searchsorted(got["event_timestamp"].to_numpy(), side="right") - 1
+    want = [None if i < 0 else p for i, p in zip(at, v["plan"].to_numpy()[at])]
+    assert got["plan"].where(got["plan"].notna(), None).tolist() == want
+    assert ends["valid_to"].iloc[:-1].tolist() == v["valid_from"].iloc[1:].tolist() and pd.isna(ends["valid_to"].iloc[-1])
+
+
+@pytest.mark.parametrize("hot_rows", [3, 100_000])
+def test_parts_of_hot_hours_change_nothing(spark, hot_rows):
+    from strata.operators.asof import asof_lookup
+    df = _frame(spark).withColumn("ts", F.date_trunc("minute", "ts"))
+    df = df.withColumn("ts", F.when(F.col("id") % 50 == 7, None).otherwise(F.lit("2024-01-01 05:00:00").cast("timestamp")
+                                                                           + F.expr("make_dt_interval(0, 0, id % 90, 0)")))
+    got = {r.id: r.val for r in scan_within_key(df, "key", ["ts", "id"], fill=["val"], hot_rows=hot_rows).collect()}
+    pdf = df.toPandas().sort_values(["key", "ts", "id"], na_position="first")
+    want = pdf.groupby("key", sort=False)["val"].ffill()
+    assert got == dict(zip(pdf["id"], want.where(want.notna(), None)))
+    versions = df.filter("val IS NOT NULL").select("key", F.col("ts").alias("valid_from"), F.col("id").alias("event_id"), "val")
+    out = asof_lookup(df.drop("val"), versions, ["val"], key="key", event_time="ts", hot_rows=hot_rows).collect()
+    rows = [r for r in versions.collect() if r.valid_from is not None]
+    assert len(out) == df.count()
+    for r in out:
+        past = [v for v in rows if r.ts is not None and v.key == r.key and v.valid_from <= r.ts]
+        assert r.val == (max(past, key=lambda v: (v.valid_from, str(v.event_id))).val if past else None)
