@@ -31,6 +31,7 @@ from strata.session import checkpoint_root
 
 HOT_ROWS = 100_000
 SPLITS = 256
+SALTS = 64
 
 
 def hour_bucket(order: str) -> Column:
@@ -54,8 +55,10 @@ def with_parts(rows: DataFrame, counted: DataFrame, key: str, time: str | None,
     edges = (narrow.join(hot, [key, "_b"], "left_semi").groupBy(key, "_b")
              .agg(F.percentile_approx("_at", [i / SPLITS for i in range(1, SPLITS)], 10_000).alias("_edges")))
     part = F.size(F.filter("_edges", lambda e: e < F.unix_micros(time)))
-    return (rows.join(edges, [key, "_b"], "left")
-            .withColumn("_s", F.when(F.col("_edges").isNull(), 0).otherwise(part)).drop("_edges"))
+    # the edges of a hot bucket go to SALTS tasks, so that its rows never meet in one
+    salted = edges.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return (rows.withColumn("_salt", F.pmod(F.xxhash64(time), F.lit(SALTS)).cast("int")).join(salted, [key, "_b", "_salt"], "left")
+            .withColumn("_s", F.when(F.col("_edges").isNull(), 0).otherwise(part)).drop("_edges", "_salt"))
 
 
 def scan_within_key(df: DataFrame, key: str, order: Sequence[str],

@@ -131,7 +131,10 @@ def test_burst_of_one_key_in_one_hour_is_spread(spark):
     from strata.operators.asof import asof_lookup
     rows, versions = _burst(spark, 1_000_000, 10)
     events = rows.select("user_id", F.col("t").alias("event_timestamp"), "id")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}  # as for data too large to broadcast
+    for k, v in large.items():
+        spark.conf.set(k, v)
     try:
         out = asof_lookup(events, versions, ["plan"])
         sizes = _spread(out, "plan")
@@ -143,7 +146,8 @@ def test_burst_of_one_key_in_one_hour_is_spread(spark):
         assert sum(sizes) == 100_000 and len(sizes) == 8 and sizes[0] < 25_000
         ends = scd.toPandas().sort_values(["valid_from", "event_id"])
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k in large:
+            spark.conf.unset(k)
     v = versions.toPandas().sort_values(["valid_from", "event_id"])
     at = v["valid_from"].to_numpy().searchsorted(got["event_timestamp"].to_numpy(), side="right") - 1
     want = [None if i < 0 else p for i, p in zip(at, v["plan"].to_numpy()[at])]
