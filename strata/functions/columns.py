@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,12 @@ def json_map(entries: Column | str) -> Column:
     """JSON object of an array of (label, value) structs, labels ascending;
     ``"{}"`` if it is empty.  Labels must be unique."""
     return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(F.array_sort(entries)))).otherwise(F.lit("{}"))
+
+
+def variant_rows(df: DataFrame, variant: str, key: str, value: str, value_type: str) -> DataFrame:
+    """One row for each member of the object in the VARIANT column: the other
+    columns, ``key`` and ``value``; rows without members give none."""
+    members = df.sparkSession.tvf.variant_explode(F.col(variant).outer())
+    return df.lateralJoin(members).select(
+        *[c for c in df.columns if c != variant], F.col("key").alias(key),
+        F.variant_get(F.col("value"), "$", value_type).alias(value))

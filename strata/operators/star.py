@@ -116,6 +116,15 @@ def events_by_feature_month(facts: DataFrame, dates: DataFrame, features: DataFr
         F.min("first_seen").alias("first_seen"))
 
 
+def events_by_feature_week(facts: DataFrame, dates: DataFrame) -> DataFrame:
+    """year, iso_week, feature_name, uses, users of the given dates.  The date
+    dimension has one row a calendar day, so it is broadcast, and Spark prunes a
+    fact partitioned by ``date_key`` by the broadcast keys."""
+    f = facts.filter(F.col("feature_name").isNotNull()).select("date_key", "feature_name", "user_id")
+    j = f.join(F.broadcast(dates.select("date_key", "year", "iso_week")), "date_key")
+    return j.groupBy("year", "iso_week", "feature_name").agg(F.count(F.lit(1)).alias("uses"), F.count_distinct("user_id").alias("users"))
+
+
 def mrr_by_month(mrr_facts: DataFrame, dates: DataFrame) -> DataFrame:
     """year, month, upgrades, churns, gross_new_mrr, churned_mrr, net_mrr_movement."""
     j = mrr_facts.join(dates.select("date_key", "year", "month"), "date_key")

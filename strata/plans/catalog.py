@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators import asof, bronze, checks, gold, kpi, merge, silver, star
+from strata.operators import asof, bitmaps, bronze, checks, gold, kpi, merge, silver, star
 from strata import sinks
+from strata.functions import columns
 from strata.plans import jobs
 from strata.session import configure, work_dir
 from strata.sources.tables import read_event_stream, read_stage, read_table_stream, stage_files
@@ -204,6 +205,34 @@ def q_rolling_wau_mau(spark, sf_dir):
     return kpi.rolling_actives(silver_events(spark, sf_dir), (7, 30))
 
 
+def late_day_bitmaps(spark, root, late, numbers):
+    """Stored bitmaps of the late events' dates, with the late users added:
+    those dates' partitions are read and replaced, and no other."""
+    fresh = bitmaps.day_bitmaps(late, numbers)
+    dates = [r[0] for r in fresh.select("date").distinct().collect()]  # bounded by the calendar
+    stored = spark.read.parquet(f"{root}/bitmaps").select("date", "block", "bitmap").filter(sinks.one_of("date", dates))
+    return bitmaps.merge_bitmaps(stored, fresh)
+
+
+@query("rolling_wau_mau_late_day")
+def q_rolling_wau_mau_late_day(spark, sf_dir):
+    """Rolling actives from stored user bitmaps: the events of day 12 with
+    k >= 60 arrive after all others; only that day's bitmaps are written again,
+    and users not seen before get the next numbers."""
+    root = work_dir(spark, "bitmaps")
+    raw = read_table(spark, sf_dir, "events")
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    held = (F.dayofmonth(F.col("ts").cast("timestamp")) == 12) & (k >= 60)
+    on_time, late = saas_events(raw.filter(~held)), saas_events(raw.filter(held))
+    sinks.write_snapshot(bitmaps.number_users(on_time), f"{root}/users/load=0")
+    known = spark.read.parquet(f"{root}/users/load=0")
+    sinks.overwrite_partitions(bitmaps.day_bitmaps(on_time, known), f"{root}/bitmaps", ["date"])
+    sinks.write_snapshot(bitmaps.number_users(late, known), f"{root}/users/load=1")
+    numbers = spark.read.parquet(f"{root}/users")
+    sinks.overwrite_partitions(late_day_bitmaps(spark, root, late, numbers), f"{root}/bitmaps", ["date"])
+    return bitmaps.window_actives(spark.read.parquet(f"{root}/bitmaps"), (7, 30))
+
+
 @query("dau_growth")
 def q_dau_growth(spark, sf_dir):
     return kpi.dau_growth(gold.daily_active_users(silver_events(spark, sf_dir)))
@@ -313,12 +342,14 @@ for _name, _qid in [("daily_active_users", "merge_upsert_dau"), ("mrr_metrics",
 
 @query("late_data_rerun")
 def q_late_data_rerun(spark, sf_dir):
-    """Gold built before late events arrived (k >= 90 held back), then only
-    the dates the late batch touches are recomputed and upserted."""
+    """Gold built before late events arrived (those of the first three days
+    with k >= 90 held back), then only the dates the late batch touches are
+    recomputed and upserted."""
     raw = read_table(spark, sf_dir, "events")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    on_time = saas_events(raw.filter(k < 90))
-    late = saas_events(raw.filter(k >= 90))
+    held = (F.dayofmonth(F.col("ts").cast("timestamp")) <= 3) & (k >= 90)
+    on_time = saas_events(raw.filter(~held))
+    late = saas_events(raw.filter(held))
     everything = saas_events(raw)
     before = merge.conform(gold.daily_active_users(on_time), schemas.GOLD_DAU)
     return gold.rerun_touched_dates(everything, late, gold.daily_active_users, before,
@@ -335,6 +366,20 @@ def q_plan_breakdown_extract(spark, sf_dir):
                      *[F.variant_get(v, f"$.{p}", "bigint").alias(f"{p}_uses") for p in schemas.PLANS])
 
 
+@query("plan_breakdown_rows")
+def q_plan_breakdown_rows(spark, sf_dir):
+    """JSON plan map -> VARIANT -> one row a plan, whatever plans there are."""
+    fa = gold.feature_adoption(silver_events(spark, sf_dir)).select("date", "feature_name", F.parse_json("plan_breakdown").alias("plans"))
+    return columns.variant_rows(fa, "plans", "plan", "uses", "bigint")
+
+
+@query("plan_breakdown_schema")
+def q_plan_breakdown_schema(spark, sf_dir):
+    """The common schema of each feature's plan maps, found in the data."""
+    fa = gold.feature_adoption(silver_events(spark, sf_dir))
+    return fa.groupBy("feature_name").agg(F.schema_of_variant_agg(F.parse_json("plan_breakdown")).alias("schema"))
+
+
 # ------------------------------------------------------------------ star schema
 def _wide(spark, sf_dir):
     configure(spark)
@@ -383,6 +428,23 @@ def q_star_events_by_feature(spark, sf_dir):
     return star.events_by_feature_month(star.event_facts(ev), star.dim_date(ev), star.dim_features(ev))
 
 
+def events_by_date_key(spark, sf_dir):
+    """The event fact as a table partitioned by ``date_key``, and its date dimension."""
+    ev = _wide(spark, sf_dir)
+    root = work_dir(spark, "star")
+    sinks.write_snapshot(star.event_facts(ev), f"{root}/fact", ["date_key"])
+    sinks.write_snapshot(star.dim_date(ev), f"{root}/dim_date")
+    return spark.read.parquet(f"{root}/fact"), spark.read.parquet(f"{root}/dim_date"), ev
+
+
+@query("star_events_of_weeks")
+def q_star_events_of_weeks(spark, sf_dir):
+    """Feature use in the second and third week: the filter on the date
+    dimension prunes the fact's partitions at run time."""
+    facts, dates, _ = events_by_date_key(spark, sf_dir)
+    return star.events_by_feature_week(facts, dates.filter(F.col("iso_week").isin(2, 3)))
+
+
 @query("star_mrr_by_month")
 def q_star_mrr_by_month(spark, sf_dir):
     ev = silver_events(spark, sf_dir)
@@ -627,12 +689,21 @@ def q_stream_users_scd2_upsert(spark, sf_dir):
 # ------------------------------------------------------------------ incremental batch
 @query("batch_silver_reprocess")
 def q_batch_silver_reprocess(spark, sf_dir):
-    """Full batch run, then one ingestion day again: nothing else changes.
+    """Full batch run over bronze that lacks a third of the first day's rows
+    and has another third of them under other users and sessions; then that day
+    is corrected and run again alone: all equals a full run.
     Returns (part, key, n, total) over events, sessions and users read back."""
     root = work_dir(spark, "batch_reprocess")
-    sinks.write_snapshot(_bronze(spark, sf_dir), f"{root}/bronze", ["processing_date"])
+    right = _bronze(spark, sf_dir)
+    day = right.agg(F.min("processing_date")).first()[0]
+    text = F.expr("decode(substring(value, 6), 'UTF-8')")
+    wrong = F.regexp_replace(F.regexp_replace(text, '"user_id":"u_', '"user_id":"u_9'), '"session_id":"sess_', '"session_id":"sess_9')
+    first_day, third = F.col("processing_date") == F.lit(day), F.col("kafka_offset") % 3
+    before = right.filter(~first_day | (third != 0)).withColumn("value", F.when(
+        first_day & (third == 1), F.concat(F.expr("substring(value, 1, 5)"), wrong.cast("binary"))).otherwise(F.col("value")))
+    sinks.write_snapshot(before, f"{root}/bronze", ["processing_date"])
     jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver")
-    day = spark.read.parquet(f"{root}/bronze").agg(F.min("processing_date")).first()[0]
+    sinks.overwrite_partitions(right.filter(first_day), f"{root}/bronze", ["processing_date"])
     paths = jobs.run_silver_batch(spark, f"{root}/bronze", f"{root}/silver", (str(day), str(day)))
     events, sess, users = (spark.read.parquet(paths[n]) for n in ("events", "sessions", "users"))
     return (events.select(F.lit("event").alias("part"), F.col("event_id").alias("key"), F.lit(1).cast("long").alias("n"),

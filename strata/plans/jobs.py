@@ -8,11 +8,11 @@ the export equals what was written.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas, sinks
@@ -22,6 +22,15 @@ from strata.session import work_dir
 from strata.sources.tables import read_stage
 
 
+BUCKETS = 64
+DERIVED = {"sessions": (silver.SESSION_KEYS, silver.sessions_by_attributes), "users": (("user_id",), silver.users_scd2)}
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    """The partition of a group of rows."""
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
 def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
                      processing_dates: tuple[str, str] | None = None) -> dict[str, str]:
     """Bronze table -> silver events (deduplicated), dead letters, sessions
@@ -32,9 +41,10 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
     those bronze partitions and keeps the rest: of events, only the dates the
     range's events fall on are rewritten, from the new rows and the stored ones
     of other ingestion dates; of dead letters, the range's partitions; of
-    sessions and users, the rows of the session groups (those without a
-    session id too) and user ids of the range's events and of the stored
-    events they replace, from all silver events of theirs."""
+    sessions and users, which are partitioned by a hash of their keys, the
+    session groups (those without a session id too) and user ids of the range's
+    events and of the stored events they replace are rebuilt from all silver
+    events of theirs, and only their partitions are replaced."""
     stage = work_dir(spark, "silver-stage")
     paths = {name: f"{out}/{name}" for name in ("events", "dlq", "sessions", "users")}
     b = spark.read.parquet(bronze_path)
@@ -52,8 +62,8 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
     if not processing_dates:
         sinks.write_snapshot(fresh, paths["events"], ["processing_date"])
         ev = spark.read.parquet(paths["events"])
-        sinks.write_snapshot(silver.sessions_by_attributes(ev), paths["sessions"])
-        sinks.write_snapshot(silver.users_scd2(ev), paths["users"])
+        for name, (keys, build) in DERIVED.items():
+            sinks.write_snapshot(build(ev).withColumn("bucket", _bucket(keys)), paths[name], ["bucket"])
         return paths
 
     sinks.write_snapshot(fresh, f"{stage}/fresh")
@@ -66,18 +76,16 @@ def run_silver_batch(spark: SparkSession, bronze_path: str, out: str,
     sinks.write_snapshot(fresh.unionByName(replaced).select(*silver.SESSION_KEYS).distinct(), f"{stage}/touched")
     touched = spark.read.parquet(f"{stage}/touched")
     rebuilt = silver.dedup_events(stored.unionByName(fresh), order_by=("processed_at",))
-    sinks.write_snapshot(rebuilt, f"{stage}/events", ["processing_date"])
-    sinks.overwrite_partitions(spark.read.parquet(f"{stage}/events"), paths["events"], ["processing_date"])
+    sinks.overwrite_partitions(rebuilt, paths["events"], ["processing_date"])
     ev = spark.read.parquet(paths["events"]).select(*schemas.SILVER_EVENT_COLUMNS)
-    for name, keys, build in (("sessions", silver.SESSION_KEYS, silver.sessions_by_attributes),
-                              ("users", ("user_id",), silver.users_scd2)):
+    for name, (keys, build) in DERIVED.items():
+        # ids of the touched groups' buckets: only those buckets are read, rebuilt and replaced
         ids = touched.select(*(F.col(k).alias(f"touched_{k}") for k in keys)).distinct()
+        buckets = [r[0] for r in touched.select(_bucket(keys).alias("bucket")).distinct().collect()]  # at most BUCKETS
         same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"touched_{k}")) for k in keys))
-        old = spark.read.parquet(paths[name])
-        kept = old.join(ids, same, "left_anti")
-        again = build(ev.join(ids, same, "left_semi")).select(*old.columns)
-        sinks.write_snapshot(kept.unionByName(again), f"{stage}/{name}")
-        sinks.write_snapshot(spark.read.parquet(f"{stage}/{name}"), paths[name])
+        old = spark.read.parquet(paths[name]).filter(F.col("bucket").isin(buckets))
+        again = build(ev.join(ids, same, "left_semi")).withColumn("bucket", _bucket(keys)).select(*old.columns)
+        sinks.replace_partitions(old.join(ids, same, "left_anti").unionByName(again), paths[name], "bucket", buckets)
     return paths
 
 
@@ -95,7 +103,8 @@ def run_gold(spark: SparkSession, events: DataFrame, sessions_attr: DataFrame, g
 def load_warehouse(spark: SparkSession, stages: Mapping[str, str], warehouse_root: str,
                    stamp_updated_at: bool = False) -> dict[str, DataFrame]:
     """Typed stage scan of each exported table and keyed MERGE into the
-    versioned warehouse table (partial update columns per table).
+    warehouse table, in the date partitions it touches (partial update columns
+    per table).
 
     ``stamp_updated_at`` adds the warehouse's ``updated_at`` column: the load
     time on every row the MERGE inserts or updates; untouched rows keep

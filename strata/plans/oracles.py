@@ -610,3 +610,18 @@ register("merge_upsert_evolve", with_silver("""
 SELECT *, CASE WHEN day(date) >= 11 THEN 'r' || CAST(day(date) AS VARCHAR) END AS region FROM (""" + _conformed("daily_active_users") + ") t",
     GOLD_CTES))
 register("stream_users_scd2_upsert", with_silver("SELECT * FROM scd_full", SCD2_CTE))
+register("rolling_wau_mau_late_day", ORACLES["rolling_wau_mau"])
+register("plan_breakdown_rows", with_silver("""
+SELECT date, feature_name, plan, COUNT(*) AS uses
+FROM ev WHERE event_type = 'feature_used' AND feature_name IS NOT NULL AND date IS NOT NULL AND plan IS NOT NULL
+GROUP BY date, feature_name, plan"""))
+register("plan_breakdown_schema", with_silver("""
+SELECT feature_name, 'OBJECT<' || string_agg(plan || ': BIGINT', ', ' ORDER BY plan) || '>' AS schema
+FROM (SELECT DISTINCT feature_name, plan FROM ev
+      WHERE event_type = 'feature_used' AND feature_name IS NOT NULL AND date IS NOT NULL AND plan IS NOT NULL) p
+GROUP BY feature_name"""))
+register("star_events_of_weeks", with_silver("""
+SELECT d.year, d.iso_week, f.feature_name, COUNT(*) AS uses, COUNT(DISTINCT f.user_id) AS users
+FROM fact_events f JOIN dim_date d ON f.date_key = d.date_key
+WHERE f.feature_name IS NOT NULL AND d.iso_week IN (2, 3)
+GROUP BY d.year, d.iso_week, f.feature_name""", FACT_EVENTS_CTE + "," + DIM_DATE_CTE))

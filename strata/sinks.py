@@ -45,6 +45,27 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     return path
 
 
+def _files(spark: SparkSession, path: str, column: str, values: Sequence) -> dict:
+    """Names of the files in the partitions of ``values``."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = {v: Path(f"{path}/{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}") for v in values}
+    return {v: (fs, p, {f.getPath().getName() for f in fs.listStatus(p)}) for v, p in folders.items() if fs.exists(p)}
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence) -> str:
+    """The partitions of ``values`` become the rows of ``df``, which has no
+    others: those it has rows for are overwritten, the rest of them removed (a
+    dynamic overwrite alone would leave their old rows)."""
+    spark = df.sparkSession
+    before = _files(spark, path, column, values)
+    overwrite_partitions(df, path, [column])
+    for v, (fs, folder, names) in _files(spark, path, column, values).items():
+        if v in before and before[v][2] == names:
+            fs.delete(folder, True)
+    return path
+
+
 def export_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
     """Plain Parquet export, one fixed folder per table (overwritten each run)."""
     return {name: write_snapshot(df, f"{base.rstrip('/')}/{name}/") for name, df in tables.items()}

@@ -27,10 +27,10 @@ def test_batch_jobs_end_to_end(spark):
     written = jobs.run_gold(spark, ev, spark.read.parquet(paths["sessions"]), f"{root}/gold", f"{root}/export")
     assert set(written) == set(schemas.GOLD_SCHEMAS)
     stages = {n: f"{root}/export/{n}/" for n in schemas.GOLD_SCHEMAS}
-    first = jobs.load_warehouse(spark, stages, f"{root}/wh")
+    first = {n: sorted(map(tuple, df.collect())) for n, df in jobs.load_warehouse(spark, stages, f"{root}/wh").items()}
     again = jobs.load_warehouse(spark, stages, f"{root}/wh")   # idempotent re-run
     for n in schemas.GOLD_SCHEMAS:
-        a = sorted(map(tuple, first[n].collect()))
+        a = first[n]
         b = sorted(map(tuple, again[n].collect()))
         assert a == b and len(a) == spark.read.parquet(written[n]).count()
     want = merge.conform(gold.daily_active_users(ev), schemas.GOLD_DAU)
