@@ -14,22 +14,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
 from strata.llm.common import arrow_map, pick
 
 CHUNK_CHARS = 1 << 16
-# No match of the pattern holds a letter or digit followed by white space,
-# nor an ASCII letter beside an ASCII digit, nor a letter or digit followed by
-# ASCII punctuation; a cut there leaves the matches on both sides as they are.
-SAFE_CUT = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
-                      r"|(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])")
+# By the classes of the pattern, in any script: no match of it holds white space
+# behind something else, nor a letter beside a number, nor a letter or number
+# followed by anything else; a cut there leaves the matches on both sides as they are.
+SAFE_CUT = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})"
+                         r"|(?<=[\p{L}\p{N}])(?=[^\p{White_Space}\p{L}\p{N}])")
 
 
 @lru_cache(maxsize=4)

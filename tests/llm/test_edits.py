@@ -1,4 +1,5 @@
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -36,9 +37,10 @@ def test_counts_follow_edits(text, edits):
         edit_counts.LEAF_CHARS = size
 
 
-def test_only_touched_leaves_are_encoded():
+@pytest.mark.parametrize("words", ["word and number 12, ", "слово и число 12 ", "言葉と数。"])
+def test_only_touched_leaves_are_encoded(words):
     enc = bpe_codec.load_encoding(RANKS, PATTERN)
-    text = "word and number 12, " * 20000
+    text = words * (400_000 // len(words))
     tree = edit_counts.CountTree(enc, text)
     tree.edit(200000, 200010, "changed")
     assert tree.encoded < 4 * edit_counts.LEAF_CHARS

@@ -53,6 +53,25 @@ def test_bpe_cut_is_safe(text):
     assert bpe_codec.encode(enc, text, 3) == enc.encode_ordinary(text)
 
 
+SCRIPTS = {"Cyrillic": "абвёЖ", "Greek": "αβγΔώ", "Arabic": "ابتث\u064b", "Han": "日本語学。，", "Devanagari": "कखि।", "Thai": "กขา่"}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(sorted(SCRIPTS)), st.data())
+def test_bpe_cut_is_safe_in_other_scripts(script, data):
+    enc = bpe_codec.load_encoding(RANKS, public_tokenizers.PATTERN)
+    text = data.draw(st.text(alphabet=st.sampled_from(list(SCRIPTS[script] + "1٣½ \n\u00a0\u3000\x1c'sré.!-")), max_size=60))
+    assert "".join(bpe_codec.chunks(text, 3)) == text
+    assert bpe_codec.encode(enc, text, 3) == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("word", ["слово", "λόγος", "كلمة", "言葉。"])
+def test_texts_of_other_scripts_are_cut(word):
+    text = (word + ("" if word.endswith("。") else " ")) * 40000
+    assert max(map(len, bpe_codec.chunks(text))) < bpe_codec.CHUNK_CHARS + 20
+    assert max(map(len, bpe_codec.chunks(text, 512))) < 540
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("n", [0, 1, 4095, 4096, 10001])
 def test_planes_round_trip(bits, n):
