@@ -1,13 +1,15 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences.  A sentence's logit is a bias plus the
-weights of its distinct words' hashed features (the word and its prefixes), and the
-document's score is a noisy-or: 1 - (1 - b) * prod((1 - sigmoid(logit)) / (1 - b))
-over its sentences, with the background rate b = sigmoid(bias).  A sentence
-without a weighted word has the factor 1, so b counts once a document, however
-long; with one weighted sentence the score is that sentence's.  Document labels
-alone train the weights, and the sentences with a high probability are the
-offending ones.  Sentences end at . ! ? and line ends, and after
+weights of its distinct words' hashed features (the word and its prefixes).  The
+weights are trained from document labels alone, by the noisy-or of the sentences,
+1 - (1 - b) * prod((1 - sigmoid(logit)) / (1 - b)) with the background rate
+b = sigmoid(bias), which counts once a document.  A document is scored by the
+noisy-or of its different offending sentences, those of a probability of at least
+``OFFENDING``; one without any has the score of its worst sentence.  The bias is
+set so that the worst sentence of a share ``CLEAN`` of the clean training texts
+stays below it.  So doubtful sentences don't add up, and joined clean texts have the score of the worst of
+them, however many they are.  Sentences end at . ! ? and line ends, and after
 ``SENTENCE_WORDS`` words; a blank line is none.
 
 The model is trained on the driver from a bounded sample of labelled texts
@@ -39,6 +41,8 @@ BITS = 18
 PREFIXES = (3, 4, 5, 6)
 WIDTH = len(PREFIXES) + 1
 SENTENCE_WORDS = 40
+OFFENDING = 0.5
+CLEAN = 0.995  # share of clean training texts whose worst sentence is below OFFENDING
 EDGES = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))) + "«»“”„’‘…¿¡–—"
 LINE_END = "\0"
 
@@ -152,7 +156,10 @@ def fit(sample: list, steps: int = 200, rate: float = 0.1, l1: float = 1e-4, min
         weight[0] = 0
     full = np.zeros(1 << BITS, np.float32)
     full[used] = np.where(weight[1:] < 0.1 * weight.max(), 0, weight[1:])  # traces would add up
-    return Model(full, float(bias[0]))
+    raw = Scorer(Model(full, float(bias[0])))
+    worst = [z.max() if len(z := raw.logits(r.text)[0]) else bias[0] for r in sample if not r.y]
+    cut = max(np.quantile(worst, CLEAN) + 1e-6, bias[0] / 2)  # never beside the background
+    return Model(full, float(bias[0] - cut))
 
 
 class Scorer:
@@ -184,8 +191,18 @@ class Scorer:
     def score(self, text: str | None) -> float:
         if self.model.weights is None:
             return float(1 / (1 + np.exp(-self.model.bias)))
-        z, _, _, some = self.logits(text)
-        return noisy_or(z, np.logaddexp(0, self.model.bias)) if some else 0.0
+        z, starts, stops, some = self.logits(text)
+        if not some:
+            return 0.0
+        base = np.logaddexp(0, self.model.bias)
+        if not len(z):
+            return noisy_or(z, base)
+        bad = np.flatnonzero(z >= np.log(OFFENDING / (1 - OFFENDING)))
+        if len(bad) < 2:
+            return noisy_or(z[[z.argmax()]], base)
+        tokens = tokens_of(text)
+        different = {tuple(tokens[starts[i]:stops[i]]): i for i in bad}
+        return noisy_or(z[list(different.values())], base)
 
     def offending(self, text: str | None, threshold: float) -> list[dict]:
         """Spans of the sentences at or over ``threshold``: code points, end
@@ -228,10 +245,18 @@ def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
 
 def classify(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted."""
-    return score_documents(docs, model).select(
-        "doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+    """doc_id, held_out, score, predicted, and the offending sentences as
+    start:end in code points, end exclusive, joined by commas."""
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        scorer, texts = model.scorer(), [t.as_py() for t in batch.column(1)]
+        scores = [scorer.score(t) for t in texts]
+        spans = [scorer.offending(t, threshold) if s >= threshold else [] for t, s in zip(texts, scores)]
+        return {"doc_id": batch.column(0), "score": scores, "offending": [",".join(f"{x['start']}:{x['end']}" for x in d) for d in spans]}
+
+    scored = arrow_map(pick(docs, doc_id="long", text="string"), rows, "doc_id long, score double, offending string")
+    return scored.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"), "offending")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

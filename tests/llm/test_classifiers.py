@@ -166,3 +166,28 @@ def test_quality_query(spark):
     rows = judged.filter("NOT base_failed").join(truth, "doc_id").collect()
     assert np.mean([r.kept == (r.quality == 1) for r in rows]) > 0.95
     assert judged.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("times", [1, 20])
+def test_joined_clean_texts_score_as_the_worst_of_them(spark, times):
+    from strata.llm.queries import table
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scorer = toxicity.train(docs, labels).scorer()
+    clean = [r.text for r in docs.join(labels.filter("toxic = 0"), "doc_id").collect() if r.text]
+    clean = [t for t in clean if scorer.score(t) < 0.5]
+    worst = max(map(scorer.score, clean))
+    assert len(clean) > 200
+    assert scorer.score("\n".join(clean * times)) == pytest.approx(worst)
+
+
+def test_offending_spans_are_in_the_result(spark):
+    from strata.llm.queries import op9_toxicity, table
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()}
+    rows = op9_toxicity(spark, sf_dir).collect()
+    assert any(r.predicted for r in rows)
+    for r in rows:
+        spans = [tuple(map(int, x.split(":"))) for x in r.offending.split(",") if x]
+        assert bool(spans) == bool(r.predicted)
+        assert all(0 <= a < b <= len(texts[r.doc_id]) for a, b in spans)
