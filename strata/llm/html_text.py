@@ -62,8 +62,9 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 SCOPES = {"table", "td", "th", "caption", "button", "object", "html", "template"}
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"""
-                    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-                    r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
+                    r"""|<(/?)([A-Za-z][^\s/>]*)""", re.S)
+ATTRIBUTES = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")  # a > in quotes ends no tag
+UNCLOSED_QUOTES = 16  # tags of a page whose quotes are tried to the page's end
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 CONTENT = (1 << 63) - 1  # sums of content are kept modulo this + 1
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -126,15 +127,24 @@ class Page:
         self.stack = [Frame("", False, "")]
         self.open: dict[str, int] = {}
         self.cuts = 0
-        at = 0
+        at = unclosed = 0
         while True:
             m = MARKUP.search(html, at)
             self.text(html[at:m.start() if m else len(html)])
             if m is None:
                 break
-            at = m.end()
-            closing, tag, attrs = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
-            if not tag:
+            at, closing, tag, attrs = m.end(), m[1], m[2], ""
+            if tag:
+                inside = ATTRIBUTES.match(html, at) if unclosed < UNCLOSED_QUOTES else None
+                if inside is None:  # a quote that nothing closes: the tag ends at the next >
+                    unclosed += 1
+                    end = html.find(">", at)
+                    if end < 0:
+                        break  # an unfinished tag is no text
+                    attrs, at = html[at:end], end + 1
+                else:
+                    attrs, at = inside[1], inside.end()
+            else:
                 if m[0].startswith("<![CDATA["):
                     self.text(m[0][9:].removesuffix("]]>"), decode=False)
                 continue

@@ -129,3 +129,19 @@ def test_query_returns_article_paragraphs(spark):
         want[r.page_id] = "\n".join(p for p in parts if p)
     got = {r.page_id: r.text for r in queries.QUERIES["op1_html_text"](spark, SF).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<p '", '<a "\'>', "<a<", "<!", "</p ", "<p title=\"x>"])
+def test_unclosed_markup_is_linear(piece):
+    import time
+    html = "<p>first</p>" + piece * (1_000_000 // len(piece))
+    t = time.perf_counter()
+    page = Page(html)
+    assert time.perf_counter() - t < 10 and page is not None
+
+
+def test_unfinished_tag_is_no_text(spark):
+    df = spark.createDataFrame([(1, "http://a/x", "<p>hello <b"), (2, "http://a/y", "<p>a < b</p><p title='>'>c</p><p x=\">d</p>")],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    assert got == {1: "hello", 2: "a < b\nc\nd"}
