@@ -8,7 +8,7 @@ b = sigmoid(bias), which counts once a document.  A document is scored by the
 noisy-or of its different offending sentences, those of a probability of at least
 ``OFFENDING``; one without any has the score of its worst sentence.  The bias is
 set so that the worst sentence of a share ``CLEAN`` of the clean training texts
-stays below it.  So doubtful sentences don't add up, and joined clean texts have the score of the worst of
+stays below it.  So doubtful sentences don't add up, and joined texts without an offending one have the score of the worst of
 them, however many they are.  Sentences end at . ! ? and line ends, and after
 ``SENTENCE_WORDS`` words; a blank line is none.
 
