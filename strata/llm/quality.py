@@ -1,9 +1,11 @@
 """Quality rules: fixed counts and a calibrated linear classifier.
 
-The classifier is a logistic regression over hashed words and character
-3-grams (case and signs kept), trained on a bounded sample of labelled rows;
-a document's logit is a bias plus the mean weight of its words.  Its
-probabilities are calibrated by Platt scaling on a third of the sample that
+The classifier is a logistic regression over hashed words, character 3-grams
+(case and signs kept) and word 2- and 3-grams, trained on a bounded sample of
+labelled rows; a document's logit is a bias plus the mean weight of its words,
+each the mean of its own features, plus the mean weights of its word 2-grams
+and of its word 3-grams.  Word n-grams of one training text alone have no
+weight, so that no text is learnt by heart.  The model's probabilities are calibrated by Platt scaling on a third of the sample that
 the weights have not seen.  Scoring runs in Arrow batches over whole texts,
 and ``keep_at`` is a fixed threshold.
 
@@ -38,11 +40,12 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 with np.errstate(over="ignore"):
     ROLL = np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, WINDOW + 1, dtype=np.uint64)
+GRAMS = (2, 3)  # words
 
 
 @dataclass
 class Model:
-    weights: np.ndarray | None
+    weights: np.ndarray | None  # of words and characters, then of each of GRAMS: 1 << BITS each
     bias: float
     slope: float  # calibration: probability = sigmoid(slope * logit + offset)
     offset: float
@@ -60,6 +63,17 @@ def features(word: bytes) -> list[int]:
     return [zlib.crc32(word, 7) & mask, *(zlib.crc32(marked[i:i + 3]) & mask for i in range(len(marked) - 2))]
 
 
+def word_grams(hashes: np.ndarray, width: int) -> np.ndarray:
+    """``hashes``: uint64, one a word.  The hashed features of its n-grams of ``width`` words."""
+    n = max(0, len(hashes) - width + 1)
+    with np.errstate(over="ignore"):
+        mixed = np.zeros(n, np.uint64)
+        for k in range(width):
+            mixed = (mixed ^ hashes[k:k + n]) * ROLL[0]
+            mixed ^= mixed >> np.uint64(29)
+    return (mixed >> np.uint64(64 - BITS)).astype(np.int32)
+
+
 def repeat_words(hashes: np.ndarray) -> int:
     """``hashes``: uint64, one a word.  Words covered by a window of WINDOW words that is found twice or more."""
     n = len(hashes) - WINDOW + 1
@@ -89,6 +103,19 @@ def text_counts(text: str, n_words: int, hashes: np.ndarray) -> dict:
             "n_repeat_words": repeat_words(hashes)}
 
 
+def gram_table(hashes: list[np.ndarray], seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weight's place, text, share of the text's n-grams) of the word n-grams
+    that two or more of the ``seen`` texts have."""
+    parts = []
+    for k, width in enumerate(GRAMS, 1):
+        for at, own in enumerate(hashes):
+            found, times = np.unique(word_grams(own, width), return_counts=True)
+            parts.append((found + (k << BITS), np.full(len(found), at, np.int32), (times / max(1, times.sum())).astype(np.float32)))
+    gram, doc, share = (np.concatenate(x) for x in zip(*parts))
+    common = np.bincount(gram, seen[doc], (1 + len(GRAMS)) << BITS) >= 2
+    return gram[common[gram]], doc[common[gram]], share[common[gram]]
+
+
 def fit(sample: list, steps: int = 200, rate: float = 0.05, l2: float = 1e-6) -> Model:
     y = np.array([r.y for r in sample], float)
     fold = np.array([xxhash.xxh32_intdigest(str(r.doc_id)) % 3 for r in sample])
@@ -96,30 +123,34 @@ def fit(sample: list, steps: int = 200, rate: float = 0.05, l2: float = 1e-6) ->
         return Model(None, 0.0, 1.0, 0.0)
     grams = array("i")
 
-    def make(word: bytes) -> tuple[int]:
+    def make(word: bytes) -> tuple[int, int]:
         own = features(word)
         grams.extend(own)
-        return (len(own),)
+        return len(own), xxhash.xxh64_intdigest(word)
 
-    table = TokenTable(make, "i", limit=1 << 40)
+    table = TokenTable(make, "iQ", limit=1 << 40)
     rows = [table.positions(r.text.encode().split()) for r in sample]
     size = np.array([max(1, len(r)) for r in rows])
     doc, word = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), np.concatenate(rows)
     share = 1.0 / size[doc]
     flat, of = np.array(grams), np.repeat(np.arange(len(table), dtype=np.int32), table.column(0))
     per = np.bincount(of)
-    weight, bias = np.zeros(1 << BITS), np.zeros(1)
-    adam, seen = Adam([weight, bias], rate), fold != 0
+    seen = fold != 0
+    gram, gram_doc, gram_share = gram_table([table.take(1, r) for r in rows], seen)
+    weight, bias = np.zeros((1 + len(GRAMS)) << BITS), np.zeros(1)
+    adam = Adam([weight, bias], rate)
     balance = np.where(y == 1, 0.5 / y[seen].mean(), 0.5 / (1 - y[seen].mean())) * seen / seen.sum()
 
     def logits():
         by_word = np.bincount(of, weight[flat]) / per
-        return bias[0] + np.bincount(doc, by_word[word] * share, len(rows))
+        return (bias[0] + np.bincount(doc, by_word[word] * share, len(rows))
+                + np.bincount(gram_doc, weight[gram] * gram_share, len(rows)))
 
     for _ in range(steps):
         dz = (1 / (1 + np.exp(-logits())) - y) * balance
         by_word = np.bincount(word, dz[doc] * share, len(per)) / per
-        adam.step([np.bincount(flat, by_word[of], 1 << BITS) + l2 * weight, np.array([dz.sum()])])
+        adam.step([np.bincount(flat, by_word[of], len(weight))
+                   + np.bincount(gram, dz[gram_doc] * gram_share, len(weight)) + l2 * weight, np.array([dz.sum()])])
     z, target = logits()[fold == 0], y[fold == 0]
     n1, n0 = target.sum(), (1 - target).sum()
     soft = np.where(target == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))  # Platt's smoothed targets
@@ -137,7 +168,7 @@ def fit(sample: list, steps: int = 200, rate: float = 0.05, l2: float = 1e-6) ->
 class Judge:
     def __init__(self, model: Model):
         self.model = model
-        weight = (model.weights if model.weights is not None else np.zeros(1 << BITS)).tolist().__getitem__
+        weight = (model.weights if model.weights is not None else np.zeros(1 << BITS))[:1 << BITS].tolist().__getitem__
 
         def make(word: bytes) -> tuple[int, float]:
             grams = features(word)
@@ -149,11 +180,15 @@ class Judge:
         text = text or ""
         words = text.encode().split()
         at = self.table.positions(words)
-        out = text_counts(text, len(words), self.table.take(0, at))
+        hashes = self.table.take(0, at)
+        out = text_counts(text, len(words), hashes)
         if self.model.weights is None or not words:
             p = 1.0
         else:
             logit = self.model.bias + float(self.table.take(1, at).mean())
+            for k, width in enumerate(GRAMS, 1):
+                if len(words) >= width:
+                    logit += float(self.model.weights[word_grams(hashes, width) + (k << BITS)].mean())
             p = float(1 / (1 + np.exp(-(self.model.slope * logit + self.model.offset))))
         out["probability"] = p
         out["base_failed"] = (out["n_words"] < MIN_WORDS

@@ -65,6 +65,27 @@ def test_quality_learns(spark):
     assert keep == [True] * 10 + [False] * 10
 
 
+def test_quality_word_order():
+    """Texts of the same words, told apart by their order alone."""
+    rng = np.random.default_rng(2)
+    pairs = [["red", "river"], ["old", "stone"], ["low", "light"], ["dry", "wind"]]
+
+    def text(i, turned):
+        return " ".join(w for k in rng.integers(0, 4, 20) for w in (pairs[k][::-1] if turned else pairs[k])) + f" {i}"
+
+    sample = [SimpleNamespace(doc_id=i, text=text(i, i % 2), y=1 - i % 2) for i in range(160)]
+    model = quality.fit(sample)
+    right = [(model.judge(text(i, i % 2), 0.5)["probability"] >= 0.5) == (i % 2 == 0) for i in range(40)]
+    assert np.mean(right) >= 0.95
+
+
+def test_word_grams():
+    h = np.array([5, 6, 7, 5, 6], np.uint64)
+    two, three = quality.word_grams(h, 2), quality.word_grams(h, 3)
+    assert two[0] == two[3] and len(set(two.tolist())) == 3 and len(three) == 3
+    assert quality.word_grams(h[:1], 2).tolist() == [] and quality.word_grams(h[::-1].copy(), 2)[0] != two[0]
+
+
 # -- toxicity -----------------------------------------------------------------
 
 def test_noisy_or_and_sentences():
