@@ -2,19 +2,29 @@
 
 Template removal: every element's subtree (tag, class, id, text and the hashes
 of its children) is hashed; Spark counts in how many different surroundings
-each hash occurs on a host; subtrees that recur in many are deleted.  The
-surroundings are the texts of the rest of the page, or inside an article or
-main element of the rest of these, furniture left out, so copies of a page
-count once and what only they share is content.  Counting is an aggregate on
-(host, hash, surroundings), then one on (host, hash), both combined on the map
-side, so a host with a third of all pages is no hot key.  A host's list of
-template hashes is bounded (each is in at least ``share`` of its different
-contents) and joined to the pages by host: Spark broadcasts the written list
-where its size allows, else it joins by shuffle and splits hot hosts.
-
-Inside an article, paragraphs and headings are never deleted as templates (two
-copies of an article share them all), and other containers only at the
-stricter ``inner_share``.
+each hash occurs on a host; subtrees that recur in many are deleted.
+
+The surroundings are the text blocks of the rest of the page, or inside an
+article or main element of the rest of these, furniture left out, and without
+the blocks that ``common_share`` of the host's pages have.  Their three longest
+blocks stand for them, and the count of different surroundings is
+(different blocks - different triples) / 2.  Surroundings that have nothing in
+common count 1 each; copies of a page count once, and so do near copies, a
+counter, date or byline being one block of three: each new triple brings one
+new block.  What only such pages share is content.  (Two blocks count likewise,
+without the half; a single one counts if it is another.)  Pages are parsed once
+for this, into a written table of block and subtree hashes.
+
+Counting is an aggregate on (host, hash, block or triple), then one on (host, hash),
+both combined on the map side, so a host with a third of all pages is no hot
+key.  A host's lists of common blocks and of template hashes are bounded (each
+is on at least a share of its pages, or of its different contents) and joined to
+the pages by host: Spark broadcasts the written list where its size allows,
+else it joins by shuffle and splits hot hosts.
+
+Inside an article or main element, subtrees are deleted at the stricter
+``inner_share`` alone.  Near copies that hold ``common_share`` of their host's
+pages can't be told from its template.
 
 Defined results: null or empty html gives an empty text; a null url is a host
 of its own; broken markup is closed as a browser would, to the degree needed;
@@ -44,9 +54,9 @@ DROPPED = RAW | set("head nav footer aside form noscript template object svg mat
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
              "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section "
              "summary table tbody tfoot thead tr ul".split())
-TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 CELLS = {"br", "td", "th"}  # white space inside their block
 ROOTS = ("article", "main")
+ROOT_BITS = {"article": 1, "main": 2}
 FURNITURE = set("nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar widget ad ads advert "
                 "adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr "
                 "notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
@@ -66,7 +76,8 @@ MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>
 ATTRIBUTES = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")  # a > in quotes ends no tag
 UNCLOSED_QUOTES = 16  # tags of a page whose quotes are tried to the page's end
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-CONTENT = (1 << 63) - 1  # sums of content are kept modulo this + 1
+LONGEST = 3  # blocks that stand for surroundings
+HASH = (1 << 63) - 1
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
@@ -80,6 +91,7 @@ class Thresholds:
     inner_min_pages: int = 20
     inner_share: float = 0.5
     min_contents: int = 3
+    common_share: float = 0.8
 
 
 def host_of(url: Column) -> Column:
@@ -104,27 +116,28 @@ def is_furniture(tag: str, attrs: dict[str, str]) -> bool:
 
 
 class Frame:
-    __slots__ = ("tag", "cut", "parts", "items", "label", "content")
+    __slots__ = ("tag", "cut", "parts", "items", "label", "begin")
 
-    def __init__(self, tag: str, cut: bool, label: str):
-        self.tag, self.cut, self.label = tag, cut, label
+    def __init__(self, tag: str, cut: bool, label: str, begin: int):
+        self.tag, self.cut, self.label, self.begin = tag, cut, label, begin  # begin: blocks of the page before it
         self.parts: list = []  # what the hash is made of
         self.items: list = []  # text, None at block ends, and lists of kept children
-        self.content = 0  # sum of the hashes of the texts in it, furniture left out
 
 
 class Page:
     """One pass over the markup with a stack of open elements.  ``templates``
-    holds the hashes to delete; ``seen`` collects those of this page as
-    (hash, inside an article), with the part of the page that surrounds them
-    ("article", "main" or "" for the page) and the content they hold of it."""
+    holds the hashes to delete.  ``blocks`` collects (hash, length, root bits)
+    of the texts of elements, furniture left out, equal ones once; ``seen`` the
+    subtrees of this page as (hash, inside an article), with the part of the
+    page that surrounds them (a bit of ROOT_BITS, 0 for the page) and the range
+    of their blocks."""
 
     def __init__(self, html: str, templates: frozenset[int] = frozenset(), inner: frozenset[int] = frozenset()):
         self.templates, self.inner = templates, inner
-        self.seen: dict[tuple[int, bool], list] = {}
-        self.contents = {"article": 0, "main": 0, "": 0}
+        self.seen: dict[tuple[int, bool], tuple[int, int, int]] = {}
+        self.blocks: dict[tuple[int, int], int] = {}  # (hash, bits) -> length, in order
         self.roots: dict[str, list] = {"article": [], "main": []}
-        self.stack = [Frame("", False, "")]
+        self.stack = [Frame("", False, "", 0)]
         self.open: dict[str, int] = {}
         self.cuts = 0
         at = unclosed = 0
@@ -158,7 +171,7 @@ class Page:
                 at = stop.start() if stop else len(html)
         while len(self.stack) > 1:
             self.pop()
-        self.contents[""] = self.content_of(self.stack[0])
+        self.add_block(self.stack[0], 0)
 
     def text(self, raw: str, decode: bool = True) -> None:
         if raw:
@@ -185,7 +198,7 @@ class Page:
         else:
             cut = (tag in DROPPED or tag == "header" and not (self.open.get("article") or self.open.get("main"))
                    or bool(attrs) and is_furniture(tag, attrs))
-        frame = Frame(tag, cut, f"{tag}|{attrs.get('class', '')}|{attrs.get('id', '')}")
+        frame = Frame(tag, cut, f"{tag}|{attrs.get('class', '')}|{attrs.get('id', '')}", len(self.blocks))
         self.stack.append(frame)
         self.open[tag] = self.open.get(tag, 0) + 1
         self.cuts += cut
@@ -201,21 +214,10 @@ class Page:
             if self.stack[k].tag in until:
                 return
 
-    @staticmethod
-    def content_of(frame: Frame) -> int:
+    def add_block(self, frame: Frame, bits: int) -> None:
         own = " ".join(" ".join(p for p in frame.parts if isinstance(p, str)).split())
-        return frame.content + (xxhash.xxh64_intdigest(own) if own else 0)
-
-    def surroundings(self) -> list[tuple[int, bool, int]]:
-        """(hash, inside an article, content around it) of the subtrees that
-        the text can hold."""
-        return [(digest, inside, self.contents[part] - held & CONTENT)
-                for (digest, inside), (part, held) in self.seen.items()]
-
-    def whole(self, inside: bool) -> int:
-        """Content of the page, or of its articles or main element if it has one."""
-        part = next((p for p in ROOTS if inside and self.roots[p]), "")
-        return self.contents[part] & CONTENT
+        if own:
+            self.blocks.setdefault((xxhash.xxh64_intdigest(own) >> 1, bits), len(own))
 
     def pop(self) -> None:
         frame = self.stack.pop()
@@ -228,16 +230,14 @@ class Page:
         digest = xxhash.xxh64_intdigest("\0".join([frame.label, *map(str, frame.parts)])) >> 1
         parent.parts.append(digest)
         kept = not (frame.cut or self.cuts)
-        content = self.content_of(frame) if kept else 0
-        parent.content += content
-        if tag in ROOTS and not self.open.get(tag) and kept:
-            self.contents[tag] += content
+        if kept:
+            self.add_block(frame, sum(bit for r, bit in ROOT_BITS.items() if self.open.get(r) or tag == r))
         if tag in BLOCKS:
             parent.items.append(None)
-            if tag not in ("html", "body", *ROOTS) and not (inside and tag in TEXT_BLOCKS):
+            if tag not in ("html", "body", *ROOTS):
                 if kept:
-                    part = next((p for p in ROOTS if self.open.get(p)), "")
-                    self.seen.setdefault((digest, inside), [part, 0])[1] += content
+                    part = next((ROOT_BITS[r] for r in ROOTS if self.open.get(r)), 0)
+                    self.seen.setdefault((digest, inside), (part, frame.begin, len(self.blocks)))
                 if digest in (self.inner if inside else self.templates):
                     return
         if frame.cut:
@@ -287,23 +287,90 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return pick(pages, page_id="long", url="string", html="string").withColumn("host", host_of(F.col("url")))
 
 
+PARSED = ("host string, blocks array<long>, lengths array<int>, bits array<int>, hashes array<long>, inside array<boolean>, "
+          "parts array<int>, begins array<int>, ends array<int>")
+
+
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """The blocks of every page and its subtrees with the ranges of their blocks."""
+    names = [field.split()[0] for field in PARSED.split(", ")][1:]
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        out: dict = {"host": batch.column("host")} | {name: [] for name in names}
+        for html in batch.column("html"):
+            page = Page(html.as_py() or "")
+            blocks = [(h, n, bits) for (h, bits), n in page.blocks.items()]
+            trees = [(digest, inside, *at) for (digest, inside), at in page.seen.items()]
+            for columns, found in ((names[:3], blocks), (names[3:], trees)):
+                for name, values in zip(columns, zip(*found) if found else [()] * len(columns)):
+                    out[name].append(list(values))
+        return out
+
+    return arrow_map(page_rows(pages).select("host", "html"), rows, PARSED)
+
+
+def common_blocks(parsed: DataFrame, share: float) -> DataFrame:
+    """host, common: the blocks that so large a share of the host's pages have."""
+    n_pages = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    return (parsed.select("host", F.explode(F.array_distinct("blocks")).alias("block"))
+            .groupBy("host", "block").agg(F.count(F.lit(1)).alias("n")).join(n_pages, "host")
+            .filter(F.col("n") >= share * F.col("n_pages")).groupBy("host").agg(F.collect_list("block").alias("common")))
+
+
+def running_tops(blocks: list[tuple[int, int]]) -> list[tuple]:
+    """For each k, the LONGEST longest of the first k blocks, longest first."""
+    out, top = [()], ()
+    for block in blocks:
+        if len(top) < LONGEST or block > top[-1]:
+            top = tuple(sorted({*top, block}, reverse=True)[:LONGEST])
+        out.append(top)
+    return out
+
+
+def surroundings(blocks: list[tuple[int, int, int]], trees: list[tuple[int, int, int]], common: set[int]) -> list[list[int]]:
+    """``blocks``: (hash, length, root bits), ``trees``: (part, begin, end).
+    For each tree the hash of the set of the longest blocks around it, and
+    these blocks if they are two or more."""
+    tops: dict[int, tuple[list, list]] = {}
+    out = []
+    for part, begin, end in trees:
+        if part not in tops:
+            own = [(n, h) if h not in common and (not part or bits & part) else (0, 0) for h, n, bits in blocks]
+            tops[part] = running_tops(own), running_tops(own[::-1])
+        before, after = tops[part]
+        best = sorted({*before[begin], *after[len(blocks) - end]} - {(0, 0)}, reverse=True)[:LONGEST]
+        found = [h for _, h in best]
+        out.append([sum(found) & HASH, *(found if len(found) > 1 else ())])
+    return out
+
+
 def site_templates(pages: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     """host, outer and inner (arrays of hashes): the subtrees that recur in
     many surroundings on the host, outside and inside articles."""
+    parsed = materialise(parse_pages(pages), "parsed-pages")
+    common = materialise(common_blocks(parsed, limits.common_share), "common-blocks")
 
     def rows(batch: pa.RecordBatch) -> dict:
         out: dict = {"host": [], "hash": [], "inside": [], "around": []}
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
-            page = Page(html.as_py() or "")
-            found = [(None, i, page.whole(i)) for i in (False, True)] + page.surroundings()  # the null hash counts contents
-            out["host"] += [host] * len(found)
-            for name, values in zip(("hash", "inside", "around"), zip(*found)):
-                out[name] += values
+        for row in batch.to_pylist():
+            blocks = list(zip(row["blocks"], row["lengths"], row["bits"]))
+            every = 0
+            for _, _, bits in blocks:
+                every |= bits
+            root = next((ROOT_BITS[r] for r in ROOTS if every & ROOT_BITS[r]), 0)
+            trees = [(0, 0, 0), (root, 0, 0), *zip(row["parts"], row["begins"], row["ends"])]
+            out["host"] += [row["host"]] * len(trees)
+            out["hash"] += [None, None, *row["hashes"]]  # the null hash counts contents: of the page, of its articles
+            out["inside"] += [False, True, *row["inside"]]
+            out["around"] += surroundings(blocks, trees, set(row["common"] or ()))
         return out
 
-    counts = (arrow_map(page_rows(pages).select("host", "html"), rows, "host string, hash long, inside boolean, around long")
-              .groupBy("host", "hash", "inside", "around").agg(F.count(F.lit(1)).alias("n"))
-              .groupBy("host", "hash", "inside").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_around")))
+    values = (arrow_map(parsed.join(common, "host", "left"), rows, "host string, hash long, inside boolean, around array<long>")
+              .select("host", "hash", "inside", F.size("around").alias("size"), F.posexplode("around").alias("at", "value"))
+              .withColumn("whole", F.col("at") == 0))
+    weight = F.when(F.col("size") == 1, 1.0).otherwise(F.when(F.col("whole"), -1.0).otherwise(1.0) / (F.col("size") - 2))
+    counts = (values.groupBy("host", "hash", "inside", "size", "whole", "value").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("host", "hash", "inside").agg(F.sum(F.when(F.col("whole"), F.col("n"))).alias("n"), F.sum(weight).alias("n_around")))
     counts = materialise(counts.filter(F.col("hash").isNull() | (F.col("n") >= limits.min_pages)
                                        & (F.col("n_around") >= limits.min_contents)), "subtree-counts")
     totals = counts.filter("hash IS NULL").select("host", "inside", F.col("n_around").alias("n_contents"))

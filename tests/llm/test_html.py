@@ -1,8 +1,10 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import queries
-from strata.llm.html_text import Page, Thresholds, extract_text, host_of, site_templates
+from strata.llm.html_text import Page, Thresholds, extract_text, host_of, site_templates, surroundings
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,6 +89,49 @@ def test_copies_in_an_article_wrapper_are_content(spark, wrap):
     assert got == {i: "First copied.\nSecond copied." if i % 3 else f"Text {i}" for i in range(60)}
 
 
+def test_near_copies_are_content(spark):
+    """The same story with one line that differs; other pages beside it.  Every case is a host."""
+    wraps = ["<div>{}</div>", "<article>{}</article>", "{}", "<main><section>{}</section></main>"]
+    lines = ["<p>Read {0} times on day {0}</p>", "<div>{0}</div>",
+             "<p>Updated {0}: a line that is longer than all of the blocks of the story it belongs to</p>"]
+    story = ["<h1>The same story</h1>", "<p>It begins with this sentence.</p>", "<div>It goes on with another one.</div>",
+             "<p>It ends with the last.</p>"]
+    rows, want = [], {}
+    for case, (wrap, line, (n, copies)) in enumerate(itertools.product(wraps, lines, [(20, 8), (300, 200)])):
+        own = site(n, f"n{case}.example", lambda i: wrap.format(
+            "".join(story[:3]) + line.format(i) + story[3] if i < copies else f"<h1>Title {i}</h1><p>Other text number {i}.</p>"))
+        rows += [(1000 * case + i, url, html) for i, url, html in own]
+        for i in range(n):
+            want[1000 * case + i] = f"Title {i}\nOther text number {i}." if i >= copies else "\n".join(
+                ["The same story", "It begins with this sentence.", "It goes on with another one.",
+                 Page(line.format(i)).main_text(), "It ends with the last."])
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("box", ["<p>Get our weekly letter by mail today.</p>", "<h2>More from us</h2>", "<blockquote>Write to us</blockquote>"])
+def test_paragraphs_of_all_articles_are_templates(spark, box):
+    rows = site(60, "g.example", lambda i: f"<article><h1>Title {i}</h1><p>Text of its own {i}.</p>{box}</article>")
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert got == {i: f"Title {i}\nText of its own {i}." for i in range(60)}
+
+
+def test_surroundings_brute_force():
+    import random
+    rng = random.Random(3)
+    for _ in range(300):
+        blocks = [(rng.randrange(1, 40), rng.randrange(1, 9), rng.randrange(4)) for _ in range(rng.randrange(12))]
+        blocks = list({h: (h, h % 7 + 1, bits) for h, _, bits in blocks}.values())
+        common = {h for h, _, _ in blocks if rng.random() < 0.2}
+        begin = rng.randrange(len(blocks) + 1)
+        end, part = rng.randrange(begin, len(blocks) + 1), rng.randrange(3)
+        left = sorted(((n, h) for k, (h, n, bits) in enumerate(blocks)
+                       if not begin <= k < end and h not in common and (part == 0 or bits & part)), reverse=True)[:3]
+        ids = [h for _, h in left]
+        want = [sum(ids)] + (ids if len(ids) > 1 else [])
+        assert surroundings(blocks, [(part, begin, end)], common) == [want]
+
+
 def test_inner_boxes(spark):
     rows = site(40, "d.example", lambda i: f"<article><p>Text {i}</p><div>Read our other stories</div></article>")
     assert {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()} == {i: f"Text {i}" for i in range(40)}
