@@ -16,7 +16,8 @@ block, so a task holds ROW_BLOCK rows and QUERY_BLOCK queries at most (a hash
 deals them, so these are means); what leaves it is the k best for each query.
 
 Defined results: vectors that are null, empty, zero or hold a null or
-non-finite component take no part, nor do null ids; rows with one id are one
+non-finite component take no part, nor do null ids; components stay double
+unless the table's are float, and all measures are taken in double; rows with one id are one
 row (the least vector); vectors of different length are not compared; equal
 scores are ordered by id; fewer candidates than k are all returned.
 """
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from strata.llm.common import arrow_map, materialise
 
@@ -39,7 +41,7 @@ ROW_BLOCK = 4096
 QUERY_BLOCK = 1024
 FIRST_RERANK = 4  # times k
 
-INDEX_SCHEMA = "vec_id long, dim int, code binary, apart double, fidelity double, shift double, vector array<float>"
+INDEX_SCHEMA = "vec_id long, dim int, code binary, apart double, fidelity double, shift double, vector array<%s>"
 NEAREST_SCHEMA = "query_id long, vec_id long, score double"
 
 
@@ -53,7 +55,8 @@ def rotation(dim: int) -> np.ndarray:
 def taking_part(vectors: DataFrame) -> DataFrame:
     """vec_id, vector: valid rows, one for each id."""
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vector"))
+    kind = "float" if vectors.schema["embedding"].dataType.elementType == FloatType() else "double"
+    return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("vector"))
             .filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
             .filter(~bad & F.exists("vector", lambda x: x != 0))
             .groupBy("vec_id").agg(F.min("vector").alias("vector")))
@@ -70,8 +73,14 @@ def matrix(column: pa.Array, rows: np.ndarray, dim: int) -> np.ndarray:
     return flat[column.offsets.to_numpy()[rows][:, None] + np.arange(dim)].astype(np.float64)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Brought near 1 by powers of two, which changes no digit of a cosine and
+    keeps very large and very small components from leaving the doubles."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def units(v: np.ndarray) -> np.ndarray:
-    v = v / np.abs(v).max(axis=1, keepdims=True)
+    v = scaled(v)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
@@ -103,7 +112,8 @@ def build_index(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame
         return {"vec_id": batch.column("vec_id"), "dim": dims, "code": codes, "apart": scalars[0],
                 "fidelity": scalars[1], "shift": scalars[2], "vector": vectors}
 
-    return arrow_map(vectors.select("vec_id", "vector"), rows, INDEX_SCHEMA)
+    kind = vectors.schema["vector"].dataType.elementType.simpleString()
+    return arrow_map(vectors.select("vec_id", "vector"), rows, INDEX_SCHEMA % kind)
 
 
 def search(index: DataFrame, queries: DataFrame, centres: dict[int, np.ndarray], k: int = 5) -> DataFrame:
@@ -134,7 +144,7 @@ def search(index: DataFrame, queries: DataFrame, centres: dict[int, np.ndarray],
     def nearest(left, own, at, right, other, asked_at, dim) -> list[tuple]:
         centre = centres.get(dim, np.zeros(dim))
         ids, query_ids = left["vec_id"].to_numpy()[at], right["vec_id"].to_numpy()[asked_at]
-        original, query = matrix(own, at, dim), matrix(other, asked_at, dim)
+        original, query = scaled(matrix(own, at, dim)), scaled(matrix(other, asked_at, dim))
         codes = np.frombuffer(b"".join(left["code"].take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)
         signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
         apart, fidelity, shift = (left[c].to_numpy()[at] for c in ("apart", "fidelity", "shift"))

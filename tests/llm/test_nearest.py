@@ -52,6 +52,25 @@ def test_recall_over_blocks(spark, monkeypatch, dim):
     assert recall(nearest.self_search(table(spark, rows)).collect(), brute(rows)) >= 0.97
 
 
+def test_double_vectors(spark):
+    """Components that floats can't hold: digits, size."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(16)
+    rows = [(i, (base + 1e-5 * rng.standard_normal(16)).tolist()) for i in range(200)]
+    rows += [(1000, (base * 1e200).tolist()), (1001, (base * 1e-200).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    want = brute([(i, v.tolist()) for i, v in exact.items()])
+    got = nearest.self_search(df).collect()
+    assert {r.query_id for r in got} == {0, 50, 100, 150, 1000}
+    best = {r.query_id: r for r in got if r.rank == 1}
+    for q, found in want.items():
+        assert abs(best[q].score + found[0][0]) < 1e-15 or best[q].vec_id == found[0][1]
+        assert all(abs(r.score - exact[q] @ exact[r.vec_id] / np.sqrt((exact[q] @ exact[q]) * (exact[r.vec_id] @ exact[r.vec_id])))
+                   < 4e-16 for r in got if r.query_id == q)
+    assert best[1000].vec_id == 1001 and best[1000].score == pytest.approx(1, abs=1e-15)
+
+
 def test_ties_and_edge_rows(spark):
     v = [0.3, -0.1, 0.7]
     rows = [(i, v) for i in range(0, 12)] + [(50, [0.6, -0.2, 1.4]), (100, None), (150, []), (200, [0.0, 0.0, 0.0]),
