@@ -160,3 +160,14 @@ def test_query_against_all_pairs(spark):
     pairs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted(map(tuple, queries.QUERIES["op2_jaccard_join"](spark, sf).collect()), key=repr)
     assert got == brute(pairs, J.Rule())
+
+
+def test_components_of_an_ascending_path_in_few_rounds(spark, monkeypatch):
+    from strata.llm import components
+    rounds = []
+    plain = components.materialise
+    monkeypatch.setattr(components, "materialise", lambda df, name: (rounds.append(name), plain(df, name))[1])
+    edges = [(i, i + 1) for i in range(3000)] + [(5000, i) for i in range(5001, 5200)]
+    got = {r.vertex: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(3001), 0), **dict.fromkeys(range(5000, 5200), 5000)}
+    assert rounds.count("image") <= 20
