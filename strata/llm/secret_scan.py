@@ -16,7 +16,9 @@ encoded keys are decoded, and reported only if their bytes parse:
 
 Base64 and hex may be wrapped: lines that hold nothing else are joined, and a
 key ends, as its own lengths say, at the end of a line.  Keys wrapped inside a
-PEM block are the block's.
+PEM block are the block's.  A key or token may follow other characters of its
+own alphabet (``Bearer_eyJ...``, ``keys/MII...``): beside the start of a run, each
+place after one of ``-_`` (in base64 of ``-_+/``) where a key can begin is tried.
 
 Spans count code points, end exclusive.  Defined results: null text counts as
 empty and has no spans; repeated rows are scanned each; equal starts are
@@ -29,7 +31,7 @@ import base64
 import binascii
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -218,6 +220,7 @@ def encoded_keys(text: str, runs: re.Pattern, line: re.Pattern, bits: int, start
     ``bits`` bits.  ``starts``: what the code of each kind begins with."""
     decode, group, held = (decode64, 4, 3) if bits == 6 else (decode16, 2, 1)
     found = []
+    inner = re.compile("(?<=[/+_-])(?:" + "|".join(starts.values()) + ")") if bits == 6 else None
     for run in runs.finditer(text):
         pieces, at = [], run.start()
         while at < run.end() and (m := line.match(text, at, run.end())):
@@ -233,11 +236,14 @@ def encoded_keys(text: str, runs: re.Pattern, line: re.Pattern, bits: int, start
         stops = {n: k for k, n in enumerate((*begins[1:], total))}  # characters -> the line that ends there
         past = 0
         decoded: dict[int, bytes] = {}  # of the run, by the place in a group where it begins
-        for k, begin in enumerate(begins):
+        blocks: dict[int, list] = {}  # PEM keys in them
+        for begin in sorted({*begins, *(m.start() for m in inner.finditer(joined))}) if inner else begins:
             if begin < past:
                 continue
+            k = bisect_right(begins, begin) - 1
+            at = pieces[k][0] + begin - begins[k]
             low = joined[begin:begin + 32] if bits == 6 else joined[begin:begin + 32].lower()
-            kind = next((kind for kind, code in starts.items() if low.startswith(code)), "pem" if k == 0 else None)
+            kind = next((kind for kind, code in starts.items() if low.startswith(code)), "pem" if begin == 0 else None)
             if kind is None:
                 continue
             size = None
@@ -249,12 +255,18 @@ def encoded_keys(text: str, runs: re.Pattern, line: re.Pattern, bits: int, start
                     decoded[phase] = decode(joined[phase:])
                 data, skip = decoded[phase], skip * held
                 if kind == "ssh":
-                    size = openssh_size(data[skip:])
-                elif data.find(PEM_IN_BYTES, skip) >= 0 and (keys := pem_keys(data[skip:].decode("latin-1"))):
-                    chars = begin + -(-keys[-1][1] * 8 // bits)
+                    size = openssh_size(data[skip:]) if data.startswith(SSH_MAGIC, skip) else None
+                    if size is None:
+                        continue
+                else:
+                    if phase not in blocks:
+                        blocks[phase] = pem_keys(data.decode("latin-1")) if PEM_IN_BYTES in data else []
+                    if not blocks[phase] or blocks[phase][-1][0] < skip:
+                        continue
+                    chars = begin + -(-(blocks[phase][-1][1] - skip) * 8 // bits)
                     last = bisect_left(begins, chars) - 1
                     past = begins[last] + pieces[last][1] - pieces[last][0]
-                    found.append((pieces[k][0], run.end() if last == len(pieces) - 1 else pieces[last][1], "pem", last > k))
+                    found.append((at, run.end() if last == len(pieces) - 1 else pieces[last][1], "pem", last > k))
             if size is None:
                 continue
             stop = begin + -(-size * 8 // bits)
@@ -263,7 +275,7 @@ def encoded_keys(text: str, runs: re.Pattern, line: re.Pattern, bits: int, start
             body = from_base64(joined[begin:stop]) if bits == 6 else bytes.fromhex(joined[begin:stop])
             if is_openssh_key(body) if kind == "ssh" else is_der_key(body):
                 last, past = stops[stop], stop
-                found.append((pieces[k][0], run.end() if last == len(pieces) - 1 else pieces[last][1], kind, last > k))
+                found.append((at, run.end() if last == len(pieces) - 1 else pieces[last][1], kind, last > k))
     return found
 
 
@@ -271,19 +283,44 @@ BASE64_STARTS = {"der": "M", "ssh": "b3BlbnNzaC", "pem": "LS0tLS1CRUdJTi"}
 HEX_STARTS = {"der": "30", "ssh": SSH_MAGIC[:-1].hex(), "pem": b"-----BEGIN ".hex()}
 
 
-def is_signed_token(token: str) -> bool:
-    head, payload, signature = token.split(".")
+HEADER = re.compile(r"(?<=[-_])e[wy]")  # base64 of { before a blank or a quote
+JSON = json.JSONDecoder()
+
+
+def header_methods(run: str) -> list[tuple[int, str]]:
+    """(begin, alg) of the known token headers that end with the run of base64
+    characters and begin with it or after a - or _."""
+    found, decoded = [], {}
+    for begin in (0, *(m.start() for m in HEADER.finditer(run))):
+        phase, held = begin % 4, begin // 4 * 3
+        if phase not in decoded:
+            decoded[phase] = (from_base64(run[phase:]) or b"").decode("latin-1")
+        data = decoded[phase]
+        try:
+            at = next((k for k in range(held, len(data)) if data[k] not in " \t\r\n"), len(data)) if begin == 0 else held
+            header, end = JSON.raw_decode(data, at)
+        except (ValueError, RecursionError):
+            continue
+        if not data[end:].strip(" \t\r\n") and isinstance(header, dict):
+            alg = header.get("alg")
+            if isinstance(alg, str) and alg in JWT_BYTES:
+                found.append((begin, alg))
+    return found
+
+
+def token_start(run: str, payload: str, signature: str) -> int | None:
+    """Where in ``run`` the header of a signed token begins."""
+    methods = header_methods(run)
+    if not methods:
+        return None
     try:
-        header, claims = (json.loads(from_base64(x) or b"") for x in (head, payload))
+        if not isinstance(json.loads(from_base64(payload) or b""), dict):
+            return None
     except (ValueError, UnicodeDecodeError, RecursionError):
-        return False
-    if not isinstance(header, dict) or not isinstance(claims, dict):
-        return False
-    alg = header.get("alg")
-    if not isinstance(alg, str) or alg not in JWT_BYTES:
-        return False
+        return None
     size = len(from_base64(signature) or b"")
-    return size in JWT_BYTES[alg] if JWT_BYTES[alg] else size >= 128 and size % 64 == 0
+    return next((begin for begin, alg in methods
+                 if (size in JWT_BYTES[alg] if JWT_BYTES[alg] else size >= 128 and size % 64 == 0)), None)
 
 
 def scan(text: str | None) -> list[tuple[int, int, str]]:
@@ -301,8 +338,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
         start = m.start()
         while start and text[start - 1] in URL64:
             start -= 1
-        if is_signed_token(text[start:m.end(2)]):
-            found.append((start, m.end(2), "jwt"))
+        begin = token_start(text[start:m.start()], m[1], m[2])
+        if begin is not None:
+            found.append((start + begin, m.end(2), "jwt"))
     blocks = pem_keys(text) if "PRIVATE KEY-----" in text else []
     found += [(*b, "pem") for b in blocks]
     for args in ((BASE64_RUN, BASE64_LINE, 6, BASE64_STARTS), (HEX_RUN, HEX_LINE, 4, HEX_STARTS)):

@@ -208,6 +208,26 @@ def test_other_forms_confirmed(body, kind):
         assert not set(body[5:-5].split()) & set(secret_scan.redact(text, "").split())
 
 
+@pytest.mark.parametrize("before", ["Bearer_", "x-", "a_b-ey-", "keys/private/", "key_", "id+", "ew_MII/"])
+@pytest.mark.parametrize("body,kind", [(token(), "jwt"), (spaced_token(), "jwt"), (token("RS256", 256), "jwt"), (b64(RSA), "der"),
+                                       (b64(PKCS8), "der"), (b64(SSH), "ssh"), (wrapped(b64(RSA), 64), "der"),
+                                       (b64(pem("RSA PRIVATE KEY", RSA).encode()), "pem")])
+def test_secrets_after_characters_of_their_alphabet(before, body, kind):
+    text = f"é {before}{body} after"
+    spans = [s for s in secret_scan.scan(text) if s[2] not in secret_scan.BASE_KINDS]
+    begin = 2 if kind == "pem" and len(before) == 4 else 2 + len(before)  # a whole run that decodes to a block is the span
+    assert spans == [(begin, 2 + len(before) + len(body), kind)]
+
+
+@pytest.mark.parametrize("text", ["-eyJh" * 50_000 + token(), ("LS0tLS1CRUdJTiBSU0EgUFJJVkFURSBLRVktLS0tLS0t" + "\n") * 6_000,
+                                  "/M" * 100_000, "/b3BlbnNzaC1rZXktdjEA" * 10_000, "-ewog" * 50_000])
+def test_many_beginnings_are_linear(text):
+    import time
+    t = time.perf_counter()
+    secret_scan.scan(text)
+    assert time.perf_counter() - t < 10
+
+
 @pytest.mark.parametrize("body", [
     wrapped(b64(RSA[:-3]), 64), wrapped(b64(RSA + b"\0"), 64), wrapped(b64(SSH + b"x"), 64), (SSH + b"x").hex(), SSH.hex()[:-2],
     pem("DSA PRIVATE KEY", DSA[:-1] + b"\x56"), pem("RSA PRIVATE KEY", b"\x9c" * 607, LEGACY), pem("RSA PRIVATE KEY", b"\x9c" * 608),
