@@ -531,7 +531,8 @@ def _stream_silver(spark, sf_dir, name, runs=((0, 3),), messages=None, via_bronz
     """Message files -> silver, in one or more runs; ``sessions`` are options
     of the sessions query, which follows each run."""
     root = work_dir(spark, name)
-    raw = read_table(spark, sf_dir, "events")
+    # dealt out, as building the messages costs far more than reading a small file's few row groups
+    raw = read_table(spark, sf_dir, "events").repartition(2 * spark.sparkContext.defaultParallelism, "event_id", "ts")
     msgs = messages(raw) if messages else fixture.broker_messages(raw)
     paths = SilverPaths(f"{root}/silver")
     queries = []

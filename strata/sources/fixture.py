@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions.columns import pick
+from strata.sources.tables import ROW_GROUP_BYTES
 
 # Fixed values of the replay mapping (value domains of the event contract).
 PAGES = ("/home", "/pricing", "/features", "/docs", "/blog")
@@ -195,18 +196,23 @@ def write_message_files(messages: DataFrame, path: str, groups: int = 4,
                         last_group: int | None = None) -> list[str]:
     """Archive broker rows as Parquet files in arrival order: the offset range
     is cut into ``groups`` consecutive slices, each written by its own job
-    (so file modification times follow offsets) as range-partitioned files of
-    about ``rows_per_file`` rows.  ``first_group``/``last_group`` write a
+    (so file modification times follow offsets), and a slice into equal ranges
+    of offsets, one file of about ``rows_per_file`` rows each.  The ranges are
+    known beforehand, so that the payloads are built once and not sampled
+    first.  ``first_group``/``last_group`` write a
     subset, e.g. to add data between two runs of a stream."""
     bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // groups + 1
     files = max(2, -(-bounds["n"] // (groups * rows_per_file)))
+    width = -(-step // files)
     last = groups - 1 if last_group is None else last_group
     out = []
     for g in range(first_group, last + 1):
-        part = messages.filter((F.col("offset") >= lo + g * step) & (F.col("offset") < lo + (g + 1) * step))
+        start = lo + g * step
+        part = messages.filter((F.col("offset") >= start) & (F.col("offset") < start + step))
         target = f"{path.rstrip('/')}/group={g:04d}"
-        part.repartitionByRange(files, "offset").write.mode("overwrite").parquet(target)
+        (part.repartitionById(files, F.expr(f"CAST((offset - {start}L) DIV {width}L AS INT)")).write.mode("overwrite")
+         .option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(target))
         out.append(target)
     return out

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from strata import schemas
 
+ROW_GROUP_BYTES = 8 << 20  # of files of messages: as many tasks decode a file as it has row groups
+
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Batch read of ``<root>/<name>.parquet`` (or a table folder)."""

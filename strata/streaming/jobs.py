@@ -14,7 +14,8 @@ gives the same tables):
 
 * ``events`` -- silver events, by date and batch; ``late`` likewise;
 * ``plan_events`` -- signup / upgrade / churn rows, by user bucket and batch;
-* ``users`` -- SCD2 histories, by user bucket; touched buckets are replaced;
+* ``users`` -- SCD2 histories, by user bucket and batch: the rows that a batch
+  brought or changed; an event's row of the last batch counts;
 * ``dlq`` -- contract violations with the error text, by batch;
 * ``gold/<table>`` -- by date; touched dates are replaced;
 * ``sessions`` -- from the query of :func:`start_sessions`, a streaming
@@ -86,6 +87,26 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def _adaptive(caller: SparkSession, write):
+    """``write`` (of foreachBatch) with the caller's setting of adaptive
+    execution, which Spark switches off in the session of a stateful stream.
+    The batch's own plan is fixed by then.  Without it, "rebalance" does
+    nothing: each shuffle partition writes a file for each date or bucket, and
+    every small step after it runs as many tasks."""
+    key = "spark.sql.adaptive.enabled"
+    wanted = caller.conf.get(key)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(key)
+        conf.set(key, wanted)
+        try:
+            write(batch, batch_id)
+        finally:
+            conf.set(key, before)
+    return run
+
+
 def start_bronze(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
                  ingested_at=None) -> StreamingQuery:
     """Append broker rows to the date-partitioned bronze table."""
@@ -119,22 +140,25 @@ def _once(events: DataFrame, watermark: str | None) -> DataFrame:
     return events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def _fan_in(bronze_stream: DataFrame, watermark: str | None) -> DataFrame:
+def _fan_in(bronze_stream: DataFrame, watermark: str | None, dead: bool = True) -> DataFrame:
     """One stream of rows ``event`` or ``dead``; ``kept`` marks the events that
     Spark's deduplication let through, the others are arrivals (all of them
-    with a watermark, else none).  Counts of arrivals are observed."""
+    with a watermark, else none).  Counts of arrivals are observed.  Every
+    branch decodes the messages, so there is one for the dead letters only if
+    ``dead``."""
     tagged = B.tag_contract(B.decode_payload(bronze_stream))
-    event, dead = F.struct(*schemas.SILVER_EVENT_COLUMNS), F.struct(*_DLQ.fieldNames())
+    event, letter = F.struct(*schemas.SILVER_EVENT_COLUMNS), F.struct(*_DLQ.fieldNames())
     no_event, no_dead = F.lit(None).cast(schemas.SILVER_EVENTS), F.lit(None).cast(_DLQ)
     counted = tagged.observe("arrivals", F.count(F.lit(1)).alias("rows"), F.count("error").alias("dead"))
-    rows = B.dead_letters(counted.filter(F.col("error").isNotNull())).select(
-        no_event.alias("event"), dead.cast(_DLQ).alias("dead"), F.lit(False).alias("kept"))
+    rows = _once(_valid(counted), watermark).select(
+        event.cast(schemas.SILVER_EVENTS).alias("event"), no_dead.alias("dead"), F.lit(True).alias("kept"))
+    if dead:
+        rows = rows.unionByName(B.dead_letters(tagged.filter(F.col("error").isNotNull())).select(
+            no_event.alias("event"), letter.cast(_DLQ).alias("dead"), F.lit(False).alias("kept")))
     if watermark is not None:
         rows = rows.unionByName(_valid(tagged).select(
             event.cast(schemas.SILVER_EVENTS).alias("event"), no_dead.alias("dead"), F.lit(False).alias("kept")))
-    kept = _once(_valid(tagged), watermark).select(
-        event.cast(schemas.SILVER_EVENTS).alias("event"), no_dead.alias("dead"), F.lit(True).alias("kept"))
-    return rows.unionByName(kept)
+    return rows
 
 
 def _late(arrived: DataFrame, kept: DataFrame, spark: SparkSession, paths: SilverPaths, batch_id: int) -> DataFrame:
@@ -173,7 +197,8 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        # the state's partitions are many and small; every output below reads the batch again
+        batch = batch.coalesce(2 * spark.sparkContext.defaultParallelism).persist()
         try:
             kept = batch.filter("kept").select("event.*")
             write_batch(kept, paths.table("events"), batch_id, ["processing_date"])
@@ -192,7 +217,7 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
                 write_batch(S.plan_events(kept).withColumn("bucket", user_bucket()), paths.table("plan_events"), batch_id, ["bucket"])
                 after("plan_events", batch_id)
             if upsert_users:
-                upsert_users_scd2(spark, paths, S.plan_events(kept))
+                upsert_users_scd2(spark, paths, S.plan_events(kept), batch_id)
                 after("users", batch_id)
             if gold_tables:
                 refresh_gold(spark, paths, kept, gold_tables)
@@ -200,20 +225,32 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
         finally:
             batch.unpersist()
 
-    return _trigger(_fan_in(bronze_stream, watermark).writeStream.foreachBatch(fan_out).queryName("silver")
+    return _trigger(_fan_in(bronze_stream, watermark, "dlq" in outputs).writeStream.foreachBatch(_adaptive(bronze_stream.sparkSession, fan_out)).queryName("silver")
                     .option("checkpointLocation", paths.checkpoint("silver")), trigger).start()
 
 
-def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame) -> None:
-    """SCD2 maintenance: the histories of the user buckets that a batch touched
-    are rebuilt from their plan events and replace those buckets; the others
-    are neither read nor written.  A late plan event re-closes the interval it
-    splits."""
-    touched = [r[0] for r in batch_plan_events.filter("user_id IS NOT NULL").select(user_bucket()).distinct().collect()]
-    if touched:  # at most USER_BUCKETS values
-        history = paths.read(spark, "plan_events").filter(F.col("bucket").isin(touched))
-        users = S.users_scd2(history).withColumn("bucket", user_bucket())
-        overwrite_partitions(users.select(*TABLES["users"].fieldNames()), paths.table("users"), ["bucket"])
+def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame, batch_id: int) -> None:
+    """SCD2 maintenance: of each user that a batch touched, the history from the
+    row before their first new event on is rebuilt from the plan events and
+    written as the batch's rows; no other row can change.  :func:`read_users`
+    takes the last row written for an event.  A late plan event re-closes the
+    interval it splits, and all behind it is written again."""
+    place = F.struct("event_timestamp", "event_id")
+    first = (batch_plan_events.filter("user_id IS NOT NULL").groupBy("user_id").agg(F.min(place).alias("_first"))
+             .withColumn("bucket", user_bucket()))
+    touched = [r[0] for r in first.select("bucket").distinct().collect()]
+    if not touched:  # at most USER_BUCKETS values
+        return
+    columns = ["user_id", "event_timestamp", "event_id", "event_type", "plan", "to_plan", "country", "device"]
+    stored = paths.read(spark, "plan_events").filter(F.col("bucket").isin(touched)).select(*columns).join(first.drop("bucket"), "user_id")
+    again = stored.filter(place >= F.col("_first")).select(*columns)
+    # the row before, with the country and device known by then
+    known = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in ("country", "device")]
+    row = [c for c in columns if c not in ("user_id", "country", "device")]
+    before = (stored.filter(place < F.col("_first")).groupBy("user_id")
+              .agg(F.max_by(F.struct(*row), place).alias("_row"), *known).select("user_id", "_row.*", "country", "device"))
+    users = S.users_scd2(again.unionByName(before)).withColumn("bucket", user_bucket())
+    write_batch(users.select(*TABLES["users"].fieldNames()), paths.table("users"), batch_id, ["bucket"])
 
 
 def refresh_gold(spark: SparkSession, paths: SilverPaths, batch_events: DataFrame,
@@ -276,7 +313,7 @@ def start_sessions(spark: SparkSession, paths: SilverPaths, trigger: str | None
         write_snapshot(batch.select(*_SESSIONS.fieldNames()), paths.table("sessions"))
 
     writer = (session_stream(events, watermark).writeStream.outputMode(mode).queryName("sessions")
-              .foreachBatch(upsert if mode == "update" else replace).option("checkpointLocation", paths.checkpoint("sessions")))
+              .foreachBatch(_adaptive(spark, upsert if mode == "update" else replace)).option("checkpointLocation", paths.checkpoint("sessions")))
     return _trigger(writer, trigger).start()
 
 
@@ -304,7 +341,11 @@ def read_dlq(spark: SparkSession, paths: SilverPaths) -> DataFrame:
 
 
 def read_users(spark: SparkSession, paths: SilverPaths) -> DataFrame:
-    return paths.read(spark, "users").drop("bucket")
+    """Current histories: of each event's rows the one of the last batch."""
+    names = _USERS.fieldNames()
+    rows = read_folder(spark, paths.table("users"), T.StructType([*_USERS.fields, T.StructField("batch", T.IntegerType())]))
+    return (rows.groupBy("user_id", "event_id").agg(F.max_by(F.struct(*names), "batch").alias("_r"))
+            .select(*(F.col(f"_r.{c}").alias(c) for c in names)))
 
 
 def read_gold(spark: SparkSession, paths: SilverPaths, name: str) -> DataFrame:

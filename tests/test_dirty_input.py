@@ -1,5 +1,7 @@
 """Dirty input: empty denominators, late events in a stream."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,10 +10,13 @@ from strata.operators import gold, merge, silver
 from strata.plans.catalog import silver_events
 from strata.session import work_dir
 from strata.sources import fixture
+from strata.sinks import make_folder
+from strata.sources.fixture import saas_events
 from strata.sources.tables import read_event_stream
 from strata import schemas
 from strata.streaming import (SilverPaths, StreamStatus, read_dlq, read_events, read_gold, read_late, read_plan_events, read_sessions,
                               read_users, run_to_completion, start_sessions, start_silver)
+from strata.streaming.jobs import _fan_in
 
 from .conftest import SF_SMALL
 
@@ -201,3 +206,33 @@ def test_stream_dedup_modes(spark):
         run_to_completion([q])
         out = spark.read.parquet(f"{root}/out-{name}")
         assert out.count() == raw.count() == out.select("event_id").distinct().count()
+
+
+def _files(spark, path):
+    return [r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()]
+
+
+def test_a_batch_writes_a_file_a_date_and_only_changed_users(spark):
+    """Not a file for every state partition and date or bucket; of the users
+    table a batch writes its new rows and the rows they close, no more."""
+    root = work_dir(spark, "small")
+    raw = spark.createDataFrame([(i, datetime.datetime(2024, 1, 1 + i // 20, 1, i % 20), i % 4, "signup", 1.0, '{"k": 50}')
+                                 for i in range(60)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    msgs = fixture.broker_messages(raw)
+    paths = SilverPaths(f"{root}/silver")
+    for g in range(2):
+        fixture.write_message_files(msgs, f"{root}/messages/m", groups=2, first_group=g, last_group=g)
+        _run(spark, root, paths, upsert_users=True)
+    stored = spark.read.parquet(paths.table("events"))
+    assert len(_files(spark, paths.table("events"))) == stored.select("processing_date", "batch").distinct().count()
+    written = spark.read.parquet(paths.table("users")).groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in written} == {0: 30, 1: 30 + 4}
+    assert _rows(read_users(spark, paths).drop("updated_at")) == _rows(silver.users_scd2(saas_events(raw)).drop("updated_at"))
+
+
+def test_messages_are_decoded_once_without_dead_letters(spark):
+    """The dead letters' branch decodes all messages again; without it the
+    counts on arrival still hold every message."""
+    bronze = spark.readStream.schema(schemas.BRONZE).parquet(make_folder(spark, work_dir(spark, "plan")))
+    plan = _fan_in(bronze, None, dead=False)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("from_json") == 1 and "CollectMetrics arrivals" in plan
