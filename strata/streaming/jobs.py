@@ -39,7 +39,7 @@ from strata.operators import bronze as B
 from strata.operators import silver as S
 from strata.operators.merge import conform
 from strata.sinks import make_folder, merge_into, one_of, overwrite_partitions, read_current, read_folder, write_batch, write_snapshot
-from strata.sources.tables import read_table_stream
+from strata.sources.tables import ROW_GROUP_BYTES, read_table_stream
 
 OUTPUTS = ("events", "dlq")
 USER_BUCKETS = 32
@@ -109,9 +109,11 @@ def _adaptive(caller: SparkSession, write):
 
 def start_bronze(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
                  ingested_at=None) -> StreamingQuery:
-    """Append broker rows to the date-partitioned bronze table."""
-    w = (B.to_bronze(messages, ingested_at).writeStream.format("parquet").queryName("bronze")
-         .partitionBy("processing_date").option("checkpointLocation", checkpoint).outputMode("append"))
+    """Append broker rows to the date-partitioned bronze table.  A batch writes
+    a file a date (a hot one more, where Spark runs the stream adaptively), not
+    one for every task and date: the silver stream takes its batches in files."""
+    w = (B.to_bronze(messages, ingested_at).hint("rebalance", "processing_date").writeStream.format("parquet").queryName("bronze")
+         .option("parquet.block.size", str(ROW_GROUP_BYTES)).partitionBy("processing_date").option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(w, trigger).start(path)
 
 

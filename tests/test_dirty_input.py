@@ -15,7 +15,7 @@ from strata.sources.fixture import saas_events
 from strata.sources.tables import read_event_stream
 from strata import schemas
 from strata.streaming import (SilverPaths, StreamStatus, read_dlq, read_events, read_gold, read_late, read_plan_events, read_sessions,
-                              read_users, run_to_completion, start_sessions, start_silver)
+                              read_users, run_to_completion, start_bronze, start_sessions, start_silver)
 from strata.streaming.jobs import _fan_in
 
 from .conftest import SF_SMALL
@@ -230,6 +230,16 @@ def test_a_batch_writes_a_file_a_date_and_only_changed_users(spark):
     assert _rows(read_users(spark, paths).drop("updated_at")) == _rows(silver.users_scd2(saas_events(raw)).drop("updated_at"))
 
 
+def test_bronze_batch_writes_a_file_a_date(spark):
+    root = work_dir(spark, "bronze-files")
+    raw = spark.createDataFrame([(i, datetime.datetime(2024, 1, 1 + i % 3), i % 4, "signup", 1.0, '{"k": 50}') for i in range(400)],
+                                "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    fixture.broker_messages(raw).repartition(4).write.parquet(f"{root}/messages")
+    stream = read_event_stream(spark, "parquet", path=f"{root}/messages")
+    run_to_completion([start_bronze(stream, f"{root}/bronze", f"{root}/ckpt", "availableNow", F.col("timestamp"))])
+    assert spark.read.parquet(f"{root}/bronze").count() == 400 and len(_files(spark, f"{root}/bronze")) == 3
+
+
 def test_messages_are_decoded_once_without_dead_letters(spark):
     """The dead letters' branch decodes all messages again; without it the
     counts on arrival still hold every message."""
