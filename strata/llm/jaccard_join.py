@@ -351,9 +351,15 @@ def bitmap_words(column: pa.Array) -> list[np.ndarray]:
 
 
 def pass_bitmaps(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) that may be linked by size and bitmap; ``sets``: k, n, bitmap."""
+    """Pairs (a, b) that may be linked by size and bitmap; ``sets``: k, n, bitmap.
+    The pairs name few of the sets, so those are picked by a list that Spark
+    broadcasts where its size allows, and the others are not shuffled."""
+    pairs = materialise(pairs, "bitmap-pairs")
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "bitmap-ids")
+    some = materialise(sets.join(wanted, "k", "left_semi"), "bitmap-sets")
+
     def side(x):
-        return sets.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
+        return some.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
 
     def rows(batch: pa.RecordBatch) -> dict:
         na, nb = (batch.column(f"n_{x}").to_pylist() for x in "ab")
@@ -394,7 +400,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) ->
 
 # Roles of a row in a cell: compared with (RIGHT), compared (LEFT), both, or the hub itself.
 RIGHT, LEFT, BOTH, HUB = range(4)
-PAIRS_SCHEMA = "hub long, a long, b long, state int"
+PAIRS_SCHEMA = "hub long, k long, other long, state int"  # a pair that was given for the set k
 # State of a pair: all of the set's pairs are given; not all; the pair with the hub was taken for all.
 GIVEN, NEARER, TAKEN = range(3)
 SURE = 10 / 7  # a set so much nearer to its hub than needed is taken for linked until verified
@@ -402,25 +408,25 @@ SURE = 10 / 7  # a set so much nearer to its hub than needed is taken for linked
 
 def cell_pairs(rule: Rule, hub: int, k: np.ndarray, root: np.ndarray, n: np.ndarray, bitmaps: list[bytes],
                role: np.ndarray, most: int | None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, state) of pairs in a cell that may be linked.  With the hub
-    there, sets that are surely linked with it give that pair alone, and all
-    others are compared with all; without it, sets of different components are.
-    A set with over ``most`` pairs gives the nearest ones."""
+    """(k, other, state) of pairs in a cell that may be linked, given for set k.
+    With the hub there, sets that are surely linked with it give that pair
+    alone, and all others are compared with all; without it, sets of different
+    components are.  A set with over ``most`` pairs gives the nearest ones."""
     rows = [np.frombuffer(b, np.uint64) for b in bitmaps]
     width = min(map(len, rows))
     bits = np.stack([folded(r, width) for r in rows])
     left, right = np.flatnonzero((role == LEFT) | (role == BOTH)), np.flatnonzero((role == RIGHT) | (role == BOTH))
     out = []
 
-    def give(a, b, state):
-        out.append((a, b, np.full(len(a), state, np.int32)))
+    def give(own, other, state):
+        out.append((own, other, np.full(len(own), state, np.int32)))
 
     for h in np.flatnonzero(role == HUB)[:1]:
         distance = apart(bits[h], bits[left])
         ok = within(rule, n[h], n[left], distance)
         sure = within(rule, n[h], n[left], distance * SURE)
-        give(np.full(int(sure.sum()), hub), k[left[sure]], TAKEN)
-        give(np.full(int((ok & ~sure).sum()), hub), k[left[ok & ~sure]], GIVEN)
+        give(k[left[sure]], np.full(int(sure.sum()), hub), TAKEN)
+        give(k[left[ok & ~sure]], np.full(int((ok & ~sure).sum()), hub), GIVEN)
         left = left[~sure]
     step = max(1, WORDS_AT_ONCE // (max(1, len(right)) * width))
     for at in range(0, len(left), step):
@@ -455,10 +461,9 @@ def compare_cells(cells: DataFrame, rule: Rule, most: int | None) -> DataFrame:
             own = {c: v[i:j] for c, v in cols.items()}
             hub = int(own.pop("hub")[0])
             own.pop("block")
-            for a, b, state in cell_pairs(rule, hub, bitmaps=[bitmaps[x] for x in order[i:j]], most=most, **own):
-                found.append((np.full(len(a), hub), a, b, state))
-        hub, a, b, state = (np.concatenate(x) for x in zip(*found))
-        return pa.table({"hub": hub, "a": np.minimum(a, b), "b": np.maximum(a, b), "state": state})
+            for k, other, state in cell_pairs(rule, hub, bitmaps=[bitmaps[x] for x in order[i:j]], most=most, **own):
+                found.append((np.full(len(k), hub), k, other, state))
+        return pa.table(dict(zip(("hub", "k", "other", "state"), (np.concatenate(x) for x in zip(*found)))))
 
     return (cells.withColumn("bin", F.pmod(F.xxhash64("hub", "block"), F.lit(parts))).groupBy("bin")
             .applyInArrow(lambda table: compare(table), PAIRS_SCHEMA))
@@ -477,20 +482,26 @@ def small_groups(star: DataFrame, sizes: DataFrame, sets: DataFrame, rule: Rule)
     return compare_cells(cells.select(*CELL_COLUMNS), rule, NEAREST)
 
 
-def loose_groups(star: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, rule: Rule, most: int | None) -> DataFrame:
-    """Of the given ``hubs``: sets not yet in their hub's component (left)
-    meet all sets of the hub (right) in cells of BLOCK by BLOCK sets."""
+def open_rows(rows: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (hub, k) of the given ``hubs``, with the root of k and whether it
+    is loose: not in its hub's component."""
     def root_of(name, to):
         return roots.select(F.col("vertex").alias(name), F.col("root").alias(to))
 
-    rows = (star.join(hubs, "hub", "left_semi").join(root_of("hub", "hub_root"), "hub", "left").join(root_of("k", "root"), "k", "left")
-            .select("hub", "k", F.coalesce("root", "k").alias("root"),
-                    (F.coalesce("root", "k") != F.coalesce("hub_root", "hub")).alias("loose")))
-    rows = materialise(rows, "hub-rows")
+    found = (rows.join(hubs, "hub", "left_semi").join(root_of("hub", "hub_root"), "hub", "left").join(root_of("k", "root"), "k", "left")
+             .select("hub", "k", F.coalesce("root", "k").alias("root"),
+                     (F.coalesce("root", "k") != F.coalesce("hub_root", "hub")).alias("loose")))
+    return materialise(found, "hub-rows")
+
+
+def loose_groups(rows: DataFrame, sets: DataFrame, rule: Rule, most: int | None) -> DataFrame:
+    """Of ``rows`` (from open_rows): loose sets (left) meet all sets of their
+    hub (right) in cells of BLOCK by BLOCK sets."""
     sizes = (rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("loose").cast("long")).alias("n_loose"))
              .filter("n_all > 1 AND n_loose > 0")
              .select("hub", F.ceil(F.col("n_all") / BLOCK).alias("right_blocks"), F.ceil(F.col("n_loose") / BLOCK).alias("left_blocks")))
-    sized = rows.join(sizes, "hub").join(sets.select("k", "n", "bitmap"), "k").withColumn("h", F.xxhash64("k"))
+    sized = materialise(rows.join(materialise(sizes, "hub-blocks"), "hub"), "sized-rows")
+    sized = sized.join(sets.select("k", "n", "bitmap"), "k").withColumn("h", F.xxhash64("k"))
     one = (F.col("left_blocks") == 1) & (F.col("right_blocks") == 1)
     single = sized.filter(one).select(
         "*", F.lit(0).cast("long").alias("block"), F.when(F.col("loose"), F.lit(BOTH)).otherwise(F.lit(RIGHT)).alias("role"))
@@ -509,8 +520,15 @@ def apart_still(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     def root_of(x):
         return roots.select(F.col("vertex").alias(x), F.col("root").alias(f"root_{x}"))
 
-    own = pairs.filter(F.col("state") != GIVEN).join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-    return own.filter((F.col("state") == NEARER) | (F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))).select("hub").distinct()
+    own = pairs.filter(F.col("state") != GIVEN).join(root_of("k"), "k", "left").join(root_of("other"), "other", "left")
+    return own.filter((F.col("state") == NEARER) | (F.coalesce("root_k", "k") != F.coalesce("root_other", "other"))).select("hub").distinct()
+
+
+def not_done(pairs: DataFrame) -> DataFrame:
+    """(hub, k) of sets that gave some of their pairs alone.  A set that gave all
+    of them is done with its hub: what it may be linked with was named, so the
+    next look, which compares the others among themselves, loses no link."""
+    return pairs.filter(F.col("state") != GIVEN).select("hub", "k").distinct()
 
 
 def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -527,19 +545,24 @@ def component_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     large = sizes.filter(F.col("n_all") > BLOCK).select("hub")
     with_hub = pass_bitmaps(star.join(large, "hub", "left_semi").select(F.col("hub").alias("a"), F.col("k").alias("b")), sets, rule)
     pairs = small_groups(star, sizes, small, rule).unionByName(
-        with_hub.select(F.col("a").alias("hub"), "a", "b", F.lit(TAKEN).alias("state")))
-    links, roots, left = None, None, None
+        with_hub.select(F.col("a").alias("hub"), F.col("b").alias("k"), F.col("a").alias("other"), F.lit(TAKEN).alias("state")))
+    # of hubs in cells, the sets that are not done; of large ones all, as each was compared with its hub alone
+    links, roots, rows_open = None, None, None
     for most in (NEAREST, NEAREST, None):  # then, with the components that gives, what is left; in the end all
         if links is not None:
-            pairs = loose_groups(star, left, roots, sets, rule, most)  # whole bitmaps: fewer pairs
+            rows_open = open_rows(rows_open, left, roots)
+            pairs = loose_groups(rows_open, sets, rule, most)  # whole bitmaps: fewer pairs
         pairs = materialise(pairs, "pairs")
-        near = pass_bitmaps(pairs.select("a", "b").distinct(), sets, rule)  # whole bitmaps
+        near = pass_bitmaps(pairs.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct(), sets, rule)
         found = verify(materialise(near, "near-pairs"), docs, classes, rule)
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links)
         left = apart_still(pairs, roots)
         if links is found:
             left = left.unionByName(large).distinct()
+            rows_open = not_done(pairs.join(large, "hub", "left_anti")).unionByName(star.join(large, "hub", "left_semi").select("hub", "k"))
+        else:
+            rows_open = not_done(pairs).unionByName(rows_open.filter("NOT loose").select("hub", "k"))
         left = materialise(left, "hubs-left")
         if left.isEmpty():
             break

@@ -171,3 +171,29 @@ def test_components_of_an_ascending_path_in_few_rounds(spark, monkeypatch):
     got = {r.vertex: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(3001), 0), **dict.fromkeys(range(5000, 5200), 5000)}
     assert rounds.count("image") <= 20
+
+
+def test_second_look_leaves_out_sets_that_named_all_their_pairs(make_docs, monkeypatch):
+    """Many texts share a passage, and so a hub, without being linked; a few near
+    copies among them need another look."""
+    r = random.Random(7)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage + [f"u{i}.{j}" for j in range(140)] for i in range(150)]
+    for i in range(14):
+        ws = list(texts[0])
+        for k in r.sample(range(60, 200), 3):
+            ws[k] = f"x{i}.{k}"
+        texts.append(ws)
+    pairs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    looks, plain = [], J.materialise
+
+    def spy(df, name):
+        out = plain(df, name)
+        if name == "hub-rows":
+            looks.append((out.count(), out.filter("NOT loose").count(), out.select("k").distinct().count()))
+        return out
+
+    monkeypatch.setattr(J, "materialise", spy)
+    rule = J.Rule(5, 80)
+    assert run(make_docs, pairs, rule) == brute(pairs, rule)
+    assert looks and all(sets <= 15 for _, _, sets in looks), looks
