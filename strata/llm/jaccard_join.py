@@ -352,11 +352,10 @@ def bitmap_words(column: pa.Array) -> list[np.ndarray]:
 
 def pass_bitmaps(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that may be linked by size and bitmap; ``sets``: k, n, bitmap.
-    The pairs name few of the sets, so those are picked by a list that Spark
-    broadcasts where its size allows, and the others are not shuffled."""
-    pairs = materialise(pairs, "bitmap-pairs")
+    The pairs name few of the sets: the list of those is written first, so that
+    Spark broadcasts it where its size allows and shuffles no other sets."""
     wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "bitmap-ids")
-    some = materialise(sets.join(wanted, "k", "left_semi"), "bitmap-sets")
+    some = sets.join(wanted, "k", "left_semi")
 
     def side(x):
         return some.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
@@ -500,7 +499,7 @@ def loose_groups(rows: DataFrame, sets: DataFrame, rule: Rule, most: int | None)
     sizes = (rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("loose").cast("long")).alias("n_loose"))
              .filter("n_all > 1 AND n_loose > 0")
              .select("hub", F.ceil(F.col("n_all") / BLOCK).alias("right_blocks"), F.ceil(F.col("n_loose") / BLOCK).alias("left_blocks")))
-    sized = materialise(rows.join(materialise(sizes, "hub-blocks"), "hub"), "sized-rows")
+    sized = materialise(rows.join(sizes, "hub"), "sized-rows")
     sized = sized.join(sets.select("k", "n", "bitmap"), "k").withColumn("h", F.xxhash64("k"))
     one = (F.col("left_blocks") == 1) & (F.col("right_blocks") == 1)
     single = sized.filter(one).select(
