@@ -25,7 +25,8 @@ gives the same tables):
 from __future__ import annotations
 
 import threading
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,11 +39,14 @@ from strata import schemas
 from strata.operators import bronze as B
 from strata.operators import silver as S
 from strata.operators.merge import conform
+from strata.session import DEFAULT_CONF
 from strata.sinks import make_folder, merge_into, one_of, overwrite_partitions, read_current, read_folder, write_batch, write_snapshot
 from strata.sources.tables import ROW_GROUP_BYTES, read_table_stream
 
 OUTPUTS = ("events", "dlq")
 USER_BUCKETS = 32
+STATE_CONF = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.streaming.stateStore.")}
+STATE_WAVES = 4  # state partitions for each core of the cluster
 
 _DLQ = T.StructType([T.StructField(n, t) for n, t in (
     ("kafka_topic", T.StringType()), ("kafka_partition", T.IntegerType()), ("kafka_offset", T.LongType()),
@@ -107,6 +111,33 @@ def _adaptive(caller: SparkSession, write):
     return run
 
 
+@contextmanager
+def _state_settings(caller: SparkSession) -> Iterator[None]:
+    """Settings under which a stream whose state grows starts; Spark copies
+    them at the start, and a restart takes the provider and the number of state
+    partitions from its checkpoint.
+
+    A caller who names no state store gets RocksDB: Spark's default holds every
+    id in the executors' heaps and copies all of them for each batch.  A state
+    partition commits a file a batch however few its rows, and streams do not
+    merge shuffle partitions, so there are at most ``STATE_WAVES`` a core."""
+    conf, key = caller.conf, "spark.sql.shuffle.partitions"
+    wanted = {key: str(min(int(conf.get(key)), STATE_WAVES * caller.sparkContext.defaultParallelism))}
+    if conf.get("spark.sql.streaming.stateStore.providerClass", None) is None:
+        wanted |= STATE_CONF
+    before = {k: conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                conf.unset(k)
+            else:
+                conf.set(k, v)
+
+
 def start_bronze(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
                  ingested_at=None) -> StreamingQuery:
     """Append broker rows to the date-partitioned bronze table.  A batch writes
@@ -199,8 +230,9 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # the state's partitions are many and small; every output below reads the batch again
-        batch = batch.coalesce(2 * spark.sparkContext.defaultParallelism).persist()
+        # every output below reads the batch again; a task for each state partition, as Spark sends
+        # it to the executor that holds the state (one for several would load their state from files)
+        batch = batch.persist()
         try:
             kept = batch.filter("kept").select("event.*")
             write_batch(kept, paths.table("events"), batch_id, ["processing_date"])
@@ -227,8 +259,11 @@ def start_silver(bronze_stream: DataFrame, paths: SilverPaths, trigger: str | No
         finally:
             batch.unpersist()
 
-    return _trigger(_fan_in(bronze_stream, watermark, "dlq" in outputs).writeStream.foreachBatch(_adaptive(bronze_stream.sparkSession, fan_out)).queryName("silver")
-                    .option("checkpointLocation", paths.checkpoint("silver")), trigger).start()
+    caller = bronze_stream.sparkSession
+    writer = (_fan_in(bronze_stream, watermark, "dlq" in outputs).writeStream.foreachBatch(_adaptive(caller, fan_out)).queryName("silver")
+              .option("checkpointLocation", paths.checkpoint("silver")))
+    with _state_settings(caller):
+        return _trigger(writer, trigger).start()
 
 
 def upsert_users_scd2(spark: SparkSession, paths: SilverPaths, batch_plan_events: DataFrame, batch_id: int) -> None:

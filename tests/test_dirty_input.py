@@ -16,6 +16,7 @@ from strata.sources.tables import read_event_stream
 from strata import schemas
 from strata.streaming import (SilverPaths, StreamStatus, read_dlq, read_events, read_gold, read_late, read_plan_events, read_sessions,
                               read_users, run_to_completion, start_bronze, start_sessions, start_silver)
+from strata.streaming import jobs
 from strata.streaming.jobs import _fan_in
 
 from .conftest import SF_SMALL
@@ -246,3 +247,31 @@ def test_messages_are_decoded_once_without_dead_letters(spark):
     bronze = spark.readStream.schema(schemas.BRONZE).parquet(make_folder(spark, work_dir(spark, "plan")))
     plan = _fan_in(bronze, None, dead=False)._jdf.queryExecution().analyzed().toString()
     assert plan.count("from_json") == 1 and "CollectMetrics arrivals" in plan
+
+
+def test_state_stays_with_its_executor_and_out_of_the_heap(spark, monkeypatch):
+    """A task for each state partition, as many as the cluster can use, and
+    RocksDB unless the caller names a state store; a restart adds the rest."""
+    tasks, write = [], jobs.write_batch
+    monkeypatch.setattr(jobs, "write_batch", lambda df, *a: tasks.append(df.rdd.getNumPartitions()) or write(df, *a))
+    own = {"spark.sql.shuffle.partitions": "64", "spark.sql.streaming.stateStore.providerClass": None}
+    before = {k: spark.conf.get(k) for k in own}
+    root = work_dir(spark, "state")
+    paths = SilverPaths(f"{root}/silver")
+    raw = spark.createDataFrame([(i % 50, datetime.datetime(2024, 1, 1 + i % 3), i % 4, "signup", 1.0, '{"k": 50}') for i in range(60)],
+                                "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        for g in range(2):
+            fixture.write_message_files(fixture.broker_messages(raw), f"{root}/messages/m", groups=2, first_group=g, last_group=g)
+            q = _run(spark, root, paths, outputs=("events",))
+            state = next(p for p in q.recentProgress if p.numInputRows).stateOperators[0]
+            assert state.numShufflePartitions == min(64, 4 * spark.sparkContext.defaultParallelism)
+            assert any(name.startswith("rocksdb") for name in state.customMetrics)
+            assert {k: spark.conf.get(k, None) for k in own} == own
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks == [state.numShufflePartitions] * 2
+    assert sorted(r.event_id for r in read_events(spark, paths).collect()) == sorted(f"evt_{i}" for i in range(50))
