@@ -14,10 +14,11 @@ Spark holds the trie: blocks of documents list their distinct (context, byte)
 keys, a shuffle sums the training counts, subtries (each with all contexts that
 share their last two bytes) are turned into log probabilities of whole keys (escapes and
 exclusions included), and these go back to the blocks that need them.  No task
-and no broadcast holds the trie: a block needs the keys of its own texts, a
-subtrie at most 256^3 keys, and what is sent to every task are the counts of
-the contexts of one byte and none (at most 65,536).  Words of the base score
-take the same way, by a 63-bit hash ("the same word" is up to its collisions).
+and no broadcast holds the trie: a block needs the keys of its own texts and
+ends when these are many, a subtrie has at most 256^3 keys, and what is sent to
+every task are the counts of the contexts of one byte and none (at most 65,536).
+Words of the base score take the same way, by a 63-bit hash ("the same word" is
+up to its collisions); words themselves are kept for one stored row at a time.
 
 Defined results: A-Z count as a-z for words and bytes alike; null text counts
 as empty, which has one token, the end; a null id hashes as ''; every row gives
@@ -29,8 +30,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,17 +49,18 @@ ORDER = 4
 START, END = 0xFE, 0xFF  # bytes that no UTF-8 text has
 SYMBOLS = 255            # all bytes but START
 BLOCK_BYTES = 32 << 20   # texts of one block
+BLOCK_KEYS = 1 << 20     # distinct keys of one block
 SUBTRIES = 256           # groups of subtries
-CHUNK_BYTES = 2 << 20    # texts of one stored row, and the bytes whose keys are made at a time
+CHUNK_BYTES = 1 << 19    # texts of one stored row, and the bytes whose keys are made at a time
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-WORD_BIT = 1 << 63
+WORD_BIT = np.uint64(1 << 63)
 END_WORD = b""           # stands for the end token
 
 
-def word_key(word: bytes) -> int:
-    """A negative key: the word's hash with the sign bit set."""
-    return (xxhash.xxh64_intdigest(word) | WORD_BIT) - (1 << 64)
+def word_keys(words: Collection[bytes]) -> np.ndarray:
+    """Negative keys: the words' hashes with the sign bit set."""
+    return (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) | WORD_BIT).view(np.int64)
 
 
 def pieces(text: bytes, size: int = CHUNK_BYTES) -> Iterator[tuple[bytes, bool]]:
@@ -91,6 +94,24 @@ def byte_keys(data: bytes, lengths: np.ndarray) -> np.ndarray:
     return keys[valid]
 
 
+def parts(data: bytes, lengths: list[int], size: int = CHUNK_BYTES) -> Iterator[tuple[bytes, np.ndarray, list[int]]]:
+    """The joined pieces about ``size`` bytes at a time, as byte_keys takes
+    them, and the piece that each belongs to: a longer piece (of a long word)
+    comes in parts, each behind its context."""
+    taken, owners, got, at = [], [], 0, 0
+    for owner, length in enumerate(lengths):
+        for start in range(0, length - ORDER, size):
+            taken.append(data[at + start:at + min(start + size + ORDER, length)])
+            owners.append(owner)
+            got += len(taken[-1])
+            if got > size:
+                yield b"".join(taken), np.array([*map(len, taken)]), owners
+                taken, owners, got = [], [], 0
+        at += length
+    if taken:
+        yield b"".join(taken), np.array([*map(len, taken)]), owners
+
+
 @dataclass
 class Block:
     """Pieces of one block, gathered in rows of ``chunk`` bytes, and its keys."""
@@ -99,16 +120,9 @@ class Block:
     size: int = 0
     open_size: int = 0
     open: list = field(default_factory=list)
-    grams: list = field(default_factory=list)
-    words: Counter = field(default_factory=Counter)
-    unseen: set = field(default_factory=set)
+    counted: list = field(default_factory=list)
 
     def add(self, row: int, doc_id: int | None, held: bool, piece: bytes, last: bool) -> dict | None:
-        words = piece_words(piece, last)
-        if held:
-            self.unseen.update(words)
-        else:
-            self.words.update(words)
         self.open.append((row, doc_id, held, last, piece))
         self.size += len(piece)
         self.open_size += len(piece)
@@ -118,31 +132,34 @@ class Block:
         """The open pieces as one row; their keys are counted."""
         if not self.open:
             return None
-        rows, ids, held, last, parts = map(list, zip(*self.open))
+        rows, ids, held, last, texts = map(list, zip(*self.open))
         self.open, self.open_size = [], 0
         for flag in (False, True):
-            mine = [p for p, h in zip(parts, held) if h is flag]
-            if mine:
-                keys, n = np.unique(byte_keys(b"".join(mine), np.array([*map(len, mine)])), return_counts=True)
-                self.grams.append((keys, np.zeros_like(n) if flag else n))
-                if len(self.grams) > 16:
-                    self.grams = [self.gram_counts()]
-        data = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+            mine = [p for p, h in zip(texts, held) if h is flag]
+            words = Counter(chain.from_iterable(piece_words(p, x) for p, x, h in zip(texts, last, held) if h is flag))
+            self.count(word_keys(words), np.fromiter(words.values(), np.int64, len(words)), flag)
+            for data, lengths, _ in parts(b"".join(mine), [*map(len, mine)]):
+                self.count(*np.unique(byte_keys(data, lengths), return_counts=True), flag)
+        data = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
         return {"block": self.number, "rows": rows, "doc_ids": ids, "held": held, "last": last,
-                "lengths": [*map(len, parts)], "data": data}
+                "lengths": [*map(len, texts)], "data": data}
 
-    def gram_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        return sum_counts(*map(np.concatenate, zip(*self.grams))) if self.grams else (np.zeros(0, np.int64),) * 2
+    def count(self, keys: np.ndarray, n: np.ndarray, held: bool) -> None:
+        """Adds keys; summed when the new ones outnumber the sums."""
+        self.counted.append((keys, np.zeros_like(n) if held else n))
+        if sum(len(k) for k, _ in self.counted[1:]) > len(self.counted[0][0]):
+            self.keys()
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every distinct key of the block with its training count."""
-        names = list(self.words)
-        seen = np.fromiter(map(word_key, names), np.int64, len(names))
-        rest = self.unseen.difference(self.words)
-        unseen = np.fromiter(map(word_key, rest), np.int64, len(rest))
-        grams, n = self.gram_counts()
-        return sum_counts(np.concatenate([grams, seen, unseen]),
-                          np.concatenate([n, np.fromiter(self.words.values(), np.int64, len(names)), np.zeros_like(unseen)]))
+        """Every distinct key of the closed pieces with its training count."""
+        if len(self.counted) != 1:
+            keys, n = map(np.concatenate, zip(*self.counted, (np.zeros(0, np.int64),) * 2))
+            self.counted.clear()
+            self.counted.append(sum_counts(keys, n))
+        return self.counted[0]
+
+    def full(self, block_bytes: int, block_keys: int) -> bool:
+        return self.size > block_bytes or (sum(len(k) for k, _ in self.counted) > block_keys and len(self.keys()[0]) > block_keys)
 
 
 def sum_counts(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,10 +176,12 @@ BLOCKS = T.StructType([
     T.StructField("data", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
 
 
-def to_blocks(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def to_blocks(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES, chunk_bytes: int = CHUNK_BYTES,
+              block_keys: int = BLOCK_KEYS) -> DataFrame:
     """Rows of texts (``data``) and rows of keys (``key``, ``n``) of each block,
     written to the shared folder.  A block is what one task reads, up to
-    ``block_bytes``; a longer text goes on in the next block."""
+    ``block_bytes`` of text and ``block_keys`` keys; a longer text goes on in
+    the next block."""
     from pyspark.sql.pandas.types import to_arrow_schema
     want = to_arrow_schema(BLOCKS)
 
@@ -190,7 +209,7 @@ def to_blocks(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES,
                     values = block.add(row, doc_id, held, piece, last)
                     if values:
                         yield text_row(values)
-                    if block.size > block_bytes:
+                    if block.full(block_bytes, block_keys):
                         yield from end_block()
                         block = Block(block.number + 1, chunk_bytes)
                 row += 1
@@ -332,18 +351,6 @@ class KeyTable:
         return at
 
 
-class WordTable(dict):
-    """Word -> position of its key, found on first sight."""
-
-    def __init__(self, keys: np.ndarray):
-        super().__init__()
-        self.by_key = dict(zip(keys.tolist(), range(len(keys))))
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = self.by_key[word_key(word)]
-        return at
-
-
 SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 SCORES_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                           ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -354,23 +361,27 @@ def score_block(texts: pa.Table, values: pa.Table) -> pa.Table:
     keys = values.column("key").to_numpy()
     order = np.argsort(keys)
     keys, value = keys[order], values.column("value").to_numpy()[order]
-    known = values.column("known").to_numpy(zero_copy_only=False)[order].astype(np.int64)
+    known = values.column("known").to_numpy(zero_copy_only=False)[order]
     grams_from = int(np.searchsorted(keys, 0))
-    words, grams, gram_value = WordTable(keys[:grams_from]), KeyTable(keys[grams_from:]), value[grams_from:]
+    words, grams, gram_value = keys[:grams_from], KeyTable(keys[grams_from:]), value[grams_from:]
     out: dict = {name: [] for name in SCORES_ARROW.names}
     names = ("rows", "doc_ids", "held", "last", "lengths", "data")
     for rows, ids, held, last, lengths, packed in zip(*(texts.column(c) for c in names)):
-        data, sizes = zstandard.ZstdDecompressor().decompress(packed.as_py()), np.array(lengths.as_py())
-        scores = gram_value[grams.positions(byte_keys(data, sizes))]
-        n_bytes = sizes - ORDER
-        out["score"] += np.add.reduceat(scores, np.cumsum(n_bytes) - n_bytes).tolist()
-        start = 0
-        for size, is_last in zip(sizes.tolist(), last.as_py()):
-            found = [*map(words.__getitem__, piece_words(data[start:start + size], is_last))]
-            out["n_tokens"].append(len(found))
-            out["n_known"].append(int(known[found].sum()))
-            out["base_score"].append(float(value[found].sum()))
-            start += size
+        data, sizes, scores = zstandard.ZstdDecompressor().decompress(packed.as_py()), lengths.as_py(), np.zeros(len(lengths))
+        for part, part_sizes, owners in parts(data, sizes):
+            n_bytes = part_sizes - ORDER
+            np.add.at(scores, owners, np.add.reduceat(gram_value[grams.positions(byte_keys(part, part_sizes))],
+                                                      np.cumsum(n_bytes) - n_bytes))
+        out["score"] += scores.tolist()
+        ends = np.cumsum(sizes).tolist()
+        found = [piece_words(data[end - size:end], is_last) for end, size, is_last in zip(ends, sizes, last.as_py())]
+        place = dict.fromkeys(chain.from_iterable(found))
+        place = dict(zip(place, np.searchsorted(words, word_keys(place)).tolist()))
+        for tokens in found:
+            at = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
+            out["n_tokens"].append(len(tokens))
+            out["n_known"].append(int(np.count_nonzero(known[at])))
+            out["base_score"].append(float(value[at].sum()))
         out["row"] += rows.as_py()
         out["doc_id"] += ids.as_py()
         out["held_out"] += held.as_py()
@@ -378,10 +389,10 @@ def score_block(texts: pa.Table, values: pa.Table) -> pa.Table:
 
 
 def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, block_bytes: int = BLOCK_BYTES,
-                    chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    chunk_bytes: int = CHUNK_BYTES, block_keys: int = BLOCK_KEYS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every document; documents of fold ``held_fold`` train nothing."""
-    blocks = to_blocks(docs, crc_fold(F.col("doc_id"), folds) == held_fold, block_bytes, chunk_bytes)
+    blocks = to_blocks(docs, crc_fold(F.col("doc_id"), folds) == held_fold, block_bytes, chunk_bytes, block_keys)
     listed = blocks.filter("key IS NOT NULL")
     counts = materialise(listed.groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
     words, train_tokens = word_values(counts)

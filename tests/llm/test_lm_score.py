@@ -1,11 +1,15 @@
 import math
+import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.llm import lm_score as L
 
@@ -105,6 +109,45 @@ def test_small_blocks_and_pieces(spark, make_docs):
     assert_same(L.score_documents(make_docs(rows), block_bytes=700, chunk_bytes=300), rows)
 
 
+def peak_mb(f):
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("text", ["".join(random.Random(1).choices("abc", k=4_000_000)),
+                                  " ".join(f"{i * 7919 % 1_000_003:b}" for i in range(300_000))], ids=["one word", "many words"])
+def test_a_task_holds_arrays_of_keys_and_one_stored_row(text):
+    def block():
+        b, rows = L.Block(0), []
+        for piece, last in L.pieces(text.encode()):
+            rows.append(b.add(0, 1, False, piece, last))
+        return [r for r in [*rows, b.close()] if r], *b.keys()
+
+    (rows, keys, n), made = peak_mb(block)
+    texts = pa.Table.from_pylist(rows)
+    values = pa.table({"key": keys, "value": np.ones(len(keys)), "known": np.ones(len(keys), bool)})
+    out, scored = peak_mb(lambda: L.score_block(texts, values))
+    size, words = len(text), len(text.split())
+    assert n[keys >= 0].sum() == size + 1 and n[keys < 0].sum() == words + 1
+    assert len(set(text.split())) + 1 == (keys < 0).sum()
+    assert sum(out["score"].to_pylist()) == size + 1 and sum(out["base_score"].to_pylist()) == words + 1
+    assert sum(out["n_tokens"].to_pylist()) == sum(out["n_known"].to_pylist()) == words + 1
+    assert made < 50 and scored < 40
+
+
+def test_blocks_end_at_their_number_of_keys(spark, make_docs):
+    rows = [(i, " ".join(f"{i * k * 7919 % 100_003:x}" for k in range(60))) for i in range(30)]
+    docs = make_docs(rows)
+    listed = L.to_blocks(docs.coalesce(1), L.crc_fold(F.col("doc_id"), 7) == 2, chunk_bytes=300, block_keys=1500).filter("key IS NOT NULL")
+    sizes = [r["count"] for r in listed.groupBy("block").count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 1500 + 800  # of the last row, a document here
+    assert listed.count() == listed.select("block", "key").distinct().count()
+    assert_same(L.score_documents(docs, chunk_bytes=300, block_keys=1500), rows)
+
+
 def test_empty_table_and_no_training_documents(spark, make_docs):
     assert L.score_documents(make_docs([])).count() == 0
     fold = [i for i in range(60) if held(i)][:3]
